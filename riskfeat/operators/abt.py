@@ -37,8 +37,8 @@ def split_thresholds(
 
 def split_of(ts: Column, thresholds: DataFrame) -> Column:
     """TRAIN, VAL or TEST; a missing time counts as TEST."""
-    p_train = C.epoch_to_ntz(thresholds.select("p_train").scalar())
-    p_val = C.epoch_to_ntz(thresholds.select("p_val").scalar())
+    row = thresholds.select(F.struct("p_train", "p_val").alias("t")).scalar()
+    p_train, p_val = (C.epoch_to_ntz(row[name]) for name in ("p_train", "p_val"))
     return F.when(ts <= p_train, "TRAIN").when(ts <= p_val, "VAL").otherwise("TEST")
 
 

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from riskfeat import schemas as S
 from riskfeat.functions import columns as C
-from riskfeat.operators.joins import join_dimension
+from riskfeat.operators.joins import fits_broadcast, join_dimension
 
 EVENT_COLUMNS = [
     "account_id",
@@ -58,7 +58,9 @@ def txn_events(txns: DataFrame, banks: DataFrame, cutoff: str = S.TAIL_CUTOFF_DA
     receiver = banks.select(
         F.col("bank_id").alias("to_bank"), F.col("bank_country").alias("to_country")
     )
-    located = join_dimension(join_dimension(in_window, sender, "from_bank"), receiver, "to_bank")
+    small = fits_broadcast(sender)
+    located = join_dimension(in_window, sender, "from_bank", small)
+    located = join_dimension(located, receiver, "to_bank", small)
     home = F.coalesce("from_country", F.lit(S.DEFAULT_COUNTRY))
     away = F.coalesce("to_country", F.lit(S.DEFAULT_COUNTRY))
     return (

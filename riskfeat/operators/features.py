@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskfeat import schemas as S
 from riskfeat.functions import columns as C
@@ -47,15 +47,15 @@ def account_profile(history: DataFrame) -> DataFrame:
     return history.select("account_id", *S.PROFILE_FEATURES)
 
 
-def account_risk(history: DataFrame) -> DataFrame:
+def risk_columns() -> list[Column]:
     """Spread of amounts against their mean, and distinct receivers per payment."""
-    return history.select(
-        "account_id",
-        C.safe_div(F.col("hist_std_amount"), F.col("hist_avg_amount")).alias("hist_amount_cv"),
-        C.safe_div(F.col("hist_distinct_receivers"), F.col("hist_txn_count")).alias(
-            "hist_receiver_fanout"
-        ),
-    )
+    spread = C.safe_div(F.col("hist_std_amount"), F.col("hist_avg_amount"))
+    fanout = C.safe_div(F.col("hist_distinct_receivers"), F.col("hist_txn_count"))
+    return [spread.alias("hist_amount_cv"), fanout.alias("hist_receiver_fanout")]
+
+
+def account_risk(history: DataFrame) -> DataFrame:
+    return history.select("account_id", *risk_columns())
 
 
 def online_profile(history: DataFrame) -> DataFrame:

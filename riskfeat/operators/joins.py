@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-HEAVY_SHARE = 1e-4
+MAX_HEAVY = 10_000
 ROWS_PER_SALT = 1_000_000
 _SALT = "_salt"
 
@@ -27,21 +27,19 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
 
 
 def heavy_keys(
-    counts: DataFrame,
-    key: str,
-    rows: str = "n_rows",
-    share: float = HEAVY_SHARE,
-    rows_per_salt: int = ROWS_PER_SALT,
+    counts: DataFrame, key: str, rows: str = "n_rows", rows_per_salt: int = ROWS_PER_SALT
 ) -> DataFrame:
-    """Keys with at least ``share`` of all rows, and the number of salts each needs.
+    """Keys too large for one task, and the number of salts each needs.
 
-    At most ``1 / share`` keys can reach the share, which bounds the result.
-    ``counts`` holds one row per key.
+    ``counts`` holds one row per key. At most the ``MAX_HEAVY`` largest keys are listed: a
+    key beyond them owns less than one part in ``MAX_HEAVY`` of all rows and
+    joins as usual.
     """
-    total = counts.agg(F.sum(rows).alias("total")).select("total").scalar()
     return (
-        counts.where((F.col(rows) > rows_per_salt) & (F.col(rows) >= total * F.lit(share)))
+        counts.where(F.col(rows) > rows_per_salt)
         .select(F.col(key), F.ceil(F.col(rows) / rows_per_salt).cast("int").alias("_salts"))
+        .orderBy(F.desc("_salts"), key)
+        .limit(MAX_HEAVY)
     )
 
 
@@ -83,9 +81,9 @@ def left_join_by_key(
     return salted.drop(_SALT)
 
 
-def join_dimension(left: DataFrame, dim: DataFrame, key: str) -> DataFrame:
+def join_dimension(left: DataFrame, dim: DataFrame, key: str, small: bool | None = None) -> DataFrame:
     """Left join with a dimension: broadcast when measured small, else salted."""
-    if fits_broadcast(dim):
+    if fits_broadcast(dim) if small is None else small:
         return left.join(F.broadcast(dim), key, "left")
     return left_join_by_key(left, [dim], key, heavy_keys(key_counts(left, key), key))
 

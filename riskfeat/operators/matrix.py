@@ -8,11 +8,10 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskfeat import schemas as S
 from riskfeat.functions import columns as C
-from riskfeat.operators.features import account_risk
+from riskfeat.operators.features import risk_columns
 from riskfeat.operators.joins import left_join_by_key
 
 MAX_CATEGORIES = 1000
-KEY_COLUMNS = ["account_id", "event_ts", "payment_format", "is_laundering"]
 
 
 def format_categories(df: DataFrame) -> list[str]:
@@ -47,8 +46,8 @@ def feature_expr(name: str) -> Column:
 
 def with_history(abt: DataFrame, history: DataFrame, heavy: DataFrame) -> DataFrame:
     """ABT rows with every history feature a signature may ask for."""
-    profile = history.select("account_id", *S.PROFILE_FEATURES)
-    return left_join_by_key(abt, [profile, account_risk(history)], "account_id", heavy)
+    known = history.select("account_id", *S.PROFILE_FEATURES, *risk_columns())
+    return left_join_by_key(abt, [known], "account_id", heavy)
 
 
 def assemble(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -6,9 +6,10 @@ taken per range bucket (see ``ordering.running_totals``).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskfeat import schemas as S
+from riskfeat.functions import columns as C
 from riskfeat.operators.ordering import first_by_hash, range_boundaries, running_totals
 
 
@@ -21,89 +22,87 @@ def score_steps(scored: DataFrame, label: str = "label", score: str = "fraud_sco
     return running_totals(steps, "score", ["n", "pos"], range_boundaries(rows, score))
 
 
-def _totals(steps: DataFrame) -> DataFrame:
-    """Average precision, ROC area and base rate from the steps, as one row.
+def _curve_sums() -> list[Column]:
+    """Sums over the steps that the curve metrics need.
 
-    Precision of a step counts once per positive in it. A negative is beaten by the
-    positives above it and half beaten by those of its own score.
+    The precision of a step counts once per positive in it. A negative is beaten by the
+    positives above it, and half beaten by those of its own score.
     """
-    negatives = F.col("n") - F.col("pos")
-    beaten = negatives * (F.col("pos_upto") - F.col("pos") / 2.0)
-    sums = steps.agg(
+    beaten = (F.col("n") - F.col("pos")) * (F.col("pos_upto") - F.col("pos") / 2.0)
+    return [
         F.sum("n").alias("n"),
         F.sum("pos").alias("pos"),
         F.sum(F.col("pos") * F.col("pos_upto") / F.col("n_upto")).alias("precision_sum"),
         F.sum(beaten).alias("beaten_sum"),
-    )
-    pos = F.col("pos").cast("double")
-    neg = (F.col("n") - F.col("pos")).cast("double")
-    return sums.select(
-        F.coalesce(F.col("precision_sum") / F.nullif(pos, F.lit(0.0)), F.lit(0.0)).alias("pr_auc"),
-        (F.col("beaten_sum") / F.nullif(pos * neg, F.lit(0.0))).alias("roc_auc"),
-        (pos / F.col("n")).alias("base_rate"),
-    )
+    ]
+
+
+def _curve_metrics(n: Column, pos: Column, precision_sum: Column, beaten_sum: Column) -> list[Column]:
+    return [
+        F.coalesce(C.safe_div(precision_sum, pos), F.lit(0.0)).alias("pr_auc"),
+        C.safe_div(beaten_sum, pos.cast("double") * (n - pos)).alias("roc_auc"),
+        C.safe_div(pos, n).alias("base_rate"),
+    ]
+
+
+def _curve(scored: DataFrame, label: str, score: str) -> DataFrame:
+    sums = score_steps(scored, label, score).agg(*_curve_sums())
+    return sums.select(_curve_metrics(*[F.col(c) for c in sums.columns]))
 
 
 def average_precision(scored: DataFrame, label: str = "label", score: str = "fraud_score") -> DataFrame:
-    return _totals(score_steps(scored, label, score)).select("pr_auc")
+    """0 when there are no positives."""
+    return _curve(scored, label, score).select("pr_auc")
 
 
 def roc_auc(scored: DataFrame, label: str = "label", score: str = "fraud_score") -> DataFrame:
     """NULL when one of the classes is missing."""
-    return _totals(score_steps(scored, label, score)).select("roc_auc")
-
-
-def _recall(scored: DataFrame, steps: DataFrame, k: float, tie: str, label: str, score: str) -> DataFrame:
-    wanted = F.greatest(F.lit(1), F.floor(F.col("total") * F.lit(k)))
-    total = steps.agg(F.sum("n").alias("total")).select("total").scalar()
-    cut = (
-        steps.withColumn("total", total)
-        .withColumn("wanted", wanted)
-        .where((F.col("n_upto") >= F.col("wanted")) & (F.col("n_upto") - F.col("n") < F.col("wanted")))
-        .select(
-            "score",
-            (F.col("wanted") - F.col("n_upto") + F.col("n")).alias("missing"),
-            (F.col("pos_upto") - F.col("pos")).alias("found"),
-        )
-    )
-    tied = scored.where(F.col(score) == cut.select("score").scalar())
-    chosen = first_by_hash(tied.select(tie, label), tie, cut.select("missing").scalar())
-    pos = steps.agg(F.sum("pos").alias("pos")).select("pos").scalar()
-    found = cut.select("found").scalar()
-    return chosen.agg(
-        F.coalesce(
-            (found + F.coalesce(F.sum(F.col(label)), F.lit(0)))
-            / F.nullif(pos.cast("double"), F.lit(0.0)),
-            F.lit(0.0),
-        ).alias("recall_at_k")
-    )
+    return _curve(scored, label, score).select("roc_auc")
 
 
-def recall_at_k(
+def model_metrics(
     scored: DataFrame,
     k: float = S.RECALL_FRACTION,
     tie: str = "event_key",
     label: str = "label",
     score: str = "fraud_score",
 ) -> DataFrame:
-    """Share of positives among the top ``max(1, floor(n * k))`` scores.
+    """All metrics as one row.
 
-    Rows tied at the cut are taken by the MD5 of their key.
+    Recall is the share of positives among the top ``max(1, floor(n * k))`` scores. The
+    steps give the score at the cut; of the rows tied there, those with the smallest MD5 of
+    their key fill the remaining places. ``scored`` is read several times:
+    pass a table, not a long plan.
     """
-    return _recall(scored, score_steps(scored, label, score), k, tie, label, score)
+    wanted = F.greatest(F.lit(1), F.floor(F.col("n_total") * F.lit(k)))
+    above = F.col("n_upto") - F.col("n")
+    at_cut = (F.col("n_upto") >= wanted) & (above < wanted)
+    cut = F.struct(
+        F.col("score"), (wanted - above).alias("missing"), (F.col("pos_upto") - F.col("pos")).alias("found")
+    )
+    summary = (
+        score_steps(scored, label, score)
+        .agg(*_curve_sums(), F.max(F.when(at_cut, cut)).alias("cut"))
+        .first()
+    )
+    at, missing, found = summary["cut"] or (None, 0, 0)
+    tied = scored.where(F.col(score) == F.lit(at).cast("double")).select(tie, label)
+    hits = first_by_hash(tied, tie, missing).agg(
+        (F.coalesce(F.sum(label), F.lit(0)) + F.lit(found)).alias("hits")
+    )
+    known = [F.lit(summary[c]) for c in ("n", "pos", "precision_sum", "beaten_sum")]
+    recall = F.coalesce(C.safe_div(F.col("hits"), F.lit(summary["pos"])), F.lit(0.0))
+    return hits.select(*_curve_metrics(*known), recall.alias("recall_at_k"))
 
 
-def model_metrics(
+def recall_at_k(
     scored: DataFrame,
     k: float = S.RECALL_FRACTION,
     tie: str = "event_key",
     label: str = "label",
     score: str = "fraud_score",
 ) -> DataFrame:
-    """All metrics as one row."""
-    steps = score_steps(scored, label, score)
-    recall = _recall(scored, steps, k, tie, label, score).select("recall_at_k").scalar()
-    return _totals(steps).withColumn("recall_at_k", recall)
+    return model_metrics(scored, k, tie, label, score).select("recall_at_k")
 
 
 def compare_runs(runs: DataFrame, a: str, b: str) -> DataFrame:

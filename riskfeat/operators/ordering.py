@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml.feature import Bucketizer
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 HASH_PREFIX = 4
 RANGE_BUCKETS = 256
@@ -64,7 +64,7 @@ def percentiles(df: DataFrame, value: str, wanted: Mapping[str, float], width: i
     )
 
 
-def first_by_hash(df: DataFrame, key: str, n: int | Column) -> DataFrame:
+def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` rows with the smallest MD5 of ``key``: a repeatable random choice.
 
     Hash prefixes are spread evenly, so rows are counted per prefix (65,536 of
@@ -73,20 +73,15 @@ def first_by_hash(df: DataFrame, key: str, n: int | Column) -> DataFrame:
     """
     hashed = df.withColumn("_hash", F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))))
     hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, HASH_PREFIX))
-    size = n if isinstance(n, Column) else F.lit(n)
+    before = F.col("upto") - F.col("rows")
     crossing = (
         hashed.groupBy("_prefix")
         .agg(F.count(F.lit(1)).alias("rows"))
         .withColumn("upto", F.sum("rows").over(Window.partitionBy().orderBy("_prefix")))
-        .withColumn("size", size)
-        .where((F.col("upto") > F.col("size")) & (F.col("upto") - F.col("rows") <= F.col("size")))
-        .agg(
-            F.min("_prefix").alias("prefix"),
-            F.min_by(F.col("size") - F.col("upto") + F.col("rows"), "_prefix").alias("missing"),
-        )
-    )
-    edge = crossing.select("prefix").scalar()
-    missing = crossing.select("missing").scalar()
+        .where((F.col("upto") > n) & (before <= n))
+        .agg(F.struct(F.min("_prefix").alias("prefix"), F.min(n - before).alias("missing")).alias("c"))
+    ).scalar()
+    edge, missing = crossing["prefix"], crossing["missing"]
     whole = hashed.where(F.col("_prefix") < F.coalesce(edge, F.lit("g")))
     order = Window.partitionBy("_prefix").orderBy("_hash", *[c for c in df.columns])
     part = (
@@ -112,7 +107,7 @@ def range_boundaries(df: DataFrame, value: str, buckets: int = RANGE_BUCKETS) ->
 def running_totals(
     df: DataFrame, value: str, sums: Sequence[str], boundaries: Sequence[float]
 ) -> DataFrame:
-    """Adds ``<sum>_upto`` per column, summed over rows with a value at or above this one.
+    """Adds ``<sum>_upto``, summed over rows with a value at or above, and ``<sum>_total``.
 
     ``df`` holds one row per value. Each range bucket is summed on its own and then
     lifted by the total of the buckets above it, a table with one row per bucket.
@@ -120,18 +115,21 @@ def running_totals(
     inf = float("inf")
     cutter = Bucketizer(splits=[-inf, *(boundaries or [0.0]), inf], inputCol=value, outputCol="_bucket")
     bucketed = cutter.transform(df.withColumn(value, F.col(value).cast("double")))
-    above = Window.partitionBy().orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    all_buckets = Window.partitionBy()
+    above = all_buckets.orderBy(F.desc("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     lifts = (
         bucketed.groupBy("_bucket")
         .agg(*[F.sum(c).alias(c) for c in sums])
         .select(
-            "_bucket", *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"_{c}_above") for c in sums]
+            "_bucket",
+            *[F.coalesce(F.sum(c).over(above), F.lit(0)).alias(f"{c}_above") for c in sums],
+            *[F.sum(c).over(all_buckets).alias(f"{c}_total") for c in sums],
         )
     )
     inside = Window.partitionBy("_bucket").orderBy(F.desc(value))
     return (
         bucketed.withColumns({f"{c}_upto": F.sum(c).over(inside) for c in sums})
         .join(F.broadcast(lifts), "_bucket")
-        .withColumns({f"{c}_upto": F.col(f"{c}_upto") + F.col(f"_{c}_above") for c in sums})
-        .select(*df.columns, *[f"{c}_upto" for c in sums])
+        .withColumns({f"{c}_upto": F.col(f"{c}_upto") + F.col(f"{c}_above") for c in sums})
+        .select(*df.columns, *[f"{c}_{part}" for part in ("upto", "total") for c in sums])
     )

@@ -21,10 +21,14 @@ def quality_report(events: DataFrame, abt: DataFrame, cutoff: str = S.TAIL_CUTOF
         F.min("event_ts").alias("first_ts"),
         F.max("event_ts").alias("last_ts"),
     )
-    built = abt.agg(F.count(F.lit(1)).alias("n_abt"), F.count_distinct("split").alias("n_splits"))
+    built = abt.agg(
+        F.struct(
+            F.count(F.lit(1)).alias("n_abt"), F.count_distinct("split").alias("n_splits")
+        ).alias("built")
+    ).scalar()
     return (
-        seen.withColumn("n_abt", built.select("n_abt").scalar())
-        .withColumn("n_splits", built.select("n_splits").scalar())
+        seen.withColumn("n_abt", built["n_abt"])
+        .withColumn("n_splits", built["n_splits"])
         .withColumn("tail_trimmed", F.col("last_ts") < F.lit(cutoff).cast("timestamp_ntz"))
         .withColumn("rows_kept", F.col("n_abt") == F.col("n_events"))
         .withColumn("splits_complete", F.col("n_splits") == 3)

@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.ml import PipelineModel, Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseMatrix
-from pyspark.sql import DataFrame, Column, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from riskfeat import schemas as S
 from riskfeat.operators.matrix import assemble
@@ -17,11 +17,8 @@ from riskfeat.operators.sampling import class_weights, with_weight
 
 # --- fixed values: training parameters ---
 GBT_PARAMS = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.1, "minInstancesPerNode": 50, "seed": 42}
-L2_REGULARIZATION = 1.0
 # --- end of fixed values ---
 
-LABEL_COLUMNS = ["is_laundering", "split"]
-
 
 def train(
     frame: DataFrame,

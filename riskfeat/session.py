@@ -21,6 +21,7 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
         SparkSession.builder.master(f"local[{cores}]")
         .appName("riskfeat")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "16g")
         .config("spark.sql.shuffle.partitions", "8")
     )

@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from riskfeat import schemas as S
+from riskfeat.session import scratch_dir
 
 
 def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
@@ -42,6 +43,14 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def staged(df: DataFrame, purpose: str) -> DataFrame:
+    """Write ``df`` to the shared scratch folder and read it back: a short plan over a
+    plain scan for jobs that pass over the same rows several times."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
 def load_once(spark: SparkSession, make: Callable[[], DataFrame], path: str, min_rows: int) -> bool:
     """Write the table unless it already holds ``min_rows`` rows. True when it wrote."""
     present = read_table(spark, path)
