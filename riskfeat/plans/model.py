@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -43,8 +44,9 @@ def train(
     if kind == "gbt":
         estimator = GBTClassifier(**shared, **{**GBT_PARAMS, **(params or {})})
     elif kind == "monotone_lr":
-        inf = float("inf")
-        floor = [0.0 if n in S.MONOTONE_FEATURES else -inf for n in names]
+        # A saved model cannot hold an infinite bound.
+        free = -sys.float_info.max
+        floor = [0.0 if n in S.MONOTONE_FEATURES else free for n in names]
         estimator = LogisticRegression(**shared, **{"maxIter": 100, **(params or {})})
         estimator = estimator.setLowerBoundsOnCoefficients(DenseMatrix(1, len(names), floor))
     else:
