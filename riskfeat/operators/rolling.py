@@ -73,35 +73,42 @@ def _sum_parts(features: Sequence[Feature]) -> dict[str, tuple[Column, int]]:
     return parts
 
 
-def _presence(events: DataFrame, key: str, f: Feature, tile_micros: int) -> DataFrame:
+def _presence(timed: DataFrame, key: str, features: Sequence[Feature], tile_micros: int) -> DataFrame:
     """+1 when a value enters the window of a key, -1 when its last use has left it.
 
     Uses of one value no more than a window apart are one stay. Uses within a tile
     are merged first, so a pair that repeats all day is one row per tile.
     """
-    window = f.hours * HOUR * MICROS
+    values = F.array(
+        *[
+            F.struct(
+                F.lit(f.alias).alias("feature"),
+                F.col(f.column).cast("string").alias("value"),
+                F.lit(f.hours * HOUR * MICROS).alias("window"),
+            )
+            for f in features
+        ]
+    )
     uses = (
-        events.where(F.col(f.column).isNotNull())
-        .groupBy(key, F.col(f.column).alias("_value"), "_tile")
+        timed.select(key, "_tile", "_at", F.explode(values).alias("u"))
+        .where(F.col("u.value").isNotNull())
+        .groupBy(key, "u.feature", "u.value", "u.window", "_tile")
         .agg(F.min("_at").alias("first"), F.max("_at").alias("last"))
     )
-    order = Window.partitionBy(key, "_value").orderBy("_tile")
-    stays = uses.select(
-        key,
-        "first",
-        "last",
-        F.coalesce(F.col("first") - F.lag("last").over(order) > window, F.lit(True)).alias("opens"),
-        F.coalesce(F.lead("first").over(order) - F.col("last") > window, F.lit(True)).alias("closes"),
-    )
+    order = Window.partitionBy(key, "feature", "value").orderBy("_tile")
+    window = F.col("window")
+    opens = F.coalesce(F.col("first") - F.lag("last").over(order) > window, F.lit(True))
+    closes = F.coalesce(F.lead("first").over(order) - F.col("last") > window, F.lit(True))
+    stays = uses.select(key, "feature", "window", "first", "last", opens.alias("opens"), closes.alias("closes"))
     marks = F.array(
         F.struct(F.when(F.col("opens"), F.col("first")).alias("at"), F.lit(1).alias("step")),
         F.struct(F.when(F.col("closes"), F.col("last") + window + 1).alias("at"), F.lit(-1).alias("step")),
     )
     return (
-        stays.select(key, F.explode(marks).alias("m"))
+        stays.select(key, "feature", F.explode(marks).alias("m"))
         .where(F.col("m.at").isNotNull())
         .groupBy(key, F.col("m.at").alias("_at"))
-        .agg(F.sum("m.step").alias(f.alias))
+        .agg(*[F.sum(F.when(F.col("feature") == f.alias, F.col("m.step"))).alias(f.alias) for f in features])
         .withColumn("_tile", _tile(F.col("_at"), tile_micros))
     )
 
@@ -123,79 +130,70 @@ def rolling_features(
         if f.hours * HOUR % tile_seconds:
             raise ValueError(f"{f.alias}: the window is no multiple of {tile_seconds} seconds")
     parts = _sum_parts(additive)
-    carried_names = [*parts, *[f.alias for f in distinct]]
+    names = [f.alias for f in distinct]
 
     stamped = events.withColumn("_at", _micros(ts)).withColumn("_tile", _tile(F.col("_at"), tile_micros))
-    asked = stamped.select(
-        key,
-        "_tile",
-        "_at",
-        F.struct(*events.columns).alias("_row"),
-        *[value.alias(name) for name, (value, _) in parts.items()],
-    )
     timed = stamped.where(F.col("_at").isNotNull())
+    row = F.struct(*events.columns)
 
-    leaving = []
+    # Each event enters the sums at its time and leaves those of a window after it.
+    steps = [
+        F.struct(F.col("_at").alias("at"), row.alias("row"), *[v.alias(n) for n, (v, _) in parts.items()])
+    ]
     for hours in sorted({h for _, h in parts.values()}):
-        gone = F.col("_at") + hours * HOUR * MICROS + 1
-        out = timed.select(
-            key,
-            gone.alias("_at"),
-            *[(-value).alias(name) for name, (value, h) in parts.items() if h == hours],
-        )
-        leaving.append(out.withColumn("_tile", _tile(F.col("_at"), tile_micros)))
-    presence = [_presence(timed, key, f, tile_micros) for f in distinct]
-
-    def merge(frames: Sequence[DataFrame]) -> DataFrame:
-        return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+        leaving = [
+            F.when(F.lit(h == hours), -value).alias(name) for name, (value, h) in parts.items()
+        ]
+        gone = (F.col("_at") + hours * HOUR * MICROS + 1).alias("at")
+        steps.append(F.struct(gone, F.when(F.lit(False), row).alias("row"), *leaving))
+    entries = (
+        stamped.select(key, F.explode(F.array(*steps)).alias("e"))
+        .where(F.col("e.at").isNotNull() | F.col("e.row").isNotNull())
+        .select(key, F.col("e.at").alias("_at"), F.col("e.row").alias("_row"), *[f"e.{n}" for n in parts])
+        .withColumn("_tile", _tile(F.col("_at"), tile_micros))
+    )
 
     # Additive carry: a window is whole tiles long, so at the start of a tile it
     # holds exactly the full tiles before it.
     tiles = timed.groupBy(key, "_tile").agg(
-        *[F.sum(value).alias(name) for name, (value, _) in parts.items()],
         F.count(F.lit(1)).alias("_events"),
+        *[F.sum(value).alias(name) for name, (value, _) in parts.items()],
     )
     by_tile = Window.partitionBy(key).orderBy("_tile")
+    start = (F.col("_tile") * tile_micros).alias("_at")
 
     def full_tiles(hours: int) -> Window:
         return by_tile.rangeBetween(-(hours * HOUR // tile_seconds), -1)
 
-    carries = [
-        tiles.select(
-            key,
-            "_tile",
-            (F.col("_tile") * tile_micros).alias("_at"),
-            *[F.sum(name).over(full_tiles(h)).alias(name) for name, (_, h) in parts.items()],
-        )
-    ]
+    carries = tiles.select(
+        key,
+        "_tile",
+        start,
+        *[F.sum(name).over(full_tiles(h)).alias(name) for name, (_, h) in parts.items()],
+    )
+    frames = [entries, carries]
     if distinct:
         # Distinct carry: stays opened minus stays closed in all earlier tiles.
-        names = [f.alias for f in distinct]
-        steps = (
-            merge([tiles.select(key, "_tile", "_events"), *[p.drop("_at") for p in presence]])
+        presence = _presence(timed, key, distinct, tile_micros)
+        per_tile = (
+            tiles.select(key, "_tile", "_events")
+            .unionByName(presence.drop("_at"), allowMissingColumns=True)
             .groupBy(key, "_tile")
             .agg(F.max("_events").alias("_events"), *[F.sum(n).alias(n) for n in names])
         )
         before = by_tile.rowsBetween(Window.unboundedPreceding, -1)
-        carries.append(
-            steps.select(
-                key,
-                "_tile",
-                "_events",
-                (F.col("_tile") * tile_micros).alias("_at"),
-                *[F.sum(n).over(before).alias(n) for n in names],
-            )
-            .where(F.col("_events").isNotNull())
-            .drop("_events")
+        open_stays = per_tile.select(
+            key, "_tile", "_events", start, *[F.sum(n).over(before).alias(n) for n in names]
         )
+        frames += [presence, open_stays.where(F.col("_events").isNotNull()).drop("_events")]
 
     upto = (
         Window.partitionBy(key, "_tile")
         .orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = merge([asked, *leaving, *presence, *carries]).withColumns(
-        {name: F.coalesce(F.sum(name).over(upto), F.lit(0)) for name in carried_names}
+    running = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).withColumns(
+        {name: F.coalesce(F.sum(name).over(upto), F.lit(0)) for name in (*parts, *names)}
     )
 
     def finished(f: Feature) -> Column:
@@ -208,6 +206,27 @@ def rolling_features(
     )
 
 
+def features_as_of(
+    events: DataFrame, key: str, ts: str, as_of: Column, features: Sequence[Feature] = VELOCITY_FEATURES
+) -> DataFrame:
+    """Per key its features over the windows that end at ``as_of``, from the events themselves.
+
+    This is what a lookup at that moment returns; keys without events in the longest
+    window have no row.
+    """
+    longest = max(f.hours for f in features)
+
+    def inside(hours: int) -> Column:
+        return F.col(ts) >= as_of - F.make_dt_interval(hours=F.lit(hours))
+
+    aggs = []
+    for f in features:
+        value = F.when(inside(f.hours), F.col(f.column))
+        agg = {"count": F.count, "sum": F.sum, "distinct": F.count_distinct}[f.agg]
+        aggs.append(agg(value).alias(f.alias))
+    return events.where(inside(longest) & (F.col(ts) <= as_of)).groupBy(key).agg(*aggs)
+
+
 def hour_tiles(events: DataFrame, key: str, ts: str, features: Sequence[Feature] = VELOCITY_FEATURES) -> DataFrame:
     """Mergeable per-key hour totals; the same code serves a batch and a stream.
 

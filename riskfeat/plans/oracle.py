@@ -441,6 +441,23 @@ ORACLE: dict[str, str] = {
            count(DISTINCT receiver_account_id) {_over(24)} AS distinct_receivers_24h
     FROM payments""",
     ),
+    "velocity_as_of": _with(
+        [PAYMENTS, "newest AS (SELECT max(event_ts) AS ts FROM payments)"],
+        """SELECT account_id,
+           count(amount_paid) FILTER (WHERE event_ts >= ts - INTERVAL 1 HOUR) AS txn_count_1h,
+           count(amount_paid) FILTER (WHERE event_ts >= ts - INTERVAL 24 HOUR) AS txn_count_24h,
+           round(sum(amount_paid) FILTER (WHERE event_ts >= ts - INTERVAL 24 HOUR), 4) AS amt_sum_24h,
+           round(sum(amount_paid), 4) AS amt_sum_48h,
+           count(DISTINCT receiver_bank) FILTER (WHERE event_ts >= ts - INTERVAL 24 HOUR)
+               AS distinct_banks_24h,
+           count(DISTINCT receiver_account_id) FILTER (WHERE event_ts >= ts - INTERVAL 24 HOUR)
+               AS distinct_receivers_24h,
+           CAST(sum(is_cross_currency) FILTER (WHERE event_ts >= ts - INTERVAL 24 HOUR) AS BIGINT)
+               AS cross_ccy_cnt_24h,
+           CAST(sum(is_high_risk_format) FILTER (WHERE event_ts >= ts - INTERVAL 24 HOUR) AS BIGINT)
+               AS high_risk_cnt_24h
+    FROM payments, newest WHERE event_ts >= ts - INTERVAL 48 HOUR GROUP BY account_id""",
+    ),
     "hour_tiles": _with([PAYMENTS], TILES),
     "stream_hour_tiles": _with([PAYMENTS], TILES),
     "stream_velocity": _with(

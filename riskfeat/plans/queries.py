@@ -302,6 +302,12 @@ def velocity_distinct(t: Tables) -> DataFrame:
     return rolling.rolling_features(keep, "account_id", "event_ts", DISTINCT)
 
 
+def velocity_as_of(t: Tables) -> DataFrame:
+    newest = t.payments.agg(F.max("event_ts").alias("ts")).select("ts").scalar()
+    looked_up = rolling.features_as_of(t.payments, "account_id", "event_ts", newest)
+    return _rounded(looked_up, 4, "amt_sum_24h", "amt_sum_48h")
+
+
 def _plain_tiles(tiles: DataFrame) -> DataFrame:
     kept = [c for c in tiles.columns if not c.startswith("sketch_")]
     plain = tiles.select(kept).withColumn("hour", F.col("hour").cast("timestamp_ntz"))
@@ -420,6 +426,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "run_compare": run_compare,
     "velocity": velocity_features,
     "velocity_distinct": velocity_distinct,
+    "velocity_as_of": velocity_as_of,
     "hour_tiles": hour_tiles,
     "stream_hour_tiles": stream_hour_tiles,
     "stream_velocity": stream_velocity,
