@@ -35,10 +35,9 @@ def split_thresholds(
     return percentiles(seconds, "epoch", {"p_train": train, "p_val": train + val}, DAY_SECONDS)
 
 
-def split_of(ts: Column, thresholds: DataFrame) -> Column:
+def split_of(ts: Column, cuts: Column) -> Column:
     """TRAIN, VAL or TEST; a missing time counts as TEST."""
-    row = thresholds.select(F.struct("p_train", "p_val").alias("t")).scalar()
-    p_train, p_val = (C.epoch_to_ntz(row[name]) for name in ("p_train", "p_val"))
+    p_train, p_val = (C.epoch_to_ntz(cuts[name]) for name in ("p_train", "p_val"))
     return F.when(ts <= p_train, "TRAIN").when(ts <= p_val, "VAL").otherwise("TEST")
 
 
@@ -67,11 +66,13 @@ def build_abt(
     averages = history.select("account_id", "hist_avg_amount")
     heavy = heavy_accounts(history) if heavy is None else heavy
     joined = left_join_by_key(events.select(needed), [averages], "account_id", heavy)
+    cuts = thresholds.select(F.struct("p_train", "p_val").alias("cuts")).scalar()
     return (
         joined.withColumn(
             "amount_to_avg_ratio", C.safe_div(F.col("amount_paid"), F.col("hist_avg_amount"))
         )
-        .withColumn("split", split_of(F.col("event_ts"), thresholds))
+        .withColumn("_cuts", cuts)
+        .withColumn("split", split_of(F.col("event_ts"), F.col("_cuts")))
         .select(*ABT_COLUMNS, *extra)
     )
 

@@ -131,11 +131,10 @@ def asof_join(
         F.lit(spine_rank).alias("_rank"),
         F.struct(*spine.columns).alias("_row"),
     )
+    last_facts = facts.groupBy(key, "_tile").agg(F.max("_fact").alias("_fact"))
+    asked_tiles = asked.select(key, "_tile").distinct().withColumn("_asked", F.lit(True))
     per_tile = (
-        facts.select(key, "_tile", "_fact", F.lit(False).alias("_asked"))
-        .unionByName(
-            asked.select(key, "_tile", F.lit(True).alias("_asked")), allowMissingColumns=True
-        )
+        last_facts.unionByName(asked_tiles, allowMissingColumns=True)
         .groupBy(key, "_tile")
         .agg(F.max("_fact").alias("_fact"), F.max("_asked").alias("_asked"))
     )
