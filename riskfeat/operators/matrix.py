@@ -34,7 +34,7 @@ def signature(df: DataFrame, with_risk: bool = False) -> list[str]:
     return [*S.REQUEST_FEATURES, *S.PROFILE_FEATURES, *risk, *format_categories(df)]
 
 
-def feature_expr(name: str) -> Column:
+def feature_column(name: str) -> Column:
     """Missing values, unseen formats and unknown names all become 0."""
     if name.startswith(S.ONE_HOT_PREFIX):
         code = name.removeprefix(S.ONE_HOT_PREFIX)
@@ -56,4 +56,4 @@ def assemble(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFr
     A kept column that is a feature too moves to ``<name>_raw``.
     """
     kept = [F.col(c).alias(f"{c}_raw") if c in names else F.col(c) for c in keep]
-    return df.select(*kept, *[feature_expr(n).alias(n) for n in names])
+    return df.select(*kept, *[feature_column(n).alias(n) for n in names])

@@ -371,7 +371,7 @@ ORACLE: dict[str, str] = {
     "daily_scores": _with(SCORED_SLICE, f"{PREDICTIONS} FROM scored"),
     "predictions_table": _with(
         SCORED_SLICE,
-        f"""{PREDICTIONS}, TIMESTAMP '2001-07-02 06:00:00' AS scored_at, CAST(event_ts AS DATE) AS event_date
+        f"""{PREDICTIONS}, TIMESTAMP '2001-07-02 06:00:00' AS scored_at, CAST(CAST(event_ts AS DATE) AS VARCHAR) AS event_date
     FROM scored""",
     ),
     "test_sample_scores": _with(

@@ -83,11 +83,11 @@ def train_version(
     rows = [registry.refresh(view, history) for view in views]
     files.write_version(train_sample(files.read_version(spark, root, "abt"), n_neg, key), root, "abt_sample")
     sample = files.read_version(spark, root, "abt_sample")
-    frame = training_set(sample, rows, ["is_laundering"])
+    frame = files.staged(training_set(sample, rows, ["is_laundering"]), "training-set")
     names = signature(sample, with_risk=RISK_VIEW in views)
     model = train(frame, names, kind, params)
-    test = frame.where(F.col("split") == "TEST")
-    metrics = model_metrics(scored_rows(test, names, model), tie=key).first().asDict()
+    scored = scored_rows(frame.where(F.col("split") == "TEST"), names, model)
+    metrics = model_metrics(files.staged(scored, "scored-test"), tie=key).first().asDict()
     metrics = {name: float("nan") if value is None else value for name, value in metrics.items()}
     weights = class_weights(sample.where(F.col("split") == "TRAIN")).first()
     settings = {

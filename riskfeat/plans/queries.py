@@ -269,7 +269,8 @@ def test_sample_scores(t: Tables) -> DataFrame:
 def predictions_table(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "predictions")
     files.write_predictions(t.predictions, path, "2001-07-02 06:00:00")
-    return t.spark.read.parquet(path)
+    written = t.spark.read.parquet(path)
+    return written.withColumn("event_date", F.col("event_date").cast("string"))
 
 
 def run_compare(t: Tables) -> DataFrame:

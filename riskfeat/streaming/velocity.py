@@ -13,7 +13,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from riskfeat.operators.joins import latest_by_key
 from riskfeat.operators.rolling import VELOCITY_FEATURES, Feature, hour_tiles, merge_tiles
-from riskfeat.sources.files import read_table
+from riskfeat.sources.files import current_version, read_table, read_version, write_version
 
 WATERMARK = "48 hours"
 
@@ -70,25 +70,33 @@ def backfill(
 
 
 def _batches(spark: SparkSession, path: str) -> DataFrame:
+    """All rows written so far, where compacted batches count as the last of them."""
     written = read_table(spark, f"{path}/data")
     if written is None:
         raise FileNotFoundError(f"no batch has been written below {path}")
-    return written
+    if not current_version(spark, path, "compacted"):
+        return written
+    base = read_version(spark, path, "compacted")
+    upto = base.agg(F.max("batch").alias("batch")).first()["batch"]
+    return base.unionByName(written.where(F.col("batch") > upto))
 
 
-def read_tiles(spark: SparkSession, path: str, key: str = "account_id") -> DataFrame:
-    """The current tile per key and hour.
-
-    A stream writes a tile whole whenever it changes, so the last batch counts. An hour
-    that the backfill began and the stream went on with is the merger of both.
-    """
-    written = _batches(spark, path)
+def _newest_tiles(written: DataFrame, key: str) -> DataFrame:
+    """A stream writes a tile whole whenever it changes, so its last batch counts."""
     values = [c for c in written.columns if c not in (key, "hour", "batch")]
-    tiles = (
+    return (
         written.groupBy(key, "hour")
         .agg(F.max_by(F.struct(*values), "batch").alias("row"))
         .select(key, "hour", "row.*")
     )
+
+
+def read_tiles(spark: SparkSession, path: str, key: str = "account_id") -> DataFrame:
+    """The current tile per key and hour.
+
+    An hour that the backfill began and the stream went on with is the merger of both.
+    """
+    tiles = _newest_tiles(_batches(spark, path), key)
     past = read_table(spark, f"{path}/backfill")
     return tiles if past is None else merge_tiles(tiles.unionByName(past), key)
 
@@ -109,3 +117,22 @@ def start_latest(
 def read_latest(spark: SparkSession, path: str, key: str, ts: str) -> DataFrame:
     """The latest row per key over all batches, whatever order they came in."""
     return latest_by_key(_batches(spark, path).drop("batch"), key, ts)
+
+
+def _compact(spark: SparkSession, path: str, newest: Callable[[DataFrame], DataFrame]) -> None:
+    written = _batches(spark, path)
+    upto = written.agg(F.max("batch").alias("batch")).first()["batch"]
+    kept = newest(written.where(F.col("batch") <= upto))
+    write_version(kept.withColumn("batch", F.lit(upto).cast("int")), path, "compacted")
+
+
+def compact_tiles(spark: SparkSession, path: str, key: str = "account_id") -> None:
+    """Fold the batches so far into one table, while the stream goes on.
+
+    Readers then skip their folders, which may be taken away.
+    """
+    _compact(spark, path, lambda df: _newest_tiles(df, key))
+
+
+def compact_latest(spark: SparkSession, path: str, key: str, ts: str) -> None:
+    _compact(spark, path, lambda df: latest_by_key(df.drop("batch"), key, ts))

@@ -126,6 +126,32 @@ def test_latest_rows_whatever_order_they_arrive_in(spark, folders, rows):
     assert rows(latest, "account_id", "amount_paid") == [("a", 1.0), ("b", 3.0)]
 
 
+def test_compacted_batches_read_the_same_and_the_stream_goes_on(spark, folders, rows):
+    source, target = folders
+    seen = []
+    for batch in ([("a", 1, 5), ("b", 3, 1)], [("a", 2, 6)], [("a", 4, 7), ("c", 65, 2)]):
+        streams.land_events(events(spark, batch).coalesce(1), source)
+        seen += batch
+        drain(spark, source, target)
+        velocity.compact_tiles(spark, target)
+        expected = rolling.hour_tiles(events(spark, seen), "account_id", "event_ts")
+        assert rows(velocity.read_tiles(spark, target), *PLAIN) == rows(expected, *PLAIN)
+    base = velocity.read_version(spark, target, "compacted")
+    assert base.count() == 3
+
+
+def test_compacted_latest_rows(spark, folders, rows):
+    source, target = folders
+    for batch in ([("a", 10, 1), ("b", 1, 4)], [("a", 7, 2), ("b", 2, 3)]):
+        streams.land_events(events(spark, batch).coalesce(1), source)
+        velocity.start_latest(
+            streams.read_event_stream(spark, source), target, "account_id", "event_ts", DRAIN
+        ).awaitTermination()
+        velocity.compact_latest(spark, target, "account_id", "event_ts")
+    latest = velocity.read_latest(spark, target, "account_id", "event_ts")
+    assert rows(latest, "account_id", "amount_paid") == [("a", 1.0), ("b", 3.0)]
+
+
 def test_reading_before_the_first_batch_fails_clearly(spark, folders):
     with pytest.raises(FileNotFoundError):
         velocity.read_tiles(spark, folders[1])
