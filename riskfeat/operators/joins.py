@@ -26,8 +26,15 @@ def fits_broadcast(df: DataFrame, max_bytes: int = BROADCAST_BYTES) -> bool:
     return (size or 0) <= max_bytes
 
 
+def _names(key: str | Sequence[str]) -> list[str]:
+    return [key] if isinstance(key, str) else list(key)
+
+
 def heavy_keys(
-    counts: DataFrame, key: str, rows: str = "n_rows", rows_per_salt: int = ROWS_PER_SALT
+    counts: DataFrame,
+    key: str | Sequence[str],
+    rows: str = "n_rows",
+    rows_per_salt: int = ROWS_PER_SALT,
 ) -> DataFrame:
     """Keys too large for one task, and the number of salts each needs.
 
@@ -35,49 +42,65 @@ def heavy_keys(
     key beyond them owns less than one part in ``MAX_HEAVY`` of all rows and
     joins as usual.
     """
+    names = _names(key)
     return (
         counts.where(F.col(rows) > rows_per_salt)
-        .select(F.col(key), F.ceil(F.col(rows) / rows_per_salt).cast("int").alias("_salts"))
-        .orderBy(F.desc("_salts"), key)
+        .select(*names, F.ceil(F.col(rows) / rows_per_salt).cast("int").alias("_salts"))
+        .orderBy(F.desc("_salts"), *names)
         .limit(MAX_HEAVY)
     )
 
 
-def key_counts(df: DataFrame, key: str) -> DataFrame:
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("n_rows"))
+def key_counts(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    return df.groupBy(*_names(key)).agg(F.count(F.lit(1)).alias("n_rows"))
+
+
+def _null_safe(left: DataFrame, right: DataFrame, names: Sequence[str], suffix: str) -> Column:
+    return reduce(Column.__and__, [left[n].eqNullSafe(right[n + suffix]) for n in names])
 
 
-def _with_salts(df: DataFrame, heavy: DataFrame, key: str) -> DataFrame:
-    marks = heavy.withColumnRenamed(key, "_heavy_key")
+def _with_salts(df: DataFrame, heavy: DataFrame, names: Sequence[str]) -> DataFrame:
+    marks = heavy.withColumnsRenamed({n: f"{n}_heavy" for n in names})
     return (
-        df.join(F.broadcast(marks), F.col(key).eqNullSafe(F.col("_heavy_key")), "left")
-        .drop("_heavy_key")
+        df.join(F.broadcast(marks), _null_safe(df, marks, names, "_heavy"), "left")
+        .drop(*[f"{n}_heavy" for n in names])
         .withColumn("_salts", F.coalesce("_salts", F.lit(1)))
     )
 
 
 def left_join_by_key(
-    left: DataFrame, rights: Sequence[DataFrame], key: str, heavy: DataFrame
+    left: DataFrame,
+    rights: Sequence[DataFrame],
+    key: str | Sequence[str],
+    heavy: DataFrame,
+    null_safe: bool = False,
 ) -> DataFrame:
     """``left`` joined with several sides that hold one row per key.
 
     Rows of a heavy key spread over as many salts as its size calls for, and the one
     matching row of each right side is repeated per salt. The salt is a hash of
-    the row, so a lost task recomputes the same one. All joins share one shuffle of
-    ``left``; NULL keys match nothing but are spread in the same way.
+    the row, so a lost task recomputes the same one; rows should differ in
+    some column, such as a row key. All joins share one shuffle of ``left``. NULL keys are
+    spread in the same way; they match each other only when ``null_safe``.
     """
+    names = _names(key)
     salted = (
-        _with_salts(left, heavy, key)
+        _with_salts(left, heavy, names)
         .withColumn(_SALT, F.pmod(F.xxhash64(*left.columns), F.col("_salts")).cast("int"))
         .drop("_salts")
     )
     for right in rights:
         copies = (
-            _with_salts(right, heavy, key)
+            _with_salts(right, heavy, names)
             .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.col("_salts") - 1)))
             .drop("_salts")
         )
-        salted = salted.join(copies, [key, _SALT], "left")
+        if null_safe:
+            copies = copies.withColumnsRenamed({n: f"{n}_right" for n in [*names, _SALT]})
+            matches = _null_safe(salted, copies, [*names, _SALT], "_right")
+            salted = salted.join(copies, matches, "left").drop(*[f"{n}_right" for n in [*names, _SALT]])
+        else:
+            salted = salted.join(copies, [*names, _SALT], "left")
     return salted.drop(_SALT)
 
 
@@ -98,8 +121,8 @@ def latest_by_key(df: DataFrame, key: str, ts: str) -> DataFrame:
 
 
 def lookup(latest: DataFrame, keys: DataFrame, key: str) -> DataFrame:
-    """Rows of a latest-by-key table for a batch of keys; unknown keys keep NULLs."""
-    return left_join_by_key(keys, [latest], key, heavy_keys(key_counts(keys, key), key))
+    """One row per requested key from a latest-by-key table; unknown keys have NULLs."""
+    return keys.select(key).distinct().join(latest, key, "left")
 
 
 def asof_join(
@@ -112,48 +135,48 @@ def asof_join(
 ) -> DataFrame:
     """For each spine row the last feature row of its key at or before its time.
 
-    ``strict`` asks for strictly before. Rows are grouped by key and calendar
-    tile instead of by key alone: what a tile inherits from earlier ones comes
-    in as a single carry row, found over one row per key and tile.
+    ``strict`` asks for strictly before. The spine is reduced to its distinct points (key and
+    time), which are merged with the feature rows by key and calendar tile, instead
+    of by key alone: what a tile inherits from earlier ones comes in as a single carry
+    row, found over one row per key and tile. The answers then join the spine.
     """
     values = [c for c in features.columns if c not in (key, ts)]
-    known = features.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
     tile_of = F.date_trunc(tile, F.col(ts)).cast("timestamp_ntz")
-    spine_rank, feature_rank = (1, 2) if strict else (2, 1)
+    point_rank, fact_rank = (1, 2) if strict else (2, 1)
 
-    facts = known.select(
-        key, tile_of.alias("_tile"), ts, F.lit(feature_rank).alias("_rank"), F.struct(ts, *values).alias("_fact")
-    )
-    asked = spine.select(
-        key,
-        tile_of.alias("_tile"),
-        ts,
-        F.lit(spine_rank).alias("_rank"),
-        F.struct(*spine.columns).alias("_row"),
+    def timed(df: DataFrame) -> DataFrame:
+        return df.where(F.col(key).isNotNull() & F.col(ts).isNotNull())
+
+    points = key_counts(timed(spine), [key, ts]).withColumn("_tile", tile_of)
+    facts = (
+        timed(features)
+        .groupBy(key, ts)
+        .agg(F.max(F.struct(ts, *values)).alias("_fact"))
+        .withColumn("_tile", tile_of)
     )
     last_facts = facts.groupBy(key, "_tile").agg(F.max("_fact").alias("_fact"))
-    asked_tiles = asked.select(key, "_tile").distinct().withColumn("_asked", F.lit(True))
-    per_tile = (
+    asked_tiles = points.groupBy(key, "_tile").agg(F.sum("n_rows").alias("_asked"))
+    earlier = Window.partitionBy(key).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (
         last_facts.unionByName(asked_tiles, allowMissingColumns=True)
         .groupBy(key, "_tile")
         .agg(F.max("_fact").alias("_fact"), F.max("_asked").alias("_asked"))
-    )
-    earlier = Window.partitionBy(key).orderBy("_tile").rowsBetween(Window.unboundedPreceding, -1)
-    carried = (
-        per_tile.withColumn("_fact", F.last("_fact", ignorenulls=True).over(earlier))
-        .where(F.col("_asked") & F.col("_fact").isNotNull() & F.col(key).isNotNull())
+        .withColumn("_fact", F.last("_fact", ignorenulls=True).over(earlier))
+        .where(F.col("_asked").isNotNull() & F.col("_fact").isNotNull())
         .select(key, "_tile", F.col("_tile").alias(ts), F.lit(0).alias("_rank"), "_fact")
     )
     in_order = (
         Window.partitionBy(key, "_tile")
-        .orderBy(ts, "_rank", "_fact")
+        .orderBy(ts, "_rank")
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    merged = asked.unionByName(facts, allowMissingColumns=True).unionByName(
-        carried, allowMissingColumns=True
-    )
-    return (
-        merged.withColumn("_fact", F.last("_fact", ignorenulls=True).over(in_order))
-        .where(F.col("_row").isNotNull())
-        .select("_row.*", *[F.col(f"_fact.{c}").alias(c) for c in values])
+    answers = (
+        points.withColumn("_rank", F.lit(point_rank))
+        .unionByName(facts.withColumn("_rank", F.lit(fact_rank)), allowMissingColumns=True)
+        .unionByName(carried, allowMissingColumns=True)
+        .withColumn("_fact", F.last("_fact", ignorenulls=True).over(in_order))
+        .where(F.col("n_rows").isNotNull())
+        .select(key, ts, *[F.col(f"_fact.{c}").alias(c) for c in values])
     )
+    joined = left_join_by_key(spine, [answers], [key, ts], heavy_keys(points, [key, ts]))
+    return joined.select(*spine.columns, *values)

@@ -69,7 +69,7 @@ def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
 
     Hash prefixes are spread evenly, so rows are counted per prefix (65,536 of
     them), whole prefixes are kept up to the one where the count crosses ``n``, and only
-    that prefix is ordered.
+    that prefix is ordered. ``key`` should tell rows apart.
     """
     hashed = df.withColumn("_hash", F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))))
     hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, HASH_PREFIX))
@@ -83,11 +83,17 @@ def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     ).scalar()
     edge, missing = crossing["prefix"], crossing["missing"]
     whole = hashed.where(F.col("_prefix") < F.coalesce(edge, F.lit("g")))
-    order = Window.partitionBy("_prefix").orderBy("_hash", *[c for c in df.columns])
+    # Equal rows are counted, not ordered one by one, and the wanted number is repeated.
+    taken = F.least("copies", missing - F.col("upto") + F.col("copies"))
     part = (
         hashed.where(F.col("_prefix") == edge)
-        .withColumn("_rank", F.row_number().over(order))
-        .where(F.col("_rank") <= missing)
+        .groupBy("_prefix", "_hash", *df.columns)
+        .agg(F.count(F.lit(1)).alias("copies"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("_prefix").orderBy("_hash", *df.columns)))
+        .withColumn("upto", F.sum("copies").over(Window.partitionBy("_prefix").orderBy("place")))
+        .withColumn("taken", taken)
+        .where(F.col("taken") > 0)
+        .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("taken"))))
     )
     return whole.select(df.columns).unionByName(part.select(df.columns))
 

@@ -3,10 +3,11 @@
 A window of length w as of time t covers [t - w, t], the event itself included.
 
 A sliding frame re-reads its whole window for every row, and one busy key would hold it
-in one task. Here each event enters a running sum at its own time and leaves it
-again one microsecond after ``t + w``; a running sum costs one step per row.
-Rows are grouped by key and tile, and what a tile inherits from earlier ones
-comes in as one carry row, so even a very busy key spreads over its tiles.
+in one task. Here events shrink to one row per key and time, whose values enter a
+running sum at that time and leave it one microsecond after ``t + w``; a running sum
+costs one step per row. Rows are grouped by key and tile, and what a tile
+inherits from earlier ones comes in as one carry row, so a very busy
+key spreads over its tiles. The sums then join the events.
 """
 
 from __future__ import annotations
@@ -17,6 +18,8 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from riskfeat.operators.joins import heavy_keys, key_counts, left_join_by_key
+
 MICROS = 1_000_000
 HOUR = 3600
 
@@ -113,6 +116,10 @@ def _presence(timed: DataFrame, key: str, features: Sequence[Feature], tile_micr
     )
 
 
+def _merge(frames: Sequence[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
 def rolling_features(
     events: DataFrame,
     key: str,
@@ -132,67 +139,70 @@ def rolling_features(
     parts = _sum_parts(additive)
     names = [f.alias for f in distinct]
 
-    stamped = events.withColumn("_at", _micros(ts)).withColumn("_tile", _tile(F.col("_at"), tile_micros))
-    timed = stamped.where(F.col("_at").isNotNull())
-    row = F.struct(*events.columns)
+    stamped = events.withColumn("_at", _micros(ts))
+    points = (
+        stamped.groupBy(key, "_at")
+        .agg(*[F.sum(value).alias(name) for name, (value, _) in parts.items()])
+        .withColumn("_tile", _tile(F.col("_at"), tile_micros))
+    )
 
-    # Each event enters the sums at its time and leaves those of a window after it.
-    steps = [
-        F.struct(F.col("_at").alias("at"), row.alias("row"), *[v.alias(n) for n, (v, _) in parts.items()])
-    ]
+    # Each point enters the sums at its time and leaves those of a window after it.
+    steps = [F.struct(F.col("_at").alias("at"), F.lit(True).alias("asked"), *parts)]
     for hours in sorted({h for _, h in parts.values()}):
-        leaving = [
-            F.when(F.lit(h == hours), -value).alias(name) for name, (value, h) in parts.items()
-        ]
+        leaving = [F.when(F.lit(h == hours), -F.col(name)).alias(name) for name, (_, h) in parts.items()]
         gone = (F.col("_at") + hours * HOUR * MICROS + 1).alias("at")
-        steps.append(F.struct(gone, F.when(F.lit(False), row).alias("row"), *leaving))
+        steps.append(F.struct(gone, F.lit(False).alias("asked"), *leaving))
     entries = (
-        stamped.select(key, F.explode(F.array(*steps)).alias("e"))
-        .where(F.col("e.at").isNotNull() | F.col("e.row").isNotNull())
-        .select(key, F.col("e.at").alias("_at"), F.col("e.row").alias("_row"), *[f"e.{n}" for n in parts])
+        points.select(key, F.explode(F.array(*steps)).alias("e"))
+        .where(F.col("e.at").isNotNull() | F.col("e.asked"))
+        .select(key, F.col("e.at").alias("_at"), F.col("e.asked").alias("_asked"), *[f"e.{n}" for n in parts])
         .withColumn("_tile", _tile(F.col("_at"), tile_micros))
     )
 
-    # Additive carry: a window is whole tiles long, so at the start of a tile it
-    # holds exactly the full tiles before it.
-    tiles = timed.groupBy(key, "_tile").agg(
-        F.count(F.lit(1)).alias("_events"),
-        *[F.sum(value).alias(name) for name, (value, _) in parts.items()],
+    # One row per key and tile, with what happened in it.
+    frames = [
+        points.groupBy(key, "_tile")
+        .agg(*[F.sum(name).alias(name) for name in parts])
+        .withColumn("_asked", F.lit(True))
+    ]
+    if distinct:
+        used = stamped.where(F.col("_at").isNotNull())
+        used = used.withColumn("_tile", _tile(F.col("_at"), tile_micros))
+        presence = _presence(used, key, distinct, tile_micros)
+        frames.append(presence.drop("_at"))
+    per_tile = (
+        _merge(frames)
+        .groupBy(key, "_tile")
+        .agg(F.max("_asked").alias("_asked"), *[F.sum(n).alias(n) for n in (*parts, *names)])
     )
+    # What a tile inherits: a window is whole tiles long, so at the start of a tile its sums
+    # are those of the full tiles before; stays are those opened but not yet closed.
     by_tile = Window.partitionBy(key).orderBy("_tile")
-    start = (F.col("_tile") * tile_micros).alias("_at")
+    before = by_tile.rowsBetween(Window.unboundedPreceding, -1)
 
     def full_tiles(hours: int) -> Window:
         return by_tile.rangeBetween(-(hours * HOUR // tile_seconds), -1)
 
-    carries = tiles.select(
-        key,
-        "_tile",
-        start,
-        *[F.sum(name).over(full_tiles(h)).alias(name) for name, (_, h) in parts.items()],
-    )
-    frames = [entries, carries]
-    if distinct:
-        # Distinct carry: stays opened minus stays closed in all earlier tiles.
-        presence = _presence(timed, key, distinct, tile_micros)
-        per_tile = (
-            tiles.select(key, "_tile", "_events")
-            .unionByName(presence.drop("_at"), allowMissingColumns=True)
-            .groupBy(key, "_tile")
-            .agg(F.max("_events").alias("_events"), *[F.sum(n).alias(n) for n in names])
-        )
-        before = by_tile.rowsBetween(Window.unboundedPreceding, -1)
-        open_stays = per_tile.select(
-            key, "_tile", "_events", start, *[F.sum(n).over(before).alias(n) for n in names]
+    carries = (
+        per_tile.select(
+            key,
+            "_tile",
+            "_asked",
+            (F.col("_tile") * tile_micros).alias("_at"),
+            *[F.sum(name).over(full_tiles(h)).alias(name) for name, (_, h) in parts.items()],
+            *[F.sum(name).over(before).alias(name) for name in names],
         )
-        frames += [presence, open_stays.where(F.col("_events").isNotNull()).drop("_events")]
+        .where(F.col("_asked") & F.col("_tile").isNotNull())
+        .drop("_asked")
+    )
+    frames = [entries, carries, *([presence] if distinct else [])]
 
     upto = (
         Window.partitionBy(key, "_tile")
         .orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames).withColumns(
+    running = _merge(frames).withColumns(
         {name: F.coalesce(F.sum(name).over(upto), F.lit(0)) for name in (*parts, *names)}
     )
 
@@ -201,9 +211,12 @@ def rolling_features(
             return F.when(F.col(f"{f.alias}__n") > 0, F.col(f"{f.alias}__s"))
         return F.col(f"{f.alias}__n" if f.agg == "count" else f.alias)
 
-    return running.where(F.col("_row").isNotNull()).select(
-        "_row.*", *[finished(f).alias(f.alias) for f in features]
+    answers = running.where(F.col("_asked")).select(
+        key, "_at", *[finished(f).alias(f.alias) for f in features]
     )
+    heavy = heavy_keys(key_counts(stamped, [key, "_at"]), [key, "_at"])
+    joined = left_join_by_key(stamped, [answers], [key, "_at"], heavy, null_safe=True)
+    return joined.select(*events.columns, *[f.alias for f in features])
 
 
 def features_as_of(

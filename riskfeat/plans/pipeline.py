@@ -35,7 +35,12 @@ def load(
 ) -> None:
     """Landing files to raw tables (once), then to the curated tables of an environment."""
     raw_txns, raw_accounts = f"{root}/raw/transactions", f"{root}/raw/accounts"
-    files.load_once(spark, lambda: files.read_transactions(spark, transactions), raw_txns, expected[0])
+    files.load_once(
+        spark,
+        lambda: files.with_row_key(files.read_transactions(spark, transactions)),
+        raw_txns,
+        expected[0],
+    )
     files.load_once(spark, lambda: files.read_accounts(spark, accounts), raw_accounts, expected[1])
     curated(spark, spark.read.parquet(raw_txns), spark.read.parquet(raw_accounts), root, cutoff)
 
@@ -72,7 +77,6 @@ def train_version(
     kind: str = "gbt",
     params: Mapping[str, object] | None = None,
     n_neg: int = S.TRAIN_NEGATIVES,
-    key: str = "event_key",
 ) -> dict[str, float]:
     """Register views, train on the sample, log the run and the version; returns its metrics.
 
@@ -81,13 +85,13 @@ def train_version(
     registry = Registry(spark, root)
     history = files.read_version(spark, src_root, "account_history")
     rows = [registry.refresh(view, history) for view in views]
-    files.write_version(train_sample(files.read_version(spark, root, "abt"), n_neg, key), root, "abt_sample")
+    files.write_version(train_sample(files.read_version(spark, root, "abt"), n_neg), root, "abt_sample")
     sample = files.read_version(spark, root, "abt_sample")
     frame = files.staged(training_set(sample, rows, ["is_laundering"]), "training-set")
     names = signature(sample, with_risk=RISK_VIEW in views)
     model = train(frame, names, kind, params)
     scored = scored_rows(frame.where(F.col("split") == "TEST"), names, model)
-    metrics = model_metrics(files.staged(scored, "scored-test"), tie=key).first().asDict()
+    metrics = model_metrics(files.staged(scored, "scored-test")).first().asDict()
     metrics = {name: float("nan") if value is None else value for name, value in metrics.items()}
     weights = class_weights(sample.where(F.col("split") == "TRAIN")).first()
     settings = {

@@ -62,10 +62,10 @@ def test_latest_by_key_breaks_ties_and_skips_missing_times(spark, rows):
     assert rows(joins.latest_by_key(df, "k", "ts")) == [("a", DAY, 3)]
 
 
-def test_lookup_keeps_unknown_and_repeated_keys(spark, rows):
+def test_lookup_answers_each_key_once(spark, rows):
     latest = spark.createDataFrame([("a", 1)], "k string, v int")
     keys = spark.createDataFrame([("a",), ("a",), ("z",), (None,)], "k string")
-    assert rows(joins.lookup(latest, keys, "k")) == [(None, None), ("a", 1), ("a", 1), ("z", None)]
+    assert rows(joins.lookup(latest, keys, "k")) == [(None, None), ("a", 1), ("z", None)]
 
 
 @pytest.mark.parametrize("strict", [False, True])
@@ -97,6 +97,15 @@ def test_asof_join_equals_brute_force(spark, strict):
         assert got[i] == (max(before, key=lambda f: f[1])[2] if before else None), (i, key, ts)
 
 
+def test_null_safe_join_on_two_keys_with_salts(spark, rows):
+    left = spark.createDataFrame([(k, t, i) for i, (k, t) in enumerate([("a", 1)] * 9 + [(None, 1)] * 9 + [("a", None)])], "k string, t int, i int")
+    right = spark.createDataFrame([("a", 1, "x"), (None, 1, "y"), ("a", None, "z"), ("b", 1, "no")], "k string, t int, v string")
+    heavy = joins.heavy_keys(joins.key_counts(left, ["k", "t"]), ["k", "t"], rows_per_salt=2)
+    assert heavy.count() == 2
+    got = rows(joins.left_join_by_key(left, [right], ["k", "t"], heavy, null_safe=True), "i", "v")
+    assert got == [(i, "x" if i < 9 else "y" if i < 18 else "z") for i in range(19)]
+
+
 def test_asof_join_keeps_null_feature_values_of_the_latest_row(spark, rows):
     spine = spark.createDataFrame([("a", DAY + dt.timedelta(3))], "k string, ts timestamp_ntz")
     facts = spark.createDataFrame([("a", DAY, 1), ("a", DAY + dt.timedelta(1), None)], "k string, ts timestamp_ntz, v int")

@@ -38,6 +38,14 @@ def test_first_by_hash_is_exact_when_all_rows_share_a_key(spark):
     assert sorted(r["i"] for r in got.collect()) == list(range(20))
 
 
+def test_first_by_hash_takes_part_of_a_group_of_copies(spark):
+    df = spark.createDataFrame([("same",)] * 500 + [(f"k{i}",) for i in range(20)], "k string")
+    hashes = sorted((hashlib.md5(k.encode()).hexdigest(), k) for k in ["same"] * 500 + [f"k{i}" for i in range(20)])
+    for n in (3, 100, 511):
+        got = sorted(r["k"] for r in ordering.first_by_hash(df, "k", n).collect())
+        assert got == sorted(k for _, k in hashes[:n])
+
+
 @pytest.mark.parametrize("buckets", [1, 2, 16])
 def test_running_totals_over_buckets(spark, buckets):
     rng = random.Random(3)

@@ -30,7 +30,7 @@ def roots(spark, tmp_path_factory):
 def train(spark, roots, version, views):
     dev, prod = roots
     return P.train_version(
-        spark, prod, dev, version, views, "monotone_lr", FAST, n_neg=1000, key="account_id"
+        spark, prod, dev, version, views, "monotone_lr", FAST, n_neg=1000
     )
 
 
@@ -46,7 +46,9 @@ def test_tables_of_the_load(spark, roots):
     events = files.read_version(spark, prod, "txn_events")
     assert files.read_version(spark, dev, "abt").count() == events.count() > 5000
     assert files.current_version(spark, prod, "txn_events") == 2
-    assert spark.read.parquet(f"{prod}/raw/transactions").columns == S.TXN_SCHEMA.names
+    raw = spark.read.parquet(f"{prod}/raw/transactions")
+    assert raw.columns == [*S.TXN_SCHEMA.names, "event_key"]
+    assert raw.select("event_key").distinct().count() == raw.count()
 
 
 def test_runs_compare_and_repeat_in_place(spark, trained):
