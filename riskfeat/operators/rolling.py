@@ -142,19 +142,22 @@ def rolling_features(
     stamped = events.withColumn("_at", _micros(ts))
     points = (
         stamped.groupBy(key, "_at")
-        .agg(*[F.sum(value).alias(name) for name, (value, _) in parts.items()])
+        .agg(
+            F.count(F.lit(1)).alias("_asked"),
+            *[F.sum(value).alias(name) for name, (value, _) in parts.items()],
+        )
         .withColumn("_tile", _tile(F.col("_at"), tile_micros))
     )
 
     # Each point enters the sums at its time and leaves those of a window after it.
-    steps = [F.struct(F.col("_at").alias("at"), F.lit(True).alias("asked"), *parts)]
+    steps = [F.struct(F.col("_at").alias("at"), F.col("_asked").alias("asked"), *parts)]
     for hours in sorted({h for _, h in parts.values()}):
         leaving = [F.when(F.lit(h == hours), -F.col(name)).alias(name) for name, (_, h) in parts.items()]
         gone = (F.col("_at") + hours * HOUR * MICROS + 1).alias("at")
-        steps.append(F.struct(gone, F.lit(False).alias("asked"), *leaving))
+        steps.append(F.struct(gone, F.lit(None).cast("long").alias("asked"), *leaving))
     entries = (
         points.select(key, F.explode(F.array(*steps)).alias("e"))
-        .where(F.col("e.at").isNotNull() | F.col("e.asked"))
+        .where(F.col("e.at").isNotNull() | F.col("e.asked").isNotNull())
         .select(key, F.col("e.at").alias("_at"), F.col("e.asked").alias("_asked"), *[f"e.{n}" for n in parts])
         .withColumn("_tile", _tile(F.col("_at"), tile_micros))
     )
@@ -162,8 +165,7 @@ def rolling_features(
     # One row per key and tile, with what happened in it.
     frames = [
         points.groupBy(key, "_tile")
-        .agg(*[F.sum(name).alias(name) for name in parts])
-        .withColumn("_asked", F.lit(True))
+        .agg(*[F.sum(name).alias(name) for name in ("_asked", *parts)])
     ]
     if distinct:
         used = stamped.where(F.col("_at").isNotNull())
@@ -173,7 +175,7 @@ def rolling_features(
     per_tile = (
         _merge(frames)
         .groupBy(key, "_tile")
-        .agg(F.max("_asked").alias("_asked"), *[F.sum(n).alias(n) for n in (*parts, *names)])
+        .agg(*[F.sum(n).alias(n) for n in ("_asked", *parts, *names)])
     )
     # What a tile inherits: a window is whole tiles long, so at the start of a tile its sums
     # are those of the full tiles before; stays are those opened but not yet closed.
@@ -192,7 +194,7 @@ def rolling_features(
             *[F.sum(name).over(full_tiles(h)).alias(name) for name, (_, h) in parts.items()],
             *[F.sum(name).over(before).alias(name) for name in names],
         )
-        .where(F.col("_asked") & F.col("_tile").isNotNull())
+        .where(F.col("_asked").isNotNull() & F.col("_tile").isNotNull())
         .drop("_asked")
     )
     frames = [entries, carries, *([presence] if distinct else [])]
@@ -211,7 +213,7 @@ def rolling_features(
             return F.when(F.col(f"{f.alias}__n") > 0, F.col(f"{f.alias}__s"))
         return F.col(f"{f.alias}__n" if f.agg == "count" else f.alias)
 
-    answers = running.where(F.col("_asked")).select(
+    answers = running.where(F.col("_asked").isNotNull()).select(
         key, "_at", *[finished(f).alias(f.alias) for f in features]
     )
     heavy = heavy_keys(key_counts(stamped, [key, "_at"]), [key, "_at"])

@@ -86,6 +86,17 @@ def test_copies_of_one_event_shrink_before_the_windows(spark):
     assert windows and not any("receiver_account_id" in line for line in windows)
 
 
+@pytest.mark.parametrize("aggs", [("distinct",), ("count",), ("sum", "count")])
+def test_any_part_of_the_features_can_be_asked_for(spark, aggs):
+    chosen = [f for f in VELOCITY_FEATURES if f.agg in aggs]
+    data = [event(i, "a", i * 1700, 0, float(i), f"r{i % 4}") for i in range(30)]
+    got = rolling.rolling_features(spark.createDataFrame(data, SCHEMA), "account_id", "event_ts", chosen)
+    assert got.columns[8:] == [f.alias for f in chosen]
+    for f in chosen:
+        exact = brute(data, f)
+        assert {r["id"]: r[f.alias] for r in got.collect()} == exact
+
+
 def test_windows_must_be_whole_tiles(spark):
     df = spark.createDataFrame([], SCHEMA)
     with pytest.raises(ValueError, match="multiple"):
