@@ -264,6 +264,17 @@ TILES = """SELECT account_id, date_trunc('hour', event_ts) AS hour, count(amount
 
 PREDICTIONS = "SELECT event_key, account_id, event_ts, payment_format, label, fraud_score"
 
+VELOCITY = _with(
+    [PAYMENTS],
+    f"""SELECT event_id, account_id, event_ts, amount_paid,
+       count(amount_paid) {_over(1)} AS txn_count_1h, count(amount_paid) {_over(24)} AS txn_count_24h,
+       round(sum(amount_paid) {_over(24)}, 4) AS amt_sum_24h,
+       round(sum(amount_paid) {_over(48)}, 4) AS amt_sum_48h,
+       CAST(sum(is_cross_currency) {_over(24)} AS BIGINT) AS cross_ccy_cnt_24h,
+       CAST(sum(is_high_risk_format) {_over(24)} AS BIGINT) AS high_risk_cnt_24h
+    FROM payments""",
+)
+
 ORACLE: dict[str, str] = {
     "landing_transactions": _with([TXNS], "SELECT * EXCLUDE (event_key, l_orderkey) FROM txns"),
     "landing_accounts": _with([ACCOUNTS], "SELECT * FROM accounts"),
@@ -424,16 +435,7 @@ ORACLE: dict[str, str] = {
             for m in ("pr_auc", "roc_auc", "base_rate", "recall_at_k")
         ),
     ),
-    "velocity": _with(
-        [PAYMENTS],
-        f"""SELECT event_id, account_id, event_ts, amount_paid,
-           count(amount_paid) {_over(1)} AS txn_count_1h, count(amount_paid) {_over(24)} AS txn_count_24h,
-           round(sum(amount_paid) {_over(24)}, 4) AS amt_sum_24h,
-           round(sum(amount_paid) {_over(48)}, 4) AS amt_sum_48h,
-           CAST(sum(is_cross_currency) {_over(24)} AS BIGINT) AS cross_ccy_cnt_24h,
-           CAST(sum(is_high_risk_format) {_over(24)} AS BIGINT) AS high_risk_cnt_24h
-    FROM payments""",
-    ),
+    "velocity": VELOCITY,
     "velocity_distinct": _with(
         [PAYMENTS],
         f"""SELECT event_id, account_id, event_ts, receiver_bank, receiver_account_id,
@@ -473,6 +475,7 @@ ORACLE: dict[str, str] = {
           FROM payments) aged
     WHERE age < 48 GROUP BY account_id""",
     ),
+    "stream_event_features": VELOCITY,
     "stream_latest": _with(
         [PAYMENTS],
         """SELECT * FROM payments

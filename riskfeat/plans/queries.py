@@ -331,6 +331,18 @@ def stream_hour_tiles(t: Tables) -> DataFrame:
     return _plain_tiles(_stream_tiles(t))
 
 
+def stream_event_features(t: Tables) -> DataFrame:
+    path = scratch_dir(t.spark, "event-features")
+    stream = t.payment_stream().drop("receiver_bank", "receiver_account_id")
+    velocity.start_event_features(
+        stream, path, features=ADDITIVE, trigger={"availableNow": True}
+    ).awaitTermination()
+    written = velocity.read_event_features(t.spark, path)
+    return _rounded(
+        written.drop("is_cross_currency", "is_high_risk_format"), 4, "amt_sum_24h", "amt_sum_48h"
+    )
+
+
 def _stream_features(t: Tables, features: list[rolling.Feature]) -> DataFrame:
     tiles = _stream_tiles(t)
     newest = tiles.agg(F.max("hour").alias("hour")).select("hour").scalar()
@@ -432,6 +444,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "stream_hour_tiles": stream_hour_tiles,
     "stream_velocity": stream_velocity,
     "stream_velocity_distinct": lambda t: _stream_features(t, DISTINCT),
+    "stream_event_features": stream_event_features,
     "stream_latest": stream_latest,
     "train_scores": train_scores,
     "monotone_scores": monotone_scores,

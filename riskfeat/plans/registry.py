@@ -85,7 +85,7 @@ class Registry:
         """One run; a run of the same name is replaced."""
         row = [(run, {k: str(v) for k, v in params.items()}, {k: float(v) for k, v in metrics.items()})]
         schema = "run string, params map<string,string>, metrics map<string,double>"
-        write_partitioned(self.spark.createDataFrame(row, schema), f"{self.root}/runs", "run")
+        write_partitioned(self.spark.createDataFrame(row, schema), f"{self.root}/runs", ["run"])
 
     def runs(self) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/runs")

@@ -94,12 +94,12 @@ def read_version(spark: SparkSession, root: str, name: str, version: int | None
     return spark.read.parquet(f"{root}/{name}/v={version or current_version(spark, root, name)}")
 
 
-def write_partitioned(df: DataFrame, path: str, column: str) -> None:
+def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
     """Replace only the partitions that occur in ``df``, so a rerun leaves the same rows."""
     (
         df.write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(column)
+        .partitionBy(*columns)
         .parquet(path)
     )
 
@@ -109,4 +109,4 @@ def write_predictions(df: DataFrame, path: str, as_of: str) -> None:
     stamped = df.withColumn("scored_at", F.lit(as_of).cast("timestamp_ntz")).withColumn(
         "event_date", F.to_date("event_ts")
     )
-    write_partitioned(stamped, path, "event_date")
+    write_partitioned(stamped, path, ["event_date"])

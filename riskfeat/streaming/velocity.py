@@ -6,14 +6,27 @@ Readers take the newest row per key, so replays and restarts leave the same resu
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from riskfeat.operators.joins import latest_by_key
-from riskfeat.operators.rolling import VELOCITY_FEATURES, Feature, hour_tiles, merge_tiles
-from riskfeat.sources.files import current_version, read_table, read_version, write_version
+from riskfeat.operators.rolling import (
+    VELOCITY_FEATURES,
+    Feature,
+    hour_tiles,
+    merge_tiles,
+    rolling_features,
+)
+from riskfeat.sources.files import (
+    current_version,
+    read_table,
+    read_version,
+    write_partitioned,
+    write_version,
+)
 
 WATERMARK = "48 hours"
 
@@ -136,3 +149,55 @@ def compact_tiles(spark: SparkSession, path: str, key: str = "account_id") -> No
 
 def compact_latest(spark: SparkSession, path: str, key: str, ts: str) -> None:
     _compact(spark, path, lambda df: latest_by_key(df.drop("batch"), key, ts))
+
+
+def start_event_features(
+    stream: DataFrame,
+    path: str,
+    key: str = "account_id",
+    ts: str = "event_ts",
+    features: Sequence[Feature] = VELOCITY_FEATURES,
+    trigger: dict | None = None,
+) -> StreamingQuery:
+    """Give every event its exact rolling features as it arrives.
+
+    A batch is put beside the events of earlier batches that its windows still reach,
+    and goes through the same function as a table would. An event that arrives late
+    gets its features from all that has arrived; what was written before it stays.
+    """
+    longest = dt.timedelta(hours=max(f.hours for f in features))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        spark = batch.sparkSession
+        # One folder per batch within a date, so a replay replaces its own rows only.
+        write_partitioned(
+            batch.withColumn("event_date", F.to_date(ts)).withColumn("batch", F.lit(batch_id)),
+            f"{path}/events",
+            ["event_date", "batch"],
+        )
+        stored = read_table(spark, f"{path}/events")
+        if stored is None:
+            return
+        kept = stored.where(F.col("batch") <= batch_id)
+        new = F.col("batch") == batch_id
+        first = kept.where(new).agg(F.min(ts).alias("ts")).first()["ts"]
+        recent = kept.where(new)
+        if first is not None:
+            reach = first - longest
+            recent = kept.where(new | (F.col("event_date") >= F.lit(reach.date()))).where(
+                new | (F.col(ts) >= F.lit(reach))
+            )
+        rolled = rolling_features(recent, key, ts, features).where(new).drop("event_date", "batch")
+        rolled.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
+
+    return (
+        stream.writeStream.outputMode("append")
+        .foreachBatch(write)
+        .option("checkpointLocation", f"{path}/checkpoint")
+        .trigger(**(trigger or {"processingTime": "1 minute"}))
+        .start()
+    )
+
+
+def read_event_features(spark: SparkSession, path: str) -> DataFrame:
+    return _batches(spark, path).drop("batch")

@@ -152,6 +152,31 @@ def test_compacted_latest_rows(spark, folders, rows):
     assert rows(latest, "account_id", "amount_paid") == [("a", 1.0), ("b", 3.0)]
 
 
+def test_event_features_equal_the_batch_ones_whatever_the_batches(spark, folders, rows):
+    source, target = folders
+    specs = [("a", i * 90, i) for i in range(40)] + [("b", i * 400, 1) for i in range(9)]
+    specs.sort(key=lambda s: s[1])
+    for start in range(0, len(specs), 13):
+        streams.land_events(events(spark, specs[start : start + 13]).coalesce(1), source)
+        velocity.start_event_features(
+            streams.read_event_stream(spark, source, 1), target, trigger=DRAIN
+        ).awaitTermination()
+    whole = rolling.rolling_features(events(spark, specs), "account_id", "event_ts")
+    got = velocity.read_event_features(spark, target)
+    assert rows(got, *whole.columns) == rows(whole)
+
+
+def test_a_late_event_counts_what_has_arrived(spark, folders, rows):
+    source, target = folders
+    for batch in ([("a", 60, 1)], [("a", 30, 5)]):
+        streams.land_events(events(spark, batch).coalesce(1), source)
+        velocity.start_event_features(
+            streams.read_event_stream(spark, source), target, trigger=DRAIN
+        ).awaitTermination()
+    got = velocity.read_event_features(spark, target)
+    assert rows(got, "amount_paid", "txn_count_1h") == [(1.0, 1), (5.0, 1)]
+
+
 def test_reading_before_the_first_batch_fails_clearly(spark, folders):
     with pytest.raises(FileNotFoundError):
         velocity.read_tiles(spark, folders[1])
