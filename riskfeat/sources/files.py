@@ -52,6 +52,12 @@ def read_table(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Spread rows read from fewer file splits than there are cores; else ``df`` as it is."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores, *key)
+
+
 def staged(df: DataFrame, purpose: str) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back: a short plan over a
     plain scan for jobs that pass over the same rows several times."""

@@ -8,6 +8,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskfeat.schemas import TXN_TIMESTAMP_FORMAT
+from riskfeat.sources.files import spread
 
 CUTOFF = "2001-07-01"
 
@@ -39,7 +40,7 @@ def transactions(spark: SparkSession, sf_dir: str) -> DataFrame:
     payee_region = nation.select(
         F.col("n_nationkey").alias("s_nationkey"), F.col("n_regionkey").alias("s_regionkey")
     )
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(table(spark, sf_dir, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
     supplier = table(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
