@@ -151,11 +151,11 @@ CURATED = [TXNS, ACCOUNTS, BANKS, OWNERS, EVENTS]
 WITH_HISTORY = [*CURATED, HISTORY]
 WITH_ABT = [*WITH_HISTORY, THRESHOLDS, ABT]
 
-PROFILE_COLUMNS = """hist_txn_count, round(hist_avg_amount, 4) AS hist_avg_amount,
-    round(hist_std_amount, 4) AS hist_std_amount, hist_max_amount, hist_distinct_receivers,
+PROFILE_COLUMNS = """hist_txn_count, round(round(hist_avg_amount, 8), 4) AS hist_avg_amount,
+    round(round(hist_std_amount, 8), 4) AS hist_std_amount, hist_max_amount, hist_distinct_receivers,
     hist_distinct_receiver_banks, hist_distinct_countries,
-    round(hist_foreign_ccy_share, 4) AS hist_foreign_ccy_share,
-    round(hist_high_risk_share, 4) AS hist_high_risk_share"""
+    round(round(hist_foreign_ccy_share, 8), 4) AS hist_foreign_ccy_share,
+    round(round(hist_high_risk_share, 8), 4) AS hist_high_risk_share"""
 
 
 def _with(parts: list[str], select: str) -> str:
@@ -236,7 +236,7 @@ def _score_matrix() -> str:
         *S.RISK_FEATURES,
         *[S.ONE_HOT_PREFIX + c for c in codes],
     ]
-    features = ", ".join(f"round({_feature(n)}, 4) AS {n}" for n in names)
+    features = ", ".join(f"round(round({_feature(n)}, 8), 4) AS {n}" for n in names)
     return _with(
         [*WITH_ABT, RISK],
         f"""SELECT a.event_key, a.is_laundering, {features} FROM abt a
@@ -342,14 +342,14 @@ ORACLE: dict[str, str] = {
     "account_profile": _with(WITH_HISTORY, f"SELECT account_id, {PROFILE_COLUMNS} FROM stats"),
     "account_risk": _with(
         [*WITH_HISTORY, RISK],
-        """SELECT account_id, round(hist_amount_cv, 4) AS hist_amount_cv,
-           round(hist_receiver_fanout, 4) AS hist_receiver_fanout FROM risk""",
+        """SELECT account_id, round(round(hist_amount_cv, 8), 4) AS hist_amount_cv,
+           round(round(hist_receiver_fanout, 8), 4) AS hist_receiver_fanout FROM risk""",
     ),
     "training_set": _with(
         [*WITH_ABT, RISK],
         f"""SELECT a.event_key, a.account_id, a.event_ts, a.split, a.is_laundering, {PROFILE_COLUMNS},
-           round(r.hist_amount_cv, 4) AS hist_amount_cv,
-           round(r.hist_receiver_fanout, 4) AS hist_receiver_fanout
+           round(round(r.hist_amount_cv, 8), 4) AS hist_amount_cv,
+           round(round(r.hist_receiver_fanout, 8), 4) AS hist_receiver_fanout
     FROM abt a LEFT JOIN stats h ON a.account_id = h.account_id
     LEFT JOIN risk r ON a.account_id = r.account_id""",
     ),
