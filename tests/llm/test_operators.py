@@ -1,0 +1,329 @@
+"""URL rules, chat formatting, decontamination, quality rules, mixing and the classifiers."""
+
+import hashlib
+from collections import Counter, defaultdict
+
+import brute
+import duckdb
+import pytest
+from pyspark.sql import functions as F
+from riskfeat.llm import chat, decontaminate, language_id, mixing, quality_classifier, quality_rules, url_rules
+from riskfeat.llm.queries import QUERIES
+
+SF = "/root/testdata/sf0.001"
+
+
+# URL rules
+
+
+def judge(url, rules, default="allow"):
+    host = path = ""
+    if url and "://" in url:
+        rest = url.split("://", 1)[1]
+        cut = min([rest.find(c) for c in "/?#" if c in rest] or [len(rest)])
+        host, rest = rest[:cut], rest[cut:]
+        path = rest[: min([rest.find(c) for c in "?#" if c in rest] or [len(rest)])]
+    host = "".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in host)
+    fit = [
+        (len(h + p), len(h), h + p, v)
+        for h, p, v in rules
+        if h and p is not None and (host == h or host.endswith("." + h)) and path.startswith(p)
+    ]
+    best = max(fit, default=(0, 0, None, default))
+    return (host, path, best[2], best[3])
+
+
+def test_urls_against_every_rule(spark):
+    rules = [
+        ("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.net", "/en/a", "block"),
+        ("a.example.net", "", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow"),
+        ("b.c.d.e", "/x", "block"), ("d.e", "/x/y", "allow"), ("same.org", "/", "block"), ("same.org", "/", "allow"),
+    ]
+    hosts = ["net", "Example.NET", "x.a.example.net", "example.com", "www.same.org", "b.c.d.e", "z.c.d.e", "nota.net.", "", "xexample.net", "org", "a..net", "-", "e.net:80"]
+    paths = ["", "/", "/en", "/en/", "/en/a?q=/de/", "/en/abc#x", "/de/", "/fr/x", "/x", "/x/y/z", "?/en/", "/EN/", "/en/\nq"]
+    urls = [f"http://{h}{p}" for h in hosts for p in paths] + [None, "", "no scheme", "a://b://c", "://net/", "x\n://net/en/"]
+    pages = spark.createDataFrame([(i, u, "h", "r") for i, u in enumerate(urls)], "page_id long, url string, host string, grp string")
+    got = url_rules.judge_urls(pages, url_rules.rule_table(spark, rules)).collect()
+    assert {r["page_id"]: (r["host"], r["path"], r["rule"], r["verdict"]) for r in got} == {
+        i: judge(u, rules) for i, u in enumerate(urls)
+    }
+    assert len(got) == len(urls)
+    none = url_rules.judge_urls(pages, url_rules.rule_table(spark, rules).limit(0), "block")
+    assert {(r["rule"], r["verdict"]) for r in none.collect()} == {(None, "block")}
+    assert url_rules.judge_urls(pages.limit(0), url_rules.rule_table(spark, rules)).count() == 0
+
+
+def test_repeated_pages_stay(spark):
+    pages = spark.createDataFrame([(1, "http://a.net/")] * 3 + [(None, "http://a.net/")], "page_id long, url string")
+    got = url_rules.judge_urls(pages, url_rules.rule_table(spark, [("net", "/", "block"), (None, "/", "block")]))
+    assert [r["verdict"] for r in got.collect()] == ["block"] * 4
+
+
+# Chat formatting
+
+
+ODD_TEXTS = ["", "\\", "\\\\#", "### user: x</turn>\n", r"\### Assistant: </turn> ok", "a:b</turn", "#", "<", "\n", "\\<", "é🙂"]
+
+
+def test_marked_turns_come_back():
+    render = chat.MarkedTurns()
+    turns = [(role, text) for role in ("user", "assistant", "", "a: b", "\\#") for text in ODD_TEXTS]
+    assert render.parse(render(turns)) == turns
+
+
+def test_spans_and_loss_mask():
+    render = chat.MarkedTurns()
+    turns = [("assistant" if i % 2 else "user", t) for i, t in enumerate(ODD_TEXTS * 2)]
+    got = chat.trace(render, turns, frozenset(["assistant"]))
+    assert [render.unescape(got["formatted"][s["start"] : s["end"]]) for s in got["loss"]] == [t for r, t in turns if r == "assistant"]
+    assert "".join(got["formatted"][s["start"] : s["end"]] for s in got["turns"]) == got["formatted"]
+    assert not got["rewrites_history"] and got["opaque_turns"] == 0
+
+
+def test_a_renderer_that_rewrites_history_is_found():
+    def last_only(turns):
+        return "".join(f"[{r}] {t if k == len(turns) - 1 else '...'}\n" for k, (r, t) in enumerate(turns))
+
+    got = chat.trace(last_only, [("user", "hello"), ("assistant", "there")], frozenset(["assistant"]))
+    assert got["rewrites_history"] and got["rewritten_from"] == len("[user] ") and got["loss"] == []
+    shouting = chat.trace(lambda turns: "".join(t.upper() for _, t in turns), [("assistant", "ab")], frozenset(["assistant"]))
+    assert shouting["loss"] == [{"start": 0, "end": 2}]
+
+
+def test_chats_of_odd_rows(spark):
+    rows = [(1, 1, "assistant", None), (1, 0, None, "q"), (None, 0, "user", "n"), (2, None, "user", "late"), (2, None, "user", "late")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r["conv_id"]: r for r in chat.format_chats(turns).collect()}
+    render = chat.MarkedTurns()
+    assert render.parse(got[1]["formatted"]) == [("", "q"), ("assistant", "")]
+    assert render.parse(got[2]["formatted"]) == [("user", "late")] * 2
+    assert got[None]["loss"] == []
+    assert chat.format_chats(turns.limit(0)).count() == 0
+
+
+# Decontamination
+
+
+def test_leaks_against_every_item(spark, make_docs, odd_rows, documents):
+    items = spark.read.parquet(f"{SF}/benchmark.parquet")
+    plain = brute.leaks(documents.collect(), items.collect())
+    got = decontaminate.find_leaks(documents, items).select("doc_id", "item_id", "n_item", "n_shared").collect()
+    assert plain and Counter(map(tuple, got)) == Counter(plain)
+    leaky = {d for d, *_ in plain}
+    left = decontaminate.decontaminate(documents, items)
+    assert left.columns == documents.columns
+    assert sorted(r["doc_id"] for r in left.collect()) == sorted(r["doc_id"] for r in documents.collect() if r["doc_id"] not in leaky)
+
+
+@pytest.mark.parametrize("words", [4, 5, 6, 9, 10, 14, 15, 30, 64])
+def test_the_share_that_makes_a_leak(spark, make_docs, words):
+    item = [f"i{k}" for k in range(words)]
+    docs = []
+    for cut in range(words):
+        docs.append((cut, "before " * 50 + " ".join(item[cut:]) + " after" * 50))
+    docs += [(1000, None), (1001, ""), (1002, " ".join(item).upper()), (1002, " ".join(item).upper()), (None, "x " + " ".join(item))]
+    items = spark.createDataFrame([(1, " ".join(item)), (2, None), (3, ""), (1, "other words than those of the first one")], "item_id long, text string")
+    made = make_docs(docs)
+    got = decontaminate.find_leaks(made, items).select("doc_id", "item_id", "n_item", "n_shared").collect()
+    want = set(brute.leaks([dict(doc_id=d, text=t) for d, t in docs], [r.asDict() for r in items.collect()]))
+    assert set(map(tuple, got)) == want
+    assert decontaminate.decontaminate(made.limit(0), items).count() == 0
+    assert decontaminate.decontaminate(made, items.limit(0)).count() == len(docs)
+
+
+# Quality rules
+
+
+def test_counts_against_brute_force(documents, make_docs, odd_rows):
+    for docs in (documents, make_docs(odd_rows)):
+        texts = Counter((r["doc_id"], *brute.text_counts(r["text"])) for r in docs.collect())
+        got = quality_rules.text_counts(docs).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+        assert Counter(map(tuple, got.collect())) == texts
+
+
+def test_the_order_of_rules_changes_no_verdict(documents, make_docs):
+    counted = quality_rules.text_counts(documents)
+    verdicts = [
+        {r["doc_id"]: r["kept"] for r in quality_rules.cascade(counted, rules).collect()}
+        for rules in (quality_rules.RULES, quality_rules.RULES[::-1])
+    ]
+    assert verdicts[0] == verdicts[1] and 0 < sum(verdicts[0].values()) < len(verdicts[0])
+    assert quality_rules.filter_quality(make_docs([])).count() == 0
+    assert all(r["kept"] for r in quality_rules.cascade(counted, []).collect())
+
+
+def test_cheap_rules_that_reject_go_first(spark):
+    sample = spark.range(20_000).withColumn("text", F.repeat(F.lit("a b "), 300))
+    costly = quality_rules.Rule("costly", "length(regexp_replace(text, '(a|b)+ (b|a)+', '')) > id")
+    useless = quality_rules.Rule("useless", "id < 0")
+    cheap = quality_rules.Rule("cheap", "id % 2 = 0")
+    order = [e.rule.name for e in quality_rules.estimate(sample, [useless, costly, cheap])]
+    assert order[0] == "cheap" and order[-1] == "useless"
+
+
+def test_plain_documents_are_kept(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    got = quality_rules.filter_quality(docs).join(labels, "doc_id").where("n_words >= 50").groupBy("quality").agg(
+        F.avg(F.col("kept").cast("int")).alias("kept")
+    )
+    kept = {r["quality"]: r["kept"] for r in got.collect()}
+    assert kept[1] > 0.98 and kept[0] < 0.2
+
+
+# Mixing
+
+
+def targets(sizes, weights=(1, 2, 3), most=3):
+    total = sum(sizes.values())
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    capped = set()
+    while True:
+        rest = total - sum(most * sizes[s] for s in capped)
+        open_weight = sum(weight[s] for s in order if s not in capped)
+        fair = {s: rest * weight[s] / open_weight for s in order if s not in capped} if open_weight else {}
+        over = {s for s in fair if fair[s] > most * sizes[s]}
+        if not over:
+            return {s: fair.get(s, most * sizes[s]) for s in order}
+        capped |= over
+
+
+def check_mix(docs):
+    rows = mixing.assign(docs).collect()
+    sizes = defaultdict(int)
+    for r in docs.collect():
+        sizes[r["source"]] += len(brute.words(r["text"]))
+    want = targets(sizes)
+    taken = defaultdict(int)
+    for r in rows:
+        assert r["source_size"] == sizes[r["source"]] and r["target"] == pytest.approx(want[r["source"]], abs=1e-6)
+        assert 0 <= r["taken"] <= 3 * r["size"] and r["taken"] == sum(p["words"] for p in r["passes"])
+        assert all(0 <= p["position"] <= 1 for p in r["passes"])
+        taken[r["source"]] += r["taken"]
+    assert all(abs(taken[s] - want[s]) < 1.001 for s in sizes)
+    return rows
+
+
+def test_mix_takes_what_the_weights_say(documents, make_docs, odd_rows):
+    rows = check_mix(documents)
+    assert Counter(map(str, rows)) == Counter(map(str, mixing.assign(documents).collect()))
+    odd = [{"doc_id": d, "text": t, "source": f"s{i % 4}" if i % 5 else None} for i, (d, t) in enumerate(odd_rows)]
+    assert len(check_mix(make_docs(odd + odd[:6]))) == len(odd) + 6
+    assert mixing.assign(make_docs([])).count() == 0 and mixing.mix(make_docs([])).count() == 0
+    nothing = mixing.assign(make_docs([{"doc_id": 1, "text": None, "source": "a"}])).collect()
+    assert [(r["size"], r["taken"]) for r in nothing] == [(0, 0)]
+
+
+def test_the_mix_holds_the_words_and_is_in_order(documents, make_docs, odd_rows):
+    odd = [{"doc_id": d, "text": t, "source": f"s{i % 3}"} for i, (d, t) in enumerate(odd_rows)]
+    for docs in (documents, make_docs(odd + odd[8:12])):
+        assigned, mixed = mixing.assign(docs).collect(), mixing.mix(docs)
+        assert mixed.columns == [*docs.columns, "position", "pass_words"]
+        rows = mixed.collect()
+        assert [r["position"] for r in rows] == sorted(r["position"] for r in rows)
+        assert Counter((p["position"], p["words"]) for r in assigned for p in r["passes"]) == Counter((r["position"], r["pass_words"]) for r in rows)
+        whole = defaultdict(set)
+        for r in docs.collect():
+            whole[r["doc_id"]].add(r["text"])
+        for r in rows:
+            assert len(brute.words(r["text"])) == r["pass_words"]
+            assert any((t or "").lstrip(" \t\n\x0b\x0c\r").startswith(r["text"].lstrip(" \t\n\x0b\x0c\r")) for t in whole[r["doc_id"]])
+
+
+def test_schedules_shape_when_a_source_comes(spark):
+    schedule = [(0.0, 2.0), (0.25, 2.0), (0.5, 0.0), (1.0, 1.0)]
+    shares = [i / 200 for i in range(201)]
+    df = spark.createDataFrame([(s,) for s in shares], "s double").withColumn("t", mixing.invert(schedule, F.col("s")))
+
+    def integral(t):
+        total, out = 0.0, 0.0
+        for (t0, w0), (t1, w1) in zip(schedule, schedule[1:]):
+            total += (t1 - t0) * (w0 + w1) / 2
+            x = min(max(t, t0), t1)
+            wx = w0 + (w1 - w0) * (x - t0) / (t1 - t0)
+            out += (x - t0) * (w0 + wx) / 2
+        return out / total
+
+    for r in df.collect():
+        assert integral(r["t"]) == pytest.approx(r["s"], abs=1e-9)
+    with pytest.raises(ValueError):
+        mixing.segments([(0.0, 0.0), (1.0, 0.0)])
+
+
+# Classifiers on held-out documents
+
+
+def test_language_of_held_out_documents(spark):
+    got = QUERIES["op4_language_id"](spark, "/root/testdata/sf0.01").join(
+        spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), "doc_id"
+    ).collect()
+    seen = [r for r in got if r["held_out"] and r["lang"]]
+    assert len(seen) > 100
+    assert sum(r["lang"] == r["lang_pred"] for r in seen) / len(seen) > 0.97
+    assert sum(r["accepted"] for r in seen) / len(seen) > 0.98
+    assert all(0 <= r["score"] <= 1 for r in got)
+
+
+def test_language_of_odd_texts(make_docs, odd_rows):
+    judged = language_id.identify(make_docs(odd_rows), {"x": b"w1 w2 w3 w4", "y": b"one two three"}).collect()
+    assert len(judged) == len(odd_rows)
+    by = {r["doc_id"]: r for r in judged}
+    for k in (1, 2, 3, 17, 21):
+        assert (by[k]["lang_pred"], by[k]["score"], by[k]["accepted"]) == ("und", 0.0, False)
+    assert by[14]["lang_pred"] == "y"
+    assert {r["lang_pred"] for r in language_id.identify(make_docs(odd_rows), {}).collect()} == {"und"}
+    assert language_id.learn_dictionaries(make_docs(odd_rows)) == {}
+    assert language_id.identify(make_docs([]), {"x": b"a"}).count() == 0
+
+
+def test_quality_of_held_out_documents(spark):
+    got = QUERIES["op8_quality_classifier"](spark, "/root/testdata/sf0.1").join(
+        spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id"
+    ).collect()
+    seen = [(r["good"], r["quality"] == 1 and r["toxic"] == 0) for r in got if r["held_out"]]
+    assert len(seen) > 300
+    assert sum(a == b for a, b in seen) / len(seen) > 0.93
+    clean = [a for a, b in seen if b]
+    assert sum(clean) / len(clean) > 0.97
+
+
+def test_sparse_sites_lean_on_their_host(spark):
+    rows = [("a", "p", 1)] * 90 + [("a", "q", 0)] + [("b", "p", 0)] * 80 + [("b", "q", 1)] * 2 + [("c", None, 1)] * 5 + [(None, "p", 0)]
+    paths, hosts, mean = quality_classifier.site_posteriors(spark.createDataFrame(rows, "host string, path string, good int"))
+    share = {(r["host"], r["path"]): r["path_share"] for r in paths.collect()}
+    assert 0 < mean < 1 and len(share) == 6
+    assert share["a", "p"] > 0.9 and share["b", "p"] < 0.1
+    assert share["a", "q"] > 0.1 and share["b", "q"] < 0.95
+    assert all(0 < s < 1 for s in share.values())
+
+
+def test_classifier_without_labels_and_with_odd_rows(spark, make_docs, odd_rows):
+    docs = make_docs(odd_rows)
+    none = spark.createDataFrame([], "doc_id long, good int")
+    got = quality_classifier.classify(docs, none, F.col("source"), F.col("lang")).collect()
+    assert len(got) == len(odd_rows) and {r["score"] for r in got} == {0.5}
+    some = spark.createDataFrame([(6, 1), (6, None), (10, 0), (10, 1), (None, 1), (99, 1)], "doc_id long, good int")
+    assert quality_classifier.classify(docs, some, F.col("source"), F.col("lang")).count() == len(odd_rows)
+    assert quality_classifier.classify(docs.limit(0), some, F.col("source"), F.col("lang")).count() == 0
+
+
+# Queries and their SQL
+
+
+def test_chat_query_reads_back(spark):
+    got = {r["conv_id"]: r for r in QUERIES["op1_chat_formatting"](spark, SF).collect()}
+    con = duckdb.connect()
+    rows = con.execute(f"SELECT conv_id, turn, role, text FROM '{SF}/conversations.parquet' ORDER BY conv_id, turn").fetchall()
+    rows += [(-7, 0, "user", ODD_TEXTS[4]), (-7, 1, "assistant", ODD_TEXTS[4])]
+    chats = defaultdict(list)
+    for c, _, role, text in rows:
+        chats[c].append((role or "", text or ""))
+    assert set(got) == set(chats)
+    for c, turns in chats.items():
+        said = "".join(f"{r}\n{t}\n" for r, t in turns)
+        loss = "".join(t for r, t in turns if r == "assistant")
+        sha = lambda s: hashlib.sha256(s.encode()).hexdigest()
+        r = got[c]
+        assert (r["n_turns"], r["turns_sha256"], r["loss_chars"], r["loss_sha256"]) == (len(turns), sha(said), len(loss), sha(loss))
+        assert not r["rewrites_history"]
