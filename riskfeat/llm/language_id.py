@@ -7,6 +7,7 @@ smallest are too close the text is rejected.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import pandas as pd
@@ -17,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
 UNKNOWN = "und"
+NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: Bytes of a dictionary, and how many labelled texts are sampled for it.
 DICTIONARY_BYTES = 48 * 1024
 SAMPLE_TEXTS = 64
@@ -24,7 +26,20 @@ SAMPLE_TEXTS = 64
 MAX_LANGUAGES = 512
 #: A text is compressed in blocks so that dictionaries count through its whole length.
 BLOCK_BYTES = 2048
-LEVEL = 3
+#: Stands before each block: a block that shrinks anyway shows even a single match.
+CARRIER = b" " * 64
+SEARCH = {
+    "window_log": 17,
+    "chain_log": 16,
+    "hash_log": 16,
+    "search_log": 4,
+    "min_match": 4,
+    "target_length": 8,
+    "strategy": zstandard.STRATEGY_GREEDY,
+    "write_content_size": 0,
+    "write_checksum": 0,
+    "write_dict_id": 0,
+}
 #: Least share by which the best language must beat the second.
 MARGIN = 0.004
 
@@ -57,11 +72,16 @@ def learn_dictionaries(
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
     return {
-        row["lang"]: "\n".join(p["piece"] for p in row["pieces"]).encode()[:dictionary_bytes]
+        row["lang"]: " ".join(plain(p["piece"]) for p in row["pieces"]).encode()[:dictionary_bytes]
         for row in sorted(rows, key=lambda r: r["lang"])
     }
 
 
+def plain(text: str) -> str:
+    """Small letters, and one space for everything between letters."""
+    return NOT_LETTERS.sub(" ", text).lower()
+
+
 class Compressors:
     """One compressor per language."""
 
@@ -70,23 +90,20 @@ class Compressors:
     def __init__(self, dictionaries: dict[str, bytes]):
         self.languages = list(dictionaries)
         self.compressors = []
+        search = zstandard.ZstdCompressionParameters(**SEARCH)
         for content in dictionaries.values():
             shared = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-            shared.precompute_compress(level=LEVEL)
-            self.compressors.append(
-                zstandard.ZstdCompressor(
-                    dict_data=shared, write_content_size=False, write_checksum=False, write_dict_id=False
-                )
-            )
+            shared.precompute_compress(compression_params=search)
+            self.compressors.append(zstandard.ZstdCompressor(dict_data=shared, compression_params=search))
 
     def judge(self, text: str | None, margin: float) -> tuple[str, float, bool]:
         """(language, score, accepted). The score is how far ahead of the second the best is."""
         if not text or not self.languages or not self.letter.search(text):
             return UNKNOWN, 0.0, False
-        data = text.encode("utf-8", "replace")
+        data = plain(text).encode("utf-8", "replace")
         blocks = [data[i : i + BLOCK_BYTES] for i in range(0, len(data), BLOCK_BYTES)]
         sizes = sorted(
-            (sum(len(c.compress(b)) for b in blocks), language)
+            (sum(len(c.compress(CARRIER + b)) for b in blocks), language)
             for language, c in zip(self.languages, self.compressors)
         )
         if len(sizes) == 1:
