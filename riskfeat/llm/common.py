@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from contextlib import contextmanager
 
@@ -14,6 +15,7 @@ BLANKS = " \t\n\x0b\x0c\r"
 BLANK_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
+NOT_LETTERS = re.compile(r"[\W\d_]+")
 SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
@@ -25,6 +27,11 @@ def words(text: Column) -> Column:
     ).otherwise(F.split(trimmed, BLANK_RUN))
 
 
+def plain(text: str) -> str:
+    """Small letters, and one space for everything between letters; for use inside tasks."""
+    return NOT_LETTERS.sub(" ", text).lower()
+
+
 def n_words(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 

@@ -7,18 +7,17 @@ smallest are too close the text is rejected.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
-import pandas as pd
 import pyarrow as pa
 import regex
 import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
+from riskfeat.llm.common import plain
+
 UNKNOWN = "und"
-NOT_LETTERS = re.compile(r"[\W\d_]+")
 #: Bytes of a dictionary, and how many labelled texts are sampled for it.
 DICTIONARY_BYTES = 48 * 1024
 SAMPLE_TEXTS = 64
@@ -77,11 +76,6 @@ def learn_dictionaries(
     }
 
 
-def plain(text: str) -> str:
-    """Small letters, and one space for everything between letters."""
-    return NOT_LETTERS.sub(" ", text).lower()
-
-
 class Compressors:
     """One compressor per language."""
 
@@ -146,8 +140,3 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], margin: float = MA
             yield from out.to_batches()
 
     return docs.mapInArrow(judged, schema)
-
-
-def language_report(docs: DataFrame) -> pd.DataFrame:
-    """Documents per true and predicted language; one row per pair of languages."""
-    return docs.groupBy("lang", "lang_pred", "accepted").count().orderBy("lang", "lang_pred").toPandas()

@@ -136,9 +136,10 @@ def _sharers(stages: Stages, nodes: DataFrame, similar: int) -> DataFrame:
 
 
 def _rare_prefixes(full: DataFrame, similar: int) -> DataFrame:
-    """(token, node, n, own) for the rarest-first prefixes; ``own`` tokens occur in this node alone.
+    """(token, node, n, own, at) for the rarest-first prefixes; ``own`` tokens occur in this node alone.
 
     Tokens of one document come first in the order and match nothing, so they only use up places.
+    ``at`` is a token's place in the whole order, from 0.
     """
     postings = full.select("node", "n", F.explode("tokens").alias("token"))
     common = postings.groupBy("token").agg(F.count(F.lit(1)).alias("df")).where("df > 1")
@@ -150,14 +151,18 @@ def _rare_prefixes(full: DataFrame, similar: int) -> DataFrame:
     )
     places = F.col("n") - _share(F.col("n"), similar) + 1 - F.col("own")
     return ranked.where(places > 0).select(
-        F.explode(F.slice("common", F.lit(1), places.cast("int"))["token"]).alias("token"), "node", "n", "own"
-    )
+        F.posexplode(F.slice("common", F.lit(1), places.cast("int"))["token"]).alias("at", "token"), "node", "n", "own"
+    ).withColumn("at", F.col("own") + F.col("at"))
 
 
 def _may_link(x: str, y: str, similar: int) -> Column:
-    """Sizes, less the tokens that nobody shares, allow the similarity."""
+    """Sizes allow the similarity, if this token is the first that the two share.
+
+    Then only it and what comes after it in both can be shared. For a pair that links this holds at its first
+    shared token, which is all it needs to become a candidate.
+    """
     n, m = F.col(f"{x}n"), F.col(f"{y}n")
-    most = F.least(n - F.col(f"{x}own"), m - F.col(f"{y}own"))
+    most = F.least(n - F.col(f"{x}at"), m - F.col(f"{y}at"))
     return (100 * F.least(n, m) >= similar * F.greatest(n, m)) & ((100 + similar) * most >= similar * (n + m))
 
 
@@ -169,12 +174,12 @@ def _hub_pairs(lists: DataFrame, turn: int, similar: int) -> DataFrame:
     """Every node of a list with the list's hub, where their components differ."""
     # The first hub is the node with the least of its own: the source of a group of edited copies.
     order = F.col("own") / F.col("n") if turn == 0 else F.lit(0.0)
-    hub = F.min(F.struct(order.alias("o"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "own", "comp"))
+    hub = F.min(F.struct(order.alias("o"), F.xxhash64("node", F.lit(turn)).alias("h"), "node", "n", "at", "comp"))
     hubs = (
         lists.groupBy("token")
         .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), hub.alias("hub"))
         .where("lo <> hi")
-        .select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "n", "own", "comp")])
+        .select("token", *[F.col(f"hub.{c}").alias(f"hub_{c}") for c in ("node", "n", "at", "comp")])
     )
     met = lists.join(hubs, "token").where(
         (F.col("comp") != F.col("hub_comp")) & _may_link("", "hub_", similar)

@@ -1,6 +1,6 @@
 """Quality classifier: text evidence combined with what is known of a document's site.
 
-A logistic model on hashed words and on the shape of a text gives each document its evidence, a log
+A logistic model on telling words and on the shape of a text gives each document its evidence, a log
 likelihood ratio. Sites form a hierarchy, host above path; labelled documents are counted per site,
 and each site's share of good ones is shrunk towards its host's, and a host's towards the
 global one, the more so the fewer labels it has. How strong the pull is comes from the spread
@@ -10,20 +10,23 @@ among the sites themselves. Evidence and site add up as log odds.
 from __future__ import annotations
 
 import math
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskfeat.llm.common import Stages
+from riskfeat.llm.common import Stages, plain
 
-WORD_BUCKETS = 1 << 15
+#: Words the model looks for: those that tell the classes apart best among the fitted texts.
+VOCABULARY = 512
+#: Fitted texts that a word must occur in.
+LEAST_TEXTS = 5
 #: Labelled texts on which the model is fitted, of each class; the bound on what the driver holds.
 FIT_TEXTS = 1500
-STEPS = 150
+STEPS = 400
 RATE = 0.05
 DECAY = 1e-4
 #: Evidence beyond this counts no more; no model is surer.
@@ -40,12 +43,11 @@ for _k, _chars in enumerate(
 SHAPES = 16
 
 
-def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
-    """Buckets of the distinct words, and numbers on the text's shape."""
-    data = (text or "").encode("utf-8", "replace")
-    found = data.lower().split()
+def features(text: str) -> tuple[set[str], np.ndarray]:
+    """The distinct words, and numbers on the text's shape."""
+    data = text.encode("utf-8", "replace")
+    found = plain(text).split()
     distinct = set(found)
-    buckets = np.fromiter((xxhash.xxh32_intdigest(w) for w in distinct), np.int64, len(distinct)) % WORD_BUCKETS
     kinds = np.bincount(_KIND, weights=np.bincount(np.frombuffer(data, np.uint8), minlength=256), minlength=10)
     lines = [x for x in data.split(b"\n") if x.strip()]
     n, size = max(1, len(found)), max(1, len(data))
@@ -60,48 +62,57 @@ def features(text: str | None) -> tuple[np.ndarray, np.ndarray]:
             1.0,
         ]
     )
-    return np.unique(buckets), shape
+    return distinct, shape
 
 
 @dataclass(frozen=True)
 class Model:
-    """Weights of word buckets and shapes, and the log odds of good among the fitted texts."""
+    """Weights of words and shapes, and the log odds of good among the fitted texts."""
 
-    words: np.ndarray
+    words: dict[str, float]
     shapes: np.ndarray
     prior: float
 
     def evidence(self, text: str | None) -> float:
         if not text or not text.strip():
             return 0.0
-        buckets, shape = features(text)
-        odds = self.words[buckets].sum() / math.sqrt(max(1, len(buckets))) + self.shapes @ shape
+        distinct, shape = features(text)
+        odds = sum(self.words[w] for w in self.words.keys() & distinct) + float(self.shapes @ shape)
         return float(np.clip(odds - self.prior, -MOST_EVIDENCE, MOST_EVIDENCE))
 
 
+def telling_words(texts: list[set[str]], good: np.ndarray) -> list[str]:
+    """The words whose presence differs most between the classes, by the chi-squared statistic."""
+    seen = Counter(w for words in texts for w in words)
+    seen_good = Counter(w for words, g in zip(texts, good) if g for w in words)
+    n, n_good = len(good), good.sum()
+
+    def chi2(word: str) -> float:
+        a, b = seen_good[word], seen[word] - seen_good[word]
+        c, d = n_good - a, n - n_good - b
+        return n * (a * d - b * c) ** 2 / max(1e-9, (a + b) * (c + d) * n_good * (n - n_good))
+
+    often = [w for w, k in seen.items() if k >= LEAST_TEXTS]
+    return sorted(often, key=lambda w: (-chi2(w), w))[:VOCABULARY]
+
+
 def fit(texts: list[str], good: np.ndarray) -> Model:
     """Logistic regression on a bounded sample, by full steps with momentum scaled per weight."""
     if not len(good) or good.all() or not good.any():
-        return Model(np.zeros(WORD_BUCKETS), np.zeros(SHAPES), 0.0)
+        return Model({}, np.zeros(SHAPES), 0.0)
     both = [features(t) for t in texts]
-    rows = np.repeat(np.arange(len(both)), [len(b) for b, _ in both])
-    columns = np.concatenate([b for b, _ in both])
-    scale = np.concatenate([np.full(len(b), 1 / math.sqrt(max(1, len(b)))) for b, _ in both])
-    shapes = np.stack([s for _, s in both])
-    w, v = np.zeros(WORD_BUCKETS), np.zeros(SHAPES)
-    moments = [np.zeros_like(w), np.zeros_like(v), np.zeros_like(w), np.zeros_like(v)]
+    vocabulary = telling_words([w for w, _ in both], good)
+    x = np.array([[*(w in words for w in vocabulary), *shape] for words, shape in both], float)
+    w, speed, scale = np.zeros(x.shape[1]), 0.0, 0.0
     for step in range(1, STEPS + 1):
-        odds = np.bincount(rows, weights=w[columns] * scale, minlength=len(good)) + shapes @ v
-        off = (1 / (1 + np.exp(-odds)) - good) / len(good)
-        slopes = (
-            np.bincount(columns, weights=off[rows] * scale, minlength=WORD_BUCKETS) + DECAY * w,
-            shapes.T @ off + DECAY * v,
-        )
-        for i, (weight, slope) in enumerate(zip((w, v), slopes)):
-            moments[i] = 0.9 * moments[i] + 0.1 * slope
-            moments[i + 2] = 0.99 * moments[i + 2] + 0.01 * slope * slope
-            weight -= RATE * (moments[i] / (1 - 0.9**step)) / (np.sqrt(moments[i + 2] / (1 - 0.99**step)) + 1e-8)
-    return Model(w, v, math.log(good.sum() / (len(good) - good.sum())))
+        slope = x.T @ (1 / (1 + np.exp(-(x @ w))) - good) / len(good) + DECAY * w
+        speed = 0.9 * speed + 0.1 * slope
+        scale = 0.99 * scale + 0.01 * slope * slope
+        w -= RATE * (speed / (1 - 0.9**step)) / (np.sqrt(scale / (1 - 0.99**step)) + 1e-8)
+    k = len(vocabulary)
+    return Model(
+        dict(zip(vocabulary, w[:k].tolist())), w[k:], math.log(good.sum() / (len(good) - good.sum()))
+    )
 
 
 def document_labels(labels: DataFrame) -> DataFrame:

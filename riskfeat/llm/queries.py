@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskfeat.llm import chat, decontaminate, language_id, line_dedup, mixing, ngram_join
 from riskfeat.llm import quality_classifier, quality_rules, substring_dedup, url_rules
+from riskfeat.llm.oracle import ORACLE as ORACLE
 
 #: Host, path and verdict of the rules that the query applies. Fixed values.
 URL_RULES = [
@@ -148,5 +149,3 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_substring_dedup,
     )
 }
-
-ORACLE: dict[str, str] = {}
