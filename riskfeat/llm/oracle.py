@@ -97,12 +97,12 @@ targets AS (
 ),
 placed AS (
     SELECT d.doc_id, d.size, t.s AS source_size, t.target, CAST(floor(t.target) AS BIGINT) AS wanted,
-        CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS at
+        CAST(sum(d.size) OVER (PARTITION BY d.source ORDER BY d.h ROWS UNBOUNDED PRECEDING) AS BIGINT) - d.size AS begins
     FROM sized d JOIN targets t ON d.source IS NOT DISTINCT FROM t.source
 )
 SELECT doc_id, size, source_size, target,
-    greatest(0, least(size, wanted - at)) + greatest(0, least(size, wanted - at - source_size))
-    + greatest(0, least(size, wanted - at - 2 * source_size)) AS taken
+    greatest(0, least(size, wanted - begins)) + greatest(0, least(size, wanted - begins - source_size))
+    + greatest(0, least(size, wanted - begins - 2 * source_size)) AS taken
 FROM placed
 """
 
@@ -151,12 +151,12 @@ shingles AS (
 ),
 sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
 pairs AS (
-    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS both FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
+    SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id
     GROUP BY a.doc_id, b.doc_id
 ),
 links AS (
     SELECT x, y FROM pairs JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
-    WHERE 100 * both >= 80 * (p.n + q.n - both)
+    WHERE 100 * shared >= 80 * (p.n + q.n - shared)
 ),
 reach(doc_id, other) AS (
     SELECT doc_id, doc_id FROM documents

@@ -49,7 +49,9 @@ def test_pipeline_against_brute_force(spark):
 
 @pytest.mark.parametrize("stage", corpus_pipeline.STAGES, ids=lambda s: s[0])
 def test_stages_take_odd_rows_and_empty_tables(stage, spark, make_docs, odd_rows):
-    docs = make_docs([{"doc_id": d, "text": t, "source": "s", "lang": "en"} for d, t in odd_rows])
+    docs = make_docs([{"doc_id": d, "text": t, "source": "s", "lang": "en"} for d, t in odd_rows]).withColumn(
+        "n_chars", F.length("text").cast("long")
+    )
     got = stage[1](spark, docs, "/root/testdata/sf0.001")
     assert set(docs.columns) <= set(got.columns) and got.count() > 0
     empty = spark.createDataFrame([], docs.schema)
