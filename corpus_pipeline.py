@@ -24,7 +24,7 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = line_dedup.dedup_lines(docs)
     return (
         kept.where("n_removed = 0 OR length(text) > 0")
-        .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text")).otherwise(F.col("n_chars")))
+        .withColumn("n_chars", F.when(F.col("n_removed") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars")))
         .select(docs.columns)
     )
 
