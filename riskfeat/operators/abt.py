@@ -41,17 +41,27 @@ def split_of(ts: Column, cuts: Column) -> Column:
     return F.when(ts <= p_train, "TRAIN").when(ts <= p_val, "VAL").otherwise("TEST")
 
 
+def with_split(events: DataFrame, thresholds: DataFrame) -> DataFrame:
+    cuts = thresholds.select(F.struct("p_train", "p_val").alias("cuts")).scalar()
+    return events.withColumn("_cuts", cuts).withColumn("split", split_of(F.col("event_ts"), F.col("_cuts"))).drop("_cuts")
+
+
 def heavy_accounts(history: DataFrame) -> DataFrame:
     """Accounts whose events need salting; the history already holds their counts."""
     return heavy_keys(history.select("account_id", "hist_txn_count"), "account_id", "hist_txn_count")
 
 
 def build_abt(
-    events: DataFrame, history: DataFrame, thresholds: DataFrame, heavy: DataFrame | None = None
+    events: DataFrame,
+    history: DataFrame,
+    thresholds: DataFrame,
+    heavy: DataFrame | None = None,
+    features: DataFrame | None = None,
 ) -> DataFrame:
     """ABT rows, one per event; columns the ABT does not know, such as a row key, are kept.
 
-    The same function builds the table for any environment.
+    The same function builds the table for any environment. ``features``, one row per account with its
+    mean amount among them, come along in the same join.
     """
     known = {
         "receiver_account_id",
@@ -63,21 +73,22 @@ def build_abt(
     }
     extra = [c for c in events.columns if c not in known]
     needed = [c for c in ABT_COLUMNS if c in events.columns] + extra
-    averages = history.select("account_id", "hist_avg_amount")
+    side = history.select("account_id", "hist_avg_amount") if features is None else features
+    added = [] if features is None else [c for c in features.columns if c != "account_id"]
     heavy = heavy_accounts(history) if heavy is None else heavy
-    joined = left_join_by_key(events.select(needed), [averages], "account_id", heavy)
-    cuts = thresholds.select(F.struct("p_train", "p_val").alias("cuts")).scalar()
-    return (
-        joined.withColumn(
-            "amount_to_avg_ratio", C.safe_div(F.col("amount_paid"), F.col("hist_avg_amount"))
-        )
-        .withColumn("_cuts", cuts)
-        .withColumn("split", split_of(F.col("event_ts"), F.col("_cuts")))
-        .select(*ABT_COLUMNS, *extra)
+    joined = left_join_by_key(events.select(needed), [side], "account_id", heavy)
+    ratio = C.safe_div(F.col("amount_paid"), F.col("hist_avg_amount"))
+    return with_split(joined.withColumn("amount_to_avg_ratio", ratio), thresholds).select(
+        *ABT_COLUMNS, *extra, *added
     )
 
 
 def last_days(df: DataFrame, ts: str, days: int = 1) -> DataFrame:
-    """Rows no older than ``days`` before the newest one."""
-    newest = df.agg(F.max(ts).alias("newest")).select("newest").scalar()
-    return df.where(F.col(ts) >= newest - F.make_dt_interval(days=F.lit(days)))
+    """Rows no older than ``days`` before the newest one; of a table by month only the months they are in."""
+    oldest = df.agg(F.max(ts).alias("newest")).select(
+        (F.col("newest") - F.make_dt_interval(days=F.lit(days))).alias("oldest")
+    ).scalar()
+    recent = df.where(F.col(ts) >= oldest)
+    if "event_month" not in df.columns:
+        return recent
+    return recent.where(F.col("event_month") >= F.date_format(oldest, "yyyy-MM")).drop("event_month")

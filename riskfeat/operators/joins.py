@@ -8,7 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-MAX_HEAVY = 10_000
+#: A key with less than this part of all rows needs no salt, so that no list of keys is longer.
+MOST_HEAVY = 10_000
 ROWS_PER_SALT = 1_000_000
 _SALT = "_salt"
 
@@ -38,16 +39,14 @@ def heavy_keys(
 ) -> DataFrame:
     """Keys too large for one task, and the number of salts each needs.
 
-    ``counts`` holds one row per key. At most the ``MAX_HEAVY`` largest keys are listed: a
-    key beyond them owns less than one part in ``MAX_HEAVY`` of all rows and
-    joins as usual.
+    ``counts`` holds one row per key. Listed is every key with more than ``rows_per_salt`` rows and more
+    than one part in ``MOST_HEAVY`` of all rows: fewer than ``MOST_HEAVY`` keys can have that
+    many, which bounds the list.
     """
     names = _names(key)
-    return (
-        counts.where(F.col(rows) > rows_per_salt)
-        .select(*names, F.ceil(F.col(rows) / rows_per_salt).cast("int").alias("_salts"))
-        .orderBy(F.desc("_salts"), *names)
-        .limit(MAX_HEAVY)
+    least = counts.agg((F.sum(rows) / MOST_HEAVY).alias("least")).select("least").scalar()
+    return counts.where((F.col(rows) > rows_per_salt) & (F.col(rows) > least)).select(
+        *names, F.ceil(F.col(rows) / rows_per_salt).cast("int").alias("_salts")
     )
 
 

@@ -11,20 +11,18 @@ from riskfeat.functions import columns as C
 from riskfeat.operators.features import risk_columns
 from riskfeat.operators.joins import left_join_by_key
 
-MAX_CATEGORIES = 1000
-
 
 def format_categories(df: DataFrame) -> list[str]:
-    """One-hot names of the payment formats in the data, in order."""
+    """One-hot names of the payment formats in the data, in order.
+
+    They are part of a model's signature, a list of names kept with the model, of any length.
+    """
     found = (
         df.where(F.col("payment_format").isNotNull())
         .select(C.format_code(F.col("payment_format")).alias("code"))
         .distinct()
-        .limit(MAX_CATEGORIES + 1)
         .collect()
     )
-    if len(found) > MAX_CATEGORIES:
-        raise ValueError("payment_format has too many values for one-hot columns")
     return [S.ONE_HOT_PREFIX + code for code in sorted(row["code"] for row in found)]
 
 
@@ -44,10 +42,13 @@ def feature_column(name: str) -> Column:
     return F.lit(0.0)
 
 
+def history_features(history: DataFrame) -> DataFrame:
+    """Every history feature a signature may ask for, by account."""
+    return history.select("account_id", *S.PROFILE_FEATURES, *risk_columns())
+
+
 def with_history(abt: DataFrame, history: DataFrame, heavy: DataFrame) -> DataFrame:
-    """ABT rows with every history feature a signature may ask for."""
-    known = history.select("account_id", *S.PROFILE_FEATURES, *risk_columns())
-    return left_join_by_key(abt, [known], "account_id", heavy)
+    return left_join_by_key(abt, [history_features(history)], "account_id", heavy)
 
 
 def assemble(df: DataFrame, names: Sequence[str], keep: Sequence[str]) -> DataFrame:

@@ -19,7 +19,7 @@ def score_steps(scored: DataFrame, label: str = "label", score: str = "fraud_sco
     steps = rows.groupBy(F.col(score).alias("score")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")
     )
-    return running_totals(steps, "score", ["n", "pos"], range_boundaries(rows, score))
+    return running_totals(steps, "score", ["n", "pos"], range_boundaries(steps, "score"))
 
 
 def _curve_sums() -> list[Column]:

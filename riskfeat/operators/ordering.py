@@ -8,7 +8,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 HASH_PREFIX = 4
-RANGE_BUCKETS = 256
+#: Distinct values that one task orders.
+VALUES_PER_BUCKET = 500_000
 
 
 def percentiles(df: DataFrame, value: str, wanted: Mapping[str, float], width: int) -> DataFrame:
@@ -98,14 +99,21 @@ def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     return whole.select(df.columns).unionByName(part.select(df.columns))
 
 
-def range_boundaries(df: DataFrame, value: str, buckets: int = RANGE_BUCKETS) -> list[float]:
-    """At most ``buckets - 1`` cut points that split the rows about evenly.
+def range_boundaries(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
+    """At most ``buckets - 1`` cut points that split the values about evenly.
 
-    They come to the driver as literals, so every branch of the plan that follows, and
-    every recomputed task, uses the same ones.
+    Without ``buckets`` their number follows from that of the distinct values, and is no less than that of
+    the shuffle partitions. The cuts come to the driver as literals, so every branch of the plan that
+    follows, and every recomputed task, uses the same ones.
     """
+    if buckets is None:
+        distinct = df.agg(F.approx_count_distinct(value).alias("n")).first()["n"]
+        tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        buckets = max(tasks, -(-distinct // VALUES_PER_BUCKET))
+    if buckets == 1:
+        return []
     cuts = df.agg(
-        F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 100 * buckets).alias("cuts")
+        F.percentile_approx(value, [i / buckets for i in range(1, buckets)], 20 * buckets).alias("cuts")
     ).first()["cuts"]
     return sorted({float(c) for c in cuts or []})
 

@@ -13,8 +13,13 @@ class QualityError(AssertionError):
     """A load that must not be used."""
 
 
-def quality_report(events: DataFrame, abt: DataFrame, cutoff: str = S.TAIL_CUTOFF_DATE) -> DataFrame:
-    """One row: sizes, time range and whether the tail is trimmed and rows and splits are complete."""
+def quality_report(
+    events: DataFrame, abt: DataFrame, cutoff: str = S.TAIL_CUTOFF_DATE, expected: int = 1
+) -> DataFrame:
+    """One row: sizes, time range and whether the tail is trimmed and rows and splits are complete.
+
+    ``expected`` is the least number of events that a whole load has.
+    """
     seen = events.agg(
         F.count(F.lit(1)).alias("n_events"),
         F.sum("is_laundering").alias("n_positives"),
@@ -30,6 +35,8 @@ def quality_report(events: DataFrame, abt: DataFrame, cutoff: str = S.TAIL_CUTOF
         seen.withColumn("n_abt", built["n_abt"])
         .withColumn("n_splits", built["n_splits"])
         .withColumn("tail_trimmed", F.col("last_ts") < F.lit(cutoff).cast("timestamp_ntz"))
+        .withColumn("n_expected", F.lit(expected).cast("long"))
+        .withColumn("rows_expected", F.col("n_events") >= F.col("n_expected"))
         .withColumn("rows_kept", F.col("n_abt") == F.col("n_events"))
         .withColumn("splits_complete", F.col("n_splits") == 3)
     )
@@ -48,7 +55,3 @@ def dup_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Key values that occur more than once, with their number of rows."""
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"))
     return counts.where(F.col("n_rows") > 1)
-
-
-def row_counts(tables: dict[str, DataFrame]) -> dict[str, int]:
-    return {name: df.count() for name, df in tables.items()}

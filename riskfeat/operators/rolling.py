@@ -3,11 +3,11 @@
 A window of length w as of time t covers [t - w, t], the event itself included.
 
 A sliding frame re-reads its whole window for every row, and one busy key would hold it
-in one task. Here events shrink to one row per key and time, whose values enter a
-running sum at that time and leave it one microsecond after ``t + w``; a running sum
-costs one step per row. Rows are grouped by key and tile, and what a tile
-inherits from earlier ones comes in as one carry row, so a very busy
-key spreads over its tiles. The sums then join the events.
+in one task. Here events shrink to one row per key and time, grouped by key and tile, so a very
+busy key spreads over its tiles. A window is whole tiles long: it is the end of one tile, full tiles,
+and the start of another, each a sum of its own, and nothing is ever subtracted from a sum of
+amounts. Distinct counts are running sums of values that enter (+1) and leave (-1), in whole
+numbers. The sums then join the events.
 """
 
 from __future__ import annotations
@@ -120,6 +120,37 @@ def _merge(frames: Sequence[DataFrame]) -> DataFrame:
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
 
 
+def _tile_ends(
+    points: DataFrame, key: str, parts: dict[str, tuple[Column, int]], tile_seconds: int
+) -> DataFrame:
+    """For every point and window the sum from the window's start to the end of the tile it starts in.
+
+    Starts are put among the points of that tile and summed from its end backwards.
+    """
+    tiles = {h: h * HOUR // tile_seconds for _, h in parts.values()}
+    starts = F.array(
+        *[
+            F.struct(
+                F.lit(h).alias("hours"),
+                (F.col("_at") - h * HOUR * MICROS).alias("at"),
+                (F.col("_tile") - n).alias("tile"),
+            )
+            for h, n in sorted(tiles.items())
+        ]
+    )
+    asked = points.where(F.col("_at").isNotNull()).select(key, F.col("_at").alias("_of"), F.explode(starts).alias("s"))
+    asked = asked.select(key, "_of", F.col("s.hours").alias("_hours"), F.col("s.at").alias("_at"), F.col("s.tile").alias("_tile"))
+    backwards = (
+        Window.partitionBy(key, "_tile")
+        .orderBy(F.desc("_at"))
+        .rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    )
+    summed = _merge([points.where(F.col("_at").isNotNull()).drop("_asked"), asked]).withColumns(
+        {name: F.when(F.coalesce(F.col("_hours"), F.lit(h)) == h, F.sum(name).over(backwards)) for name, (_, h) in parts.items()}
+    )
+    return summed.where(F.col("_of").isNotNull()).select(key, F.col("_of").alias("_at"), *parts)
+
+
 def rolling_features(
     events: DataFrame,
     key: str,
@@ -149,19 +180,6 @@ def rolling_features(
         .withColumn("_tile", _tile(F.col("_at"), tile_micros))
     )
 
-    # Each point enters the sums at its time and leaves those of a window after it.
-    steps = [F.struct(F.col("_at").alias("at"), F.col("_asked").alias("asked"), *parts)]
-    for hours in sorted({h for _, h in parts.values()}):
-        leaving = [F.when(F.lit(h == hours), -F.col(name)).alias(name) for name, (_, h) in parts.items()]
-        gone = (F.col("_at") + hours * HOUR * MICROS + 1).alias("at")
-        steps.append(F.struct(gone, F.lit(None).cast("long").alias("asked"), *leaving))
-    entries = (
-        points.select(key, F.explode(F.array(*steps)).alias("e"))
-        .where(F.col("e.at").isNotNull() | F.col("e.asked").isNotNull())
-        .select(key, F.col("e.at").alias("_at"), F.col("e.asked").alias("_asked"), *[f"e.{n}" for n in parts])
-        .withColumn("_tile", _tile(F.col("_at"), tile_micros))
-    )
-
     # One row per key and tile, with what happened in it.
     frames = [
         points.groupBy(key, "_tile")
@@ -177,13 +195,14 @@ def rolling_features(
         .groupBy(key, "_tile")
         .agg(*[F.sum(n).alias(n) for n in ("_asked", *parts, *names)])
     )
-    # What a tile inherits: a window is whole tiles long, so at the start of a tile its sums
-    # are those of the full tiles before; stays are those opened but not yet closed.
+    # A window is whole tiles long, so it is the end of its first tile, full tiles, and the
+    # start of the point's own tile. Full tiles and stays not yet closed come as a carry row.
     by_tile = Window.partitionBy(key).orderBy("_tile")
     before = by_tile.rowsBetween(Window.unboundedPreceding, -1)
 
-    def full_tiles(hours: int) -> Window:
-        return by_tile.rangeBetween(-(hours * HOUR // tile_seconds), -1)
+    def full_tiles(name: str, hours: int) -> Column:
+        n = hours * HOUR // tile_seconds - 1
+        return F.sum(name).over(by_tile.rangeBetween(-n, -1)) if n else F.lit(None)
 
     carries = (
         per_tile.select(
@@ -191,21 +210,27 @@ def rolling_features(
             "_tile",
             "_asked",
             (F.col("_tile") * tile_micros).alias("_at"),
-            *[F.sum(name).over(full_tiles(h)).alias(name) for name, (_, h) in parts.items()],
+            *[full_tiles(name, h).cast(per_tile.schema[name].dataType).alias(name) for name, (_, h) in parts.items()],
             *[F.sum(name).over(before).alias(name) for name in names],
         )
         .where(F.col("_asked").isNotNull() & F.col("_tile").isNotNull())
         .drop("_asked")
     )
-    frames = [entries, carries, *([presence] if distinct else [])]
-
     upto = (
         Window.partitionBy(key, "_tile")
         .orderBy("_at")
         .rangeBetween(Window.unboundedPreceding, Window.currentRow)
     )
-    running = _merge(frames).withColumns(
-        {name: F.coalesce(F.sum(name).over(upto), F.lit(0)) for name in (*parts, *names)}
+    running = (
+        _merge([points, carries, *([presence] if distinct else [])])
+        .withColumns({name: F.sum(name).over(upto) for name in (*parts, *names)})
+        .where(F.col("_asked").isNotNull())
+    )
+    ends = _tile_ends(points, key, parts, tile_seconds) if parts else None
+    running = (
+        _merge([running, *([ends] if parts else [])])
+        .groupBy(key, "_at")
+        .agg(*[F.coalesce(F.sum(name), F.lit(0)).alias(name) for name in (*parts, *names)])
     )
 
     def finished(f: Feature) -> Column:
@@ -213,7 +238,7 @@ def rolling_features(
             return F.when(F.col(f"{f.alias}__n") > 0, F.col(f"{f.alias}__s"))
         return F.col(f"{f.alias}__n" if f.agg == "count" else f.alias)
 
-    answers = running.where(F.col("_asked").isNotNull()).select(
+    answers = running.select(
         key, "_at", *[finished(f).alias(f.alias) for f in features]
     )
     heavy = heavy_keys(key_counts(stamped, [key, "_at"]), [key, "_at"])

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import sys
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.linalg import DenseMatrix
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskfeat import schemas as S
 from riskfeat.operators.matrix import assemble
@@ -99,25 +100,27 @@ def monotone_audit(
     Each row is scored again with the feature raised by every one of ``steps``.
     """
     audited = [n for n in names if n in S.MONOTONE_FEATURES]
-    base = matrix.withColumn("_id", F.monotonically_increasing_id())
-    grid = F.array(
-        *[
-            F.struct(F.lit(n).alias("feature"), F.lit(float(s)).alias("step"))
-            for n in audited
-            for s in (0.0, *steps)
-        ]
-    )
-    raised = base.withColumn("_probe", F.explode(grid)).withColumns(
-        {n: F.col(n) + F.when(F.col("_probe.feature") == n, F.col("_probe.step")).otherwise(0.0) for n in audited}
-    )
-    scored = predict(raised, model)
-    order = Window.partitionBy("_id", "_probe.feature").orderBy("_probe.step")
-    drop = F.col("fraud_score") < F.lag("fraud_score").over(order) - 1e-12
-    return (
-        scored.withColumn("dropped", F.coalesce(drop, F.lit(False)))
-        .groupBy(F.col("_probe.feature").alias("feature"))
-        .agg(
-            F.count_if(F.col("_probe.step") == 0.0).alias("n_rows"),
-            F.count_if("dropped").alias("n_decreases"),
+    # All raised copies of a row stay beside it: the vectors are an array of the row, and scoring
+    # them needs no key to bring them together again.
+    grid = [(n, float(step)) for n in audited for step in sorted((0.0, *steps))]
+    probes = matrix.select(F.struct(*names).alias("row"), *names)
+    scored = None
+    for k, (name, step) in enumerate(grid):
+        raised = (probes if scored is None else scored).withColumns({n: F.col(f"row.{n}") for n in names}).withColumn(
+            name, F.col(f"row.{name}") + F.lit(step)
         )
-    )
+        scored = predict(raised, model).withColumnRenamed("fraud_score", f"_score_{k}")
+    if scored is None:
+        return matrix.sparkSession.createDataFrame([], "feature string, n_rows long, n_decreases long")
+    per_feature = []
+    for name in audited:
+        at = [k for k, (n, _) in enumerate(grid) if n == name]
+        drops = [(F.col(f"_score_{b}") < F.col(f"_score_{a}") - 1e-12).cast("long") for a, b in zip(at, at[1:])]
+        per_feature.append(
+            F.struct(
+                F.lit(name).alias("feature"),
+                F.count(F.lit(1)).alias("n_rows"),
+                F.coalesce(F.sum(reduce(Column.__add__, drops)), F.lit(0)).alias("n_decreases"),
+            )
+        )
+    return scored.agg(F.array(*per_feature).alias("found")).select(F.inline("found"))

@@ -254,8 +254,6 @@ def _asof(comparison: str) -> str:
     )
 
 
-LATEST = "latest AS (SELECT * FROM daily QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY event_ts DESC) = 1)"
-
 TILES = """SELECT account_id, date_trunc('hour', event_ts) AS hour, count(amount_paid) AS count_amount_paid,
     round(sum(amount_paid), 4) AS sum_amount_paid,
     CAST(sum(is_cross_currency) AS BIGINT) AS sum_is_cross_currency,
@@ -310,6 +308,7 @@ ORACLE: dict[str, str] = {
            min(event_ts) AS first_ts, max(event_ts) AS last_ts,
            (SELECT count(*) FROM abt) AS n_abt, (SELECT count(DISTINCT split) FROM abt) AS n_splits,
            max(event_ts) < TIMESTAMP '{CUTOFF}' AS tail_trimmed,
+           CAST(5000 AS BIGINT) AS n_expected, count(*) >= 5000 AS rows_expected,
            count(*) = (SELECT count(*) FROM abt) AS rows_kept,
            (SELECT count(DISTINCT split) FROM abt) = 3 AS splits_complete
     FROM events_in""",
@@ -355,12 +354,19 @@ ORACLE: dict[str, str] = {
     ),
     "asof_training_set": _asof(">"),
     "asof_training_set_inclusive": _asof(">="),
-    "latest_profile": _with([*CURATED, DAILY, LATEST], "SELECT * FROM latest"),
+    "latest_profile": _with(WITH_HISTORY, f"SELECT account_id, {PROFILE_COLUMNS}, last_activity_ts FROM stats"),
     "latest_lookup": _with(
-        [*CURATED, DAILY, LATEST],
-        """SELECT o.account_id, l.event_ts, l.day_txn_count, l.day_max_amount
-    FROM owners o LEFT JOIN latest l ON o.account_id = l.account_id""",
+        WITH_HISTORY,
+        f"""SELECT o.account_id, {PROFILE_COLUMNS}, last_activity_ts
+    FROM owners o LEFT JOIN stats s ON o.account_id = s.account_id""",
     ),
+    "versioned_table": _with(
+        [ACCOUNTS, BANKS],
+        """SELECT 1 AS version, bank_id, bank_name, bank_country FROM banks
+    UNION ALL SELECT 2, bank_id, upper(bank_name), bank_country FROM banks""",
+    ),
+    "landing_reload": _with([TXNS], "SELECT * EXCLUDE (event_key, l_orderkey) FROM txns"),
+    "view_refresh": _with(WITH_HISTORY, f"SELECT account_id, {PROFILE_COLUMNS} FROM stats"),
     "train_sample": _with([*WITH_ABT, SAMPLE], "SELECT * FROM sample"),
     "class_weights": _with(
         [*WITH_ABT, SAMPLE],
@@ -385,13 +391,25 @@ ORACLE: dict[str, str] = {
         f"""{PREDICTIONS}, TIMESTAMP '2001-07-02 06:00:00' AS scored_at, CAST(CAST(event_ts AS DATE) AS VARCHAR) AS event_date
     FROM scored""",
     ),
-    "test_sample_scores": _with(
+    "predictions_two_runs": _with(
         [
             *WITH_ABT,
             RISK,
-            f"test_rows AS (SELECT * FROM abt WHERE split = 'TEST' ORDER BY event_key LIMIT {Q.TEST_ROWS})",
-            *_scored(Q.SCORECARD_V2, "test_rows", "scored"),
+            "early AS (SELECT * FROM abt WHERE event_ts <= (SELECT max(event_ts) FROM abt) - INTERVAL 18 HOUR)",
+            """both_runs AS (
+    SELECT *, TIMESTAMP '2001-07-02 06:00:00' AS scored_at FROM abt
+    WHERE event_ts >= (SELECT max(event_ts) FROM abt) - INTERVAL 1 DAY
+    UNION ALL
+    SELECT *, TIMESTAMP '2001-07-01 06:00:00' FROM early
+    WHERE event_ts >= (SELECT max(event_ts) FROM early) - INTERVAL 1 DAY
+      AND event_ts < (SELECT max(event_ts) FROM abt) - INTERVAL 1 DAY
+)""",
+            *_scored(Q.SCORECARD_V2, "both_runs", "scored"),
         ],
+        f"{PREDICTIONS}, scored_at FROM scored JOIN (SELECT event_key AS k, scored_at FROM both_runs) ON event_key = k",
+    ),
+    "test_sample_scores": _with(
+        SCORED_TEST,
         f"{PREDICTIONS} FROM scored ORDER BY fraud_score DESC, event_key LIMIT {Q.TOP_K}",
     ),
     "top_risk": _with(
@@ -435,6 +453,33 @@ ORACLE: dict[str, str] = {
             for m in ("pr_auc", "roc_auc", "base_rate", "recall_at_k")
         ),
     ),
+    "run_log": _with(
+        [
+            *WITH_ABT,
+            RISK,
+            *TEST,
+            *_scored(Q.SCORECARD_V1, "test_rows", "scored_a"),
+            *_scored(Q.SCORECARD_V2, "test_rows", "scored_b"),
+            *_metrics("scored_a", "ma"),
+            *_metrics("scored_b", "mb"),
+        ],
+        " UNION ALL ".join(
+            f"SELECT '{run}' AS run, '{m}' AS metric, round({m}, 6) AS value FROM {source}"
+            for run, source in (("train_V1", "ma"), ("train_V2", "mb"))
+            for m in ("pr_auc", "roc_auc", "base_rate", "recall_at_k")
+        ),
+    ),
+    **{
+        name: _with(
+            WITH_ABT, "SELECT event_key, is_laundering AS label, true AS is_probability FROM abt WHERE split = 'TEST'"
+        )
+        for name in ("train_scores", "monotone_scores")
+    },
+    "monotone_audit": _with(
+        WITH_ABT,
+        f"""SELECT feature, (SELECT count(*) FROM abt WHERE split = 'TEST') AS n_rows, CAST(0 AS BIGINT) AS n_decreases
+    FROM (VALUES {", ".join(f"('{name}')" for name in S.MONOTONE_FEATURES)}) AS audited(feature)""",
+    ),
     "velocity": VELOCITY,
     "velocity_distinct": _with(
         [PAYMENTS],
@@ -462,6 +507,15 @@ ORACLE: dict[str, str] = {
     ),
     "hour_tiles": _with([PAYMENTS], TILES),
     "stream_hour_tiles": _with([PAYMENTS], TILES),
+    "stream_backfill": _with([PAYMENTS], TILES),
+    "stream_velocity_distinct": _with(
+        [PAYMENTS],
+        """SELECT account_id, count(DISTINCT receiver_bank) AS distinct_banks_24h,
+           count(DISTINCT receiver_account_id) AS distinct_receivers_24h
+    FROM payments
+    WHERE date_trunc('hour', event_ts) > (SELECT date_trunc('hour', max(event_ts)) - INTERVAL 24 HOUR FROM payments)
+    GROUP BY account_id""",
+    ),
     "stream_velocity": _with(
         [PAYMENTS],
         """SELECT account_id, count(amount_paid) FILTER (WHERE age < 1) AS txn_count_1h,

@@ -21,6 +21,7 @@ from riskfeat.operators.sampling import class_weights, train_sample
 from riskfeat.plans.model import GBT_PARAMS, scored_rows, train
 from riskfeat.plans.registry import Registry
 from riskfeat.sources import files
+from riskfeat.sources.patterns import parse_patterns
 
 MODEL = "LAUNDERING_RISK"
 
@@ -31,18 +32,20 @@ def load(
     accounts: str,
     root: str,
     cutoff: str = S.TAIL_CUTOFF_DATE,
-    expected: tuple[int, int] = (S.EXPECTED_MIN_TRANSACTIONS, S.EXPECTED_MIN_ACCOUNTS),
+    pattern_text: str | None = None,
 ) -> None:
-    """Landing files to raw tables (once), then to the curated tables of an environment."""
+    """Landing files that are new to raw tables, then all to the curated tables of an environment."""
     raw_txns, raw_accounts = f"{root}/raw/transactions", f"{root}/raw/accounts"
-    files.load_once(
+    files.load_new(
         spark,
-        lambda: files.with_row_key(files.read_transactions(spark, transactions)),
+        transactions,
         raw_txns,
-        expected[0],
+        lambda new, load: files.with_row_key(files.read_transactions(spark, new), load),
     )
-    files.load_once(spark, lambda: files.read_accounts(spark, accounts), raw_accounts, expected[1])
-    curated(spark, spark.read.parquet(raw_txns), spark.read.parquet(raw_accounts), root, cutoff)
+    files.load_new(spark, accounts, raw_accounts, lambda new, load: files.read_accounts(spark, new))
+    curated(spark, files.loaded(spark, raw_txns), files.loaded(spark, raw_accounts), root, cutoff)
+    if pattern_text is not None:
+        files.write_version(parse_patterns(spark, pattern_text), root, "laundering_patterns")
 
 
 def curated(
@@ -62,7 +65,10 @@ def build_abt(spark: SparkSession, src_root: str, dst_root: str, cutoff: str) ->
     events = files.read_version(spark, src_root, "txn_events")
     history = files.read_version(spark, src_root, "account_history")
     built = A.build_abt(events, history, A.split_thresholds(events))
-    files.write_version(built, dst_root, "abt")
+    # Months are folders, and days stay together in a file, so a slice of days reads little else.
+    by_month = built.withColumn("event_month", F.date_format("event_ts", "yyyy-MM"))
+    ordered = by_month.repartitionByRange("event_month", "event_ts").sortWithinPartitions("event_month", "event_ts")
+    files.write_version(ordered, dst_root, "abt", by=["event_month"])
     table = files.read_version(spark, dst_root, "abt")
     quality.require(quality.quality_report(events, table, cutoff))
     return table
@@ -80,18 +86,23 @@ def train_version(
 ) -> dict[str, float]:
     """Register views, train on the sample, log the run and the version; returns its metrics.
 
-    ``test_*`` metrics are of the down-sampled TEST rows that training leaves out.
+    Metrics are of the down-sampled TEST rows, which training leaves out; those named ``full_*`` are of
+    all TEST rows of the base table.
     """
     registry = Registry(spark, root)
     history = files.read_version(spark, src_root, "account_history")
     rows = [registry.refresh(view, history) for view in views]
-    files.write_version(train_sample(files.read_version(spark, root, "abt"), n_neg), root, "abt_sample")
+    files.write_version(train_sample(files.read_version(spark, root, "abt").drop("event_month"), n_neg), root, "abt_sample")
     sample = files.read_version(spark, root, "abt_sample")
     frame = files.staged(training_set(sample, rows, ["is_laundering"]), "training-set")
     names = signature(sample, with_risk=RISK_VIEW in views)
     model = train(frame, names, kind, params)
     scored = scored_rows(frame.where(F.col("split") == "TEST"), names, model)
     metrics = model_metrics(files.staged(scored, "scored-test")).first().asDict()
+    whole = files.read_version(spark, root, "abt").where(F.col("split") == "TEST").drop("event_month")
+    every = scored_rows(training_set(whole, rows, ["is_laundering"]), names, model)
+    full = model_metrics(files.staged(every, "scored-full")).first().asDict()
+    metrics |= {f"full_{name}": value for name, value in full.items()}
     metrics = {name: float("nan") if value is None else value for name, value in metrics.items()}
     weights = class_weights(sample.where(F.col("split") == "TRAIN")).first()
     settings = {
@@ -113,20 +124,24 @@ def train_version(
 def daily_scores(
     abt: DataFrame, history: DataFrame, names: Sequence[str], model, days: int = 1
 ) -> DataFrame:
-    """Scores of the newest ``days`` of the base table."""
+    """Scores of the newest ``days`` of the base table.
+
+    Only the history of accounts in the slice meets its rows.
+    """
     recent = A.last_days(abt, "event_ts", days)
-    heavy = heavy_keys(key_counts(recent, "account_id"), "account_id")
-    return scored_rows(with_history(recent, history, heavy), names, model)
+    counts = key_counts(recent, "account_id")
+    asked = history.join(counts.select("account_id"), "account_id", "left_semi")
+    return scored_rows(with_history(recent, asked, heavy_keys(counts, "account_id")), names, model)
 
 
 def score_batch(spark: SparkSession, root: str, version: str, as_of: str, days: int = 1) -> DataFrame:
-    """Write the predictions of the newest days; a rerun replaces the same dates."""
+    """Write the predictions of the newest days; a rerun replaces its own. The newest of every event."""
     model, names, _ = Registry(spark, root).model(MODEL, version)
     abt = files.read_version(spark, root, "abt")
     history = files.read_version(spark, root, "account_history")
     path = f"{root}/predictions"
     files.write_predictions(daily_scores(abt, history, names, model, days), path, as_of)
-    return spark.read.parquet(path)
+    return files.read_predictions(spark, path)
 
 
 def promote(
@@ -152,4 +167,4 @@ def promote(
         prod.log_model(model, MODEL, version, names, metrics)
     prod.set_default(MODEL, version)
     score_batch(spark, prod_root, version, as_of)
-    return version
+    return prod.default(MODEL)

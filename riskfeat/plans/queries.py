@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
@@ -12,16 +13,17 @@ from riskfeat.functions import columns as C
 from riskfeat.operators import abt as A
 from riskfeat.operators import curate, metrics, quality, rolling, sampling, summaries
 from riskfeat.operators import features as V
-from riskfeat.operators.joins import heavy_keys, key_counts, latest_by_key, lookup
-from riskfeat.operators.matrix import assemble, signature, with_history
+from riskfeat.operators.joins import latest_by_key, lookup
+from riskfeat.operators.matrix import assemble, history_features, signature, with_history
 from riskfeat.plans import model as M
 from riskfeat.plans.pipeline import daily_scores
+from riskfeat.plans.registry import Registry
 from riskfeat.session import scratch_dir
 from riskfeat.sources import files, fixture, patterns
 from riskfeat.streaming import velocity
 
+#: Labelled rows of the negative class that a model is fitted on.
 SAMPLE_NEGATIVES = 20_000
-TEST_ROWS = 500
 TOP_K = 10
 ADDITIVE = [f for f in rolling.VELOCITY_FEATURES if f.agg != "distinct"]
 DISTINCT = [f for f in rolling.VELOCITY_FEATURES if f.agg == "distinct"]
@@ -232,10 +234,24 @@ def asof_training_set(t: Tables, strict: bool = True) -> DataFrame:
     return V.asof_training_set(spine, activity, "account_id", "event_ts", strict)
 
 
+def latest_profile(t: Tables) -> DataFrame:
+    """The online profile: the newest row of every account."""
+    return _steady(
+        latest_by_key(V.ONLINE_PROFILE_VIEW.rows(t.history), "account_id", "last_activity_ts"),
+        "hist_avg_amount",
+        "hist_std_amount",
+        "hist_foreign_ccy_share",
+        "hist_high_risk_share",
+    )
+
+
 def latest_lookup(t: Tables) -> DataFrame:
-    """All accounts, paying or not, looked up among the latest activity rows."""
-    latest = latest_by_key(V.daily_activity(t.events), "account_id", "event_ts")
-    return lookup(latest, t.owners.select("account_id"), "account_id")
+    """All accounts, paying or not, looked up in the online profile."""
+    return lookup(latest_profile(t), t.owners.select("account_id"), "account_id")
+
+
+def with_split(t: Tables) -> DataFrame:
+    return A.with_split(t.events_table, A.split_thresholds(t.events_table))
 
 
 def class_weights(t: Tables) -> DataFrame:
@@ -254,7 +270,9 @@ def numeric_coerce(t: Tables) -> DataFrame:
 
 def score_matrix(t: Tables) -> DataFrame:
     names = signature(t.events_table, with_risk=True)
-    rows = with_history(t.abt, t.history_table, t.heavy)
+    thresholds = A.split_thresholds(t.events_table)
+    known = history_features(t.history_table)
+    rows = A.build_abt(t.events_table, t.history_table, thresholds, t.heavy, known)
     return _steady(assemble(rows, names, ["event_key", "is_laundering"]), *names)
 
 
@@ -262,20 +280,30 @@ def score_matrix(t: Tables) -> DataFrame:
 
 
 def test_sample_scores(t: Tables) -> DataFrame:
-    rows = t.abt_table.where(F.col("split") == "TEST").orderBy("event_key").limit(TEST_ROWS)
-    heavy = heavy_keys(key_counts(rows, "account_id"), "account_id")
-    sample = with_history(rows, t.history_table, heavy)
-    scored = _rounded_score(M.scored_rows(sample, list(SCORECARD_V2[0]), SCORECARD_V2))
-    return summaries.top_risk(scored, TOP_K)
+    """The highest scores of all TEST rows."""
+    return summaries.top_risk(t.scored(), TOP_K)
 
 
 def predictions_table(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "predictions")
     files.write_predictions(t.predictions, path, "2001-07-02 06:00:00")
-    written = t.spark.read.parquet(path)
+    written = files.read_predictions(t.spark, path)
     return written.withColumn("event_date", F.col("event_date").cast("string"))
 
 
+def predictions_two_runs(t: Tables) -> DataFrame:
+    """The newest day scored, and the day before it by an earlier run; the newest score of every event."""
+    path = scratch_dir(t.spark, "predictions")
+    events = t.abt_table
+    newest = events.agg(F.max("event_ts").alias("ts")).first()["ts"]
+    earlier = events.where(F.col("event_ts") <= F.lit(newest - dt.timedelta(hours=18)))
+    for rows, as_of in ((earlier, "2001-07-01 06:00:00"), (events, "2001-07-02 06:00:00"), (events, "2001-07-02 06:00:00")):
+        names = list(SCORECARD_V2[0])
+        scores = _rounded_score(daily_scores(rows, t.history_table, names, SCORECARD_V2))
+        files.write_predictions(scores, path, as_of)
+    return files.read_predictions(t.spark, path).drop("event_date")
+
+
 def run_compare(t: Tables) -> DataFrame:
     runs = None
     for name, scorecard in (("train_V1", SCORECARD_V1), ("train_V2", SCORECARD_V2)):
@@ -346,6 +374,18 @@ def stream_event_features(t: Tables) -> DataFrame:
     )
 
 
+def stream_backfill(t: Tables) -> DataFrame:
+    """Tiles of a backfill of the first half, and of a stream that brings all events again."""
+    path = scratch_dir(t.spark, "velocity")
+    first, last = t.payments.agg(F.min("event_ts"), F.max("event_ts")).first()
+    velocity.backfill(t.payments.where(F.col("event_ts") <= F.lit(first + (last - first) / 2)), path)
+    velocity.start_velocity(
+        t.payment_stream(), path, trigger={"availableNow": True}
+    ).awaitTermination()
+    velocity.compact_tiles(t.spark, path)
+    return _plain_tiles(velocity.read_tiles(t.spark, path))
+
+
 def _stream_features(t: Tables, features: list[rolling.Feature]) -> DataFrame:
     tiles = _stream_tiles(t)
     newest = tiles.agg(F.max("hour").alias("hour")).select("hour").scalar()
@@ -364,7 +404,56 @@ def stream_latest(t: Tables) -> DataFrame:
     return velocity.read_latest(t.spark, path, "account_id", "event_ts")
 
 
-# --- fitted models: results depend on the optimizer, so rows only ---
+# --- versions, views, runs ---
+
+
+def versioned_table(t: Tables) -> DataFrame:
+    """Two versions of a table, the second made from the first."""
+    root = scratch_dir(t.spark, "versions")
+    files.write_version(t.banks, root, "banks")
+    first = files.read_version(t.spark, root, "banks")
+    files.write_version(first.withColumn("bank_name", F.upper("bank_name")), root, "banks")
+    both = [files.read_version(t.spark, root, "banks", v).withColumn("version", F.lit(v)) for v in (1, 2)]
+    return both[0].unionByName(both[1])
+
+
+def landing_reload(t: Tables) -> DataFrame:
+    """Transactions that land in two parts, loaded after each and once more."""
+    root = scratch_dir(t.spark, "landing")
+    odd = F.crc32("event_key") % 2
+    for part in (0, 1, None):
+        if part is not None:
+            rows = t.txns.where(odd == part).select(S.TXN_SCHEMA.names)
+            rows.write.mode("append").option("header", True).csv(f"{root}/landing")
+        files.load_new(
+            t.spark, f"{root}/landing", f"{root}/raw", lambda new, load: files.read_transactions(t.spark, new)
+        )
+    return files.loaded(t.spark, f"{root}/raw")
+
+
+def view_refresh(t: Tables) -> DataFrame:
+    """A registered view, refreshed, as it is read by name and version."""
+    registry = Registry(t.spark, scratch_dir(t.spark, "registry"))
+    registry.register(V.PROFILE_VIEW, t.history_table.limit(0))
+    registry.refresh(V.PROFILE_VIEW, t.history_table)
+    return _steady(
+        registry.view(V.PROFILE_VIEW.name, V.PROFILE_VIEW.version),
+        "hist_avg_amount",
+        "hist_std_amount",
+        "hist_foreign_ccy_share",
+        "hist_high_risk_share",
+    )
+
+
+def run_log(t: Tables) -> DataFrame:
+    """Logged runs of both scorecards, one row per metric."""
+    registry = Registry(t.spark, scratch_dir(t.spark, "registry"))
+    for name, scorecard in (("train_V1", SCORECARD_V1), ("train_V2", SCORECARD_V1), ("train_V2", SCORECARD_V2)):
+        registry.log_run(name, {}, metrics.model_metrics(t.scored_table(scorecard)).first().asDict())
+    return _rounded(registry.runs().select("run", F.explode("metrics").alias("metric", "value")), 6, "value")
+
+
+# --- fitted models: scores depend on the optimizer; what must hold of them is compared ---
 
 
 def _training_frame(t: Tables) -> tuple[DataFrame, list[str]]:
@@ -373,22 +462,26 @@ def _training_frame(t: Tables) -> tuple[DataFrame, list[str]]:
     return files.staged(frame, "training"), signature(t.events_table, with_risk=True)
 
 
+def _checked_scores(scored: DataFrame) -> DataFrame:
+    return scored.select("event_key", "label", F.col("fraud_score").between(0, 1).alias("is_probability"))
+
+
 def train_scores(t: Tables) -> DataFrame:
     frame, names = _training_frame(t)
-    model = M.train(frame, names, "gbt", {"maxIter": 5, "maxDepth": 4})
-    return M.scored_rows(t.test_rows, names, model)
+    model = M.train(frame, names, "gbt")
+    return _checked_scores(M.scored_rows(t.test_rows, names, model))
 
 
 def monotone_scores(t: Tables) -> DataFrame:
     frame, names = _training_frame(t)
-    model = M.train(frame, names, "monotone_lr", {"maxIter": 20})
-    return M.scored_rows(t.test_rows, names, model)
+    model = M.train(frame, names, "monotone_lr")
+    return _checked_scores(M.scored_rows(t.test_rows, names, model))
 
 
 def monotone_audit(t: Tables) -> DataFrame:
     frame, names = _training_frame(t)
-    model = M.train(frame, names, "monotone_lr", {"maxIter": 20})
-    matrix = assemble(A.last_days(files.staged(t.test_rows, "test-rows"), "event_ts"), names, [])
+    model = M.train(frame, names, "monotone_lr")
+    matrix = assemble(t.test_rows, names, [])
     return M.monotone_audit(model, matrix, names, [0.5, 1.0, 10.0, 1000.0])
 
 
@@ -403,9 +496,9 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "dup_keys": lambda t: quality.dup_keys(t.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
     "split_thresholds": lambda t: _rounded(A.split_thresholds(t.events), 3, "p_train", "p_val"),
     "abt": lambda t: _rounded(t.abt, 6, "amount_to_avg_ratio"),
-    "quality_report": lambda t: quality.quality_report(t.events_table, t.abt_table, fixture.CUTOFF),
-    "split_summary": lambda t: summaries.split_summary(t.abt),
-    "abt_totals": lambda t: summaries.abt_totals(t.abt),
+    "quality_report": lambda t: quality.quality_report(t.events_table, t.abt_table, fixture.CUTOFF, 5000),
+    "split_summary": lambda t: summaries.split_summary(with_split(t)),
+    "abt_totals": lambda t: summaries.abt_totals(with_split(t)),
     "class_balance": lambda t: summaries.class_balance(t.events),
     "rate_by_format": lambda t: summaries.rate_by(t.events, "payment_format"),
     "account_profile": account_profile,
@@ -413,9 +506,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "training_set": training_set,
     "asof_training_set": asof_training_set,
     "asof_training_set_inclusive": lambda t: asof_training_set(t, strict=False),
-    "latest_profile": lambda t: latest_by_key(
-        V.daily_activity(t.events), "account_id", "event_ts"
-    ),
+    "latest_profile": latest_profile,
     "latest_lookup": latest_lookup,
     "train_sample": lambda t: t.sample.select("event_key", "account_id", "split", "is_laundering"),
     "class_weights": class_weights,
@@ -429,6 +520,7 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     ),
     "daily_scores": lambda t: t.predictions,
     "predictions_table": predictions_table,
+    "predictions_two_runs": predictions_two_runs,
     "test_sample_scores": test_sample_scores,
     "top_risk": lambda t: summaries.top_risk(t.predictions, TOP_K),
     "score_separation": lambda t: summaries.score_separation(t.scored()),
@@ -445,10 +537,15 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "velocity_as_of": velocity_as_of,
     "hour_tiles": hour_tiles,
     "stream_hour_tiles": stream_hour_tiles,
+    "stream_backfill": stream_backfill,
     "stream_velocity": stream_velocity,
     "stream_velocity_distinct": lambda t: _stream_features(t, DISTINCT),
     "stream_event_features": stream_event_features,
     "stream_latest": stream_latest,
+    "versioned_table": versioned_table,
+    "landing_reload": landing_reload,
+    "view_refresh": view_refresh,
+    "run_log": run_log,
     "train_scores": train_scores,
     "monotone_scores": monotone_scores,
     "monotone_audit": monotone_audit,

@@ -6,7 +6,7 @@ is rewritten, so a job that dies leaves what was there before.
 
 from __future__ import annotations
 
-import time
+import uuid
 from collections.abc import Mapping, Sequence
 
 from pyspark.ml import PipelineModel
@@ -29,7 +29,10 @@ class Registry:
         self.root = root.rstrip("/")
 
     def _log(self, kind: str, name: str, version: str, state: str, **fields) -> None:
-        row = {"kind": kind, "name": name, "version": version, "state": state, "at": time.time_ns()}
+        # One more than the last entry, so the order holds whatever a driver's clock says.
+        log = read_table(self.spark, f"{self.root}/registry")
+        last = None if log is None else log.agg(F.max("at").alias("at")).first()["at"]
+        row = {"kind": kind, "name": name, "version": version, "state": state, "at": (last or 0) + 1}
         entry = self.spark.createDataFrame(
             [{**dict.fromkeys(("path", "signature", "metrics", "detail")), **row, **fields}], ENTRY
         )
@@ -50,7 +53,9 @@ class Registry:
         )
 
     def _entry(self, kind: str, name: str, version: str):
-        found = self.entries(kind).where((F.col("name") == name) & (F.col("version") == version)).first()
+        found = self.entries(kind).where(
+            (F.col("name") == name) & (F.upper("version") == version.upper())
+        ).orderBy(F.desc(F.col("version") == version)).first()
         if found is None:
             raise KeyError(f"{kind} {name}/{version} is not registered in {self.root}")
         return found
@@ -64,7 +69,7 @@ class Registry:
         )
         if not overwrite and found.first() is not None:
             raise ValueError(f"view {view.name}/{view.version} exists")
-        path = f"{self.root}/views/{view.name}/{view.version}/{time.time_ns()}"
+        path = f"{self.root}/views/{view.name}/{view.version}/{uuid.uuid4().hex}"
         view.rows(source).write.parquet(path)
         detail = {"keys": ",".join(view.entity.keys), "ts": view.ts or "", "refresh": view.refresh}
         self._log("view", view.name, view.version, "live", path=path, detail=detail)
@@ -76,8 +81,7 @@ class Registry:
         return self.spark.read.parquet(self._entry("view", name, version)["path"])
 
     def delete_view(self, name: str, version: str) -> None:
-        self._entry("view", name, version)
-        self._log("view", name, version, "deleted")
+        self._log("view", name, self._entry("view", name, version)["version"], "deleted")
 
     # -- runs --
 
@@ -100,7 +104,7 @@ class Registry:
         signature: Sequence[str],
         metrics: Mapping[str, float],
     ) -> None:
-        path = f"{self.root}/models/{name}/{version}/{time.time_ns()}"
+        path = f"{self.root}/models/{name}/{version}/{uuid.uuid4().hex}"
         model.save(path)
         self._log(
             "model", name, version, "live", path=path, signature=list(signature), metrics=dict(metrics)
@@ -119,14 +123,14 @@ class Registry:
         return PipelineModel.load(entry["path"]), list(entry["signature"]), dict(entry["metrics"])
 
     def set_default(self, name: str, version: str) -> None:
-        self._entry("model", name, version)
-        self._log("default", name, "default", "live", detail={"version": version})
+        found = self._entry("model", name, version)["version"]
+        self._log("default", name, "default", "live", detail={"version": found})
 
     def default(self, name: str) -> str:
         return self._entry("default", name, "default")["detail"]["version"]
 
     def delete_version(self, name: str, version: str) -> None:
-        self._entry("model", name, version)
+        version = self._entry("model", name, version)["version"]
         chosen = self.entries("default").where(F.col("name") == name).first()
         if chosen is not None and chosen["detail"]["version"] == version:
             raise ValueError(f"{name}/{version} is the default; choose another first")

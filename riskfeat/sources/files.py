@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import uuid
+from collections.abc import Callable, Sequence
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -12,7 +13,7 @@ from riskfeat import schemas as S
 from riskfeat.session import scratch_dir
 
 
-def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
+def _read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
     """Columns go by position, the header is skipped, a malformed row fails the load."""
     return (
         spark.read.schema(schema)
@@ -25,20 +26,20 @@ def _read_csv(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     )
 
 
-def read_transactions(spark: SparkSession, path: str) -> DataFrame:
+def read_transactions(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _read_csv(spark, path, S.TXN_SCHEMA)
 
 
-def with_row_key(df: DataFrame) -> DataFrame:
+def with_row_key(df: DataFrame, load: int = 0) -> DataFrame:
     """Adds ``event_key`` to rows just read from files, which have no key of their own.
 
     It tells copies of a row apart, breaks ties and orders samples. Write the result before
-    using it: the numbers follow the layout of the files.
+    using it: the numbers follow the layout of the files. ``load`` tells loads apart.
     """
-    return df.withColumn("event_key", F.monotonically_increasing_id().cast("string"))
+    return df.withColumn("event_key", F.concat(F.lit(f"{load}-"), F.monotonically_increasing_id()))
 
 
-def read_accounts(spark: SparkSession, path: str) -> DataFrame:
+def read_accounts(spark: SparkSession, path: str | list[str]) -> DataFrame:
     return _read_csv(spark, path, S.ACCOUNT_SCHEMA)
 
 
@@ -66,38 +67,83 @@ def staged(df: DataFrame, purpose: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def load_once(spark: SparkSession, make: Callable[[], DataFrame], path: str, min_rows: int) -> bool:
-    """Write the table unless it already holds ``min_rows`` rows. True when it wrote."""
-    present = read_table(spark, path)
-    if present is not None and present.count() >= min_rows:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder, wherever the session's file systems keep it."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def landing_files(spark: SparkSession, landing: str) -> DataFrame:
+    """(file, size, changed) of the files in a landing folder."""
+    return (
+        spark.read.format("binaryFile")
+        .option("recursiveFileLookup", True)
+        .load(landing)
+        .select(F.col("path").alias("file"), F.col("length").alias("size"), F.col("modificationTime").alias("changed"))
+        .where(~F.element_at(F.split("file", "/"), -1).rlike("^[._]"))
+    )
+
+
+def load_new(
+    spark: SparkSession, landing: str, path: str, make: Callable[[list[str], int], DataFrame]
+) -> bool:
+    """Append the landing files that were not loaded yet; True when there were any.
+
+    A manifest keeps path, size and time of every loaded file, so a file that arrives later, or
+    changes, is loaded then, and none is loaded twice. ``make(files, number)`` reads them. Each load has
+    a folder of its own, which counts once the manifest names it: a load that died is overwritten
+    by the next one.
+    """
+    present = landing_files(spark, landing)
+    manifest = read_table(spark, f"{path}/manifest")
+    number = 0
+    if manifest is not None:
+        present = present.join(manifest, ["file", "size", "changed"], "left_anti")
+        number = manifest.agg(F.max("load").alias("load")).first()["load"] + 1
+    new = present.orderBy("file").collect()
+    if not new:
         return False
-    make().write.mode("overwrite").parquet(path)
+    make([row["file"] for row in new], number).write.mode("overwrite").parquet(f"{path}/rows/load={number}")
+    entries = spark.createDataFrame(new, present.schema).withColumn("load", F.lit(number))
+    entries.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
     return True
 
 
+def loaded(spark: SparkSession, path: str) -> DataFrame:
+    """The rows of all loads that the manifest names."""
+    loads = spark.read.parquet(f"{path}/manifest").select("load").distinct()
+    rows = spark.read.parquet(f"{path}/rows")
+    return rows.join(F.broadcast(loads), "load", "left_semi").drop("load")
+
+
 def current_version(spark: SparkSession, root: str, name: str) -> int:
     """Number of the newest complete version, 0 before the first."""
     log = read_table(spark, f"{root}/{name}/versions")
     return 0 if log is None else log.agg(F.max("version").alias("version")).first()["version"]
 
 
-def write_version(df: DataFrame, root: str, name: str) -> int:
+def write_version(df: DataFrame, root: str, name: str, by: Sequence[str] = ()) -> int:
     """Write a new version beside the old ones, then make it the current one.
 
     It takes effect with the last step, one row in ``versions``: a job that dies before
-    leaves the table as it was, and a job may read the table it replaces.
+    leaves the table as it was, and a job may read the table it replaces. Every write has a folder of
+    its own, so two writers never touch each other's rows; of two that took the same number the
+    one whose row has the greater folder name counts. ``by`` partitions the table.
     """
     spark = df.sparkSession
     version = current_version(spark, root, name) + 1
-    df.write.mode("overwrite").parquet(f"{root}/{name}/v={version}")
-    entry = spark.range(1).select(F.lit(version).alias("version"))
+    folder = f"v={version}-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").partitionBy(*by).parquet(f"{root}/{name}/{folder}")
+    entry = spark.range(1).select(F.lit(version).alias("version"), F.lit(folder).alias("folder"))
     entry.coalesce(1).write.mode("append").parquet(f"{root}/{name}/versions")
     return version
 
 
 def read_version(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
     """The table at a version, by default the current one."""
-    return spark.read.parquet(f"{root}/{name}/v={version or current_version(spark, root, name)}")
+    version = version or current_version(spark, root, name)
+    folders = spark.read.parquet(f"{root}/{name}/versions").where(F.col("version") == version)
+    return spark.read.parquet(f"{root}/{name}/{folders.agg(F.max('folder').alias('f')).first()['f']}")
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
@@ -111,8 +157,19 @@ def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:
 
 
 def write_predictions(df: DataFrame, path: str, as_of: str) -> None:
-    """Scores by event date, stamped with the time of the run."""
-    stamped = df.withColumn("scored_at", F.lit(as_of).cast("timestamp_ntz")).withColumn(
-        "event_date", F.to_date("event_ts")
+    """Scores in the folder of their run; a rerun replaces its own rows and no others."""
+    run = F.lit(as_of).cast("timestamp_ntz")
+    stamped = (
+        df.withColumn("scored_at", run)
+        .withColumn("event_date", F.to_date("event_ts"))
+        .withColumn("run", F.date_format(run, "yyyy-MM-dd'T'HH-mm-ss"))
     )
-    write_partitioned(stamped, path, ["event_date"])
+    write_partitioned(stamped, path, ["run"])
+
+
+def read_predictions(spark: SparkSession, path: str, key: str = "event_key") -> DataFrame:
+    """The newest score of every event, over all runs."""
+    runs = spark.read.parquet(path).drop("run")
+    rest = [c for c in runs.columns if c not in (key, "scored_at")]
+    newest = F.max(F.struct("scored_at", *rest)).alias("row")
+    return runs.groupBy(key).agg(newest).select(key, "row.*").select(runs.columns)

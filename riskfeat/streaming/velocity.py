@@ -1,7 +1,7 @@
 """Velocity tiles and latest rows kept up to date from a stream.
 
 Every micro-batch writes its own folder by batch id, overwriting it when a batch is replayed.
-Readers take the newest row per key, so replays and restarts leave the same result.
+Readers merge what the batches hold, so replays and restarts leave the same result.
 """
 
 from __future__ import annotations
@@ -24,11 +24,11 @@ from riskfeat.sources.files import (
     current_version,
     read_table,
     read_version,
+    remove,
     write_partitioned,
     write_version,
 )
 
-WATERMARK = "48 hours"
 
 
 def passthrough(df: DataFrame) -> DataFrame:
@@ -42,9 +42,9 @@ def _write_batch(path: str, shape: Callable[[DataFrame], DataFrame]) -> Callable
     return write
 
 
-def _start(stream: DataFrame, path: str, shape: Callable, mode: str, trigger: dict) -> StreamingQuery:
+def _start(stream: DataFrame, path: str, shape: Callable, trigger: dict) -> StreamingQuery:
     return (
-        stream.writeStream.outputMode(mode)
+        stream.writeStream.outputMode("append")
         .foreachBatch(_write_batch(f"{path}/data", shape))
         .option("checkpointLocation", f"{path}/checkpoint")
         .trigger(**trigger)
@@ -52,6 +52,11 @@ def _start(stream: DataFrame, path: str, shape: Callable, mode: str, trigger: di
     )
 
 
+def _backfill_end(spark: SparkSession, path: str) -> dt.datetime | None:
+    end = read_table(spark, f"{path}/backfill-end")
+    return None if end is None else end.first()["end"]
+
+
 def start_velocity(
     stream: DataFrame,
     path: str,
@@ -61,13 +66,20 @@ def start_velocity(
     transform: Callable[[DataFrame], DataFrame] = passthrough,
     trigger: dict | None = None,
 ) -> StreamingQuery:
-    """Keep hour tiles per key. Each batch writes the tiles it changed, whole.
+    """Keep hour tiles per key. Each batch writes the tiles of its own events.
 
-    Events later than the watermark are dropped by Spark and counted in the query progress.
+    Counts, sums and sketches of a tile's parts merge when they are read, so there is no state,
+    and an event counts however late it comes. Events that the backfill holds, those up to
+    its end, are left out; events without a time have no tile.
     """
-    timed = stream.transform(transform).withColumn(ts, F.col(ts).cast("timestamp"))
-    tiles = hour_tiles(timed.withWatermark(ts, WATERMARK), key, ts, features)
-    return _start(tiles, path, passthrough, "update", trigger or {"processingTime": "1 minute"})
+    end = _backfill_end(stream.sparkSession, path)
+
+    def tiles(batch: DataFrame) -> DataFrame:
+        timed = batch.transform(transform).withColumn(ts, F.col(ts).cast("timestamp")).where(F.col(ts).isNotNull())
+        fresh = timed if end is None else timed.where(F.col(ts) > F.lit(end))
+        return hour_tiles(fresh, key, ts, features)
+
+    return _start(stream, path, tiles, trigger or {"processingTime": "1 minute"})
 
 
 def backfill(
@@ -77,41 +89,32 @@ def backfill(
     ts: str = "event_ts",
     features: Sequence[Feature] = VELOCITY_FEATURES,
 ) -> None:
-    """Tiles of past events; the stream starts with the events after them."""
-    timed = events.withColumn(ts, F.col(ts).cast("timestamp"))
+    """Tiles of past events, and where they end; a stream started afterwards goes on from there."""
+    timed = events.withColumn(ts, F.col(ts).cast("timestamp")).where(F.col(ts).isNotNull())
     hour_tiles(timed, key, ts, features).write.mode("overwrite").parquet(f"{path}/backfill")
+    end = timed.agg(F.max(ts).alias("end"))
+    end.coalesce(1).write.mode("overwrite").parquet(f"{path}/backfill-end")
 
 
 def _batches(spark: SparkSession, path: str) -> DataFrame:
-    """All rows written so far, where compacted batches count as the last of them."""
+    """All rows written so far: those compacted, and the batches after them."""
     written = read_table(spark, f"{path}/data")
-    if written is None:
-        raise FileNotFoundError(f"no batch has been written below {path}")
     if not current_version(spark, path, "compacted"):
+        if written is None:
+            raise FileNotFoundError(f"no batch has been written below {path}")
         return written
     base = read_version(spark, path, "compacted")
+    if written is None:
+        return base
     upto = base.agg(F.max("batch").alias("batch")).first()["batch"]
     return base.unionByName(written.where(F.col("batch") > upto))
 
 
-def _newest_tiles(written: DataFrame, key: str) -> DataFrame:
-    """A stream writes a tile whole whenever it changes, so its last batch counts."""
-    values = [c for c in written.columns if c not in (key, "hour", "batch")]
-    return (
-        written.groupBy(key, "hour")
-        .agg(F.max_by(F.struct(*values), "batch").alias("row"))
-        .select(key, "hour", "row.*")
-    )
-
-
 def read_tiles(spark: SparkSession, path: str, key: str = "account_id") -> DataFrame:
-    """The current tile per key and hour.
-
-    An hour that the backfill began and the stream went on with is the merger of both.
-    """
-    tiles = _newest_tiles(_batches(spark, path), key)
+    """The tile per key and hour, merged from all batches that had events in it and the backfill."""
+    tiles = _batches(spark, path).drop("batch")
     past = read_table(spark, f"{path}/backfill")
-    return tiles if past is None else merge_tiles(tiles.unionByName(past), key)
+    return merge_tiles(tiles if past is None else tiles.unionByName(past), key)
 
 
 def start_latest(
@@ -122,7 +125,6 @@ def start_latest(
         stream,
         path,
         lambda batch: latest_by_key(batch, key, ts),
-        "append",
         trigger or {"processingTime": "1 minute"},
     )
 
@@ -132,23 +134,24 @@ def read_latest(spark: SparkSession, path: str, key: str, ts: str) -> DataFrame:
     return latest_by_key(_batches(spark, path).drop("batch"), key, ts)
 
 
-def _compact(spark: SparkSession, path: str, newest: Callable[[DataFrame], DataFrame]) -> None:
+def _compact(spark: SparkSession, path: str, merged: Callable[[DataFrame], DataFrame]) -> None:
     written = _batches(spark, path)
     upto = written.agg(F.max("batch").alias("batch")).first()["batch"]
-    kept = newest(written.where(F.col("batch") <= upto))
+    kept = merged(written.where(F.col("batch") <= upto).drop("batch"))
     write_version(kept.withColumn("batch", F.lit(upto).cast("int")), path, "compacted")
+    # The table above now stands for these folders; a replay of the last one is ignored by readers.
+    stale = read_table(spark, f"{path}/data")
+    for row in [] if stale is None else stale.where(F.col("batch") <= upto).select("batch").distinct().collect():
+        remove(spark, f"{path}/data/batch={row['batch']}")
 
 
 def compact_tiles(spark: SparkSession, path: str, key: str = "account_id") -> None:
-    """Fold the batches so far into one table, while the stream goes on.
-
-    Readers then skip their folders, which may be taken away.
-    """
-    _compact(spark, path, lambda df: _newest_tiles(df, key))
+    """Fold the batches so far into one table and delete them, while the stream goes on."""
+    _compact(spark, path, lambda df: merge_tiles(df, key))
 
 
 def compact_latest(spark: SparkSession, path: str, key: str, ts: str) -> None:
-    _compact(spark, path, lambda df: latest_by_key(df.drop("batch"), key, ts))
+    _compact(spark, path, lambda df: latest_by_key(df, key, ts))
 
 
 def start_event_features(
@@ -161,7 +164,7 @@ def start_event_features(
 ) -> StreamingQuery:
     """Give every event its exact rolling features as it arrives.
 
-    A batch is put beside the events of earlier batches that its windows still reach,
+    A batch is put beside the earlier events of its accounts on the days that its windows touch,
     and goes through the same function as a table would. An event that arrives late
     gets its features from all that has arrived; what was written before it stays.
     """
@@ -180,13 +183,18 @@ def start_event_features(
             return
         kept = stored.where(F.col("batch") <= batch_id)
         new = F.col("batch") == batch_id
-        first = kept.where(new).agg(F.min(ts).alias("ts")).first()["ts"]
-        recent = kept.where(new)
-        if first is not None:
-            reach = first - longest
-            recent = kept.where(new | (F.col("event_date") >= F.lit(reach.date()))).where(
-                new | (F.col(ts) >= F.lit(reach))
-            )
+        days = F.sequence(F.to_date(F.col(ts) - F.lit(longest)), F.to_date(ts))
+        wanted = (
+            kept.where(new & F.col(ts).isNotNull())
+            .select(F.col(key).alias("_key"), F.explode(days).alias("_day"))
+            .distinct()
+        )
+        # Only folders of days that the batch's windows touch are read, and of them only its keys.
+        touched = [row["_day"] for row in wanted.select("_day").distinct().collect()]
+        past = kept.where(~new & F.col("event_date").isin(touched)).join(
+            wanted, F.col(key).eqNullSafe(F.col("_key")) & (F.col("event_date") == F.col("_day")), "left_semi"
+        )
+        recent = kept.where(new).unionByName(past)
         rolled = rolling_features(recent, key, ts, features).where(new).drop("event_date", "batch")
         rolled.write.mode("overwrite").parquet(f"{path}/data/batch={batch_id}")
 

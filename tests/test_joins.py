@@ -29,6 +29,12 @@ def test_heavy_keys_list_only_large_ones(spark, skewed, rows):
     assert rows(heavy) == [(None, 2), ("hot", 4)]
 
 
+def test_every_key_above_its_share_is_salted(spark):
+    counts = spark.range(30_000).select(F.col("id").alias("k"), F.when(F.col("id") < 9_000, 10).otherwise(1).alias("n_rows"))
+    assert joins.heavy_keys(counts, "k", rows_per_salt=2).count() == 0  # one part in 10,000 is 11 rows
+    assert joins.heavy_keys(counts.where("id < 20000 AND (id < 9000 OR id % 11 = 0)"), "k", rows_per_salt=2).count() == 9_000
+
+
 def test_salted_join_equals_plain_join(skewed, views, rows):
     heavy = joins.heavy_keys(joins.key_counts(skewed, "account_id"), "account_id", rows_per_salt=50)
     got = joins.left_join_by_key(skewed, views, "account_id", heavy)

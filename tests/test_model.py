@@ -60,13 +60,12 @@ def test_kept_columns_that_are_features_too_stay_readable(abt):
     assert got.columns == ["amount_paid_raw", "event_key", "amount_paid"]
 
 
-def test_signature_orders_features_and_limits_categories(abt, monkeypatch):
+def test_signature_orders_features_of_any_number_of_categories(abt, spark):
     names = matrix.signature(abt, with_risk=True)
     assert names == [*S.REQUEST_FEATURES, *S.PROFILE_FEATURES, *S.RISK_FEATURES,
                      "payment_format_credit_card", "payment_format_teleport"]
-    monkeypatch.setattr(matrix, "MAX_CATEGORIES", 1)
-    with pytest.raises(ValueError, match="too many"):
-        matrix.signature(abt)
+    many = spark.range(1500).select(F.concat(F.lit("Format "), "id").alias("payment_format"))
+    assert len(matrix.format_categories(many)) == 1500
 
 
 def test_training_set_keeps_the_spine_and_refuses_double_names(abt, history):

@@ -10,6 +10,10 @@ from riskfeat.sources import files, fixture
 
 SF = "/root/testdata/sf0.001"
 FAST = {"maxIter": 20}
+PATTERN = """BEGIN LAUNDERING ATTEMPT - FAN-OUT:  Max 1-degree Fan-Out
+2022/09/01 00:20,010,A1,011,B1,10.00,US Dollar,10.00,US Dollar,ACH,1
+END LAUNDERING ATTEMPT - FAN-OUT
+"""
 
 
 @pytest.fixture(scope="module")
@@ -20,9 +24,9 @@ def roots(spark, tmp_path_factory):
     txns = fixture.transactions(spark, SF).select(S.TXN_SCHEMA.names)
     txns.write.option("header", True).csv(f"{landing}/transactions")
     fixture.accounts(spark, SF).write.option("header", True).csv(f"{landing}/accounts")
-    expected = (txns.count(), 1)
-    for _ in range(2):  # the second load finds the raw tables complete
-        P.load(spark, f"{landing}/transactions", f"{landing}/accounts", prod, fixture.CUTOFF, expected)
+    (base / "patterns.txt").write_text(PATTERN)
+    for _ in range(2):  # the second load finds no new files
+        P.load(spark, f"{landing}/transactions", f"{landing}/accounts", prod, fixture.CUTOFF, str(base / "patterns.txt"))
     P.build_abt(spark, prod, dev, fixture.CUTOFF)
     return dev, prod
 
@@ -46,7 +50,8 @@ def test_tables_of_the_load(spark, roots):
     events = files.read_version(spark, prod, "txn_events")
     assert files.read_version(spark, dev, "abt").count() == events.count() > 5000
     assert files.current_version(spark, prod, "txn_events") == 2
-    raw = spark.read.parquet(f"{prod}/raw/transactions")
+    raw = files.loaded(spark, f"{prod}/raw/transactions")
+    assert files.read_version(spark, prod, "laundering_patterns").count() == 1
     assert raw.columns == [*S.TXN_SCHEMA.names, "event_key"]
     assert raw.select("event_key").distinct().count() == raw.count()
 
@@ -62,7 +67,8 @@ def test_runs_compare_and_repeat_in_place(spark, trained):
     from riskfeat.operators.metrics import compare_runs
 
     names = {r["metric"] for r in compare_runs(registry.runs(), "train_V1", "train_V2").collect()}
-    assert names == {"pr_auc", "roc_auc", "recall_at_k", "base_rate"}
+    sampled = {"pr_auc", "roc_auc", "recall_at_k", "base_rate"}
+    assert names == sampled | {f"full_{n}" for n in sampled}
     v2 = registry.runs().where("run = 'train_V2'").first()
     assert v2["params"]["views"] == "ACCOUNT_PROFILE,ACCOUNT_RISK"
     assert v2["params"]["kind"] == "monotone_lr"
@@ -74,11 +80,11 @@ def test_promotion_copies_the_fitted_model_once_and_scores(spark, trained):
     assert P.promote(spark, dev, prod, as_of, cutoff=fixture.CUTOFF) == "V2"
     entries = lambda: Registry(spark, prod).entries("model").collect()
     first = entries()
-    scores = spark.read.parquet(f"{prod}/predictions")
+    scores = files.read_predictions(spark, f"{prod}/predictions")
     once = sorted(tuple(r) for r in scores.collect())
-    assert P.promote(spark, dev, prod, as_of, "V2", fixture.CUTOFF) == "V2"
+    assert P.promote(spark, dev, prod, as_of, "v2", fixture.CUTOFF) == "V2"
     assert entries() == first
-    again = sorted(tuple(r) for r in spark.read.parquet(f"{prod}/predictions").collect())
+    again = sorted(tuple(r) for r in files.read_predictions(spark, f"{prod}/predictions").collect())
     assert again == once and once
     assert {"account_id", "event_ts", "payment_format", "label", "fraud_score", "scored_at"} <= set(scores.columns)
     model, names, metrics = Registry(spark, prod).model(P.MODEL, "V2")

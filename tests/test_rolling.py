@@ -59,6 +59,18 @@ def test_features_equal_brute_force_on_a_busy_key(spark):
     check(spark, data, tile_seconds=600)
 
 
+@pytest.mark.parametrize("odd", [1e16, 1e12, -1e300, float("nan"), float("inf"), float("-inf")])
+def test_amounts_that_left_the_window_leave_no_trace(spark, odd):
+    hours = [0, 24.5, 30, 47, 49, 72.4, 72.6, 100]
+    data = [event(i, "a", int(h * 3600), 0, odd if i == 0 else i / 100, "r1") for i, h in enumerate(hours)]
+    df = spark.createDataFrame(data, SCHEMA)
+    got = {r["id"]: r for r in rolling.rolling_features(df, "account_id", "event_ts").collect()}
+    for hours_back, name in ((24, "amt_sum_24h"), (48, "amt_sum_48h")):
+        for i, h in enumerate(hours):
+            inside = [data[j][3] for j, g in enumerate(hours) if h - hours_back <= g <= h]
+            assert got[i][name] == pytest.approx(sum(inside), rel=1e-12, nan_ok=True), (name, i)
+
+
 def test_window_edges_are_inclusive_to_the_microsecond(spark):
     hour = 3600
     offsets = [(0, 0), (hour, 0), (hour, 1), (24 * hour, 0), (24 * hour, 1), (48 * hour, 0), (48 * hour, 1), (48 * hour, 1)]

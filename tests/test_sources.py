@@ -35,13 +35,23 @@ def test_accounts_csv(spark, tmp_path):
     assert files.read_accounts(spark, str(tmp_path / "a.csv")).collect() == [("X Bank #1", "001", "A", "E", "Person #2")]
 
 
-def test_load_once_skips_a_full_table(spark, tmp_path):
-    path = str(tmp_path / "table")
-    assert files.load_once(spark, lambda: spark.range(5), path, 5)
-    assert not files.load_once(spark, lambda: spark.range(9), path, 5)
-    assert spark.read.parquet(path).count() == 5
-    assert files.load_once(spark, lambda: spark.range(9), path, 6)
-    assert spark.read.parquet(path).count() == 9
+def test_every_landing_file_is_loaded_once_whenever_it_arrives(spark, tmp_path):
+    landing, path = tmp_path / "landing", str(tmp_path / "raw")
+    landing.mkdir()
+    make = lambda new, load: files.with_row_key(spark.read.text(new), load)
+    load = lambda: files.load_new(spark, str(landing), path, make)
+    assert not load()
+    (landing / "a.txt").write_text("1\n2\n")
+    assert load() and not load()
+    (landing / "b.txt").write_text("3\n")
+    (landing / "_SUCCESS").write_text("")
+    # A load that died before its manifest entry leaves rows that do not count.
+    spark.range(1).selectExpr("'lost' AS value", "'x' AS event_key").write.parquet(f"{path}/rows/load=1")
+    assert sorted(r["value"] for r in files.loaded(spark, path).collect()) == ["1", "2"]
+    assert load() and not load()
+    rows = files.loaded(spark, path).collect()
+    assert sorted(r["value"] for r in rows) == ["1", "2", "3"]
+    assert len({r["event_key"] for r in rows}) == 3
 
 
 def test_versions_can_read_what_they_replace(spark, tmp_path):
@@ -53,23 +63,33 @@ def test_versions_can_read_what_they_replace(spark, tmp_path):
     assert files.read_version(spark, root, "t").count() == 6
     assert files.read_version(spark, root, "t", 1).count() == 3
     # A version whose writer died before the last step is not current, and is written anew.
-    spark.range(1).write.parquet(f"{root}/t/v=3")
+    spark.range(1).write.parquet(f"{root}/t/v=3-lost")
     assert files.read_version(spark, root, "t").count() == 6
     assert files.write_version(spark.range(8), root, "t") == 3
     assert files.read_version(spark, root, "t").count() == 8
 
 
-def test_predictions_replace_only_their_dates(spark, tmp_path):
+def test_no_run_takes_predictions_of_another(spark, tmp_path):
     path = str(tmp_path / "p")
 
-    def write(sql):
-        files.write_predictions(spark.sql(sql), path, "2024-01-09 06:00:00")
+    def write(ids, as_of):
+        rows = f"SELECT id AS event_key, timestamp_ntz'2024-01-01' + make_dt_interval(0, 6 * cast(id AS int)) AS event_ts, '{as_of}' AS run_of FROM range({ids})"
+        files.write_predictions(spark.sql(rows), path, as_of)
 
-    write("SELECT 1 AS id, explode(array(timestamp_ntz'2024-01-01 10:00:00', timestamp_ntz'2024-01-02 10:00:00')) AS event_ts")
-    write("SELECT 2 AS id, timestamp_ntz'2024-01-02 11:00:00' AS event_ts")
-    write("SELECT 2 AS id, timestamp_ntz'2024-01-02 11:00:00' AS event_ts")
-    got = sorted((str(r["event_date"]), r["id"]) for r in spark.read.parquet(path).collect())
-    assert got == [("2024-01-01", 1), ("2024-01-02", 2)]
+    write("2, 7", "2024-01-02 06:00:00")
+    for _ in range(2):
+        write("6, 11", "2024-01-03 06:00:00")
+    got = {r["event_key"]: r["run_of"] for r in files.read_predictions(spark, path).collect()}
+    assert got == {i: f"2024-01-0{2 if i < 6 else 3} 06:00:00" for i in range(2, 11)}
+    assert spark.read.parquet(path).count() == 10
+
+
+def test_two_writers_of_one_version_keep_their_rows_apart(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    monkeypatch.setattr(files, "current_version", lambda *_: 0)
+    files.write_version(spark.range(3), root, "t")
+    files.write_version(spark.range(5), root, "t")
+    assert files.read_version(spark, root, "t", 1).count() in (3, 5)
 
 
 def test_scratch_lies_below_the_checkpoint_folder(spark):

@@ -1,4 +1,5 @@
 import datetime as dt
+from pathlib import Path
 
 import pytest
 
@@ -55,30 +56,34 @@ def test_stream_equals_batch_over_several_files_and_restarts(spark, folders, row
 
 def test_replayed_batch_leaves_the_same_tiles(spark, folders, rows):
     source, target = folders
-    streams.land_events(events(spark, [("a", 1, 5), ("b", 2, 6)]), source)
+    streams.land_events(events(spark, [("a", 1, 5), ("b", 2, 6)]).coalesce(1), source)
     drain(spark, source, target)
     before = rows(velocity.read_tiles(spark, target), *PLAIN)
     tiles = rolling.hour_tiles(events(spark, [("a", 1, 5), ("b", 2, 6)]), "account_id", "event_ts")
-    velocity._write_batch(f"{target}/data", velocity.passthrough)(tiles, 0)
+    velocity._write_batch(f"{target}/data", velocity.passthrough)(tiles, 0)  # the batch's own tiles again
     assert rows(velocity.read_tiles(spark, target), *PLAIN) == before
 
 
-def test_events_older_than_the_watermark_are_dropped(spark, folders, rows):
+def test_events_count_however_late_they_come(spark, folders, rows):
     source, target = folders
     days = 24 * 60
-    for batch in ([("a", 0, 1)], [("a", 5 * days, 1)], [("a", 5 * days + 1, 1)]):
+    seen = []
+    for batch in ([("a", 0, 1)], [("a", 5 * days, 1)], [("a", 1, 100), ("a", 4 * days, 10)]):
         streams.land_events(events(spark, batch).coalesce(1), source)
+        seen += batch
         drain(spark, source, target)
-    # Five days back is too late, one day back is not.
-    streams.land_events(events(spark, [("a", 1, 100), ("a", 4 * days, 10)]).coalesce(1), source)
-    query = drain(spark, source, target)
-    got = {r["hour"]: r["sum_amount_paid"] for r in velocity.read_tiles(spark, target).collect()}
-    assert got[START] == 1.0
-    assert got[START + dt.timedelta(days=4)] == 10.0
-    dropped = sum(
-        op["numRowsDroppedByWatermark"] for p in query.recentProgress for op in p["stateOperators"]
-    )
-    assert dropped == 1
+    expected = rolling.hour_tiles(events(spark, seen), "account_id", "event_ts")
+    assert rows(velocity.read_tiles(spark, target), *PLAIN) == rows(expected, *PLAIN)
+
+
+def test_events_of_the_backfill_count_once(spark, folders, rows):
+    source, target = folders
+    past, fresh = [("a", 1, 5), ("a", 10, 10), ("b", 10, 1)], [("a", 20, 7)]
+    velocity.backfill(events(spark, past), target)
+    streams.land_events(events(spark, past + fresh), source)
+    drain(spark, source, target)
+    whole = rolling.hour_tiles(events(spark, past + fresh), "account_id", "event_ts")
+    assert rows(velocity.read_tiles(spark, target), *PLAIN) == rows(whole, *PLAIN)
 
 
 def test_backfill_and_stream_meet_within_an_hour(spark, folders, rows):
@@ -138,6 +143,7 @@ def test_compacted_batches_read_the_same_and_the_stream_goes_on(spark, folders,
         assert rows(velocity.read_tiles(spark, target), *PLAIN) == rows(expected, *PLAIN)
     base = velocity.read_version(spark, target, "compacted")
     assert base.count() == 3
+    assert not list(Path(target, "data").glob("batch=*"))
 
 
 def test_compacted_latest_rows(spark, folders, rows):
@@ -177,6 +183,19 @@ def test_a_late_event_counts_what_has_arrived(spark, folders, rows):
     assert rows(got, "amount_paid", "txn_count_1h") == [(1.0, 1), (5.0, 1)]
 
 
+def test_a_stray_old_event_reads_its_own_days_and_accounts(spark, folders, rows):
+    source, target = folders
+    days = 24 * 60
+    specs = [("a", d * days, 1) for d in range(30, 0, -3)] + [("b", 2 * days, 4), ("a", 2 * days + 5, 8)]
+    for batch in (specs[:10], specs[10:], [("a", 3 * days + 5, 2)]):
+        streams.land_events(events(spark, batch).coalesce(1), source)
+        velocity.start_event_features(
+            streams.read_event_stream(spark, source, 1), target, trigger=DRAIN
+        ).awaitTermination()
+    got = {r["amount_paid"]: (r["txn_count_24h"], r["amt_sum_48h"]) for r in velocity.read_event_features(spark, target).collect()}
+    assert got[2.0] == (3, 11.0)  # itself, one five minutes before, and one a day before
+
+
 def test_reading_before_the_first_batch_fails_clearly(spark, folders):
     with pytest.raises(FileNotFoundError):
         velocity.read_tiles(spark, folders[1])
