@@ -1,49 +1,150 @@
-"""Hashes of words and of runs of words, for use inside tasks."""
+"""Hashes of words and of runs of words, for use inside tasks.
+
+All texts of a part of a batch are hashed together, as arrays: a word is a polynomial in its bytes, a
+run of words one in theirs, both modulo 2^64 and mixed afterwards. Sums of all powers so far
+give every word and every run by one subtraction.
+"""
 
 from __future__ import annotations
 
+from collections.abc import Iterator, Sequence
+
 import numpy as np
+import pyarrow as pa
 import xxhash
 
-CACHED_WORDS = 200_000
+#: Bytes of text, or words, that are hashed at a time.
+PIECE = 1 << 20
+BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
+SPACE = np.zeros(256, bool)
+SPACE[list(b" \t\n\x0b\x0c\r")] = True
+
+
+def mixed(values: np.ndarray) -> np.ndarray:
+    """Spread every bit over all others, in place."""
+    for shift, factor in ((30, MIX_A), (27, MIX_B)):
+        values ^= values >> np.uint64(shift)
+        values *= factor
+    values ^= values >> np.uint64(31)
+    return values
+
+
+def _letters(fold: bool) -> np.ndarray:
+    values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[0]))
+    if fold:
+        values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
+    return values
+
+
+LETTERS = {fold: _letters(fold) for fold in (False, True)}
+
+
+class Powers:
+    """Powers of an odd base and of its inverse, as many as were needed so far."""
+
+    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 
+    @staticmethod
+    def up_to(base: int, n: int) -> np.ndarray:
+        factors = np.full(n, base, np.uint64)
+        factors[0] = 1
+        return np.cumprod(factors, dtype=np.uint64)
 
-class WordHashes(dict):
-    """64-bit hashes of words; the first ``CACHED_WORDS`` are remembered."""
+    @classmethod
+    def of(cls, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
+        found = cls.known.get(base)
+        if found is None or len(found[0]) < n:
+            size = max(n, 1 << 16)
+            found = cls.known[base] = tuple(cls.up_to(b, size) for b in (base, pow(base, -1, 1 << 64)))
+        return found[0][:n], found[1][:n]
 
-    def __missing__(self, word: bytes) -> int:
-        value = xxhash.xxh64_intdigest(word)
-        if len(self) < CACHED_WORDS:
-            self[word] = value
-        return value
 
-    def of(self, words: list[bytes]) -> np.ndarray:
-        return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
+def _spans(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """The polynomial of values[start:end] for every span."""
+    up, down = Powers.of(base, len(values))
+    sums = np.empty(len(values) + 1, np.uint64)
+    sums[0] = 0
+    np.cumsum(values * up, out=sums[1:])
+    return (sums[ends] - sums[starts]) * down[starts]
 
 
-def runs(hashes: np.ndarray, width: int, seed: int = 0) -> np.ndarray:
-    """One 64-bit hash for every run of ``width`` words."""
+def _pieces(data: bytes) -> Iterator[bytes]:
+    """Cuts between words, about every PIECE bytes."""
+    at = 0
+    while at < len(data):
+        end = min(len(data), at + PIECE)
+        while end < len(data) and data[end - 1] not in b" \t\n\x0b\x0c\r":
+            end += 1
+        yield data[at:end]
+        at = end
+
+
+def word_hashes(texts: Sequence[str | None], fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
+    """Hashes of all words of all texts in order, and where each text's words start and the last's end.
+
+    Words are separated by ASCII white space; ``fold`` takes A-Z for a-z.
+    """
+    found, firsts, offset, n = [], [0], 0, 0
+    encoded = [(t or "").encode("utf-8", "replace") for t in texts]
+    data = b"\n".join(encoded)
+    bounds = np.cumsum([len(e) + 1 for e in encoded])  # a text's end, with its separator
+    places = []
+    for piece in _pieces(data):
+        raw = np.frombuffer(piece, np.uint8)
+        word = np.concatenate([[False], ~SPACE[raw], [False]])
+        edges = np.flatnonzero(word[1:] != word[:-1])
+        starts, ends = edges[::2], edges[1::2]
+        hashes = _spans(LETTERS[fold][raw], BASES[0], starts, ends)
+        hashes += (ends - starts).astype(np.uint64)
+        found.append(mixed(hashes))
+        places.append(starts + offset)
+        offset += len(piece)
+    hashes = np.concatenate([np.empty(0, np.uint64), *found])
+    places = np.concatenate([np.empty(0, np.int64), *places])
+    return hashes, np.concatenate([[0], np.searchsorted(places, bounds)]).astype(np.int64)
+
+
+def runs(hashes: np.ndarray, width: int, base: int = 0) -> np.ndarray:
+    """One hash for every run of ``width`` words; the two bases give independent ones."""
     n = len(hashes) - width + 1
     if n <= 0:
         return np.empty(0, np.uint64)
-    out = np.full(n, width + (seed << 32), np.uint64)
-    step = np.uint64(0x9E3779B97F4A7C15 + 2 * seed)
-    for k in range(width):
-        out *= step
-        out += hashes[k : k + n]
-        out ^= out >> np.uint64(32)
-    out *= np.uint64(0xBF58476D1CE4E5B9)
-    out ^= out >> np.uint64(29)
+    out = np.empty(n, np.uint64)
+    for at in range(0, n, PIECE):
+        part = hashes[at : at + PIECE + width - 1]
+        starts = np.arange(len(part) - width + 1)
+        values = part if base == 0 else mixed(part ^ np.uint64(BASES[1]))
+        spans = _spans(values, BASES[base], starts, starts + width)
+        out[at : at + len(spans)] = mixed(spans + np.uint64(width))
     return out
 
 
 def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
     """The distinct runs of ``width`` words, ascending; a shorter text is one run of all its words."""
-    found = np.unique(runs(hashes, min(width, max(1, len(hashes)))).view(np.int64))
-    return found
+    return np.unique(runs(hashes, min(width, max(1, len(hashes)))).view(np.int64))
 
 
 def fingerprint(values: np.ndarray) -> tuple[int, int]:
     """Two 64-bit numbers that stand for an array."""
     both = np.frombuffer(xxhash.xxh3_128_digest(values.tobytes()), np.int64)
     return int(both[0]), int(both[1])
+
+
+def list_column(flat: np.ndarray, counts: Sequence[int], kind: pa.DataType) -> pa.ListArray:
+    """A list of numbers for each row, from all of them in order."""
+    ends = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
+
+
+def parts(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
+    """Slices of batches with about PIECE bytes of text; a longer text is a slice of its own."""
+    import pyarrow.compute as pc
+
+    for batch in batches:
+        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0))
+        group = np.cumsum(sizes) // PIECE
+        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(batch)]
+        for start, end in zip(cuts, cuts[1:]):
+            if end > start:
+                yield batch.slice(start, end - start)

@@ -23,27 +23,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskfeat.llm.common import Stages, small
 from riskfeat.llm.components import components
-from riskfeat.llm.hashing import WordHashes, fingerprint, shingles
+from riskfeat.llm.hashing import fingerprint, list_column, parts, shingles, word_hashes
 
 WIDTH = 5
 #: Least similarity in percent.
 SIMILAR = 80
 #: Hub rounds before nodes of different components meet in full.
 HUB_ROUNDS = 2
-ROWS_AT_ONCE = 1000
 
 
-def _word_sets(batch: pa.RecordBatch, width: int, cache: WordHashes) -> Iterator[tuple[int, list]]:
-    texts = batch.column("text")
-    for start in range(0, len(batch), ROWS_AT_ONCE):
-        part = texts.slice(start, ROWS_AT_ONCE).to_pylist()
-        words = [(t or "").encode("utf-8", "replace").lower().split() for t in part]
-        yield start, [shingles(cache.of(w), width) if w else np.empty(0, np.int64) for w in words]
+def _word_sets(part: pa.RecordBatch, width: int) -> list[np.ndarray]:
+    hashes, first = word_hashes(part.column("text").to_pylist(), fold=True)
+    return [
+        shingles(hashes[a:b], width) if b > a else np.empty(0, np.int64) for a, b in zip(first, first[1:])
+    ]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, arrays)]).astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate([np.empty(0, np.int64), *arrays])))
+    return list_column(np.concatenate([np.empty(0, np.int64), *arrays]), [len(a) for a in arrays], pa.int64())
 
 
 def ceil_share(n, similar: int):
@@ -60,21 +57,20 @@ def _digests(docs: DataFrame, width: int, similar: int) -> DataFrame:
     id_type = docs.schema["doc_id"].dataType.simpleString()
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
-        for batch in batches:
-            for start, sets in _word_sets(batch, width, cache):
-                prints = [fingerprint(s) for s in sets]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("doc_id").slice(start, len(sets)),
-                        batch.column("h").slice(start, len(sets)),
-                        pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([a for a, _ in prints], pa.int64()),
-                        pa.array([b for _, b in prints], pa.int64()),
-                        _lists([s[: long_prefix(len(s), similar)] for s in sets]),
-                    ],
-                    ["doc_id", "h", "n", "a", "b", "prefix"],
-                )
+        for part in parts(batches):
+            sets = _word_sets(part, width)
+            prints = [fingerprint(s) for s in sets]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("doc_id"),
+                    part.column("h"),
+                    pa.array([len(s) for s in sets], pa.int64()),
+                    pa.array([a for a, _ in prints], pa.int64()),
+                    pa.array([b for _, b in prints], pa.int64()),
+                    _lists([s[: long_prefix(len(s), similar)] for s in sets]),
+                ],
+                ["doc_id", "h", "n", "a", "b", "prefix"],
+            )
 
     return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(
         digest, f"doc_id {id_type}, h long, n long, a long, b long, prefix array<long>"
@@ -85,19 +81,18 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     """(node, n, tokens) for the wanted nodes, tokens by ascending hash."""
 
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
-        for batch in batches:
-            wanted = list(zip(batch.column("a").to_pylist(), batch.column("b").to_pylist()))
-            for start, sets in _word_sets(batch, width, cache):
-                mine = [i for i, s in enumerate(sets) if fingerprint(s) == wanted[start + i]]
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        batch.column("node").take(pa.array([start + i for i in mine], pa.int64())),
-                        pa.array([len(sets[i]) for i in mine], pa.int64()),
-                        _lists([sets[i] for i in mine]),
-                    ],
-                    ["node", "n", "tokens"],
-                )
+        for part in parts(batches):
+            wanted = zip(part.column("a").to_pylist(), part.column("b").to_pylist())
+            sets = _word_sets(part, width)
+            mine = [i for i, (s, w) in enumerate(zip(sets, wanted)) if fingerprint(s) == w]
+            yield pa.RecordBatch.from_arrays(
+                [
+                    part.column("node").take(pa.array(mine, pa.int64())),
+                    pa.array([len(sets[i]) for i in mine], pa.int64()),
+                    _lists([sets[i] for i in mine]),
+                ],
+                ["node", "n", "tokens"],
+            )
 
     texts = docs.select("doc_id", "text").join(
         small(nodes.select("node", "a", "b", "doc", "h")),

@@ -28,87 +28,102 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskfeat.llm.common import Stages
-from riskfeat.llm.hashing import WordHashes, runs
+from riskfeat.llm.hashing import MIX_A, list_column, mixed, parts, runs, word_hashes
 
 WINDOW = 20
 #: Words of a short prefix.
 SHORT = 8
-ROWS_AT_ONCE = 500
 
 
-def sparse_places(short: np.ndarray, span: int) -> np.ndarray:
-    """For every ``span`` consecutive hashes the place of the smallest, the last of equals."""
-    n = len(short) - span + 1
-    if n <= 0:
-        return np.empty(0, np.int64)
-    best, at = short[:n].copy(), np.arange(n)
-    for k in range(1, span):
-        better = short[k : k + n] <= best
-        best[better] = short[k : k + n][better]
-        at[better] = np.flatnonzero(better) + k
-    return at
+def sparse_places(prefixes: np.ndarray, span: int) -> np.ndarray:
+    """For every ``span`` consecutive hashes the place of the smallest by its upper half, the first of equals."""
+    low = np.uint64(0xFFFFFFFF)
+    least = (prefixes & ~low) | np.arange(len(prefixes), dtype=np.uint64)
+    have = 1
+    while have < span and len(least):
+        step = min(have, span - have)
+        least = np.minimum(least[:-step], least[step:])
+        have += step
+    return (least & low).astype(np.int64)
 
 
 class Suffixes:
-    """Digests of one text's suffixes."""
-
-    def __init__(self, text: str | None, cache: WordHashes, window: int, short: int):
-        hashes = cache.of((text or "").encode("utf-8", "replace").split())
-        self.window, self.hashes = window, hashes
-        prefixes = runs(hashes, short)
-        # The place that each run of ``window`` words enters at.
-        self.places, self.entry = np.unique(
-            sparse_places(prefixes, window - short + 1), return_inverse=True
-        )
+    """Digests of the suffixes of several texts.
+
+    Runs that cross the border of two texts are left out. ``places`` are those that enter, as numbers of
+    words among all; ``entry`` has for each whole run of ``window`` words its start and its place.
+    """
+
+    def __init__(self, texts: list[str | None], window: int, short: int):
+        self.window = window
+        self.hashes, self.first = word_hashes(texts)
+        n_words = np.diff(self.first)
+        self.doc = np.repeat(np.arange(len(texts)), n_words)
+        ends = self.first[1:][self.doc]
+        prefixes = runs(self.hashes, short)
+        places = sparse_places(prefixes, window - short + 1)
+        self.starts = np.flatnonzero(np.arange(len(places)) + window <= ends[: len(places)])
+        entry = places[self.starts]
+        # Places never go back, so equal ones stand together.
+        new = np.ones(len(entry), bool)
+        new[1:] = entry[1:] != entry[:-1]
+        self.entry = np.cumsum(new) - 1
+        self.places = entry[new]
+        self.place_doc = self.doc[self.places]
         self.prefix = prefixes[self.places]
+        # Texts with room for the context on both sides, filled with what is no word.
         side = window - short
-        ends = np.zeros(side, np.uint64)
-        padded = np.concatenate([ends, hashes, ends + np.uint64(1)])
-        self.context = runs(padded, window + side)[self.places] if len(self.places) else self.prefix
-
-    def first_level(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """Distinct (short prefix, context), and whether the text has the prefix twice."""
-        pairs = np.unique(np.stack([self.prefix, self.context]), axis=1)
-        values, counts = np.unique(self.prefix, return_counts=True)
-        twice = counts[np.searchsorted(values, pairs[0])] > 1
-        return pairs[0].view(np.int64), pairs[1].view(np.int64), twice
-
-    def second_level(self, prefix: np.ndarray, context: np.ndarray, copied: np.ndarray) -> tuple:
-        """What is left to look up, (a, b, start), and starts known to repeat, as (first, last) of rows of them."""
-        mix = np.uint64(0x9E3779B97F4A7C15)
-        wanted = prefix.view(np.uint64) ^ (context.view(np.uint64) * mix)
-        order = np.argsort(wanted)
-        wanted, copied = wanted[order], copied[order]
-        mine = self.prefix ^ (self.context * mix)
-        at = np.minimum(np.searchsorted(wanted, mine), max(0, len(wanted) - 1))
-        alive = wanted[at] == mine if len(wanted) else np.zeros(len(mine), bool)
-        known = alive & copied[at] if len(wanted) else alive
-        starts = np.flatnonzero(alive[self.entry])
-        copy = known[self.entry][starts]
-        a = runs(self.hashes, self.window)[starts].view(np.int64)
-        b = runs(self.hashes, self.window, 1)[starts].view(np.int64)
-        order = np.lexsort((starts, b, a))
-        a, b, starts, copy = a[order], b[order], starts[order], copy[order]
-        later = np.zeros(len(a), bool)
-        later[1:] = (a[1:] == a[:-1]) & (b[1:] == b[:-1])
-        ask = ~later & ~copy
-        sure = np.sort(starts[~ask])
-        breaks = np.flatnonzero(np.diff(sure) != 1)
-        first = sure[np.concatenate([[0], breaks + 1])] if len(sure) else sure
-        last = sure[np.concatenate([breaks, [len(sure) - 1]])] if len(sure) else sure
-        return a[ask], b[ask], starts[ask], first, last
-
-
-def _lists(values: list[np.ndarray], kind: pa.DataType) -> pa.ListArray:
-    ends = np.cumsum([0, *map(len, values)]).astype(np.int32)
-    flat = np.concatenate(values) if values else np.empty(0)
-    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
-
-
-def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        for start in range(0, len(batch), ROWS_AT_ONCE):
-            yield batch.slice(start, ROWS_AT_ONCE)
+        padded = np.zeros(len(self.hashes) + 2 * side * len(texts), np.uint64)
+        padded[np.arange(len(self.hashes)) + side * (2 * self.doc + 1)] = self.hashes
+        self.context = runs(padded, window + side)[self.places + 2 * side * self.place_doc]
+
+    def counts(self, docs: np.ndarray) -> np.ndarray:
+        return np.bincount(docs, minlength=len(self.first) - 1)
+
+    def _in_text(self, values: np.ndarray, docs: np.ndarray) -> np.ndarray:
+        return mixed(values ^ (docs.astype(np.uint64) * MIX_A))
+
+    def first_level(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Text, short prefix and context of every place, and whether the text has that prefix twice."""
+        own = self._in_text(self.prefix, self.place_doc)
+        values, at, counts = np.unique(own, return_inverse=True, return_counts=True)
+        return self.place_doc, self.prefix.view(np.int64), self.context.view(np.int64), counts[at] > 1
+
+    def second_level(
+        self, doc: np.ndarray, prefix: np.ndarray, context: np.ndarray, copied: np.ndarray
+    ) -> tuple[np.ndarray, ...]:
+        """For marked places: text, two digests and start of each run to look up; text and start of the known repeats.
+
+        A run repeats for sure if its place is a copy, or if its text has the run before.
+        """
+        join = lambda p, c, d: self._in_text(p ^ mixed(c.copy()), d)
+        marked = join(prefix.view(np.uint64), context.view(np.uint64), doc)
+        order = np.argsort(marked)
+        marked, copied = marked[order], copied[order]
+        mine = join(self.prefix, self.context, self.place_doc)
+        at = np.minimum(np.searchsorted(marked, mine), max(0, len(marked) - 1))
+        alive = marked[at] == mine if len(marked) else np.zeros(len(mine), bool)
+        known = alive & copied[at] if len(marked) else alive
+        live = np.flatnonzero(alive[self.entry])
+        starts, copy = self.starts[live], known[self.entry][live]
+        docs = self.doc[starts]
+        a, b = (runs(self.hashes, self.window, base)[starts] for base in (0, 1))
+        own = self._in_text(a, docs)
+        order = np.argsort(own, kind="stable")
+        later = np.zeros(len(own), bool)
+        later[order[1:]] = own[order[1:]] == own[order[:-1]]
+        ask, sure = ~later & ~copy, later | copy
+        places = starts - self.first[docs]
+        return docs[ask], a[ask].view(np.int64), b[ask].view(np.int64), places[ask], docs[sure], places[sure]
+
+
+def stretches(docs: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, first and last of every row of consecutive starts."""
+    new = np.ones(len(starts), bool)
+    new[1:] = (starts[1:] != starts[:-1] + 1) | (docs[1:] != docs[:-1])
+    begin = np.flatnonzero(new)
+    end = np.concatenate([begin[1:], [len(starts)]]) - 1 if len(starts) else begin
+    return docs[begin], starts[begin], starts[end]
 
 
 def _id_type(docs: DataFrame) -> str:
@@ -117,10 +132,11 @@ def _id_type(docs: DataFrame) -> str:
 
 def _first_level(docs: DataFrame, window: int, short: int) -> DataFrame:
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
-        for part in _parts(batches):
-            found = [Suffixes(t, cache, window, short).first_level() for t in part.column("text").to_pylist()]
-            lists = [_lists([f[i] for f in found], kind) for i, kind in enumerate((pa.int64(), pa.int64(), pa.bool_()))]
+        for part in parts(batches):
+            found = Suffixes(part.column("text").to_pylist(), window, short)
+            docs_of, *columns = found.first_level()
+            kinds = (pa.int64(), pa.int64(), pa.bool_())
+            lists = [list_column(c, found.counts(docs_of), kind) for c, kind in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("k"), *lists], ["doc_id", "k", "prefix", "context", "twice"]
             )
@@ -133,16 +149,17 @@ def _first_level(docs: DataFrame, window: int, short: int) -> DataFrame:
 
 def _second_level(docs: DataFrame, window: int, short: int) -> DataFrame:
     def listed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cache = WordHashes()
-        for part in _parts(batches):
-            found = []
-            for text, marks in zip(part.column("text").to_pylist(), part.column("marks").to_pylist()):
-                columns = [
-                    np.array([m[c] for m in marks], kind)
-                    for c, kind in (("prefix", np.int64), ("context", np.int64), ("copied", bool))
-                ]
-                found.append(Suffixes(text, cache, window, short).second_level(*columns))
-            lists = [_lists([f[i] for f in found], pa.int64()) for i in range(5)]
+        for part in parts(batches):
+            marks = part.column("marks")
+            fields = marks.flatten()
+            doc = np.repeat(np.arange(len(part)), np.diff(marks.offsets.to_numpy()))
+            prefix, context = (fields.field(c).to_numpy() for c in ("prefix", "context"))
+            copied = fields.field("copied").to_numpy(zero_copy_only=False)
+            found = Suffixes(part.column("text").to_pylist(), window, short)
+            ask, a, b, start, sure, known = found.second_level(doc, prefix, context, copied)
+            sure, first, last = stretches(sure, known)
+            lists = [list_column(c, found.counts(ask), pa.int64()) for c in (a, b, start)]
+            lists += [list_column(c, found.counts(sure), pa.int64()) for c in (first, last)]
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("k"), *lists],
                 ["doc_id", "k", "a", "b", "start", "first", "last"],
@@ -237,7 +254,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, short: int = SHORT)
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in _parts(batches):
+        for part in parts(batches):
             rows = []
             for text, spans in zip(part.column("text").to_pylist(), part.column("spans").to_pylist()):
                 words = (text or "").encode("utf-8", "replace").split()
