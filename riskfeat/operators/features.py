@@ -110,8 +110,11 @@ def training_set(
 
 
 def asof_training_set(
-    spine: DataFrame, view: DataFrame, key: str, ts: str, strict: bool = False
+    spine: DataFrame, view: DataFrame, key: str, ts: str, strict: bool = False, tile: str = "day"
 ) -> DataFrame:
-    """The spine with features as they stood at each row's own time."""
+    """The spine with features as they stood at each row's own time.
+
+    ``tile`` is the calendar unit by which a key's points are dealt out; smaller ones split busy keys.
+    """
     _check_names(spine, [view], [key, ts])
-    return asof_join(spine, view, key, ts, strict)
+    return asof_join(spine, view, key, ts, strict, tile)

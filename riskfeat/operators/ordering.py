@@ -8,6 +8,8 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame, Window, functions as F
 
 HASH_PREFIX = 4
+#: Rows that one task orders at the edge of a sample.
+ORDERED_ROWS = 100_000
 #: Distinct values that one task orders.
 VALUES_PER_BUCKET = 500_000
 
@@ -68,35 +70,44 @@ def percentiles(df: DataFrame, value: str, wanted: Mapping[str, float], width: i
 def first_by_hash(df: DataFrame, key: str, n: int) -> DataFrame:
     """The ``n`` rows with the smallest MD5 of ``key``: a repeatable random choice.
 
-    Hash prefixes are spread evenly, so rows are counted per prefix (65,536 of
-    them), whole prefixes are kept up to the one where the count crosses ``n``, and only
-    that prefix is ordered. ``key`` should tell rows apart.
+    Rows of one key, or without a key, go by the MD5 of the whole row. The two hashes are read four
+    digits at a time: rows are counted per value (65,536 of them), all values below the one where the count
+    crosses ``n`` are kept whole, and the next digits split that one, until it has few enough rows
+    to be ordered in one task. So no key, however many rows it has, is ordered as a whole.
     """
-    hashed = df.withColumn("_hash", F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))))
-    hashed = hashed.withColumn("_prefix", F.substring("_hash", 1, HASH_PREFIX))
-    before = F.col("upto") - F.col("rows")
-    crossing = (
-        hashed.groupBy("_prefix")
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .withColumn("upto", F.sum("rows").over(Window.partitionBy().orderBy("_prefix")))
-        .where((F.col("upto") > n) & (before <= n))
-        .agg(F.struct(F.min("_prefix").alias("prefix"), F.min(n - before).alias("missing")).alias("c"))
-    ).scalar()
-    edge, missing = crossing["prefix"], crossing["missing"]
-    whole = hashed.where(F.col("_prefix") < F.coalesce(edge, F.lit("g")))
+    by_key = F.md5(F.coalesce(F.col(key).cast("string"), F.lit("")))
+    by_row = F.md5(F.to_json(F.struct(*[F.col(c) for c in df.columns])))
+    kept, rest, missing = df.limit(0), df, n
+    for hashed, start in [(h, at) for h in (by_key, by_row) for at in range(1, 33, HASH_PREFIX)]:
+        digits = F.substring(hashed, start, HASH_PREFIX)
+        before = F.col("upto") - F.col("rows")
+        counts = (
+            rest.groupBy(digits.alias("digits"))
+            .agg(F.count(F.lit(1)).alias("rows"))
+            .withColumn("upto", F.sum("rows").over(Window.partitionBy().orderBy("digits")))
+        )
+        crossing = counts.where((F.col("upto") > missing) & (before <= missing)).select(
+            "digits", "rows", (F.lit(missing) - before).alias("missing")
+        )
+        edge = crossing.first()
+        if edge is None:
+            return kept.unionByName(rest)
+        kept = kept.unionByName(rest.where(digits < edge["digits"]))
+        rest, missing = rest.where(digits == edge["digits"]), edge["missing"]
+        if edge["rows"] <= ORDERED_ROWS:
+            break
     # Equal rows are counted, not ordered one by one, and the wanted number is repeated.
+    order = Window.partitionBy().orderBy(by_key, by_row, *df.columns)
     taken = F.least("copies", missing - F.col("upto") + F.col("copies"))
     part = (
-        hashed.where(F.col("_prefix") == edge)
-        .groupBy("_prefix", "_hash", *df.columns)
+        rest.groupBy(*df.columns)
         .agg(F.count(F.lit(1)).alias("copies"))
-        .withColumn("place", F.row_number().over(Window.partitionBy("_prefix").orderBy("_hash", *df.columns)))
-        .withColumn("upto", F.sum("copies").over(Window.partitionBy("_prefix").orderBy("place")))
+        .withColumn("upto", F.sum("copies").over(order.rowsBetween(Window.unboundedPreceding, 0)))
         .withColumn("taken", taken)
         .where(F.col("taken") > 0)
         .withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("taken"))))
     )
-    return whole.select(df.columns).unionByName(part.select(df.columns))
+    return kept.unionByName(part.select(df.columns))
 
 
 def range_boundaries(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:

@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from functools import cache
 
 from pyspark.sql import SparkSession
 
@@ -32,6 +35,14 @@ def local_session(cores: int | str = "*", **extra: str) -> SparkSession:
     return spark
 
 
+@cache
+def _own_scratch() -> str:
+    """A folder of this process, removed when it ends."""
+    base = tempfile.mkdtemp(prefix="riskfeat-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
     """A fresh path below ``spark.checkpoint.dir``, which every executor can reach.
 
@@ -41,5 +52,5 @@ def scratch_dir(spark: SparkSession, purpose: str) -> str:
     if not base:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder all executors share")
-        base = tempfile.mkdtemp(prefix="riskfeat-")
+        base = _own_scratch()
     return f"{base.rstrip('/')}/riskfeat/{purpose}-{uuid.uuid4().hex}"

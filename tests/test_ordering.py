@@ -32,10 +32,13 @@ def test_first_by_hash_takes_exactly_the_smallest(spark, n):
     assert got == expected
 
 
-def test_first_by_hash_is_exact_when_all_rows_share_a_key(spark):
-    df = spark.createDataFrame([("same", i) for i in range(50)], "k string, i int")
-    got = ordering.first_by_hash(df, "k", 20)
-    assert sorted(r["i"] for r in got.collect()) == list(range(20))
+@pytest.mark.parametrize("key", ["same", None])
+def test_first_by_hash_splits_the_rows_of_one_key(spark, key, monkeypatch):
+    df = spark.createDataFrame([(key, i) for i in range(500)], "k string, i int")
+    at_once = sorted(r["i"] for r in ordering.first_by_hash(df, "k", 20).collect())
+    monkeypatch.setattr(ordering, "ORDERED_ROWS", 3)
+    assert sorted(r["i"] for r in ordering.first_by_hash(df, "k", 20).collect()) == at_once
+    assert len(set(at_once)) == 20 and at_once != list(range(20))
 
 
 def test_first_by_hash_takes_part_of_a_group_of_copies(spark):
