@@ -530,6 +530,23 @@ ORACLE: dict[str, str] = {
     WHERE age < 48 GROUP BY account_id""",
     ),
     "stream_event_features": VELOCITY,
+    "stream_source": _with(
+        [PAYMENTS],
+        """SELECT * EXCLUDE (event_id) FROM payments
+    QUALIFY row_number() OVER (PARTITION BY account_id ORDER BY event_ts DESC, amount_paid DESC NULLS LAST,
+        receiver_account_id DESC NULLS LAST, receiver_bank DESC NULLS LAST) = 1""",
+    ),
+    "model_versions": _with(
+        CURATED,
+        f"""SELECT environment, version, is_default, n + (SELECT count(DISTINCT payment_format) FROM events_in) AS n_features
+    FROM (VALUES ('dev', 'V1', false, {len(S.REQUEST_FEATURES) + len(S.PROFILE_FEATURES)}),
+                 ('dev', 'V2', true, {len(S.REQUEST_FEATURES) + len(S.PROFILE_FEATURES) + len(S.RISK_FEATURES)}),
+                 ('prod', 'V2', true, {len(S.REQUEST_FEATURES) + len(S.PROFILE_FEATURES) + len(S.RISK_FEATURES)})
+         ) AS v(environment, version, is_default, n)""",
+    ),
+    "promoted_scores": _with(
+        [*WITH_ABT, *SLICE], "SELECT event_key, is_laundering AS label, true AS is_probability FROM slice"
+    ),
     "stream_latest": _with(
         [PAYMENTS],
         """SELECT * FROM payments

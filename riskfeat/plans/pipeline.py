@@ -157,7 +157,7 @@ def promote(
     A version that is in prod already is not copied again.
     """
     dev, prod = Registry(spark, dev_root), Registry(spark, prod_root)
-    version = version or dev.default(MODEL)
+    version = dev.resolve(MODEL, version or dev.default(MODEL))
     build_abt(spark, prod_root, prod_root, cutoff)
     history = files.read_version(spark, prod_root, "account_history")
     for view in (PROFILE_VIEW, RISK_VIEW):
@@ -167,4 +167,4 @@ def promote(
         prod.log_model(model, MODEL, version, names, metrics)
     prod.set_default(MODEL, version)
     score_batch(spark, prod_root, version, as_of)
-    return prod.default(MODEL)
+    return version

@@ -16,10 +16,11 @@ from riskfeat.operators import features as V
 from riskfeat.operators.joins import latest_by_key, lookup
 from riskfeat.operators.matrix import assemble, history_features, signature, with_history
 from riskfeat.plans import model as M
+from riskfeat.plans import pipeline as P
 from riskfeat.plans.pipeline import daily_scores
 from riskfeat.plans.registry import Registry
 from riskfeat.session import scratch_dir
-from riskfeat.sources import files, fixture, patterns
+from riskfeat.sources import files, fixture, patterns, streams
 from riskfeat.streaming import velocity
 
 #: Labelled rows of the negative class that a model is fitted on.
@@ -139,6 +140,19 @@ class Tables:
     def sample_table(self) -> DataFrame:
         return files.staged(self.sample, "abt-sample")
 
+    @cached_property
+    def environments(self) -> tuple[str, str]:
+        """A dev root with two trained versions, and a prod root to which the second was promoted."""
+        root = scratch_dir(self.spark, "environments")
+        dev, prod = f"{root}/dev", f"{root}/prod"
+        files.write_version(self.events_table, prod, "txn_events")
+        files.write_version(self.history_table, prod, "account_history")
+        P.build_abt(self.spark, prod, dev, fixture.CUTOFF)
+        for version, views in (("V1", [V.PROFILE_VIEW]), ("V2", [V.PROFILE_VIEW, V.RISK_VIEW])):
+            P.train_version(self.spark, prod, dev, version, views, "monotone_lr", n_neg=SAMPLE_NEGATIVES)
+        P.promote(self.spark, dev, prod, "2001-07-02 06:00:00", "v2", fixture.CUTOFF)
+        return dev, prod
+
     def payment_stream(self) -> DataFrame:
         stream = (
             self.spark.readStream.schema(self.raw("events").schema)
@@ -396,6 +410,18 @@ def stream_velocity(t: Tables) -> DataFrame:
     return _rounded(_stream_features(t, ADDITIVE), 4, "amt_sum_24h", "amt_sum_48h")
 
 
+def stream_source(t: Tables) -> DataFrame:
+    """Events landed in two batches, read back as a stream of the declared schema; the latest per account."""
+    path = scratch_dir(t.spark, "stream-source")
+    for part in (0, 1):
+        streams.land_events(t.payments.where(F.col("event_id") % 2 == part), f"{path}/in")
+    velocity.start_latest(
+        streams.read_event_stream(t.spark, f"{path}/in"), f"{path}/out", "account_id", "event_ts", {"availableNow": True}
+    ).awaitTermination()
+    latest = velocity.read_latest(t.spark, f"{path}/out", "account_id", "event_ts")
+    return latest.withColumn("event_ts", F.col("event_ts").cast("timestamp_ntz"))
+
+
 def stream_latest(t: Tables) -> DataFrame:
     path = scratch_dir(t.spark, "latest")
     velocity.start_latest(
@@ -453,6 +479,27 @@ def run_log(t: Tables) -> DataFrame:
     return _rounded(registry.runs().select("run", F.explode("metrics").alias("metric", "value")), 6, "value")
 
 
+def model_versions(t: Tables) -> DataFrame:
+    """Versions of both environments, their defaults and the length of their signatures."""
+    found = None
+    for name, root in zip(("dev", "prod"), t.environments):
+        registry = Registry(t.spark, root)
+        rows = registry.entries("model").select(
+            F.lit(name).alias("environment"),
+            "version",
+            (F.col("version") == registry.default(P.MODEL)).alias("is_default"),
+            F.size("signature").cast("long").alias("n_features"),
+        )
+        found = rows if found is None else found.unionByName(rows)
+    return found
+
+
+def promoted_scores(t: Tables) -> DataFrame:
+    """Predictions of the promoted version for the newest day."""
+    scores = files.read_predictions(t.spark, f"{t.environments[1]}/predictions")
+    return _checked_scores(scores)
+
+
 # --- fitted models: scores depend on the optimizer; what must hold of them is compared ---
 
 
@@ -541,11 +588,14 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "stream_velocity": stream_velocity,
     "stream_velocity_distinct": lambda t: _stream_features(t, DISTINCT),
     "stream_event_features": stream_event_features,
+    "stream_source": stream_source,
     "stream_latest": stream_latest,
     "versioned_table": versioned_table,
     "landing_reload": landing_reload,
     "view_refresh": view_refresh,
     "run_log": run_log,
+    "model_versions": model_versions,
+    "promoted_scores": promoted_scores,
     "train_scores": train_scores,
     "monotone_scores": monotone_scores,
     "monotone_audit": monotone_audit,

@@ -117,6 +117,10 @@ class Registry:
     def has_version(self, name: str, version: str) -> bool:
         return version.upper() in [v.upper() for v in self.versions(name)]
 
+    def resolve(self, name: str, version: str) -> str:
+        """The version as it was registered, whatever its case here."""
+        return self._entry("model", name, version)["version"]
+
     def model(self, name: str, version: str) -> tuple[PipelineModel, list[str], dict[str, float]]:
         """The model of a version with its input signature and metrics."""
         entry = self._entry("model", name, version)
