@@ -68,7 +68,8 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     return (
         docs.withColumn("me", me)
-        .join(covered, "me", "left")
+        # Both sides grow with the documents, so neither is ever broadcast.
+        .join(covered.hint("merge"), "me", "left")
         .select(
             *others,
             F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
