@@ -14,7 +14,7 @@ import pyarrow as pa
 import xxhash
 
 #: Bytes of text, or words, that are hashed at a time.
-PIECE = 1 << 20
+PIECE = 1 << 18
 BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 SPACE = np.zeros(256, bool)

@@ -84,10 +84,14 @@ class Suffixes:
         return mixed(values ^ (docs.astype(np.uint64) * MIX_A))
 
     def first_level(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Text, short prefix and context of every place, and whether the text has that prefix twice."""
+        """Each text's short prefixes with context, once, and whether it has that prefix twice."""
         own = self._in_text(self.prefix, self.place_doc)
-        values, at, counts = np.unique(own, return_inverse=True, return_counts=True)
-        return self.place_doc, self.prefix.view(np.int64), self.context.view(np.int64), counts[at] > 1
+        _, at, counts = np.unique(own, return_inverse=True, return_counts=True)
+        twice = counts[at] > 1
+        _, once = np.unique(own ^ mixed(self.context.copy()), return_index=True)
+        once.sort()
+        columns = self.prefix.view(np.int64), self.context.view(np.int64), twice
+        return self.place_doc[once], *[c[once] for c in columns]
 
     def second_level(
         self, doc: np.ndarray, prefix: np.ndarray, context: np.ndarray, copied: np.ndarray
