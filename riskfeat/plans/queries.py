@@ -75,7 +75,7 @@ class Tables:
 
     @cached_property
     def banks(self) -> DataFrame:
-        return curate.bank_dim(self.accounts)
+        return files.staged(curate.bank_dim(self.accounts), "bank-dim")
 
     @cached_property
     def owners(self) -> DataFrame:
