@@ -87,6 +87,22 @@ def small(keys: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= most else keys
 
 
+def few_by_hash(rows: DataFrame, group: str, h: Column, wanted: int, most_groups: int) -> DataFrame:
+    """Rows whose 64-bit hash is among the smallest of their group: some three times ``wanted``, or all there are.
+
+    How much of the hash range that takes follows from the group's number of rows, so what is left is
+    as little for any input; equal rows have equal hashes and should be merged next. Groups are
+    counted on the driver; more than ``most_groups`` are an error.
+    """
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).limit(most_groups + 1).collect()
+    if len(counts) > most_groups:
+        raise ValueError(f"more than {most_groups} values of {group}")
+    if not counts:
+        return rows
+    shares = F.create_map(*[F.lit(x) for row in counts for x in (row[group], min(1.0, 3 * wanted / row["n"]))])
+    return rows.where(h / F.lit(2.0**64) + 0.5 <= F.try_element_at(shares, F.col(group)))
+
+
 def slices(spark: SparkSession) -> int:
     """Into how many parts the rows of one step are cut: a few for each shuffle partition."""
     return 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))

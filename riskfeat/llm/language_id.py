@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from riskfeat.llm.common import plain
+from riskfeat.llm.common import few_by_hash, plain
 
 UNKNOWN = "und"
 #: Bytes of a dictionary, and how many labelled texts are sampled for it.
@@ -56,20 +56,17 @@ def learn_dictionaries(
     A fixed pseudo-random sample of ``sample_texts`` texts per language, the smallest by hash of the
     text, gives ``dictionary_bytes`` in equal parts. That bounds what comes to the driver.
     """
-    labelled = docs.where("lang IS NOT NULL AND length(text) > 0")
     piece = max(1, dictionary_bytes // sample_texts)
-    order = Window.partitionBy("lang").orderBy("h", "piece")
-    rows = (
-        labelled.select("lang", F.xxhash64("text").alias("h"), F.substring("text", 1, piece).alias("piece"))
-        .withColumn("place", F.row_number().over(order))
+    labelled = docs.where("lang IS NOT NULL AND length(text) > 0").select("lang", "text")
+    h = F.xxhash64("text")
+    pieces = (
+        few_by_hash(labelled, "lang", h, sample_texts, MAX_LANGUAGES)
+        .groupBy("lang", h.alias("h"))
+        .agg(F.min(F.substring("text", 1, piece)).alias("piece"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
         .where(F.col("place") <= sample_texts)
-        .groupBy("lang")
-        .agg(F.sort_array(F.collect_list(F.struct("place", "piece"))).alias("pieces"))
-        .limit(MAX_LANGUAGES + 1)
-        .collect()
     )
-    if len(rows) > MAX_LANGUAGES:
-        raise ValueError(f"more than {MAX_LANGUAGES} languages")
+    rows = pieces.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "piece"))).alias("pieces")).collect()
     return {
         row["lang"]: " ".join(plain(p["piece"]) for p in row["pieces"]).encode()[:dictionary_bytes]
         for row in sorted(rows, key=lambda r: r["lang"])

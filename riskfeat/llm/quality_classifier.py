@@ -18,7 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskfeat.llm.common import Stages, plain
+from riskfeat.llm.common import Stages, few_by_hash, plain
 
 #: Words the model looks for: those that tell the classes apart best among the fitted texts.
 VOCABULARY = 512
@@ -116,8 +116,9 @@ def fit(texts: list[str], good: np.ndarray) -> Model:
 
 
 def document_labels(labels: DataFrame) -> DataFrame:
-    """(doc_id, good) with one row per labelled document: good only if all its labels say so."""
-    return labels.where("doc_id IS NOT NULL AND good IS NOT NULL").groupBy("doc_id").agg(F.min("good").alias("good"))
+    """(doc_id, good) with one row per labelled document: good (1) only if all its labels say so, else 0."""
+    good = F.min((F.col("good") > 0).cast("int")).alias("good")
+    return labels.where("doc_id IS NOT NULL AND good IS NOT NULL").groupBy("doc_id").agg(good)
 
 
 def fit_on(docs: DataFrame, labels: DataFrame, texts: int = FIT_TEXTS) -> Model:
@@ -126,13 +127,19 @@ def fit_on(docs: DataFrame, labels: DataFrame, texts: int = FIT_TEXTS) -> Model:
     Labels are sampled before any text moves, so the join is with a bounded table.
     """
 
-    def first(rows: DataFrame, h: Column) -> DataFrame:
-        place = F.row_number().over(Window.partitionBy("good").orderBy("h"))
-        return rows.withColumn("h", h).withColumn("place", place).where(F.col("place") <= texts).drop("place")
-
-    sample = first(labels, F.xxhash64("doc_id")).drop("h")
-    found = docs.select("doc_id", "text").where("length(text) > 0").join(F.broadcast(sample), "doc_id")
-    rows = first(found, F.xxhash64("doc_id", "text")).orderBy("good", "h").collect()
+    h = F.xxhash64("doc_id")
+    sample = few_by_hash(labels, "good", h, texts, 2)
+    rows = (
+        docs.select("doc_id", "text")
+        .where("length(text) > 0")
+        .join(F.broadcast(sample), "doc_id")
+        .groupBy("good", "doc_id")
+        .agg(F.min("text").alias("text"))
+        .withColumn("place", F.row_number().over(Window.partitionBy("good").orderBy(h, "doc_id")))
+        .where(F.col("place") <= texts)
+        .orderBy("good", "place")
+        .collect()
+    )
     return fit([r["text"] for r in rows], np.array([float(r["good"]) for r in rows]))
 
 
