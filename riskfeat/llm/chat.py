@@ -40,15 +40,15 @@ class MarkedTurns:
 
     @staticmethod
     def escape(text: str) -> str:
-        return re.sub(r"[\\#<]", r"\\\g<0>", text)
+        return text.replace("\\", "\\\\").replace("#", "\\#").replace("<", "\\<")
 
-    @staticmethod
-    def escape_role(role: str) -> str:
-        return re.sub(r"[\\#<:]", r"\\\g<0>", role)
+    @classmethod
+    def escape_role(cls, role: str) -> str:
+        return cls.escape(role).replace(":", "\\:")
 
     @staticmethod
     def unescape(text: str) -> str:
-        return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL)
+        return re.sub(r"\\(.)", r"\1", text, flags=re.DOTALL) if "\\" in text else text
 
     def __call__(self, turns: Sequence[Turn]) -> str:
         return "".join(
@@ -60,9 +60,9 @@ class MarkedTurns:
         """The turns that were rendered."""
         turn = re.compile(
             re.escape(self.open)
-            + r"((?:[^\\:]|\\.)*)"
+            + r"([^\\:]*(?:\\.[^\\:]*)*)"
             + re.escape(self.middle)
-            + r"((?:[^\\<]|\\.)*)"
+            + r"([^\\<]*(?:\\.[^\\<]*)*)"
             + re.escape(self.close),
             re.DOTALL,
         )
