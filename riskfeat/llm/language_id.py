@@ -15,7 +15,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from riskfeat.llm.common import few_by_hash, plain
+from riskfeat.llm.common import distinct_counts, few_by_hash, plain
 
 UNKNOWN = "und"
 #: Bytes of a dictionary, and how many labelled texts are sampled for it.
@@ -53,23 +53,29 @@ def learn_dictionaries(
 ) -> dict[str, bytes]:
     """One dictionary per ``lang`` from the documents with a text and a language.
 
-    A fixed pseudo-random sample of ``sample_texts`` texts per language, the smallest by hash of the
-    text, gives ``dictionary_bytes`` in equal parts. That bounds what comes to the driver.
+    A fixed pseudo-random sample of ``sample_texts`` different texts per language, or all if it has
+    fewer, the smallest by hash of the text, gives ``dictionary_bytes`` in equal parts. That bounds what
+    comes to the driver.
     """
     piece = max(1, dictionary_bytes // sample_texts)
     labelled = docs.where("lang IS NOT NULL AND length(text) > 0").select("lang", "text")
     h = F.xxhash64("text")
-    pieces = (
-        few_by_hash(labelled, "lang", h, sample_texts, MAX_LANGUAGES)
-        .groupBy("lang", h.alias("h"))
-        .agg(F.min(F.substring("text", 1, piece)).alias("piece"))
-        .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-        .where(F.col("place") <= sample_texts)
-    )
-    rows = pieces.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "piece"))).alias("pieces")).collect()
+    counts = distinct_counts(labelled, "lang", h, MAX_LANGUAGES)
+    pieces, times = {}, 3
+    # Chance may leave a language short of texts; it then gets a larger part of the hash range.
+    while short := {g: n for g, n in counts.items() if len(pieces.get(g, ())) < min(sample_texts, n)}:
+        sampled = (
+            few_by_hash(labelled, "lang", h, sample_texts, MAX_LANGUAGES, short, times)
+            .groupBy("lang", h.alias("h"))
+            .agg(F.min(F.substring("text", 1, piece)).alias("piece"))
+            .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
+            .where(F.col("place") <= sample_texts)
+        )
+        rows = sampled.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "piece"))).alias("pieces")).collect()
+        pieces |= {row["lang"]: [p["piece"] for p in row["pieces"]] for row in rows}
+        times *= 8
     return {
-        row["lang"]: " ".join(plain(p["piece"]) for p in row["pieces"]).encode()[:dictionary_bytes]
-        for row in sorted(rows, key=lambda r: r["lang"])
+        lang: " ".join(plain(p) for p in pieces[lang]).encode()[:dictionary_bytes] for lang in sorted(pieces)
     }
 
 

@@ -277,6 +277,23 @@ def test_language_of_odd_texts(make_docs, odd_rows):
     assert language_id.identify(make_docs([]), {"x": b"a"}).count() == 0
 
 
+def test_languages_that_are_nearly_all_copies(make_docs):
+    word = lambda k: "".join(chr(97 + int(c)) for c in f"{k:03d}")
+    rows = [{"doc_id": k, "text": f"mine {word(k)}", "lang": "small"} for k in range(100)]
+    rows += [{"doc_id": -k, "text": "mine copied", "lang": "small"} for k in range(30_000)]
+    rows += [{"doc_id": k, "text": f"other {word(k)}", "lang": "big"} for k in range(1000)]
+    rows += [{"doc_id": k, "text": f"rare {word(k)}", "lang": "few"} for k in range(5)] * 200
+    learned = language_id.learn_dictionaries(make_docs(rows))
+    assert list(learned) == ["big", "few", "small"]
+    assert learned["big"].count(b"other") >= 64 and learned["small"].count(b"mine") >= 64
+    assert learned["few"].count(b"rare") == 5
+
+
+def test_no_language_is_left_without_a_text_by_chance(make_docs):
+    rows = [{"doc_id": k, "text": f"text {chr(97 + k % 26)} of {lang}", "lang": f"l{lang}"} for lang in range(100) for k in range(26)]
+    assert len(language_id.learn_dictionaries(make_docs(rows), sample_texts=1)) == 100
+
+
 def test_quality_of_held_out_documents(spark):
     got = QUERIES["op8_quality_classifier"](spark, "/root/testdata/sf0.1").join(
         spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id"
