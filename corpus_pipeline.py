@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskfeat.llm import decontaminate, language_id, line_dedup, mixing, ngram_join
-from riskfeat.llm.common import Stages, small
+from riskfeat.llm.common import Stages, small, text_key
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -30,12 +30,19 @@ def dedup_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of similar documents the one with the smallest doc_id."""
-    groups = ngram_join.similar_groups(docs)
+    """Of each group of similar documents the one with the smallest doc_id, nulls last.
+
+    Under one doc_id, or without one, the text with the smallest key stays. Another text of a dropped one's
+    doc_id stays if its own group has nothing smaller. Rows that agree in doc_id and text are
+    one document: they stay or go together. Documents without words stay.
+    """
+    groups = ngram_join.similar_groups(docs, keyed=True)
     dropped = Stages(spark, "similar")(
-        groups.where("doc_id <> component_id").select(F.col("doc_id").alias("dropped")).distinct(), "dropped"
+        groups.where(~F.col("first")).select(F.col("doc_id").alias("dropped"), F.col("text_key").alias("dropped_text")).distinct(),
+        "dropped",
     )
-    return docs.join(small(dropped), F.col("doc_id") == F.col("dropped"), "left_anti")
+    mine = F.col("doc_id").eqNullSafe(F.col("dropped")) & text_key(F.col("text")).eqNullSafe(F.col("dropped_text"))
+    return docs.join(small(dropped), mine, "left_anti")
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -21,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskfeat.llm.common import Stages, small
+from riskfeat.llm.common import Stages, small, text_key
 from riskfeat.llm.components import components
 from riskfeat.llm.hashing import fingerprint, list_column, parts, shingles, word_hashes
 
@@ -52,9 +52,14 @@ def long_prefix(n: int, similar: int) -> int:
     return min(n, n - ceil_share(n, similar) + n // 10 + 1)
 
 
-def _digests(docs: DataFrame, width: int, similar: int) -> DataFrame:
-    """doc_id, a hash of the text, set size, two fingerprints, and the long prefix by ascending hash."""
-    id_type = docs.schema["doc_id"].dataType.simpleString()
+def _digests(docs: DataFrame, width: int, similar: int, keyed: bool) -> DataFrame:
+    """doc_id, a hash of the text, set size, two fingerprints, and the long prefix by ascending hash.
+
+    With ``keyed`` the key of the text as well.
+    """
+    docs = docs.select("doc_id", "text", F.xxhash64("text").alias("h"), *[text_key(F.col("text")).alias("t")] * keyed)
+    others = [c for c in docs.columns if c != "text"]
+    types = "".join(f"{c} {docs.schema[c].dataType.simpleString()}, " for c in others)
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches):
@@ -62,19 +67,16 @@ def _digests(docs: DataFrame, width: int, similar: int) -> DataFrame:
             prints = [fingerprint(s) for s in sets]
             yield pa.RecordBatch.from_arrays(
                 [
-                    part.column("doc_id"),
-                    part.column("h"),
+                    *[part.column(c) for c in others],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([a for a, _ in prints], pa.int64()),
                     pa.array([b for _, b in prints], pa.int64()),
                     _lists([s[: long_prefix(len(s), similar)] for s in sets]),
                 ],
-                ["doc_id", "h", "n", "a", "b", "prefix"],
+                [*others, "n", "a", "b", "prefix"],
             )
 
-    return docs.select("doc_id", "text", F.xxhash64("text").alias("h")).mapInArrow(
-        digest, f"doc_id {id_type}, h long, n long, a long, b long, prefix array<long>"
-    )
+    return docs.mapInArrow(digest, f"{types}n long, a long, b long, prefix array<long>")
 
 
 def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
@@ -227,7 +229,7 @@ def _links(pairs: DataFrame, full: DataFrame, similar: int) -> DataFrame:
     )
 
 
-def similar_groups(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR) -> DataFrame:
+def similar_groups(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR, keyed: bool = False) -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id.
 
     Texts lower A-Z and split at white space; a document's set holds its distinct runs of
@@ -237,26 +239,31 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR)
     Documents without words, and null texts, have the empty set and link with nothing, not even
     with each other. Repeated rows and equal texts are copies of one set. Other columns are
     ignored; an empty table gives an empty one. 64-bit hashes stand for runs, 128 bits for sets.
+
+    A component is more than its component_id where texts share an id or have none. With ``keyed``
+    there are also ``text_key``, and ``first``: whether no other (doc_id, text_key) of the row's component
+    is smaller, nulls last. A document without words is first.
     """
     spark = docs.sparkSession
     stages = Stages(spark, "ngram-join")
-    digests = stages(_digests(docs, width, similar), "digests")
+    digests = stages(_digests(docs, width, similar, keyed), "digests")
+    key = ["t"] * keyed
     members = stages(digests.drop("prefix", "h"), "members")
     nodes = stages(
         digests.where("n > 0")
         .groupBy("a", "b")
         .agg(
             F.first("n").alias("n"),
-            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")).alias("first"),
+            F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h", *key)).alias("first"),
             F.first("prefix").alias("prefix"),
         )
-        .select("n", "a", "b", F.col("first.doc_id").alias("doc"), F.col("first.h").alias("h"), "prefix")
+        .select("n", "a", "b", F.col("first.doc_id").alias("doc"), F.col("first.h").alias("h"), *[f"first.{c}" for c in key], "prefix")
         .withColumn("node", F.monotonically_increasing_id()),
         "nodes",
     )
     stages.drop("digests")
     sharers = _sharers(stages, nodes, similar)
-    node_docs = stages(nodes.select("node", "a", "b", "doc"), "node-docs")
+    node_docs = stages(nodes.select("node", "a", "b", "doc", *key), "node-docs")
     stages.drop("nodes")
     full = stages(_full_sets(docs, sharers, width), "full")
     lists = stages(_rare_prefixes(full, similar), "lists")
@@ -279,10 +286,15 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR)
         )
     # Only nodes that share tokens with others have a label; the rest are alone.
     placed = node_docs.join(labels, "node", "left").withColumn("comp", F.coalesce("comp", "node"))
-    smallest = placed.groupBy("comp").agg(F.min("doc").alias("component_id"))
+    least = F.min(F.struct(F.col("doc").isNull(), "doc", "t")) if keyed else F.min("doc")
+    smallest = placed.groupBy("comp").agg(least.alias("component_id"))
     classes = stages(placed.join(smallest, "comp").select("a", "b", "component_id"), "classes")
+    if keyed:
+        classes = classes.select("a", "b", F.col("component_id.doc").alias("component_id"), F.col("component_id.t").alias("least_t"))
     stages.drop("full", "lists", "node-docs", "sharers")
     alone = F.when(F.col("n") == 0, F.col("doc_id"))
+    is_least = F.col("doc_id").eqNullSafe(F.col("component_id")) & F.col("t").eqNullSafe(F.col("least_t"))
+    more = [F.col("t").alias("text_key"), ((F.col("n") == 0) | is_least).alias("first")] if keyed else []
     return members.join(classes, ["a", "b"], "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.coalesce(alone, "component_id").alias("component_id")
+        "doc_id", F.col("n").alias("n_shingles"), F.coalesce(alone, "component_id").alias("component_id"), *more
     )

@@ -56,3 +56,20 @@ def test_stages_take_odd_rows_and_empty_tables(stage, spark, make_docs, odd_rows
     assert set(docs.columns) <= set(got.columns) and got.count() > 0
     empty = spark.createDataFrame([], docs.schema)
     assert stage[1](spark, empty, "/root/testdata/sf0.001").count() == 0
+
+
+def test_one_of_similar_where_ids_repeat_or_lack(spark, make_docs):
+    text = lambda name, change=None: " ".join(f"{name}{i}" if i != change else "changed" for i in range(60))
+    rows = [
+        (1, text("a")), (None, text("a")), (None, text("a", 30)), (4, text("a", 0)),
+        (2, text("b")), (2, text("b", 30)), (2, text("b")),
+        (3, text("c")), (3, text("a", 59)),
+        (None, text("d")), (None, text("d", 30)), (None, text("e")),
+        (None, None), (5, ""), (5, None), (6, ""),
+    ]
+    got = corpus_pipeline.one_of_similar(spark, make_docs(rows), SF)
+    left = Counter((r["doc_id"], r["text"]) for r in got.collect())
+    b = {t: left.pop((2, t), 0) for t in (text("b"), text("b", 30))}
+    d = [left.pop((None, t), 0) for t in (text("d"), text("d", 30))]
+    assert sorted(d) == [0, 1] and b in ({text("b"): 2, text("b", 30): 0}, {text("b"): 0, text("b", 30): 1})
+    assert left == Counter([(1, text("a")), (3, text("c")), (None, text("e")), (None, None), (5, ""), (5, None), (6, "")])
