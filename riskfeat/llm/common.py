@@ -87,34 +87,38 @@ def small(keys: DataFrame, most: int = SMALL_ROWS) -> DataFrame:
     return F.broadcast(keys) if keys.count() <= most else keys
 
 
-def _counts(rows: DataFrame, group: str, most_groups: int) -> dict:
-    """Rows per group, counted on the driver; more than ``most_groups`` groups are an error."""
-    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n")).limit(most_groups + 1).collect()
+def _counts(rows: DataFrame, group: str, most_groups: int, *more: Column) -> list:
+    """A row with group, ``n`` and ``more`` per group, on the driver; more than ``most_groups`` are an error."""
+    counts = rows.groupBy(group).agg(F.count(F.lit(1)).alias("n"), *more).limit(most_groups + 1).collect()
     if len(counts) > most_groups:
         raise ValueError(f"more than {most_groups} values of {group}")
-    return {row[group]: row["n"] for row in counts}
+    return counts
 
 
-def distinct_counts(rows: DataFrame, group: str, h: Column, most_groups: int) -> dict:
-    """Different hashes per group: copies count once, and are merged before they are shuffled."""
-    return _counts(rows.groupBy(group, h.alias("_h")).agg(F.lit(1)), group, most_groups)
+def distinct_counts(rows: DataFrame, group: str, h: Column, size: Column, most_groups: int) -> list:
+    """Group, ``n`` different hashes and the ``total`` of their sizes, per group.
+
+    Copies count once, and are merged before they are shuffled.
+    """
+    merged = rows.groupBy(group, h.alias("_h")).agg(F.min(size.cast("long")).alias("_size"))
+    return _counts(merged, group, most_groups, F.sum("_size").alias("total"))
 
 
-def few_by_hash(
-    rows: DataFrame, group: str, h: Column, wanted: int, most_groups: int, counts: dict | None = None, times: float = 3
-) -> DataFrame:
-    """Rows whose 64-bit hash is among the smallest of their group: some ``times`` ``wanted``, or all there are.
+def few_by_hash(rows: DataFrame, group: str, h: Column, wanted: int, most_groups: int) -> DataFrame:
+    """Rows whose 64-bit hash is among the smallest of their group: some three times ``wanted``, or all there are.
 
-    How much of the hash range that takes follows from how many hashes a group has, so what is left is
-    as little for any input. Equal rows have equal hashes: where there may be copies, ``counts`` has to be
-    ``distinct_counts``; without it the rows are counted. Groups are counted on the driver; more than
-    ``most_groups`` are an error.
+    How much of the hash range that takes follows from the group's number of rows, so what is left is
+    as little for any input. No two rows may have equal hashes: with copies, use ``distinct_counts`` and
+    ``hash_share``. Groups are counted on the driver; more than ``most_groups`` are an error.
     """
-    counts = _counts(rows, group, most_groups) if counts is None else counts
-    if not counts:
-        return rows
-    shares = F.create_map(*[F.lit(x) for g, n in counts.items() for x in (g, min(1.0, times * wanted / n))])
-    return rows.where(h / F.lit(2.0**64) + 0.5 <= F.try_element_at(shares, F.col(group)))
+    counts = _counts(rows, group, most_groups)
+    return hash_share(rows, group, h, {row[group]: 3 * wanted / row["n"] for row in counts}) if counts else rows
+
+
+def hash_share(rows: DataFrame, group: str, h: Column, shares: dict) -> DataFrame:
+    """Rows in the lowest share of the hash range, by group; groups without a share have none."""
+    parts = F.create_map(*[F.lit(x) for g, share in shares.items() for x in (g, min(1.0, share))])
+    return rows.where(h / F.lit(2.0**64) + 0.5 <= F.try_element_at(parts, F.col(group)))
 
 
 def slices(spark: SparkSession) -> int:

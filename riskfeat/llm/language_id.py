@@ -15,10 +15,10 @@ import zstandard
 from pyspark.sql import Column, DataFrame, Window, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, StringType, StructField, StructType
 
-from riskfeat.llm.common import distinct_counts, few_by_hash, plain
+from riskfeat.llm.common import Stages, distinct_counts, hash_share, plain
 
 UNKNOWN = "und"
-#: Bytes of a dictionary, and how many labelled texts are sampled for it.
+#: Bytes of a dictionary, and how many labelled texts are sampled for it at least.
 DICTIONARY_BYTES = 48 * 1024
 SAMPLE_TEXTS = 64
 #: More languages than this are an error: the dictionaries go to every executor.
@@ -48,36 +48,108 @@ def held_out(doc_id: Column, of: int = 5) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string")) % of == 0, F.lit(False))
 
 
-def learn_dictionaries(
-    docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_bytes: int = DICTIONARY_BYTES
-) -> dict[str, bytes]:
-    """One dictionary per ``lang`` from the documents with a text and a language.
+def excerpt(data: bytes, h: int, size: int) -> bytes:
+    """``size`` bytes, cut to whole letters, of a text in UTF-8; its hash says from where."""
+    at = h % (len(data) - size + 1) if size < len(data) else 0
+    return data[at : at + size].decode("utf-8", "ignore").encode()
+
+
+def portions(sizes: list[int], piece: int, budget: int) -> list[int]:
+    """How many bytes each text gives: up to ``piece`` each in order until ``budget`` is out.
 
-    A fixed pseudo-random sample of ``sample_texts`` different texts per language, or all if it has
-    fewer, the smallest by hash of the text, gives ``dictionary_bytes`` in equal parts. That bounds what
-    comes to the driver.
+    What is left when the texts are out goes to those with more, in equal parts.
+    """
+    given = []
+    for size in sizes:
+        given.append(min(size, piece, max(0, budget - sum(given))))
+    rest = budget - sum(given)
+    more = sorted((size - g, i) for i, (size, g) in enumerate(zip(sizes, given)) if size > g)
+    for k, (room, i) in enumerate(more):
+        extra = min(room, rest // (len(more) - k))
+        given[i] += extra
+        rest -= extra
+    return given
+
+
+def _sample(stages: Stages, labelled: DataFrame, sample_texts: int, piece: int, budget: int) -> DataFrame:
+    """(lang, h, text): different texts per language, the smallest by hash, enough for a dictionary.
+
+    That is ``sample_texts``, and as many more as pieces of the language's mean size need; or all.
     """
-    piece = max(1, dictionary_bytes // sample_texts)
-    labelled = docs.where("lang IS NOT NULL AND length(text) > 0").select("lang", "text")
     h = F.xxhash64("text")
-    counts = distinct_counts(labelled, "lang", h, MAX_LANGUAGES)
-    pieces, times = {}, 3
+    size = F.least(F.octet_length("text"), F.lit(piece)) + 1
+    counts = distinct_counts(labelled, "lang", h, size, MAX_LANGUAGES)
+    wanted = {r["lang"]: (r["n"], max(sample_texts, -(-budget * r["n"] // r["total"]))) for r in counts}
+    sampled, times = None, 3
     # Chance may leave a language short of texts; it then gets a larger part of the hash range.
-    while short := {g: n for g, n in counts.items() if len(pieces.get(g, ())) < min(sample_texts, n)}:
-        sampled = (
-            few_by_hash(labelled, "lang", h, sample_texts, MAX_LANGUAGES, short, times)
+    while wanted:
+        found = stages(
+            hash_share(labelled, "lang", h, {g: times * w / n for g, (n, w) in wanted.items()})
             .groupBy("lang", h.alias("h"))
-            .agg(F.min(F.substring("text", 1, piece)).alias("piece"))
-            .withColumn("place", F.row_number().over(Window.partitionBy("lang").orderBy("h")))
-            .where(F.col("place") <= sample_texts)
+            .agg(F.min("text").alias("text")),
+            f"sample-{times}",
         )
-        rows = sampled.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("place", "piece"))).alias("pieces")).collect()
-        pieces |= {row["lang"]: [p["piece"] for p in row["pieces"]] for row in rows}
+        got = {r["lang"]: r["count"] for r in found.groupBy("lang").count().collect()}
+        wanted = {g: (n, w) for g, (n, w) in wanted.items() if got.get(g, 0) < min(n, w)}
+        enough = found.where(~F.col("lang").isin(list(wanted))) if wanted else found
+        sampled = enough if sampled is None else sampled.unionByName(enough)
         times *= 8
-    return {
-        lang: " ".join(plain(p) for p in pieces[lang]).encode()[:dictionary_bytes] for lang in sorted(pieces)
+    return sampled
+
+
+def learn_dictionaries(
+    docs: DataFrame, sample_texts: int = SAMPLE_TEXTS, dictionary_bytes: int = DICTIONARY_BYTES
+) -> dict[str, bytes]:
+    """One dictionary per ``lang`` from the documents with a text and a language.
+
+    A fixed pseudo-random sample of different texts per language fills ``dictionary_bytes``: some
+    ``sample_texts`` or more if they are short, or all that the language has. Each gives an equal part, in bytes,
+    from a place in its whole length that its hash chooses; what short ones leave further ones fill,
+    and at last longer ones. Only the sizes of the texts that fit and the dictionaries come to the driver.
+    """
+    piece = max(1, dictionary_bytes // sample_texts - 1)
+    labelled = docs.where("lang IS NOT NULL AND length(text) > 0").select("lang", "text")
+    sampled = _sample(Stages(docs.sparkSession, "language-id"), labelled, sample_texts, piece, dictionary_bytes)
+    if sampled is None:
+        return {}
+
+    def sizes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [len(plain(t).encode()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("lang"), batch.column("h"), pa.array(found, pa.int64())], ["lang", "h", "size"]
+            )
+
+    # The place is by hash; one more byte stands between two pieces.
+    by_hash = Window.partitionBy("lang").orderBy("h")
+    taken = F.coalesce(
+        F.sum(F.least(F.col("size"), F.lit(piece)) + 1).over(by_hash.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
+    )
+    lang_type = docs.schema["lang"].dataType.simpleString()
+    fits = sampled.mapInArrow(sizes, f"lang {lang_type}, h long, size long").withColumn("taken", taken)
+    texts = {}
+    for r in fits.where(F.col("taken") < dictionary_bytes).orderBy("lang", "h").collect():
+        texts.setdefault(r["lang"], []).append((r["h"], r["size"]))
+    given = {
+        (lang, h): n
+        for lang, of in texts.items()
+        for (h, _), n in zip(of, portions([size for _, size in of], piece, dictionary_bytes - len(of) + 1))
     }
 
+    def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = [(r["lang"], r["h"], r["text"]) for r in batch.to_pylist() if (r["lang"], r["h"]) in given]
+            cut = [(lang, h, excerpt(plain(text).encode(), h, given[lang, h])) for lang, h, text in rows]
+            columns = list(zip(*cut)) or [[], [], []]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c, k) for c, k in zip(columns, (pa.string(), pa.int64(), pa.binary()))], ["lang", "h", "piece"]
+            )
+
+    parts = {}
+    for r in sampled.mapInArrow(pieces, f"lang {lang_type}, h long, piece binary").orderBy("lang", "h").collect():
+        parts.setdefault(r["lang"], []).append(bytes(r["piece"]))
+    return {lang: b" ".join(of)[:dictionary_bytes] for lang, of in parts.items()}
+
 
 class Compressors:
     """One compressor per language."""

@@ -294,6 +294,28 @@ def test_no_language_is_left_without_a_text_by_chance(make_docs):
     assert len(language_id.learn_dictionaries(make_docs(rows), sample_texts=1)) == 100
 
 
+def test_dictionaries_come_from_whole_texts_and_are_full(make_docs):
+    words = lambda k, n, alphabet: " ".join(alphabet[(k + i * i) % 20] * 3 + alphabet[i % 20] for i in range(n))
+    latin, georgian = "abcdefghijklmnopqrst", "აბგდევზთიკლმნოპჟრსტუ"
+    heading = "licence " * 200
+    rows = [{"doc_id": k, "text": heading + words(k, 4000, latin) + f" {k}", "lang": "headed"} for k in range(100)]
+    rows += [{"doc_id": k, "text": words(k, 1000, georgian) + f" ჰ{georgian[k % 20]}{georgian[k // 20]}", "lang": "wide"} for k in range(100)]
+    rows += [{"doc_id": k, "text": "".join(latin[int(c)] for c in f"{k:04d}") + " short one", "lang": "short"} for k in range(6000)]
+    rows += [{"doc_id": 1, "text": words(1, 30_000, latin), "lang": "single"}, {"doc_id": 2, "text": "x", "lang": "single"}]
+    learned = language_id.learn_dictionaries(make_docs(rows))
+    for lang, content in learned.items():
+        assert language_id.DICTIONARY_BYTES * 0.98 < len(content) <= language_id.DICTIONARY_BYTES, (lang, len(content))
+        content.decode()
+    assert learned["headed"].count(b"licence") < 64 * 96 / 4
+    assert learned["short"].count(b"short one") > 2000
+
+
+def test_portions_share_the_budget():
+    assert language_id.portions([10, 2, 10, 10], 4, 12) == [4, 2, 4, 2]
+    assert language_id.portions([1, 50, 9], 4, 30) == [1, 20, 9]
+    assert language_id.portions([1, 2], 4, 30) == [1, 2]
+
+
 def test_quality_of_held_out_documents(spark):
     got = QUERIES["op8_quality_classifier"](spark, "/root/testdata/sf0.1").join(
         spark.read.parquet("/root/testdata/sf0.1/labels.parquet"), "doc_id"
