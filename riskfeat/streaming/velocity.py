@@ -69,8 +69,8 @@ def start_velocity(
     """Keep hour tiles per key. Each batch writes the tiles of its own events.
 
     Counts, sums and sketches of a tile's parts merge when they are read, so there is no state,
-    and an event counts however late it comes. Events that the backfill holds, those up to
-    its end, are left out; events without a time have no tile.
+    and without a backfill an event counts however late it comes. After a backfill all events up to
+    its end are left out, also a late one that it did not hold; events without a time have no tile.
     """
     end = _backfill_end(stream.sparkSession, path)
 
