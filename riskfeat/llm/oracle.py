@@ -202,6 +202,34 @@ SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_re
 FROM documents d LEFT JOIN left_over USING (doc_id)
 """
 
+TERM = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+SEARCH = f"""
+WITH listed AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}') AS w FROM documents
+),
+sized AS (SELECT doc_id, len(w) AS n FROM listed WHERE len(w) > 0),
+whole AS (SELECT CAST(count(*) AS BIGINT) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM sized),
+counted AS (SELECT doc_id, term, count(*) AS tf FROM (SELECT doc_id, unnest(w) AS term FROM listed) GROUP BY doc_id, term),
+weights AS (
+    SELECT term, CAST(floor(1000 * ln((2 * docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM counted, whole GROUP BY term, docs
+),
+wanted AS (
+    SELECT item_id, term, count(*) AS times
+    FROM (SELECT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '{TERM}')) AS term FROM benchmark)
+    GROUP BY item_id, term
+),
+scored AS (
+    SELECT i.item_id, c.doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) AS BIGINT) AS score
+    FROM wanted i JOIN counted c USING (term) JOIN weights USING (term) JOIN sized s ON s.doc_id = c.doc_id, whole
+    GROUP BY i.item_id, c.doc_id
+)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scored WHERE score > 0
+QUALIFY rank <= 10
+"""
+
 ORACLE = {
     "op1_chat_formatting": CHATS,
     "op2_line_dedup": LINES,
@@ -211,4 +239,5 @@ ORACLE = {
     "op7_ngram_join": GROUPS,
     "op9_decontamination": LEAKS,
     "op10_substring_dedup": SUBSTRINGS,
+    "op11_lexical_search": SEARCH,
 }

@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskfeat.llm import chat, decontaminate, language_id, line_dedup, mixing, ngram_join
+from riskfeat.llm import chat, decontaminate, language_id, lexical_search, line_dedup, mixing, ngram_join
 from riskfeat.llm import quality_classifier, quality_rules, substring_dedup, url_rules
 from riskfeat.llm.oracle import ORACLE as ORACLE
 
@@ -134,6 +134,12 @@ def op10_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.dedup_substrings(docs).drop("kept")
 
 
+def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents for every benchmark item."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return lexical_search.search(docs, table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -147,5 +153,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op8_quality_classifier,
         op9_decontamination,
         op10_substring_dedup,
+        op11_lexical_search,
     )
 }
