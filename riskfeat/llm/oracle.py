@@ -230,6 +230,40 @@ FROM scored WHERE score > 0
 QUALIFY rank <= 10
 """
 
+#: f(phrase) of every length, then the cuts of each candidate.
+PHRASES = f"""
+WITH pieces AS (
+    SELECT doc_id, coalesce(lang, 'und') AS lang,
+        unnest(regexp_split_to_array(translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+    FROM documents
+),
+listed AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS w FROM pieces),
+totals AS (SELECT lang, CAST(sum(len(w)) AS BIGINT) AS n FROM listed GROUP BY lang),
+occurring AS (
+    SELECT lang, k, array_to_string(w[i : i + k - 1], ' ') AS phrase
+    FROM (SELECT lang, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS i FROM listed, (VALUES (1), (2), (3), (4)) AS s(k))
+),
+frequent AS (SELECT lang, k, phrase, count(*) AS f FROM occurring GROUP BY lang, k, phrase HAVING count(*) >= 30),
+cuts AS (
+    SELECT c.lang, c.k, c.phrase, c.f AS a, j, x.f AS l, y.f AS r,
+        CAST((2000000::HUGEINT * c.f) // (x.f::HUGEINT + y.f) AS BIGINT) AS score
+    FROM (SELECT *, unnest(range(1, k)) AS j FROM frequent WHERE k > 1) c
+    JOIN frequent x ON x.lang = c.lang AND x.phrase = array_to_string(string_split(c.phrase, ' ')[1 : j], ' ')
+    JOIN frequent y ON y.lang = c.lang AND y.phrase = array_to_string(string_split(c.phrase, ' ')[j + 1 :], ' ')
+),
+weakest AS (SELECT * FROM cuts QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_phrases AS (
+    SELECT f.lang, array_to_string(string_split(f.phrase, ' ')[i : i + m - 1], ' ') AS phrase, max(f.f) AS most
+    FROM (SELECT *, unnest(range(1, k - m + 2)) AS i FROM frequent, (VALUES (2), (3)) AS s(m) WHERE m < k) f
+    GROUP BY ALL
+)
+SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY score DESC, a DESC, w.phrase) AS rank, w.phrase, a, l, r, n, score
+FROM weakest w JOIN totals t ON t.lang = w.lang
+LEFT JOIN inner_phrases i ON i.lang = w.lang AND i.phrase = w.phrase
+WHERE most IS NULL OR 100 * most < 80 * a
+QUALIFY rank <= 2000
+"""
+
 ORACLE = {
     "op1_chat_formatting": CHATS,
     "op2_line_dedup": LINES,
@@ -240,4 +274,5 @@ ORACLE = {
     "op9_decontamination": LEAKS,
     "op10_substring_dedup": SUBSTRINGS,
     "op11_lexical_search": SEARCH,
+    "op12_collocations": PHRASES,
 }

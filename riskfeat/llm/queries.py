@@ -8,8 +8,8 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskfeat.llm import chat, decontaminate, language_id, lexical_search, line_dedup, mixing, ngram_join
-from riskfeat.llm import quality_classifier, quality_rules, substring_dedup, url_rules
+from riskfeat.llm import chat, collocations, decontaminate, language_id, lexical_search, line_dedup, mixing
+from riskfeat.llm import ngram_join, quality_classifier, quality_rules, substring_dedup, url_rules
 from riskfeat.llm.oracle import ORACLE as ORACLE
 
 #: Host, path and verdict of the rules that the query applies. Fixed values.
@@ -140,6 +140,11 @@ def op11_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical_search.search(docs, table(spark, sf_dir, "benchmark"))
 
 
+def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 leading phrases of every language."""
+    return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -154,5 +159,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op9_decontamination,
         op10_substring_dedup,
         op11_lexical_search,
+        op12_collocations,
     )
 }
