@@ -137,13 +137,13 @@ def list_column(flat: np.ndarray, counts: Sequence[int], kind: pa.DataType) -> p
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
 
 
-def parts(batches: Iterator[pa.RecordBatch], text: str = "text") -> Iterator[pa.RecordBatch]:
-    """Slices of batches with about PIECE bytes of text; a longer text is a slice of its own."""
+def parts(batches: Iterator[pa.RecordBatch], text: str = "text", piece: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with about ``piece`` bytes of text; a longer text is a slice of its own."""
     import pyarrow.compute as pc
 
     for batch in batches:
         sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0))
-        group = np.cumsum(sizes) // PIECE
+        group = np.cumsum(sizes, dtype=np.int64) // piece
         cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(batch)]
         for start, end in zip(cuts, cuts[1:]):
             if end > start:

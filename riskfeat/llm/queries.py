@@ -8,7 +8,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from riskfeat.llm import chat, collocations, decontaminate, language_id, lexical_search, line_dedup, mixing
+from riskfeat.llm import chat, collocations, decontaminate, language_id, lexical_search, line_dedup, lm_scoring, mixing
 from riskfeat.llm import ngram_join, quality_classifier, quality_rules, substring_dedup, url_rules
 from riskfeat.llm.oracle import ORACLE as ORACLE
 
@@ -145,6 +145,15 @@ def op12_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return collocations.collocations(table(spark, sf_dir, "documents").select("lang", "text"))
 
 
+def op13_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's score by a model of nine tenths of them."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    out = language_id.held_out(F.col("doc_id"), 10)
+    return lm_scoring.score_texts(docs, ~out).select(
+        "doc_id", (~F.col("learn")).alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
@@ -160,5 +169,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         op10_substring_dedup,
         op11_lexical_search,
         op12_collocations,
+        op13_lm_scoring,
     )
 }
