@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from riskfeat import schemas as S
@@ -83,11 +85,18 @@ def build_abt(
     )
 
 
-def last_days(df: DataFrame, ts: str, days: int = 1) -> DataFrame:
-    """Rows no older than ``days`` before the newest one; of a table by month only the months they are in."""
-    oldest = df.agg(F.max(ts).alias("newest")).select(
-        (F.col("newest") - F.make_dt_interval(days=F.lit(days))).alias("oldest")
-    ).scalar()
+def last_days(df: DataFrame, ts: str, days: int = 1, newest: str | None = None) -> DataFrame:
+    """Rows no older than ``days`` before the newest one; of a table by month only the months they are in.
+
+    Where the newest time is known, as from the commit of a written table, ``newest`` saves the pass that looks for it,
+    and months and row groups are chosen by constants.
+    """
+    if newest is None:
+        found = df.agg(F.max(ts).alias("newest")).select("newest")
+        oldest = found.select((F.col("newest") - F.make_dt_interval(days=F.lit(days))).alias("oldest")).scalar()
+    else:
+        # A constant, so that it reaches the scan.
+        oldest = F.lit(dt.datetime.fromisoformat(newest) - dt.timedelta(days=days)).cast(df.schema[ts].dataType)
     recent = df.where(F.col(ts) >= oldest)
     if "event_month" not in df.columns:
         return recent

@@ -14,8 +14,11 @@ from riskfeat.operators.ordering import first_by_hash, range_boundaries, running
 
 
 def score_steps(scored: DataFrame, label: str = "label", score: str = "fraud_score") -> DataFrame:
-    """Per distinct score its rows and positives, and those at or above it."""
-    rows = scored.where(F.col(score).isNotNull())
+    """Per distinct score its rows and positives, and those at or above it.
+
+    Rows without a score, null or NaN, are left out, as if they were not there.
+    """
+    rows = scored.where(F.col(score).isNotNull() & ~F.isnan(F.col(score).cast("double")))
     steps = rows.groupBy(F.col(score).alias("score")).agg(
         F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("pos")
     )

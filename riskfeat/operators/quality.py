@@ -2,13 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import datetime as dt
+from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from riskfeat import schemas as S
 
 
+CHECKS = ("tail_trimmed", "rows_expected", "rows_kept", "splits_complete")
+
+
 class QualityError(AssertionError):
     """A load that must not be used."""
 
@@ -42,11 +46,36 @@ def quality_report(
     )
 
 
-def require(report: DataFrame) -> None:
+def split_stats() -> dict[str, Column]:
+    """Statistics of a base table that its writing pass can see."""
+    count = lambda name: F.count(F.when(F.col("split") == name, 1))
+    return {
+        "last_ts": F.max("event_ts"),
+        "n_positives": F.sum("is_laundering"),
+        **{f"n_{name.lower()}": count(name) for name in ("TRAIN", "VAL", "TEST")},
+    }
+
+
+def written_checks(events: Mapping, abt: Mapping, cutoff: str = S.TAIL_CUTOFF_DATE, expected: int = 1) -> dict:
+    """The checks of ``quality_report`` from what the writing passes of both tables saw: nothing is read again."""
+    last, limit = abt["last_ts"], dt.datetime.fromisoformat(cutoff)
+    splits = [int(abt[f"n_{name}"] or 0) for name in ("train", "val", "test")]
+    return {
+        "n_events": events["rows"],
+        "n_abt": abt["rows"],
+        "last_ts": last,
+        "n_expected": expected,
+        "tail_trimmed": last is not None and dt.datetime.fromisoformat(last) < limit,
+        "rows_expected": events["rows"] >= expected,
+        "rows_kept": abt["rows"] == events["rows"],
+        "splits_complete": all(splits),
+    }
+
+
+def require(report: DataFrame | Mapping) -> None:
     """Raise unless every check of a one-row report holds."""
-    row = report.first().asDict()
-    checks = [f.name for f in report.schema.fields if f.dataType.typeName() == "boolean"]
-    failed = [c for c in checks if not row[c]]
+    row = report.first().asDict() if isinstance(report, DataFrame) else report
+    failed = [name for name, value in row.items() if value is False or value is None and name in CHECKS]
     if failed:
         raise QualityError(f"failed checks: {failed} in {row}")
 

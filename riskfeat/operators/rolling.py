@@ -320,3 +320,84 @@ def roll_up(
             value = F.coalesce(F.hll_sketch_estimate(union), F.lit(0))
         columns.append(value.alias(f.alias))
     return aged.where(F.col("_age") < longest).groupBy(key).agg(*columns)
+
+
+#: Levels of tile nodes: a node of level k covers 2^k hours. A longer window takes more nodes of the highest level's size.
+LEVELS = 6
+
+
+def _hour_number(at: Column) -> Column:
+    return F.floor(F.unix_timestamp(at.cast("timestamp")) / HOUR).cast("long")
+
+
+def _covering(first: Column, end: Column) -> Column:
+    """The nodes (level, place) that cover the hours from ``first`` up to, not including, ``end``: two a level at most."""
+    node = lambda level, place: F.struct(F.lit(level).alias("level"), place.alias("place"))
+    # What lower levels leave open begins and ends at whole nodes of this one.
+    at = lambda level: (F.shiftright(first + (2**level - 1), level), F.shiftright(end, level))
+    found = []
+    for level in range(LEVELS):
+        left, right = at(level)
+        odd = left % 2 == 1
+        found.append(F.when((left < right) & odd, F.array(node(level, left))))
+        found.append(F.when((right % 2 == 1) & (F.when(odd, left + 1).otherwise(left) < right), F.array(node(level, right - 1))))
+    left, right = at(LEVELS)
+    rest = F.when(left < right, F.transform(F.sequence(left, right - 1), lambda p: node(LEVELS, p)))
+    none = F.array().cast("array<struct<level:int,place:bigint>>")
+    return F.concat(*[F.coalesce(part, none) for part in (*found, rest)])
+
+
+def roll_up_at(
+    tiles: DataFrame, spine: DataFrame, key: str, at: str, features: Sequence[Feature] = VELOCITY_FEATURES
+) -> DataFrame:
+    """The rows of ``spine`` with their features at tile grain, each as of its own moment ``at``.
+
+    As ``roll_up``, a window of h hours takes the tile that holds the moment and the h - 1 tiles before it. Tiles are
+    merged per key into nodes of 1, 2, 4, ... hours, and each different key and hour of the spine asks for the
+    few nodes that cover its windows; so a long window costs the logarithm of its length, and no range is joined.
+    A row without a key or time, or without tiles, has counts of 0 and null sums.
+    """
+    hours = sorted({f.hours for f in features})
+    hour = _hour_number(F.col("hour"))
+    base = tiles.withColumn("place", hour).withColumn("level", F.lit(0)).drop("hour")
+    nodes = base
+    for level in range(1, LEVELS + 1):
+        nodes = nodes.unionByName(base.withColumns({"level": F.lit(level), "place": F.shiftright("place", level)}))
+    merged = []
+    for name in tiles.columns:
+        if name.startswith("sketch_"):
+            merged.append(F.hll_union_agg(name).alias(name))
+        elif name.startswith(("count_", "sum_")):
+            merged.append(F.sum(name).alias(name))
+    nodes = nodes.groupBy(F.col(key).alias("_key"), "level", "place").agg(*merged)
+    asked = (
+        spine.where(F.col(key).isNotNull() & F.col(at).isNotNull())
+        .select(F.col(key).alias("_asker"), _hour_number(F.col(at)).alias("_hour"))
+        .distinct()
+    )
+    parts = F.array(
+        *[
+            F.struct(F.lit(h).alias("_hours"), _covering(F.col("_hour") - (h - 1), F.col("_hour") + 1).alias("_nodes"))
+            for h in hours
+        ]
+    )
+    wanted = asked.select("_asker", "_hour", F.inline(parts)).select("_asker", "_hour", "_hours", F.inline("_nodes"))
+    met = wanted.join(nodes, (F.col("_asker") == F.col("_key")) & (wanted["level"] == nodes["level"]) & (wanted["place"] == nodes["place"]))
+    columns = []
+    for f in features:
+        inside = F.col("_hours") == f.hours
+        if f.agg == "count":
+            value = F.sum(F.when(inside, F.col(f"count_{f.column}")))
+        elif f.agg == "sum":
+            value = F.sum(F.when(inside, F.col(f"sum_{f.column}")))
+        else:
+            value = F.hll_sketch_estimate(F.hll_union_agg(F.when(inside, F.col(f"sketch_{f.column}"))))
+        columns.append(value.alias(f.alias))
+    answers = met.groupBy(F.col("_asker").alias(key), F.col("_hour").alias("_at")).agg(*columns)
+    stamped = spine.withColumn("_at", _hour_number(F.col(at)))
+    heavy = heavy_keys(key_counts(stamped, [key, "_at"]), [key, "_at"])
+    joined = left_join_by_key(stamped, [answers], [key, "_at"], heavy)
+    whole = [
+        (F.col(f.alias) if f.agg == "sum" else F.coalesce(f.alias, F.lit(0)).cast("long")).alias(f.alias) for f in features
+    ]
+    return joined.select(*spine.columns, *whole)

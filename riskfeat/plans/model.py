@@ -16,22 +16,24 @@ from pyspark.sql import Column, DataFrame, functions as F
 from riskfeat import schemas as S
 from riskfeat.operators.matrix import assemble
 from riskfeat.operators.sampling import class_weights, with_weight
+from riskfeat.plans.boosting import BoostedTrees, Settings, fit
 
 # --- fixed values: training parameters ---
 GBT_PARAMS = {"maxIter": 300, "maxDepth": 6, "stepSize": 0.1, "minInstancesPerNode": 50, "seed": 42}
+TREE_PARAMS = {"trees": 300, "depth": 6, "rate": 0.1, "l2": 1.0, "least_rows": 50}
 # --- end of fixed values ---
 
 
 def train(
     frame: DataFrame,
     names: Sequence[str],
-    kind: str = "gbt",
+    kind: str = "monotone_gbt",
     params: Mapping[str, object] | None = None,
-) -> PipelineModel:
+) -> PipelineModel | BoostedTrees:
     """Fit on the TRAIN rows of a training set, positives weighted up to the negatives.
 
-    ``gbt`` are boosted trees, which Spark ML cannot constrain; ``monotone_lr``
-    is a logistic model whose risk-increasing features cannot lower the score.
+    ``monotone_gbt`` are boosted trees with an L2 term whose risk-increasing features cannot lower the score, and
+    ``monotone_lr`` is a logistic model with the same constraint. ``gbt`` are Spark ML's boosted trees, which have neither.
     """
     rows = frame.where(F.col("split") == "TRAIN")
     matrix = with_weight(
@@ -40,6 +42,9 @@ def train(
         ),
         class_weights(rows),
     )
+    if kind == "monotone_gbt":
+        rising = [n for n in names if n in S.MONOTONE_FEATURES]
+        return fit(matrix, names, "is_laundering", "weight", rising, Settings(**{**TREE_PARAMS, **(params or {})}))
     assembler = VectorAssembler(inputCols=list(names), outputCol="features")
     shared = {"featuresCol": "features", "labelCol": "is_laundering", "weightCol": "weight"}
     if kind == "gbt":
@@ -52,7 +57,11 @@ def train(
         estimator = estimator.setLowerBoundsOnCoefficients(DenseMatrix(1, len(names), floor))
     else:
         raise ValueError(f"unknown kind of model: {kind}")
-    return Pipeline(stages=[assembler, estimator]).fit(matrix)
+    model = Pipeline(stages=[assembler, estimator]).fit(matrix)
+    if kind == "monotone_lr":
+        # The summary of the fit holds the session, which can't go to tasks once it has observed a write.
+        model.stages[-1]._java_obj.setSummary(matrix.sparkSession._jvm.scala.Option.empty())
+    return model
 
 
 def linear_terms(model: PipelineModel) -> tuple[dict[str, float], float]:
@@ -70,22 +79,24 @@ def linear_score(weights: Mapping[str, float], intercept: float) -> Column:
     return 1.0 / (1.0 + F.exp(-z))
 
 
-def predict(matrix: DataFrame, model: PipelineModel) -> DataFrame:
+def predict(matrix: DataFrame, model: PipelineModel | BoostedTrees) -> DataFrame:
     """Adds ``fraud_score``, the probability of the positive class."""
+    if isinstance(model, BoostedTrees):
+        return model.transform(matrix)
     scored = model.transform(matrix)
     score = vector_to_array("probability")[1]
     return scored.withColumn("fraud_score", score).select(*matrix.columns, "fraud_score")
 
 
 def scored_rows(
-    rows: DataFrame, names: Sequence[str], model: PipelineModel | tuple[Mapping[str, float], float]
+    rows: DataFrame, names: Sequence[str], model: PipelineModel | BoostedTrees | tuple[Mapping[str, float], float]
 ) -> DataFrame:
     """Score ABT rows that carry their history: key, time, format, label and score."""
     keys = [c for c in ("event_key", "account_id", "event_ts", "payment_format") if c in rows.columns]
     matrix = assemble(
         rows.withColumn("label", F.col("is_laundering")), names, [*keys, "label"]
     )
-    if isinstance(model, PipelineModel):
+    if isinstance(model, (PipelineModel, BoostedTrees)):
         scored = predict(matrix, model)
     else:
         scored = matrix.withColumn("fraud_score", linear_score(*model))
@@ -93,7 +104,7 @@ def scored_rows(
 
 
 def monotone_audit(
-    model: PipelineModel, matrix: DataFrame, names: Sequence[str], steps: Sequence[float]
+    model: PipelineModel | BoostedTrees, matrix: DataFrame, names: Sequence[str], steps: Sequence[float]
 ) -> DataFrame:
     """Per risk-increasing feature, how often adding to it lowers the score of a row.
 

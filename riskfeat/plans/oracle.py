@@ -260,6 +260,17 @@ TILES = """SELECT account_id, date_trunc('hour', event_ts) AS hour, count(amount
     CAST(sum(is_high_risk_format) AS BIGINT) AS sum_is_high_risk_format
     FROM payments GROUP BY account_id, date_trunc('hour', event_ts)"""
 
+ROLLED = """SELECT account_id, count(amount_paid) FILTER (WHERE age < 1) AS txn_count_1h,
+           count(amount_paid) FILTER (WHERE age < 24) AS txn_count_24h,
+           round(sum(amount_paid) FILTER (WHERE age < 24), 4) AS amt_sum_24h,
+           round(sum(amount_paid) FILTER (WHERE age < 48), 4) AS amt_sum_48h,
+           CAST(sum(is_cross_currency) FILTER (WHERE age < 24) AS BIGINT) AS cross_ccy_cnt_24h,
+           CAST(sum(is_high_risk_format) FILTER (WHERE age < 24) AS BIGINT) AS high_risk_cnt_24h
+    FROM (SELECT *, date_diff('hour', date_trunc('hour', event_ts),
+                              (SELECT date_trunc('hour', max(event_ts)) FROM payments)) AS age
+          FROM payments) aged
+    WHERE age < 48 GROUP BY account_id"""
+
 PREDICTIONS = "SELECT event_key, account_id, event_ts, payment_format, label, fraud_score"
 
 VELOCITY = _with(
@@ -276,7 +287,7 @@ VELOCITY = _with(
 ORACLE: dict[str, str] = {
     "landing_transactions": _with([TXNS], "SELECT * EXCLUDE (event_key, l_orderkey) FROM txns"),
     "landing_accounts": _with([ACCOUNTS], "SELECT * FROM accounts"),
-    "pattern_edges": _with(
+    **dict.fromkeys(("pattern_edges", "patterns_table"), _with(
         [TXNS],
         """SELECT dense_rank() OVER (ORDER BY l_orderkey) AS pattern_id,
            CASE l_orderkey % 4 WHEN 0 THEN 'FAN-OUT' WHEN 1 THEN 'FAN-IN' WHEN 2 THEN 'CYCLE'
@@ -285,13 +296,17 @@ ORACLE: dict[str, str] = {
            to_bank || '_' || to_account AS to_account_id, amount_paid, payment_currency
     FROM txns
     WHERE l_orderkey IN (SELECT l_orderkey FROM txns GROUP BY l_orderkey HAVING count(*) > 1)""",
-    ),
+    )),
+    "readiness": "SELECT * FROM (VALUES ('view NEVER/V1'), ('model LAUNDERING_RISK/V1')) AS lacking(lacking)",
     "bank_dim": _with([ACCOUNTS, BANKS], "SELECT * FROM banks"),
     "account_dim": _with([ACCOUNTS, BANKS, OWNERS], "SELECT * FROM owners"),
     "txn_events": _with(CURATED, "SELECT * FROM events_in"),
-    "account_history": _with(
-        WITH_HISTORY,
-        f"SELECT account_id, {PROFILE_COLUMNS}, last_activity_ts, entity_type, home_country FROM history",
+    **dict.fromkeys(
+        ("account_history", "history_incremental"),
+        _with(
+            WITH_HISTORY,
+            f"SELECT account_id, {PROFILE_COLUMNS}, last_activity_ts, entity_type, home_country FROM history",
+        ),
     ),
     "dup_keys": """SELECT l_orderkey, l_linenumber, count(*) AS n_rows FROM lineitem
     GROUP BY l_orderkey, l_linenumber HAVING count(*) > 1""",
@@ -473,13 +488,16 @@ ORACLE: dict[str, str] = {
         name: _with(
             WITH_ABT, "SELECT event_key, is_laundering AS label, true AS is_probability FROM abt WHERE split = 'TEST'"
         )
-        for name in ("train_scores", "monotone_scores")
+        for name in ("train_scores", "spark_tree_scores", "monotone_scores")
+    },
+    **{
+        name: _with(
+            WITH_ABT,
+            f"""SELECT feature, (SELECT count(*) FROM abt WHERE split = 'TEST') AS n_rows, CAST(0 AS BIGINT) AS n_decreases
+        FROM (VALUES {", ".join(f"('{name}')" for name in S.MONOTONE_FEATURES)}) AS audited(feature)""",
+        )
+        for name in ("monotone_audit", "tree_audit")
     },
-    "monotone_audit": _with(
-        WITH_ABT,
-        f"""SELECT feature, (SELECT count(*) FROM abt WHERE split = 'TEST') AS n_rows, CAST(0 AS BIGINT) AS n_decreases
-    FROM (VALUES {", ".join(f"('{name}')" for name in S.MONOTONE_FEATURES)}) AS audited(feature)""",
-    ),
     "velocity": VELOCITY,
     "velocity_distinct": _with(
         [PAYMENTS],
@@ -505,9 +523,31 @@ ORACLE: dict[str, str] = {
                AS high_risk_cnt_24h
     FROM payments, newest WHERE event_ts >= ts - INTERVAL 48 HOUR GROUP BY account_id""",
     ),
+    "velocity_asof_tiles": _with(
+        [PAYMENTS],
+        """SELECT e.event_id, e.account_id, e.event_ts, count(p.amount_paid) FILTER (WHERE age < 1) AS txn_count_1h,
+           count(p.amount_paid) FILTER (WHERE age < 24) AS txn_count_24h,
+           round(sum(p.amount_paid) FILTER (WHERE age < 24), 4) AS amt_sum_24h,
+           round(sum(p.amount_paid) FILTER (WHERE age < 48), 4) AS amt_sum_48h,
+           CAST(sum(p.is_cross_currency) FILTER (WHERE age < 24) AS BIGINT) AS cross_ccy_cnt_24h,
+           CAST(sum(p.is_high_risk_format) FILTER (WHERE age < 24) AS BIGINT) AS high_risk_cnt_24h
+    FROM payments e JOIN payments p ON p.account_id = e.account_id,
+        LATERAL (SELECT date_diff('hour', date_trunc('hour', p.event_ts), date_trunc('hour', e.event_ts)) AS age) a
+    WHERE age BETWEEN 0 AND 47 GROUP BY ALL""",
+    ),
     "hour_tiles": _with([PAYMENTS], TILES),
     "stream_hour_tiles": _with([PAYMENTS], TILES),
     "stream_backfill": _with([PAYMENTS], TILES),
+    **{name: _with([PAYMENTS], TILES) for name in ("stream_backfill_late", "stream_compaction", "stream_late")},
+    "stream_transform": _with([PAYMENTS], TILES.replace("FROM payments", "FROM payments WHERE is_high_risk_format = 0")),
+    "stream_burst": _with(
+        [
+            PAYMENTS,
+            """burst AS (SELECT * FROM payments WHERE account_id =
+                (SELECT account_id FROM payments GROUP BY account_id ORDER BY count(*) DESC, account_id LIMIT 1))""",
+        ],
+        ROLLED.replace("payments", "burst"),
+    ),
     "stream_velocity_distinct": _with(
         [PAYMENTS],
         """SELECT account_id, count(DISTINCT receiver_bank) AS distinct_banks_24h,
@@ -516,19 +556,7 @@ ORACLE: dict[str, str] = {
     WHERE date_trunc('hour', event_ts) > (SELECT date_trunc('hour', max(event_ts)) - INTERVAL 24 HOUR FROM payments)
     GROUP BY account_id""",
     ),
-    "stream_velocity": _with(
-        [PAYMENTS],
-        """SELECT account_id, count(amount_paid) FILTER (WHERE age < 1) AS txn_count_1h,
-           count(amount_paid) FILTER (WHERE age < 24) AS txn_count_24h,
-           round(sum(amount_paid) FILTER (WHERE age < 24), 4) AS amt_sum_24h,
-           round(sum(amount_paid) FILTER (WHERE age < 48), 4) AS amt_sum_48h,
-           CAST(sum(is_cross_currency) FILTER (WHERE age < 24) AS BIGINT) AS cross_ccy_cnt_24h,
-           CAST(sum(is_high_risk_format) FILTER (WHERE age < 24) AS BIGINT) AS high_risk_cnt_24h
-    FROM (SELECT *, date_diff('hour', date_trunc('hour', event_ts),
-                              (SELECT date_trunc('hour', max(event_ts)) FROM payments)) AS age
-          FROM payments) aged
-    WHERE age < 48 GROUP BY account_id""",
-    ),
+    "stream_velocity": _with([PAYMENTS], ROLLED),
     "stream_event_features": VELOCITY,
     "stream_source": _with(
         [PAYMENTS],

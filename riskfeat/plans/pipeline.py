@@ -18,12 +18,14 @@ from riskfeat.operators.joins import heavy_keys, key_counts
 from riskfeat.operators.matrix import signature, with_history
 from riskfeat.operators.metrics import model_metrics
 from riskfeat.operators.sampling import class_weights, train_sample
-from riskfeat.plans.model import GBT_PARAMS, scored_rows, train
+from riskfeat.plans.model import GBT_PARAMS, TREE_PARAMS, scored_rows, train
 from riskfeat.plans.registry import Registry
 from riskfeat.sources import files
 from riskfeat.sources.patterns import parse_patterns
 
 MODEL = "LAUNDERING_RISK"
+#: Least transactions and accounts of the whole data set.
+EXPECTED_ROWS = (S.EXPECTED_MIN_TRANSACTIONS, S.EXPECTED_MIN_ACCOUNTS)
 
 
 def load(
@@ -33,8 +35,13 @@ def load(
     root: str,
     cutoff: str = S.TAIL_CUTOFF_DATE,
     pattern_text: str | None = None,
+    expected: tuple[int, int] = (1, 1),
 ) -> None:
-    """Landing files that are new to raw tables, then all to the curated tables of an environment."""
+    """Landing files that are new to raw tables, then all to the curated tables of an environment.
+
+    With fewer transactions or accounts than ``expected`` the curated tables stay as they are and the load fails;
+    ``EXPECTED_ROWS`` are the counts of the whole data set. Rows are counted while they are written.
+    """
     raw_txns, raw_accounts = f"{root}/raw/transactions", f"{root}/raw/accounts"
     files.load_new(
         spark,
@@ -43,6 +50,10 @@ def load(
         lambda new, load: files.with_row_key(files.read_transactions(spark, new), load),
     )
     files.load_new(spark, accounts, raw_accounts, lambda new, load: files.read_accounts(spark, new))
+    for name, path, least in zip(("transactions", "accounts"), (raw_txns, raw_accounts), expected):
+        rows = files.loaded_rows(spark, path)
+        if rows < least:
+            raise quality.QualityError(f"{rows} {name} were loaded, {least} are expected")
     curated(spark, files.loaded(spark, raw_txns), files.loaded(spark, raw_accounts), root, cutoff)
     if pattern_text is not None:
         files.write_version(parse_patterns(spark, pattern_text), root, "laundering_patterns")
@@ -60,18 +71,21 @@ def curated(
     files.write_version(curate.account_history(events, owners), root, "account_history")
 
 
-def build_abt(spark: SparkSession, src_root: str, dst_root: str, cutoff: str) -> DataFrame:
-    """The base table of one environment from the curated tables of another, then checked."""
+def build_abt(spark: SparkSession, src_root: str, dst_root: str, cutoff: str, expected: int = 1) -> DataFrame:
+    """The base table of one environment from the curated tables of another, checked by what the writing passes saw.
+
+    ``expected`` is the least number of events that a whole load has.
+    """
     events = files.read_version(spark, src_root, "txn_events")
     history = files.read_version(spark, src_root, "account_history")
     built = A.build_abt(events, history, A.split_thresholds(events))
     # Months are folders, and days stay together in a file, so a slice of days reads little else.
     by_month = built.withColumn("event_month", F.date_format("event_ts", "yyyy-MM"))
     ordered = by_month.repartitionByRange("event_month", "event_ts").sortWithinPartitions("event_month", "event_ts")
-    files.write_version(ordered, dst_root, "abt", by=["event_month"])
-    table = files.read_version(spark, dst_root, "abt")
-    quality.require(quality.quality_report(events, table, cutoff))
-    return table
+    files.write_version(ordered, dst_root, "abt", by=["event_month"], stats=quality.split_stats())
+    seen = [files.version_stats(spark, *where) for where in ((src_root, "txn_events"), (dst_root, "abt"))]
+    quality.require(quality.written_checks(*seen, cutoff, expected))
+    return files.read_version(spark, dst_root, "abt")
 
 
 def train_version(
@@ -80,7 +94,7 @@ def train_version(
     root: str,
     version: str,
     views: Sequence[FeatureView] = (PROFILE_VIEW,),
-    kind: str = "gbt",
+    kind: str = "monotone_gbt",
     params: Mapping[str, object] | None = None,
     n_neg: int = S.TRAIN_NEGATIVES,
 ) -> dict[str, float]:
@@ -106,7 +120,7 @@ def train_version(
     metrics = {name: float("nan") if value is None else value for name, value in metrics.items()}
     weights = class_weights(sample.where(F.col("split") == "TRAIN")).first()
     settings = {
-        **(GBT_PARAMS if kind == "gbt" else {}),
+        **({"gbt": GBT_PARAMS, "monotone_gbt": TREE_PARAMS}.get(kind, {})),
         **(params or {}),
         "kind": kind,
         "pos_weight": round(weights["pos_weight"], 2),
@@ -122,13 +136,13 @@ def train_version(
 
 
 def daily_scores(
-    abt: DataFrame, history: DataFrame, names: Sequence[str], model, days: int = 1
+    abt: DataFrame, history: DataFrame, names: Sequence[str], model, days: int = 1, newest: str | None = None
 ) -> DataFrame:
-    """Scores of the newest ``days`` of the base table.
+    """Scores of the newest ``days`` of the base table, up to ``newest`` where that is known.
 
     Only the history of accounts in the slice meets its rows.
     """
-    recent = A.last_days(abt, "event_ts", days)
+    recent = A.last_days(abt, "event_ts", days, newest)
     counts = key_counts(recent, "account_id")
     asked = history.join(counts.select("account_id"), "account_id", "left_semi")
     return scored_rows(with_history(recent, asked, heavy_keys(counts, "account_id")), names, model)
@@ -140,7 +154,8 @@ def score_batch(spark: SparkSession, root: str, version: str, as_of: str, days:
     abt = files.read_version(spark, root, "abt")
     history = files.read_version(spark, root, "account_history")
     path = f"{root}/predictions"
-    files.write_predictions(daily_scores(abt, history, names, model, days), path, as_of)
+    newest = files.version_stats(spark, root, "abt").get("last_ts")
+    files.write_predictions(daily_scores(abt, history, names, model, days, newest), path, as_of)
     return files.read_predictions(spark, path)
 
 

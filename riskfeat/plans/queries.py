@@ -6,12 +6,12 @@ import datetime as dt
 from collections.abc import Callable
 from functools import cached_property
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskfeat import schemas as S
 from riskfeat.functions import columns as C
 from riskfeat.operators import abt as A
-from riskfeat.operators import curate, metrics, quality, rolling, sampling, summaries
+from riskfeat.operators import curate, history, metrics, quality, rolling, sampling, summaries
 from riskfeat.operators import features as V
 from riskfeat.operators.joins import latest_by_key, lookup
 from riskfeat.operators.matrix import assemble, history_features, signature, with_history
@@ -205,6 +205,13 @@ def pattern_edges(t: Tables) -> DataFrame:
     return patterns.parse_patterns(t.spark, path)
 
 
+def patterns_table(t: Tables) -> DataFrame:
+    """The parsed patterns, written as a version of their table and read back."""
+    root = scratch_dir(t.spark, "patterns")
+    files.write_version(pattern_edges(t), root, "laundering_patterns")
+    return files.read_version(t.spark, root, "laundering_patterns")
+
+
 def account_history(t: Tables) -> DataFrame:
     return _steady(
         t.history,
@@ -215,6 +222,20 @@ def account_history(t: Tables) -> DataFrame:
     )
 
 
+def history_incremental(t: Tables) -> DataFrame:
+    """The account history after three loads, each merged into what the ones before left."""
+    root = scratch_dir(t.spark, "history")
+    for load in range(3):
+        history.add_load(t.spark, root, t.events_table.where(F.crc32("event_key") % 3 == load))
+    return _steady(
+        history.current(t.spark, root, t.owners),
+        "hist_avg_amount",
+        "hist_std_amount",
+        "hist_foreign_ccy_share",
+        "hist_high_risk_share",
+    )
+
+
 # --- features and training ---
 
 
@@ -400,6 +421,75 @@ def stream_backfill(t: Tables) -> DataFrame:
     return _plain_tiles(velocity.read_tiles(t.spark, path))
 
 
+def velocity_asof_tiles(t: Tables) -> DataFrame:
+    """Every event with its features at tile grain, from the tiles that a stream has kept."""
+    spine = t.payments.select("event_id", "account_id", "event_ts")
+    rolled = rolling.roll_up_at(_stream_tiles(t), spine, "account_id", "event_ts", ADDITIVE)
+    return _rounded(rolled, 4, "amt_sum_24h", "amt_sum_48h")
+
+
+def _past(t: Tables) -> Column:
+    """Whether an event lies in the first half of the time."""
+    first, last = t.payments.agg(F.min("event_ts"), F.max("event_ts")).first()
+    return F.col("event_ts") <= F.lit(first + (last - first) / 2)
+
+
+def _landed(t: Tables, path: str, events: DataFrame, **options) -> None:
+    """Events land in the stream's folder, and the stream takes what is new there."""
+    streams.land_events(events, f"{path}/in")
+    velocity.start_velocity(
+        streams.read_event_stream(t.spark, f"{path}/in"), path, trigger={"availableNow": True}, **options
+    ).awaitTermination()
+
+
+def _as_stream(events: DataFrame) -> DataFrame:
+    return events.select(*[F.col(f.name).cast(f.dataType) for f in S.EVENT_SCHEMA.fields])
+
+
+def stream_compaction(t: Tables) -> DataFrame:
+    """A stream that first brings what was backfilled, so nothing is written; compacted, then the rest, compacted again."""
+    path, past = scratch_dir(t.spark, "velocity"), _past(t)
+    velocity.backfill(_as_stream(t.payments.where(past)), path)
+    for part in (t.payments.where(past), t.payments.where(~past)):
+        _landed(t, path, part)
+        velocity.compact_tiles(t.spark, path)
+    return _plain_tiles(velocity.read_tiles(t.spark, path))
+
+
+def stream_backfill_late(t: Tables) -> DataFrame:
+    """A backfill that misses every other event of the first half; the stream brings all events."""
+    path = scratch_dir(t.spark, "velocity")
+    velocity.backfill(_as_stream(t.payments.where(_past(t) & (F.col("event_id") % 2 == 0))), path)
+    _landed(t, path, t.payments)
+    return _plain_tiles(velocity.read_tiles(t.spark, path))
+
+
+def stream_late(t: Tables) -> DataFrame:
+    """The second half of the time comes first, and the first half late."""
+    path, past = scratch_dir(t.spark, "velocity"), _past(t)
+    for part in (t.payments.where(~past), t.payments.where(past)):
+        _landed(t, path, part)
+    return _plain_tiles(velocity.read_tiles(t.spark, path))
+
+
+def stream_transform(t: Tables) -> DataFrame:
+    """Tiles of the events that a transform of the stream lets pass."""
+    path = scratch_dir(t.spark, "velocity")
+    _landed(t, path, t.payments, transform=lambda df: df.where(F.col("is_high_risk_format") == 0))
+    return _plain_tiles(velocity.read_tiles(t.spark, path))
+
+
+def stream_burst(t: Tables) -> DataFrame:
+    """All events of the busiest account land one file after the other, then its counters at their end."""
+    path = scratch_dir(t.spark, "velocity")
+    counts = t.payments.groupBy("account_id").agg(F.count(F.lit(1)).alias("n"))
+    busiest = counts.orderBy(F.desc("n"), "account_id").limit(1).select("account_id")
+    _landed(t, path, t.payments.join(F.broadcast(busiest), "account_id", "left_semi"))
+    tiles = velocity.read_tiles(t.spark, path)
+    newest = tiles.agg(F.max("hour").alias("hour")).select("hour").scalar()
+    return _rounded(rolling.roll_up(tiles, newest, "account_id", ADDITIVE), 4, "amt_sum_24h", "amt_sum_48h")
+
+
 def _stream_features(t: Tables, features: list[rolling.Feature]) -> DataFrame:
     tiles = _stream_tiles(t)
     newest = tiles.agg(F.max("hour").alias("hour")).select("hour").scalar()
@@ -494,6 +584,13 @@ def model_versions(t: Tables) -> DataFrame:
     return found
 
 
+def readiness(t: Tables) -> DataFrame:
+    """What a run would still need in prod, where one version was promoted."""
+    views = [(v.name, v.version) for v in (V.PROFILE_VIEW, V.RISK_VIEW)]
+    lacking = Registry(t.spark, t.environments[1]).missing([*views, ("NEVER", "V1")], [(P.MODEL, "V1"), (P.MODEL, "V2")])
+    return t.spark.createDataFrame([(x,) for x in lacking], "lacking string")
+
+
 def promoted_scores(t: Tables) -> DataFrame:
     """Predictions of the promoted version for the newest day."""
     scores = files.read_predictions(t.spark, f"{t.environments[1]}/predictions")
@@ -515,19 +612,24 @@ def _checked_scores(scored: DataFrame) -> DataFrame:
 
 def train_scores(t: Tables) -> DataFrame:
     frame, names = _training_frame(t)
-    model = M.train(frame, names, "gbt")
+    model = M.train(frame, names, "monotone_gbt")
     return _checked_scores(M.scored_rows(t.test_rows, names, model))
 
 
+def spark_tree_scores(t: Tables) -> DataFrame:
+    frame, names = _training_frame(t)
+    return _checked_scores(M.scored_rows(t.test_rows, names, M.train(frame, names, "gbt")))
+
+
 def monotone_scores(t: Tables) -> DataFrame:
     frame, names = _training_frame(t)
     model = M.train(frame, names, "monotone_lr")
     return _checked_scores(M.scored_rows(t.test_rows, names, model))
 
 
-def monotone_audit(t: Tables) -> DataFrame:
+def _audit(t: Tables, kind: str) -> DataFrame:
     frame, names = _training_frame(t)
-    model = M.train(frame, names, "monotone_lr")
+    model = M.train(frame, names, kind)
     matrix = assemble(t.test_rows, names, [])
     return M.monotone_audit(model, matrix, names, [0.5, 1.0, 10.0, 1000.0])
 
@@ -536,10 +638,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "landing_transactions": landing_transactions,
     "landing_accounts": landing_accounts,
     "pattern_edges": pattern_edges,
+    "patterns_table": patterns_table,
     "bank_dim": lambda t: t.banks,
     "account_dim": lambda t: t.owners,
     "txn_events": lambda t: t.events,
     "account_history": account_history,
+    "history_incremental": history_incremental,
     "dup_keys": lambda t: quality.dup_keys(t.raw("lineitem"), ["l_orderkey", "l_linenumber"]),
     "split_thresholds": lambda t: _rounded(A.split_thresholds(t.events), 3, "p_train", "p_val"),
     "abt": lambda t: _rounded(t.abt, 6, "amount_to_avg_ratio"),
@@ -582,9 +686,15 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "velocity": velocity_features,
     "velocity_distinct": velocity_distinct,
     "velocity_as_of": velocity_as_of,
+    "velocity_asof_tiles": velocity_asof_tiles,
     "hour_tiles": hour_tiles,
     "stream_hour_tiles": stream_hour_tiles,
     "stream_backfill": stream_backfill,
+    "stream_backfill_late": stream_backfill_late,
+    "stream_compaction": stream_compaction,
+    "stream_late": stream_late,
+    "stream_transform": stream_transform,
+    "stream_burst": stream_burst,
     "stream_velocity": stream_velocity,
     "stream_velocity_distinct": lambda t: _stream_features(t, DISTINCT),
     "stream_event_features": stream_event_features,
@@ -596,9 +706,12 @@ QUERIES: dict[str, Callable[[Tables], DataFrame]] = {
     "run_log": run_log,
     "model_versions": model_versions,
     "promoted_scores": promoted_scores,
+    "readiness": readiness,
     "train_scores": train_scores,
     "monotone_scores": monotone_scores,
-    "monotone_audit": monotone_audit,
+    "spark_tree_scores": spark_tree_scores,
+    "monotone_audit": lambda t: _audit(t, "monotone_lr"),
+    "tree_audit": lambda t: _audit(t, "monotone_gbt"),
 }
 
 

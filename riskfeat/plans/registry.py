@@ -1,7 +1,7 @@
-"""Feature views, runs and model versions as small parquet tables next to their data.
+"""Feature views, runs and model versions, next to their data.
 
-Each change is one appended row, and the last row per name and version counts. Nothing
-is rewritten, so a job that dies leaves what was there before.
+Each change is one commit, and the last one per name and version counts. Nothing is rewritten, so a
+job that dies leaves what was there before, and of two writers none loses its entry.
 """
 
 from __future__ import annotations
@@ -13,7 +13,9 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskfeat.operators.features import FeatureView
-from riskfeat.sources.files import read_table, write_partitioned
+from riskfeat.plans.boosting import BoostedTrees
+from riskfeat.sources.commits import CommitLog
+from riskfeat.sources.files import write_partitioned
 
 ENTRY = (
     "kind string, name string, version string, state string, at long, "
@@ -21,36 +23,32 @@ ENTRY = (
 )
 
 
+def _newest(entries: list[dict]) -> list[dict]:
+    """The last entry of every kind, name and version, in order."""
+    last = {(e["kind"], e["name"], e["version"]): e["number"] for e in entries}
+    return [e for e in entries if last[e["kind"], e["name"], e["version"]] == e["number"]]
+
+
 class Registry:
     """Names and versions below one environment root, such as a dev or a prod folder."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
+        self._commits = CommitLog(spark, f"{self.root}/registry", _newest)
 
     def _log(self, kind: str, name: str, version: str, state: str, **fields) -> None:
-        # One more than the last entry, so the order holds whatever a driver's clock says.
-        log = read_table(self.spark, f"{self.root}/registry")
-        last = None if log is None else log.agg(F.max("at").alias("at")).first()["at"]
-        row = {"kind": kind, "name": name, "version": version, "state": state, "at": (last or 0) + 1}
-        entry = self.spark.createDataFrame(
-            [{**dict.fromkeys(("path", "signature", "metrics", "detail")), **row, **fields}], ENTRY
-        )
-        entry.coalesce(1).write.mode("append").parquet(f"{self.root}/registry")
+        self._commits.append(lambda _: {"kind": kind, "name": name, "version": version, "state": state, **fields})
 
     def entries(self, kind: str) -> DataFrame:
-        """The last entry per name and version of one kind, deleted ones left out."""
-        log = read_table(self.spark, f"{self.root}/registry")
-        if log is None:
-            log = self.spark.createDataFrame([], ENTRY)
-        rest = [c for c in log.columns if c not in ("name", "version")]
-        return (
-            log.where(F.col("kind") == kind)
-            .groupBy("name", "version")
-            .agg(F.max_by(F.struct(*rest), "at").alias("row"))
-            .select("name", "version", "row.*")
-            .where(F.col("state") != "deleted")
-        )
+        """The last entry per name and version of one kind, deleted ones left out; ``at`` is its place in the log."""
+        newest = {}
+        for entry in self._commits.entries():
+            if entry["kind"] == kind:
+                newest[entry["name"], entry["version"]] = {"at": entry["number"], **entry}
+        names = [f.split()[0] for f in ENTRY.split(", ")]
+        rows = [[e.get(c) for c in names] for e in newest.values() if e["state"] != "deleted"]
+        return self.spark.createDataFrame(rows, ENTRY)
 
     def _entry(self, kind: str, name: str, version: str):
         found = self.entries(kind).where(
@@ -98,16 +96,21 @@ class Registry:
 
     def log_model(
         self,
-        model: PipelineModel,
+        model: PipelineModel | BoostedTrees,
         name: str,
         version: str,
         signature: Sequence[str],
         metrics: Mapping[str, float],
     ) -> None:
         path = f"{self.root}/models/{name}/{version}/{uuid.uuid4().hex}"
-        model.save(path)
+        kind = type(model).__name__
+        if isinstance(model, BoostedTrees):
+            model.save(self.spark, path)
+        else:
+            model.save(path)
         self._log(
-            "model", name, version, "live", path=path, signature=list(signature), metrics=dict(metrics)
+            "model", name, version, "live",
+            path=path, signature=list(signature), metrics=dict(metrics), detail={"class": kind},
         )
 
     def versions(self, name: str) -> list[str]:
@@ -121,10 +124,12 @@ class Registry:
         """The version as it was registered, whatever its case here."""
         return self._entry("model", name, version)["version"]
 
-    def model(self, name: str, version: str) -> tuple[PipelineModel, list[str], dict[str, float]]:
+    def model(self, name: str, version: str) -> tuple[PipelineModel | BoostedTrees, list[str], dict[str, float]]:
         """The model of a version with its input signature and metrics."""
         entry = self._entry("model", name, version)
-        return PipelineModel.load(entry["path"]), list(entry["signature"]), dict(entry["metrics"])
+        trees = (entry["detail"] or {}).get("class") == BoostedTrees.__name__
+        model = BoostedTrees.load(self.spark, entry["path"]) if trees else PipelineModel.load(entry["path"])
+        return model, list(entry["signature"]), dict(entry["metrics"])
 
     def set_default(self, name: str, version: str) -> None:
         found = self._entry("model", name, version)["version"]

@@ -3,14 +3,15 @@
 from __future__ import annotations
 
 import uuid
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 from pyspark.sql.types import StructType
 
 from riskfeat import schemas as S
 from riskfeat.session import scratch_dir
+from riskfeat.sources.commits import CommitLog, Stale
 
 
 def _read_csv(spark: SparkSession, path: str | list[str], schema: StructType) -> DataFrame:
@@ -84,66 +85,110 @@ def landing_files(spark: SparkSession, landing: str) -> DataFrame:
     )
 
 
+def _paths(spark: SparkSession, path: str, folders: Sequence[str]) -> DataFrame:
+    return spark.read.parquet(*[f"{path}/{folder}" for folder in folders])
+
+
 def load_new(
     spark: SparkSession, landing: str, path: str, make: Callable[[list[str], int], DataFrame]
 ) -> bool:
     """Append the landing files that were not loaded yet; True when there were any.
 
-    A manifest keeps path, size and time of every loaded file, so a file that arrives later, or
-    changes, is loaded then, and none is loaded twice. ``make(files, number)`` reads them. Each load has
-    a folder of its own, which counts once the manifest names it: a load that died is overwritten
-    by the next one.
+    Path, size and time of every loaded file are kept, so a file that arrives later, or changes, is
+    loaded then, and none is loaded twice. ``make(files, number)`` reads them. A load's rows and list of files have
+    folders of their own, which count once its commit names them. Of two loaders at a time the slower one
+    starts anew from what the other has left.
     """
-    present = landing_files(spark, landing)
-    manifest = read_table(spark, f"{path}/manifest")
-    number = 0
-    if manifest is not None:
-        present = present.join(manifest, ["file", "size", "changed"], "left_anti")
-        number = manifest.agg(F.max("load").alias("load")).first()["load"] + 1
-    new = present.orderBy("file").collect()
-    if not new:
-        return False
-    make([row["file"] for row in new], number).write.mode("overwrite").parquet(f"{path}/rows/load={number}")
-    entries = spark.createDataFrame(new, present.schema).withColumn("load", F.lit(number))
-    entries.coalesce(1).write.mode("append").parquet(f"{path}/manifest")
-    return True
+    log = CommitLog(spark, f"{path}/loads")
+    while True:
+        before = log.entries()
+        present = landing_files(spark, landing)
+        if before:
+            manifest = _paths(spark, path, [e["files"] for e in before])
+            present = present.join(manifest, ["file", "size", "changed"], "left_anti")
+        new = present.orderBy("file").collect()
+        if not new:
+            return False
+        number = before[-1]["number"] if before else 0
+        mine = uuid.uuid4().hex
+        folders = {"rows": f"rows/{number}-{mine}", "files": f"files/{number}-{mine}"}
+        folders["n_rows"] = written(make([row["file"] for row in new], number), f"{path}/{folders['rows']}")["rows"]
+        spark.createDataFrame(new, present.schema).coalesce(1).write.parquet(f"{path}/{folders['files']}")
+
+        def commit(now: list[dict]) -> dict:
+            if len(now) != len(before):
+                raise Stale
+            return folders
+
+        try:
+            log.append(commit)
+            return True
+        except Stale:
+            for kind in ("rows", "files"):
+                remove(spark, f"{path}/{folders[kind]}")
 
 
 def loaded(spark: SparkSession, path: str) -> DataFrame:
-    """The rows of all loads that the manifest names."""
-    loads = spark.read.parquet(f"{path}/manifest").select("load").distinct()
-    rows = spark.read.parquet(f"{path}/rows")
-    return rows.join(F.broadcast(loads), "load", "left_semi").drop("load")
+    """The rows of all loads that were committed."""
+    return _paths(spark, path, [e["rows"] for e in CommitLog(spark, f"{path}/loads").entries()])
+
+
+def loaded_rows(spark: SparkSession, path: str) -> int:
+    """How many rows all loads have, as their commits say."""
+    return sum(e["n_rows"] for e in CommitLog(spark, f"{path}/loads").entries())
+
+
+def _versions(spark: SparkSession, root: str, name: str) -> CommitLog:
+    return CommitLog(spark, f"{root}/{name}/versions")
 
 
 def current_version(spark: SparkSession, root: str, name: str) -> int:
     """Number of the newest complete version, 0 before the first."""
-    log = read_table(spark, f"{root}/{name}/versions")
-    return 0 if log is None else log.agg(F.max("version").alias("version")).first()["version"]
+    return _versions(spark, root, name).last()
 
 
-def write_version(df: DataFrame, root: str, name: str, by: Sequence[str] = ()) -> int:
-    """Write a new version beside the old ones, then make it the current one.
+def written(df: DataFrame, path: str, by: Sequence[str] = (), stats: Mapping[str, Column] | None = None) -> dict:
+    """Write a table; what it holds is seen while it is written: its number of ``rows``, and ``stats`` over them.
 
-    It takes effect with the last step, one row in ``versions``: a job that dies before
-    leaves the table as it was, and a job may read the table it replaces. Every write has a folder of
-    its own, so two writers never touch each other's rows; of two that took the same number the
-    one whose row has the greater folder name counts. ``by`` partitions the table.
+    Statistics are aggregates without distinct, and come as whole numbers or text.
+    """
+    found = Observation()
+    extra = {k: c.cast("string") for k, c in (stats or {}).items()}
+    seen = df.observe(found, F.count(F.lit(1)).alias("rows"), *[c.alias(k) for k, c in extra.items()])
+    seen.write.mode("errorifexists").partitionBy(*by).parquet(path)
+    row = dict(found.get)
+    if "rows" not in row:  # a plan that was found to be empty has not been run
+        row = {"rows": 0, **dict.fromkeys(extra)}
+    return row
+
+
+def write_version(
+    df: DataFrame, root: str, name: str, by: Sequence[str] = (), stats: Mapping[str, Column] | None = None
+) -> int:
+    """Write a new version beside the old ones, then make it the current one; returns its number.
+
+    It takes effect with the last step, one commit: a job that dies before leaves the table as it was, and a job
+    may read the table it replaces. Of two writers each gets a version of its own, the one that commits
+    first the smaller number. ``by`` partitions the table. The commit keeps the number of rows, and ``stats``
+    over them, as seen by the writing pass.
     """
-    spark = df.sparkSession
-    version = current_version(spark, root, name) + 1
-    folder = f"v={version}-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").partitionBy(*by).parquet(f"{root}/{name}/{folder}")
-    entry = spark.range(1).select(F.lit(version).alias("version"), F.lit(folder).alias("folder"))
-    entry.coalesce(1).write.mode("append").parquet(f"{root}/{name}/versions")
-    return version
+    folder = f"v-{uuid.uuid4().hex}"
+    seen = written(df, f"{root}/{name}/{folder}", by, stats)
+    return _versions(df.sparkSession, root, name).append(lambda _: {"folder": folder, "seen": seen})["number"]
+
+
+def version_stats(spark: SparkSession, root: str, name: str) -> dict:
+    """What the writing pass of the current version saw: ``rows`` and its other statistics."""
+    return _versions(spark, root, name).entries()[-1]["seen"]
 
 
 def read_version(spark: SparkSession, root: str, name: str, version: int | None = None) -> DataFrame:
     """The table at a version, by default the current one."""
-    version = version or current_version(spark, root, name)
-    folders = spark.read.parquet(f"{root}/{name}/versions").where(F.col("version") == version)
-    return spark.read.parquet(f"{root}/{name}/{folders.agg(F.max('folder').alias('f')).first()['f']}")
+    entries = _versions(spark, root, name).entries()
+    wanted = [e for e in entries if version is None or e["number"] == version]
+    if not wanted:
+        raise FileNotFoundError(f"{root}/{name} has no version {version or ''}".rstrip())
+    return spark.read.parquet(f"{root}/{name}/{wanted[-1]['folder']}")
 
 
 def write_partitioned(df: DataFrame, path: str, columns: list[str]) -> None:

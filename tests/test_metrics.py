@@ -119,3 +119,25 @@ def test_quality_gate(spark):
 def test_duplicate_keys(spark, rows):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("b", 1)], "k string, v int")
     assert rows(quality.dup_keys(df, ["k"])) == [("a", 2)]
+
+
+def test_rows_without_a_score_are_left_out(spark):
+    rows = [(1, 0.9), (0, 0.9), (1, 0.2), (0, 0.1)]
+    more = [*rows, (1, None), (1, float("nan")), (0, float("nan"))]
+    assert metrics.model_metrics(scored(spark, more)).first() == metrics.model_metrics(scored(spark, rows)).first()
+    none = metrics.model_metrics(scored(spark, [(1, float("nan"))])).first()
+    assert (none["pr_auc"], none["roc_auc"], none["recall_at_k"]) == (0.0, None, 0.0)
+
+
+def test_checks_from_what_the_writing_passes_saw(spark):
+    seen = {"rows": 5, "last_ts": "2024-01-31 23:59:59.5", "n_train": "3", "n_val": "1", "n_test": "1"}
+    events = {"rows": 5}
+    quality.require(quality.written_checks(events, seen, "2024-02-01", 5))
+    for bad, name in (
+        ({"rows": 4}, "rows_kept"), ({"last_ts": "2024-02-01 00:00:00"}, "tail_trimmed"), ({"last_ts": None}, "tail_trimmed"),
+        ({"n_val": None}, "splits_complete"),
+    ):
+        with pytest.raises(quality.QualityError, match=name):
+            quality.require(quality.written_checks(events, {**seen, **bad}, "2024-02-01", 5))
+    with pytest.raises(quality.QualityError, match="rows_expected"):
+        quality.require(quality.written_checks(events, seen, "2024-02-01", 6))

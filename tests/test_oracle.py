@@ -4,7 +4,7 @@ import pytest
 
 import __spark_entry__ as entry_module
 from compare import connect, differences
-from riskfeat.plans.model import GBT_PARAMS
+from riskfeat.plans.model import GBT_PARAMS, TREE_PARAMS
 from riskfeat.plans.oracle import ORACLE
 from riskfeat.plans.queries import QUERIES, Tables
 
@@ -30,6 +30,7 @@ def test_every_query_has_a_twin_or_is_known_to_have_none():
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_duckdb(name, tables, con, monkeypatch):
     monkeypatch.setitem(GBT_PARAMS, "maxIter", 5)  # what is compared holds for any fit
+    monkeypatch.setitem(TREE_PARAMS, "trees", 5)
     assert differences(QUERIES[name](tables), con, ORACLE[name]) == []
 
 

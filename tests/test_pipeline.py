@@ -3,7 +3,9 @@
 import pytest
 
 from riskfeat import schemas as S
+from riskfeat.operators import abt as A
 from riskfeat.operators import features as V
+from riskfeat.operators import quality
 from riskfeat.plans import pipeline as P
 from riskfeat.plans.registry import Registry
 from riskfeat.sources import files, fixture
@@ -56,6 +58,32 @@ def test_tables_of_the_load(spark, roots):
     assert raw.select("event_key").distinct().count() == raw.count()
 
 
+def test_the_newest_slice_is_chosen_by_what_the_commit_says(spark, roots):
+    dev, prod = roots
+    abt = files.read_version(spark, dev, "abt")
+    newest = files.version_stats(spark, dev, "abt")["last_ts"]
+    pruned = A.last_days(abt, "event_ts", 1, newest)
+    plan = pruned._jdf.queryExecution().executedPlan().toString()
+    assert "Subquery" not in plan and "event_month#" in plan.split("PartitionFilters")[1].split("]")[0]
+    want = A.last_days(abt, "event_ts").collect()
+    assert sorted(pruned.collect()) == sorted(want) and want
+    # What a committed table holds was seen while it was written.
+    assert files.version_stats(spark, dev, "abt")["rows"] == abt.count()
+    assert files.loaded_rows(spark, f"{prod}/raw/transactions") == files.loaded(spark, f"{prod}/raw/transactions").count()
+
+
+def test_a_short_load_is_refused_and_leaves_the_tables(spark, roots, tmp_path):
+    _, prod = roots
+    before = files.current_version(spark, prod, "txn_events")
+    (tmp_path / "t").mkdir()
+    (tmp_path / "a").mkdir()
+    with pytest.raises(quality.QualityError, match="expected"):
+        P.load(spark, str(tmp_path / "t"), str(tmp_path / "a"), prod, fixture.CUTOFF, expected=P.EXPECTED_ROWS)
+    assert files.current_version(spark, prod, "txn_events") == before
+    with pytest.raises(quality.QualityError, match="rows_expected"):
+        P.build_abt(spark, prod, str(tmp_path / "dev"), fixture.CUTOFF, expected=10**9)
+
+
 def test_runs_compare_and_repeat_in_place(spark, trained):
     dev, _ = trained
     registry = Registry(spark, dev)

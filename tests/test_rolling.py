@@ -128,3 +128,40 @@ def test_merged_tiles_equal_tiles_of_all_events(spark, rows):
     as_of = both.selectExpr("max(event_ts)").scalar()
     up = lambda df: rows(rolling.roll_up(df, as_of, "account_id"))
     assert up(merged) == up(tiles(both))
+
+
+@pytest.mark.parametrize("hours", [1, 2, 3, 24, 48, 63, 64, 200])
+def test_nodes_cover_every_hour_of_a_window_once(spark, hours):
+    ends = spark.range(480_000, 480_140).select(F.col("id").alias("at"))
+    nodes = ends.select("at", F.inline(rolling._covering(F.col("at") - (hours - 1), F.col("at") + 1))).collect()
+    for at in range(480_000, 480_140):
+        mine = [(r["level"], r["place"]) for r in nodes if r["at"] == at]
+        covered = sorted(h for level, place in mine for h in range(place << level, (place + 1) << level))
+        assert covered == list(range(at - hours + 1, at + 1))
+        assert len(mine) <= 2 * rolling.LEVELS + max(0, hours >> rolling.LEVELS)
+
+
+def test_tiles_as_of_every_row(spark):
+    start = dt.datetime(2024, 1, 1)
+    rng = random.Random(5)
+    rows = [(rng.choice("aab"), start + dt.timedelta(minutes=rng.randrange(6 * 24 * 60)), float(i), f"b{i % 3}") for i in range(120)]
+    events = spark.createDataFrame(rows, "account_id string, event_ts timestamp, amount_paid double, receiver_bank string")
+    features = [
+        rolling.Feature("count", "amount_paid", 1, "n1"), rolling.Feature("sum", "amount_paid", 48, "s48"),
+        rolling.Feature("distinct", "receiver_bank", 24, "d24"), rolling.Feature("count", "amount_paid", 130, "n130"),
+    ]
+    tiles = rolling.hour_tiles(events, "account_id", "event_ts", features)
+    asked = [(k, start + dt.timedelta(hours=h, minutes=59)) for k in ("a", "b", "c", None) for h in (0, 30, 31, 100, 300)] * 2 + [("a", None)]
+    spine = spark.createDataFrame([(i, *a) for i, a in enumerate(asked)], "i long, account_id string, at timestamp")
+    got = {r["i"]: r for r in rolling.roll_up_at(tiles, spine, "account_id", "at", features).collect()}
+    assert len(got) == len(asked)
+    whole = lambda t: t.replace(minute=0, second=0, microsecond=0)
+    for i, (key, at) in enumerate(asked):
+        def inside(h):
+            if key is None or at is None:
+                return []
+            ages = [((whole(at) - whole(t)) // dt.timedelta(hours=1), v, b) for k, t, v, b in rows if k == key]
+            return [(v, b) for age, v, b in ages if 0 <= age < h]
+        want = (len(inside(1)), sum(v for v, _ in inside(48)) if inside(48) else None, len({b for _, b in inside(24)}), len(inside(130)))
+        r = got[i]
+        assert (r["n1"], r["s48"], r["d24"], r["n130"]) == want, (i, key, at)

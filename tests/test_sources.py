@@ -1,10 +1,12 @@
 import gzip
+from concurrent.futures import ThreadPoolExecutor
+from pathlib import Path
 
 import pytest
 
 from riskfeat import schemas as S
 from riskfeat.session import scratch_dir
-from riskfeat.sources import files, patterns
+from riskfeat.sources import commits, files, patterns
 
 HEADER = "Timestamp,From Bank,Account,To Bank,Account,Amount Received,Receiving Currency,Amount Paid,Payment Currency,Payment Format,Is Laundering"
 LINES = [
@@ -92,6 +94,54 @@ def test_two_writers_of_one_version_keep_their_rows_apart(spark, tmp_path, monke
     assert files.read_version(spark, root, "t", 1).count() in (3, 5)
 
 
+def test_a_writer_that_was_overtaken_gets_the_next_version(spark, tmp_path, monkeypatch):
+    root = str(tmp_path)
+    last, overtaken = commits.CommitLog.last, []
+
+    def slow(log):
+        number = last(log)
+        if not overtaken:  # another writer commits after the number was chosen
+            overtaken.append(True)
+            assert files.write_version(spark.range(5), root, "t") == 1
+        return number
+
+    monkeypatch.setattr(commits.CommitLog, "last", slow)
+    assert files.write_version(spark.range(3), root, "t") == 2
+    assert [files.read_version(spark, root, "t", v).count() for v in (1, 2)] == [5, 3]
+
+
+def test_many_threads_commit_every_entry_once(spark, tmp_path):
+    log = commits.CommitLog(spark, str(tmp_path / "log"))
+    with ThreadPoolExecutor(8) as pool:
+        numbers = list(pool.map(lambda i: log.append(lambda _: {"i": i})["number"], range(80)))
+    assert sorted(numbers) == list(range(1, 81))
+    assert sorted(e["i"] for e in log.entries()) == list(range(80))
+    assert [e["number"] for e in log.entries()] == list(range(1, 81)) and log.last() == 80
+    assert len(list((tmp_path / "log").glob("*.snapshot"))) == 2
+    (tmp_path / "log" / "000000000003.commit").unlink()  # the snapshots hold it
+    assert len(log.entries()) == 80
+
+
+def test_two_loaders_at_once_load_every_file_once(spark, tmp_path):
+    landing, path = tmp_path / "landing", str(tmp_path / "raw")
+    landing.mkdir()
+    (landing / "a.txt").write_text("1\n2\n")
+    tried = []
+
+    def make(new, load):
+        tried.append(sorted(f.rsplit("/", 1)[1] for f in new))
+        if len(tried) == 1:  # while this load runs, another one does all there is
+            assert files.load_new(spark, str(landing), path, make)
+            (landing / "b.txt").write_text("3\n")
+        return files.with_row_key(spark.read.text(new), load)
+
+    assert files.load_new(spark, str(landing), path, make)
+    assert tried == [["a.txt"], ["a.txt"], ["b.txt"]]
+    rows = files.loaded(spark, path).collect()
+    assert sorted(r["value"] for r in rows) == ["1", "2", "3"] and len({r["event_key"] for r in rows}) == 3
+    assert len(list(Path(path, "rows").iterdir())) == 2
+
+
 def test_scratch_lies_below_the_checkpoint_folder(spark):
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:

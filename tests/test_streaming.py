@@ -60,7 +60,7 @@ def test_replayed_batch_leaves_the_same_tiles(spark, folders, rows):
     drain(spark, source, target)
     before = rows(velocity.read_tiles(spark, target), *PLAIN)
     tiles = rolling.hour_tiles(events(spark, [("a", 1, 5), ("b", 2, 6)]), "account_id", "event_ts")
-    velocity._write_batch(f"{target}/data", velocity.passthrough)(tiles, 0)  # the batch's own tiles again
+    velocity._write_batch(target, velocity.passthrough)(tiles, 0)  # the batch's own tiles again
     assert rows(velocity.read_tiles(spark, target), *PLAIN) == before
 
 
@@ -141,8 +141,8 @@ def test_compacted_batches_read_the_same_and_the_stream_goes_on(spark, folders,
         velocity.compact_tiles(spark, target)
         expected = rolling.hour_tiles(events(spark, seen), "account_id", "event_ts")
         assert rows(velocity.read_tiles(spark, target), *PLAIN) == rows(expected, *PLAIN)
-    base = velocity.read_version(spark, target, "compacted")
-    assert base.count() == 3
+    assert len(velocity.State(velocity._log(spark, target).entries()).folders) == 1
+    assert velocity._batches(spark, target).count() == 3
     assert not list(Path(target, "data").glob("batch=*"))
 
 
@@ -199,3 +199,88 @@ def test_a_stray_old_event_reads_its_own_days_and_accounts(spark, folders, rows)
 def test_reading_before_the_first_batch_fails_clearly(spark, folders):
     with pytest.raises(FileNotFoundError):
         velocity.read_tiles(spark, folders[1])
+
+
+def compacted_equals_batch(spark, source, target, batches, rows, past=()):
+    """Drain and compact after every batch; the tiles are those of all events so far."""
+    seen = list(past)
+    for batch in batches:
+        streams.land_events(events(spark, batch).coalesce(1), source)
+        seen += [e for e in batch if e not in past]
+        drain(spark, source, target)
+        velocity.compact_tiles(spark, target)
+        expected = rolling.hour_tiles(events(spark, seen), "account_id", "event_ts")
+        assert rows(velocity.read_tiles(spark, target), *PLAIN) == rows(expected, *PLAIN)
+
+
+def test_compaction_of_batches_without_rows_loses_nothing(spark, folders, rows):
+    source, target = folders
+    past = [("a", 1, 5), ("b", 10, 1)]
+    velocity.backfill(events(spark, past), target)
+    compacted_equals_batch(spark, source, target, [past, past[:1], [("a", 20, 7)], [("c", 90, 2), ("a", 21, 1)]], rows, past)
+
+
+def test_late_events_that_the_backfill_did_not_hold_count_once(spark, folders, rows):
+    source, target = folders
+    past = [("a", 0, 5), ("a", 600, 10), ("b", 3 * 24 * 60, 1), (None, 7, 3)]
+    velocity.backfill(events(spark, past), target)
+    late = [("a", 1, 100), ("c", 30, 7), ("b", 3 * 24 * 60, 2), (None, 8, 3)]
+    compacted_equals_batch(spark, source, target, [past[:2] + late[:2], past + late[2:], [("a", 5000, 1)]], rows, past)
+
+
+def test_a_backfill_in_many_slots_and_a_second_one(spark, folders, rows, monkeypatch):
+    monkeypatch.setattr(velocity, "KEYS_PER_SLOT", 3)
+    source, target = folders
+    past = [(f"k{i}", i, i) for i in range(20)]
+    velocity.backfill(events(spark, past[:5]), target)
+    velocity.backfill(events(spark, past), target)
+    compacted_equals_batch(spark, source, target, [past[3:12] + [("x", 2, 2)], past[:4] + [("x", 30, 2)]], rows, past)
+
+
+def test_a_batch_that_commits_during_a_compaction_stays(spark, folders, rows):
+    source, target = folders
+    streams.land_events(events(spark, [("a", 1, 5)]).coalesce(1), source)
+    drain(spark, source, target)
+
+    def merged(df):
+        streams.land_events(events(spark, [("a", 2, 6), ("b", 3, 7)]).coalesce(1), source)
+        drain(spark, source, target)
+        return rolling.merge_tiles(df, "account_id")
+
+    velocity._compact(spark, target, merged)
+    expected = rolling.hour_tiles(events(spark, [("a", 1, 5), ("a", 2, 6), ("b", 3, 7)]), "account_id", "event_ts")
+    assert rows(velocity.read_tiles(spark, target), *PLAIN) == rows(expected, *PLAIN)
+
+
+def test_two_compactions_at_once_keep_one(spark, folders, rows):
+    source, target = folders
+    for batch in ([("a", 1, 5)], [("a", 2, 6)]):
+        streams.land_events(events(spark, batch).coalesce(1), source)
+        drain(spark, source, target)
+
+    def merged(df):
+        kept = spark.createDataFrame(rolling.merge_tiles(df, "account_id").collect(), df.schema)
+        velocity.compact_tiles(spark, target)
+        return kept
+
+    velocity._compact(spark, target, merged)
+    expected = rolling.hour_tiles(events(spark, [("a", 1, 5), ("a", 2, 6)]), "account_id", "event_ts")
+    assert rows(velocity.read_tiles(spark, target), *PLAIN) == rows(expected, *PLAIN)
+    assert len(velocity.State(velocity._log(spark, target).entries()).folders) == 1
+
+
+def test_stored_events_stay_in_few_folders(spark, folders, rows, monkeypatch):
+    monkeypatch.setattr(velocity, "FANOUT", 2)
+    source, target = folders
+    specs = [("a" if i % 3 else None, i * 200, i) for i in range(12)]
+    for spec in specs:
+        streams.land_events(events(spark, [spec]).coalesce(1), source)
+    velocity.start_event_features(streams.read_event_stream(spark, source, 1), target, trigger=DRAIN).awaitTermination()
+    velocity.compact_event_features(spark, target)
+    held = velocity.State(velocity._log(spark, target).entries()).events
+    assert sorted(e["level"] for e in held) == [2, 3]  # 12 batches: 4 and 8
+    assert {f"events/{p.name}" for p in Path(target, "events").iterdir()} == {e["folder"] for e in held}
+    got = velocity.read_event_features(spark, target)
+    whole = rolling.rolling_features(events(spark, specs), "account_id", "event_ts")
+    # Files come in the order of their landing, so every event has seen those before it.
+    assert rows(got, *whole.columns) == rows(whole)
