@@ -6,22 +6,25 @@ same piece make one of k + 1. Phrases are then grouped and counted over all text
 the occurrences of frequent ones alone before the next length. A part of a frequent phrase is
 frequent, so nothing is lost.
 
-A relation is stored in chunks of consecutive pieces, one row each, sorted; so its merge join stays within a row.
-What leaves a chunk is one row per different phrase with its count: grouping and semi-joins shuffle
+A relation is stored in chunks of consecutive pieces, sorted, one row each; so its merge join stays within a row.
+What leaves a task is one row per different phrase with its count: grouping and semi-joins shuffle
 those, never occurrences. A phrase is known by the numbers of the two phrases that made it, and a word
 by its language and letters, so no hash stands for a phrase.
 """
 
 from __future__ import annotations
 
+import itertools
 from collections import defaultdict
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskfeat.llm.common import Stages, small, slices
+from riskfeat.llm.chunks import ROWS, chunk_rows, first_number
+from riskfeat.llm.common import SMALL_ROWS, Stages, setting, slices
 from riskfeat.llm.hashing import parts
 
 UNKNOWN = "und"
@@ -31,8 +34,13 @@ LEAST = 30
 COVERED = 80
 BEST = 2000
 SCALE = 2_000_000
+#: Chunks that a task takes at a time, and words and borders in a chunk of frequent words.
+ARROW_ROWS, CHUNKS_AT_ONCE = "spark.sql.execution.arrow.maxRecordsPerBatch", "4"
+PLACES = 1 << 16
+#: A reader holds this many chunks.
+READ_ROWS, CHUNKS_READ = "spark.sql.parquet.columnarReaderBatchSize", "16"
 #: Words and borders of pieces in a chunk; one piece may have more.
-CHUNK = 1 << 21
+CHUNK = 1 << 19
 #: Bytes of a text that are split at a time.
 SLICE = 1 << 20
 
@@ -57,7 +65,7 @@ class Chunk:
     """Words as numbers of a vocabulary of this chunk, in order; -1 stands between pieces."""
 
     def __init__(self):
-        self.known: list[tuple[str, bytes]] = []
+        self.next = itertools.count()
         self.by_lang: dict[str, dict[bytes, int]] = {}
         self.ids: list[np.ndarray] = []
         self.size = 0
@@ -65,136 +73,252 @@ class Chunk:
     def add(self, lang: str, words: list[bytes]) -> None:
         numbers = self.by_lang.get(lang)
         if numbers is None:
-            numbers = self.by_lang[lang] = {BORDER: -1}
-        new = [w for w in dict.fromkeys(words) if w not in numbers]
-        numbers.update(zip(new, range(len(self.known), len(self.known) + len(new))))
-        self.known += [(lang, w) for w in new]
+            numbers = self.by_lang[lang] = defaultdict(self.next.__next__, {BORDER: -1})
         ids = np.fromiter(map(numbers.__getitem__, words), np.int32, len(words))
         self.ids += [ids, np.full(1, -1, np.int32)]
         self.size += len(words) + 1
 
-    def row(self) -> pa.RecordBatch:
+    def rows(self, number: int) -> Iterator[pa.RecordBatch]:
         ids = np.concatenate(self.ids)
-        counts = np.bincount(ids[ids >= 0], minlength=len(self.known))
-        langs, words = zip(*self.known) if self.known else ((), ())
-        return pa.RecordBatch.from_arrays(
-            [
-                _one(pa.array(langs, pa.string())),
-                _one(pa.array(words, pa.binary())),
-                _one(pa.array(counts, pa.int64())),
-                _one(pa.array(ids, pa.int32())),
-            ],
-            ["lang", "word", "n", "ids"],
-        )
+        size = next(self.next)
+        langs, words = [""] * size, [b""] * size
+        for lang, numbers in self.by_lang.items():
+            for w, i in numbers.items():
+                if i >= 0:
+                    langs[i], words[i] = lang, w
+        counts = np.bincount(ids[ids >= 0], minlength=size)
+        narrow = {"lang": pa.array(langs, pa.string()), "word": pa.array(words, pa.binary()), "n": pa.array(counts, pa.int64())}
+        yield from chunk_rows(number, {"ids": pa.array(ids, pa.int32())}, narrow)
 
 
-def _one(values: pa.Array) -> pa.ListArray:
-    """A column with one row, these values."""
-    return pa.ListArray.from_arrays(pa.array([0, len(values)], pa.int32()), values)
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
 
 
 def _words(docs: DataFrame, most: int) -> DataFrame:
-    """The relation of single words: a vocabulary with counts, and its numbers in order, per chunk."""
+    """The relation of single words: per chunk its occurrences in order, and its vocabulary with counts."""
 
     def chunked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk = Chunk()
+        chunk, number = Chunk(), first_number(TaskContext.get().partitionId())
         for part in parts(batches):
             for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
                 for words in folded(text):
                     chunk.add(lang, words)
                     if chunk.size >= most:
-                        yield chunk.row()
-                        chunk = Chunk()
+                        yield from chunk.rows(number)
+                        chunk, number = Chunk(), number + 1
         if chunk.size:
-            yield chunk.row()
+            yield from chunk.rows(number)
 
-    return (
-        docs.select(F.coalesce("lang", F.lit(UNKNOWN)).alias("lang"), F.col("text").cast("binary").alias("text"))
-        .mapInArrow(chunked, "lang array<string>, word array<binary>, n array<long>, ids array<int>")
-        .withColumn("chunk", F.monotonically_increasing_id())
+    return _texts(docs).mapInArrow(
+        chunked, "chunk long, size int, ids array<int>, local int, lang string, word binary, n long"
     )
 
 
-def joined(places: np.ndarray, ids: np.ndarray, known: np.ndarray) -> tuple[np.ndarray, ...]:
-    """Merge join of a sorted relation with itself at the next place.
+def _located_words(docs: DataFrame, frequent: DataFrame, most: int) -> DataFrame:
+    """The relation of frequent words, looked up in every task."""
+    by_lang: dict[str, dict[bytes, int]] = {}
+    for row in frequent.select("lang", "word", "id").toLocalIterator():
+        by_lang.setdefault(row["lang"], {})[bytes(row["word"])] = row["id"]
+    shared = docs.sparkSession.sparkContext.broadcast(by_lang)
 
-    ``known`` has a global number, or -1, for every local one. Returns places, local numbers of the new
-    phrases, and per new phrase the two global numbers that made it and how often it occurs.
-    """
-    alive = np.flatnonzero(known >= 0)
-    dense = np.full(len(known) + 1, -1, np.int64)  # the last one answers for borders
-    dense[alive] = np.arange(len(alive))
-    mine = dense[ids]
-    kept = np.flatnonzero(mine >= 0)
-    mine, places = mine[kept], places[kept]
+    def located(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, number = shared.value, first_number(TaskContext.get().partitionId())
+        waiting: list[np.ndarray] = []
+        size = 0
+        border = np.full(1, -1, np.int64)
+
+        def done() -> pa.RecordBatch:
+            ids = np.concatenate(waiting)
+            places = np.flatnonzero(ids >= 0)
+            return _chunk(number, places, ids[places])
+
+        for part in parts(batches):
+            for lang, text in zip(part.column("lang").to_pylist(), part.column("text").to_pylist()):
+                find = known.get(lang, {}).get
+                for words in folded(text):
+                    # Other words have no number, and borders have none.
+                    ids = np.fromiter(map(find, words, itertools.repeat(-1)), np.int64, len(words))
+                    waiting += [ids, border]
+                    size += len(words) + 1
+                    if size >= most:
+                        yield done()
+                        waiting.clear()
+                        size, number = 0, number + 1
+        if waiting:
+            yield done()
+
+    return _texts(docs).mapInArrow(located, RELATION)
+
+
+def adjacent(places: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Merge join of a sorted relation with itself at the next place: places, and both phrases there."""
     met = np.flatnonzero(places[1:] == places[:-1] + 1)
-    both = mine[met] * len(alive) + mine[met + 1]
-    pairs, local, counts = np.unique(both, return_inverse=True, return_counts=True)
-    numbers = known[alive]
-    if not len(alive):
-        return places[met], local, numbers, numbers, counts
-    return places[met], local, numbers[pairs // len(alive)], numbers[pairs % len(alive)], counts
+    return places[met], ids[met], ids[met + 1]
+
 
+def distinct_pairs(a: np.ndarray, b: np.ndarray, **more) -> tuple[np.ndarray, ...]:
+    """The different pairs, in order, and what numpy's unique gives with ``more``."""
+    known, dense = np.unique(np.concatenate([a, b]), return_inverse=True)
+    pairs, *rest = np.unique(dense[: len(a)] * len(known) + dense[len(a) :], **more)
+    return known[pairs // max(1, len(known))], known[pairs % max(1, len(known))], *rest
 
-def _extended(relation: DataFrame, alive: DataFrame) -> DataFrame:
-    """The relation of phrases one word longer; ``alive`` has the frequent ones per chunk."""
-    first = "places" not in relation.columns
 
-    def longer(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _relation(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    for i in range(len(batch)):
+        lists = [batch.column(c)[i].values.to_numpy() for c in ("places", "ids")]
+        yield batch.column("chunk")[i].as_py(), *lists
+
+
+def _chunk(chunk: int, places: np.ndarray, ids: np.ndarray) -> pa.RecordBatch:
+    lists = [
+        pa.ListArray.from_arrays(pa.array([0, len(v)], pa.int32()), pa.array(v, kind))
+        for v, kind in ((places, pa.int32()), (ids, pa.int64()))
+    ]
+    return pa.RecordBatch.from_arrays([pa.array([chunk], pa.int64()), *lists], ["chunk", "places", "ids"])
+
+
+RELATION = "chunk long, places array<int>, ids array<long>"
+
+
+def _known_words(rows: DataFrame) -> DataFrame:
+    """The relation of frequent words from chunks and, beside them, the words that are frequent."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(len(batch)):
-                ids = batch.column("ids")[i].values.to_numpy()
-                places = np.arange(len(ids)) if first else batch.column("places")[i].values.to_numpy()
                 marks = batch.column("alive")[i].values
-                known = np.full(batch.column("size")[i].as_py(), -1, np.int64)
+                known = np.full(batch.column("size")[i].as_py() + 1, -1, np.int64)  # the last one answers for borders
                 known[marks.field("local").to_numpy()] = marks.field("id").to_numpy()
-                columns = joined(places, ids, known)
-                kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
+                ids = known[batch.column("ids")[i].values.to_numpy()]
+                places = np.flatnonzero(ids >= 0)
+                yield _chunk(batch.column("chunk")[i].as_py(), places, ids[places])
+
+    return rows.mapInArrow(kept, RELATION)
+
+
+def _counted(relation: DataFrame, most: int) -> DataFrame:
+    """(a, b, n): adjacent phrases, counted over some chunks of a task at a time."""
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def done() -> Iterator[pa.RecordBatch]:
+            a, b = (np.concatenate(c) for c in zip(*waiting))
+            columns = distinct_pairs(a, b, return_counts=True)
+            for at in range(0, len(columns[0]), ROWS):
+                some = [pa.array(c[at : at + ROWS], pa.int64()) for c in columns]
+                yield pa.RecordBatch.from_arrays(some, ["a", "b", "n"])
+
+        for batch in batches:
+            for _, places, ids in _relation(batch):
+                waiting.append(adjacent(places, ids)[1:])
+                if sum(len(a) for a, _ in waiting) >= most:
+                    yield from done()
+                    waiting.clear()
+        if waiting:
+            yield from done()
+
+    return relation.mapInArrow(counted, "a long, b long, n long")
+
+
+def _extended(stages: Stages, relation: DataFrame, frequent: DataFrame, k: int, few: int) -> DataFrame:
+    """Occurrences of frequent phrases one word longer."""
+    if frequent.count() <= few:
+        rows = frequent.select("a", "b", "id").toArrow().sort_by([("a", "ascending"), ("b", "ascending")])
+        shared = frequent.sparkSession.sparkContext.broadcast([rows.column(c).to_numpy() for c in ("a", "b", "id")])
+
+        def looked_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            first, second, number = shared.value
+            numbers, starts = np.unique(first, return_index=True)
+            place_of = np.append(starts, len(first))
+            for batch in batches:
+                for chunk, places, ids in _relation(batch):
+                    places, a, b = adjacent(places, ids)
+                    # The second one, within the entries that have this first one.
+                    at = np.searchsorted(numbers, a)
+                    at[at == len(numbers)] = 0
+                    is_first = numbers[at] == a if len(numbers) else np.zeros(len(a), bool)
+                    places, a, b, at = places[is_first], a[is_first], b[is_first], at[is_first]
+                    low, high = place_of[at], place_of[at + 1]
+                    while (open_ := low < high).any():
+                        middle = (low + high) // 2
+                        less = open_ & (second[np.minimum(middle, len(second) - 1)] < b)
+                        low, high = np.where(less, middle + 1, low), np.where(open_ & ~less, middle, high)
+                    fits = (low < place_of[at + 1]) & (second[np.minimum(low, max(0, len(second) - 1))] == b)
+                    yield _chunk(chunk, places[fits], number[low[fits]])
+
+        longer = stages(relation.mapInArrow(looked_up, RELATION), f"relation-{k}")
+        shared.unpersist()
+        return longer
+
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for chunk, places, ids in _relation(batch):
+                a, b = distinct_pairs(*adjacent(places, ids)[1:])
+                columns = np.full(len(a), chunk), np.arange(len(a)), a, b
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("chunk").slice(i, 1), *[_one(pa.array(c.astype(k.to_pandas_dtype()))) for c, k in zip(columns, kinds)]],
-                    ["chunk", "places", "ids", "a", "b", "n"],
+                    [pa.array(c, pa.int64()) for c in columns], ["chunk", "local", "a", "b"]
                 )
 
-    rows = relation.select("chunk", "ids", F.size("n").alias("size"), *["places"] * (not first)).join(alive, "chunk")
-    return rows.mapInArrow(
-        longer, "chunk long, places array<int>, ids array<int>, a array<long>, b array<long>, n array<long>"
-    )
-
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, (chunk, places, ids) in enumerate(_relation(batch)):
+                places, a, b = adjacent(places, ids)
+                *pair, local = distinct_pairs(a, b, return_inverse=True)
+                marks = batch.column("alive")[i].values
+                known = np.full(len(pair[0]), -1, np.int64)
+                known[marks.field("local").to_numpy()] = marks.field("id").to_numpy()
+                found = known[local]
+                yield _chunk(chunk, places[found >= 0], found[found >= 0])
 
-def _exploded(relation: DataFrame, *key: str) -> DataFrame:
-    """(chunk, local, key, n): the different phrases of every chunk."""
-    return relation.select("chunk", F.posexplode(F.arrays_zip(*key, "n")).alias("local", "g")).select(
-        "chunk", "local", *[F.col(f"g.{k}").alias(k) for k in (*key, "n")]
-    )
+    grams = relation.mapInArrow(asked, "chunk long, local long, a long, b long")
+    alive = _alive(grams, frequent, ("a", "b"))
+    longer = stages(relation.join(alive, "chunk").mapInArrow(kept, RELATION), f"relation-{k}")
+    return longer
 
 
-def _alive(stages: Stages, grams: DataFrame, frequent: DataFrame, key: tuple[str, ...], name: str) -> DataFrame:
+def _alive(grams: DataFrame, frequent: DataFrame, key: Sequence[str]) -> DataFrame:
     """Semi-join with the frequent phrases: per chunk, their local and global numbers."""
-    kept = grams.select("chunk", "local", *key).join(small(frequent.select("id", *key)), list(key))
-    return stages(kept.groupBy("chunk").agg(F.collect_list(F.struct("local", "id")).alias("alive")), name)
+    kept = grams.select("chunk", "local", *key).join(frequent.select("id", *key), list(key))
+    return kept.groupBy("chunk").agg(F.collect_list(F.struct("local", "id")).alias("alive"))
 
 
-def frequent_phrases(stages: Stages, docs: DataFrame, longest: int, least: int, chunk: int) -> tuple[list[DataFrame], DataFrame]:
+def frequent_phrases(
+    stages: Stages, docs: DataFrame, longest: int, least: int, chunk: int, few: int
+) -> tuple[list[DataFrame], DataFrame]:
     """Per length the phrases with ``least`` occurrences, and (lang, total): all word occurrences.
 
     Words are (id, lang, word, n); longer phrases (id, a, b, n), with the ids of their first and last k - 1 words.
     """
-    relation, key = stages(_words(docs, chunk), "relation-1"), ("lang", "word")
-    found = []
-    for k in range(1, longest + 1):
-        grams = _exploded(relation, *key)
-        counts = grams.groupBy(*key).agg(F.sum("n").alias("n"))
-        if k == 1:
-            counts = stages(counts, "words")
-            totals = stages(counts.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
-        frequent = counts.where(F.col("n") >= least).withColumn("id", F.monotonically_increasing_id())
-        found.append(stages(frequent, f"frequent-{k}"))
-        if k < longest:
-            alive = _alive(stages, grams, found[-1], key, f"alive-{k}")
-            longer = stages(_extended(relation, alive), f"relation-{k + 1}")
-            stages.drop(f"relation-{k}", f"alive-{k}", "words")
-            relation, key = longer, ("a", "b")
-    stages.drop(f"relation-{longest}")
+    spark = docs.sparkSession
+
+    def numbered(counts: DataFrame, k: int) -> DataFrame:
+        often = counts.where(F.col("n") >= least)
+        return stages(often.withColumn("id", F.monotonically_increasing_id()), f"frequent-{k}")
+
+    words = ["lang", "word"]
+    each = _words(docs, chunk).where("local IS NOT NULL")
+    counts = stages(each.groupBy(*words).agg(F.sum("n").alias("n")), "words")
+    totals = stages(counts.groupBy("lang").agg(F.sum("n").alias("total")), "totals")
+    found = [numbered(counts, 1)]
+    if found[0].count() <= few:
+        relation = stages(_located_words(docs, found[0], min(chunk, PLACES)), "relation-1")
+    else:
+        chunks = stages(_words(docs, chunk), "chunks")
+        alive = _alive(chunks.where("local IS NOT NULL"), found[0], words)
+        with setting(spark, ARROW_ROWS, CHUNKS_AT_ONCE), setting(spark, READ_ROWS, CHUNKS_READ):
+            rows = chunks.where("size > 0").select("chunk", "size", "ids").join(alive, "chunk")
+            relation = stages(_known_words(rows), "relation-1")
+        stages.drop("chunks")
+    stages.drop("words")
+    with setting(spark, ARROW_ROWS, CHUNKS_AT_ONCE), setting(spark, READ_ROWS, CHUNKS_READ):
+        for k in range(2, longest + 1):
+            counts = _counted(relation, chunk).groupBy("a", "b").agg(F.sum("n").alias("n"))
+            found.append(numbered(counts, k))
+            if k < longest:
+                relation = _extended(stages, relation, found[-1], k, few)
+            stages.drop(f"relation-{k - 1}")
     return found, totals
 
 
@@ -240,6 +364,7 @@ def collocations(
     covered: int = COVERED,
     best: int = BEST,
     chunk: int = CHUNK,
+    few: int = SMALL_ROWS,
 ) -> DataFrame:
     """The ``best`` phrases per lang: lang, rank, phrase, a, l, r, n, score.
 
@@ -250,12 +375,13 @@ def collocations(
     ``covered`` percent of its occurrences. Ranks go by score and a, both descending, then by
     phrase in byte order; n is the number of words in the lang.
 
+    Up to ``few`` frequent phrases of a length are looked up in every task, more are joined by shuffle; the result is the same.
     Null texts are empty; a null lang is ``und``. Every row counts, repeated ones too. Other columns are ignored; an
     empty table gives an empty result.
     """
     spark = docs.sparkSession
     stages = Stages(spark, "collocations")
-    found, totals = frequent_phrases(stages, docs, longest, least, chunk)
+    found, totals = frequent_phrases(stages, docs, longest, least, chunk, few)
     described = _described(found)
     candidates = []
     for k in range(2, longest + 1):

@@ -53,17 +53,19 @@ ODD = (
 )
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 1 << 21])
-def test_odd_rows(spark, chunk, monkeypatch):
+@pytest.mark.parametrize("chunk, few", [(1, 500_000), (7, 0), (1 << 21, 0)])
+def test_odd_rows(spark, chunk, few, monkeypatch):
     monkeypatch.setattr(collocations, "SLICE", 8)
     for least, best in ((2, 2000), (3, 2)):
-        got = rows_of(spark, ODD, least=least, best=best, chunk=chunk)
+        got = rows_of(spark, ODD, least=least, best=best, chunk=chunk, few=few)
         assert got == plain(ODD, least=least, best=best) and got
 
 
 def test_documents(spark, documents):
     rows = [(r["lang"], r["text"]) for r in documents.collect()]
-    assert rows_of(spark, rows, least=8) == plain(rows, least=8)
+    want = plain(rows, least=8)
+    for few in (0, 500_000):
+        assert rows_of(spark, rows, least=8, few=few) == want
 
 
 def test_empty_and_infrequent(spark):
