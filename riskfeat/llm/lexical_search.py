@@ -14,6 +14,7 @@ import heapq
 import math
 from collections import Counter
 from collections.abc import Iterator
+from types import SimpleNamespace
 
 import numpy as np
 import pyarrow as pa
@@ -136,7 +137,7 @@ def _term_counts(docs: DataFrame, index) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number = index.value.vocabulary.get
+        number = index.value["vocabulary"].get
         for part in parts(batches):
             n, found = [], []
             for text in part.column("text").to_pylist():
@@ -174,7 +175,7 @@ def _scored(counts: DataFrame, index, weights: np.ndarray, n_docs: int, n_terms:
     tasks = counts.rdd.getNumPartitions()
 
     def heaped(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        own = index.value
+        own = SimpleNamespace(**index.value)
         degree = np.diff(own.start)
         heaps = Heaps(len(own.items), best)
         kind = None
@@ -250,7 +251,7 @@ def search(docs: DataFrame, items: DataFrame, best: int = BEST, entries: int = I
         if not rows:
             continue
         index = Index(rows)
-        shared = spark.sparkContext.broadcast(index)
+        shared = spark.sparkContext.broadcast(vars(index))  # plain values, which executors can read without this package
         counts = stages(_term_counts(docs, shared), f"counts-{block}")
         n_docs, n_terms = counts.where("n > 0").agg(F.count(F.lit(1)), F.sum("n")).first()
         if n_docs:
