@@ -1,12 +1,12 @@
 """Hashes of words and of runs of words, for use inside tasks.
 
-All texts of a part of a batch are hashed together, as arrays: a word is a polynomial in its bytes, a
-run of words one in theirs, both modulo 2^64 and mixed afterwards. Sums of all powers so far
-give every word and every run by one subtraction.
+A word has 128 bits, as two halves. A run of words is hashed half by half, so runs keep all 128: two runs of
+one length join to a longer one by a product, a sum and a mix, and a width is made of powers of two.
 """
 
 from __future__ import annotations
 
+from collections import defaultdict
 from collections.abc import Iterator, Sequence
 
 import numpy as np
@@ -15,10 +15,8 @@ import xxhash
 
 #: Bytes of text, or words, that are hashed at a time.
 PIECE = 1 << 18
-BASES = (0x9E3779B97F4A7C15, 0xD6E8FEB86659FD93)
+TWIST = np.uint64(0xD6E8FEB86659FD93)
 MIX_A, MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
-SPACE = np.zeros(256, bool)
-SPACE[list(b" \t\n\x0b\x0c\r")] = True
 
 
 def mixed(values: np.ndarray) -> np.ndarray:
@@ -30,45 +28,6 @@ def mixed(values: np.ndarray) -> np.ndarray:
     return values
 
 
-def _letters(fold: bool) -> np.ndarray:
-    values = mixed(np.arange(1, 257, dtype=np.uint64) * np.uint64(BASES[0]))
-    if fold:
-        values[ord("A") : ord("Z") + 1] = values[ord("a") : ord("z") + 1]
-    return values
-
-
-LETTERS = {fold: _letters(fold) for fold in (False, True)}
-
-
-class Powers:
-    """Powers of an odd base and of its inverse, as many as were needed so far."""
-
-    known: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-
-    @staticmethod
-    def up_to(base: int, n: int) -> np.ndarray:
-        factors = np.full(n, base, np.uint64)
-        factors[0] = 1
-        return np.cumprod(factors, dtype=np.uint64)
-
-    @classmethod
-    def of(cls, base: int, n: int) -> tuple[np.ndarray, np.ndarray]:
-        found = cls.known.get(base)
-        if found is None or len(found[0]) < n:
-            size = max(n, 1 << 16)
-            found = cls.known[base] = tuple(cls.up_to(b, size) for b in (base, pow(base, -1, 1 << 64)))
-        return found[0][:n], found[1][:n]
-
-
-def _spans(values: np.ndarray, base: int, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """The polynomial of values[start:end] for every span."""
-    up, down = Powers.of(base, len(values))
-    sums = np.empty(len(values) + 1, np.uint64)
-    sums[0] = 0
-    np.cumsum(values * up, out=sums[1:])
-    return (sums[ends] - sums[starts]) * down[starts]
-
-
 def _pieces(data: bytes) -> Iterator[bytes]:
     """Cuts between words, about every PIECE bytes."""
     at = 0
@@ -81,48 +40,57 @@ def _pieces(data: bytes) -> Iterator[bytes]:
 
 
 def word_hashes(texts: Sequence[str | None], fold: bool = False) -> tuple[np.ndarray, np.ndarray]:
-    """Hashes of all words of all texts in order, and where each text's words start and the last's end.
+    """Both halves of the hashes of all words of all texts in order, and where each text's words start and the last's end.
 
     Words are separated by ASCII white space; ``fold`` takes A-Z for a-z.
     """
-    found, firsts, offset, n = [], [0], 0, 0
-    encoded = [(t or "").encode("utf-8", "replace") for t in texts]
-    data = b"\n".join(encoded)
-    bounds = np.cumsum([len(e) + 1 for e in encoded])  # a text's end, with its separator
-    places = []
-    for piece in _pieces(data):
-        raw = np.frombuffer(piece, np.uint8)
-        word = np.concatenate([[False], ~SPACE[raw], [False]])
-        edges = np.flatnonzero(word[1:] != word[:-1])
-        starts, ends = edges[::2], edges[1::2]
-        hashes = _spans(LETTERS[fold][raw], BASES[0], starts, ends)
-        hashes += (ends - starts).astype(np.uint64)
-        found.append(mixed(hashes))
-        places.append(starts + offset)
-        offset += len(piece)
-    hashes = np.concatenate([np.empty(0, np.uint64), *found])
-    places = np.concatenate([np.empty(0, np.int64), *places])
-    return hashes, np.concatenate([[0], np.searchsorted(places, bounds)]).astype(np.int64)
-
-
-def runs(hashes: np.ndarray, width: int, base: int = 0) -> np.ndarray:
-    """One hash for every run of ``width`` words; the two bases give independent ones."""
-    n = len(hashes) - width + 1
-    if n <= 0:
+    numbers: dict[bytes, int] = defaultdict()
+    numbers.default_factory = numbers.__len__
+    ids, sizes = [np.empty(0, np.int64)], [0]
+    for text in texts:
+        data = (text or "").encode("utf-8", "replace")
+        n = 0
+        for piece in _pieces(data.lower() if fold else data):
+            words = piece.split()
+            ids.append(np.fromiter(map(numbers.__getitem__, words), np.int64, len(words)))
+            n += len(words)
+        sizes.append(n)
+    digests = np.frombuffer(b"".join(map(xxhash.xxh3_128_digest, numbers)), np.uint64).reshape(-1, 2)
+    return np.ascontiguousarray(digests[np.concatenate(ids)].T), np.cumsum(sizes)
+
+
+def _joined(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    both = a ^ TWIST
+    both *= MIX_B
+    both += b
+    return mixed(both)
+
+
+def runs(hashes: np.ndarray, width: int) -> np.ndarray:
+    """One hash for every run of ``width`` words, from one half of theirs."""
+    if len(hashes) < width:
         return np.empty(0, np.uint64)
-    out = np.empty(n, np.uint64)
-    for at in range(0, n, PIECE):
-        part = hashes[at : at + PIECE + width - 1]
-        starts = np.arange(len(part) - width + 1)
-        values = part if base == 0 else mixed(part ^ np.uint64(BASES[1]))
-        spans = _spans(values, BASES[base], starts, starts + width)
-        out[at : at + len(spans)] = mixed(spans + np.uint64(width))
-    return out
-
-
-def shingles(hashes: np.ndarray, width: int) -> np.ndarray:
-    """The distinct runs of ``width`` words, ascending; a shorter text is one run of all its words."""
-    return np.unique(runs(hashes, min(width, max(1, len(hashes)))).view(np.int64))
+    power, size = hashes, 1
+    whole, have = None, 0
+    while True:
+        if width & size:
+            n = len(hashes) - have - size + 1
+            whole = power[:n] if whole is None else _joined(whole[:n], power[have : have + n])
+            have += size
+        if have == width:
+            return mixed(whole.copy())
+        power = _joined(power[:-size], power[size:])
+        size *= 2
+
+
+def shingles(hashes: np.ndarray, width: int) -> tuple[np.ndarray, tuple[int, int]]:
+    """The distinct runs of ``width`` words by their first half, ascending, and 128 bits that stand for the set.
+
+    A shorter text is one run of all its words; without words the set is empty.
+    """
+    width = min(width, max(1, hashes.shape[1]))
+    first, second = (np.unique(runs(half, width).view(np.int64)) for half in hashes)
+    return first, fingerprint(np.concatenate([first, second]))
 
 
 def fingerprint(values: np.ndarray) -> tuple[int, int]:

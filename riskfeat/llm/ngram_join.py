@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from riskfeat.llm.common import Stages, small, text_key
 from riskfeat.llm.components import components
-from riskfeat.llm.hashing import fingerprint, list_column, parts, shingles, word_hashes
+from riskfeat.llm.hashing import list_column, parts, shingles, word_hashes
 
 WIDTH = 5
 #: Least similarity in percent.
@@ -32,11 +32,11 @@ SIMILAR = 80
 HUB_ROUNDS = 2
 
 
-def _word_sets(part: pa.RecordBatch, width: int) -> list[np.ndarray]:
+def _word_sets(part: pa.RecordBatch, width: int) -> tuple[list[np.ndarray], list[tuple[int, int]]]:
+    """Every text's set and its fingerprint."""
     hashes, first = word_hashes(part.column("text").to_pylist(), fold=True)
-    return [
-        shingles(hashes[a:b], width) if b > a else np.empty(0, np.int64) for a, b in zip(first, first[1:])
-    ]
+    found = [shingles(hashes[:, a:b], width) for a, b in zip(first, first[1:])]
+    return [s for s, _ in found], [p for _, p in found]
 
 
 def _lists(arrays: list[np.ndarray]) -> pa.ListArray:
@@ -63,8 +63,7 @@ def _digests(docs: DataFrame, width: int, similar: int, keyed: bool) -> DataFram
 
     def digest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches):
-            sets = _word_sets(part, width)
-            prints = [fingerprint(s) for s in sets]
+            sets, prints = _word_sets(part, width)
             yield pa.RecordBatch.from_arrays(
                 [
                     *[part.column(c) for c in others],
@@ -85,8 +84,8 @@ def _full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
     def full(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in parts(batches):
             wanted = zip(part.column("a").to_pylist(), part.column("b").to_pylist())
-            sets = _word_sets(part, width)
-            mine = [i for i, (s, w) in enumerate(zip(sets, wanted)) if fingerprint(s) == w]
+            sets, prints = _word_sets(part, width)
+            mine = [i for i, (p, w) in enumerate(zip(prints, wanted)) if p == w]
             yield pa.RecordBatch.from_arrays(
                 [
                     part.column("node").take(pa.array(mine, pa.int64())),
@@ -221,10 +220,12 @@ def _links(pairs: DataFrame, full: DataFrame, similar: int) -> DataFrame:
     tx, ty, nx, ny = F.col("tx"), F.col("ty"), F.col("nx"), F.col("ny")
     passes = F.arrays_overlap(head(tx, nx), head(ty, ny)) & F.arrays_overlap(tail(tx, nx), tail(ty, ny))
     common = F.size(F.array_intersect(tx, ty))
+    # Nodes are different sets, by 128 bits, so they can't share all; a few shingles that seem to have equal halves.
+    similar_sets = ((100 + similar) * common >= similar * (nx + ny)) & (common < F.greatest(nx, ny))
     return (
         pairs.join(x, "x")
         .join(y, "y")
-        .where(F.when(passes, (100 + similar) * common >= similar * (nx + ny)).otherwise(False))
+        .where(F.when(passes, similar_sets).otherwise(False))
         .select("x", "y")
     )
 
@@ -238,7 +239,8 @@ def similar_groups(docs: DataFrame, width: int = WIDTH, similar: int = SIMILAR,
     reachable by links, the document's own included (nulls last; null if all are).
     Documents without words, and null texts, have the empty set and link with nothing, not even
     with each other. Repeated rows and equal texts are copies of one set. Other columns are
-    ignored; an empty table gives an empty one. 64-bit hashes stand for runs, 128 bits for sets.
+    ignored; an empty table gives an empty one. 128 bits stand for words and sets; of a run's, 64 are compared with
+    another document's, where sets that differ share four runs at least before they can link.
 
     A component is more than its component_id where texts share an id or have none. With ``keyed``
     there are also ``text_key``, and ``first``: whether no other (doc_id, text_key) of the row's component

@@ -60,7 +60,7 @@ class Suffixes:
         n_words = np.diff(self.first)
         self.doc = np.repeat(np.arange(len(texts)), n_words)
         ends = self.first[1:][self.doc]
-        prefixes = runs(self.hashes, short)
+        prefixes = runs(self.hashes[0], short)
         places = sparse_places(prefixes, window - short + 1)
         self.starts = np.flatnonzero(np.arange(len(places)) + window <= ends[: len(places)])
         entry = places[self.starts]
@@ -73,9 +73,10 @@ class Suffixes:
         self.prefix = prefixes[self.places]
         # Texts with room for the context on both sides, filled with what is no word.
         side = window - short
-        padded = np.zeros(len(self.hashes) + 2 * side * len(texts), np.uint64)
-        padded[np.arange(len(self.hashes)) + side * (2 * self.doc + 1)] = self.hashes
-        self.context = runs(padded, window + side)[self.places + 2 * side * self.place_doc]
+        padded = np.zeros((2, len(self.doc) + 2 * side * len(texts)), np.uint64)
+        padded[:, np.arange(len(self.doc)) + side * (2 * self.doc + 1)] = self.hashes
+        at = self.places + 2 * side * self.place_doc
+        self.context, self.context2 = (runs(half, window + side)[at] for half in padded)
 
     def counts(self, docs: np.ndarray) -> np.ndarray:
         return np.bincount(docs, minlength=len(self.first) - 1)
@@ -83,18 +84,18 @@ class Suffixes:
     def _in_text(self, values: np.ndarray, docs: np.ndarray) -> np.ndarray:
         return mixed(values ^ (docs.astype(np.uint64) * MIX_A))
 
-    def first_level(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    def first_level(self) -> tuple[np.ndarray, ...]:
         """Each text's short prefixes with context, once, and whether it has that prefix twice."""
         own = self._in_text(self.prefix, self.place_doc)
         _, at, counts = np.unique(own, return_inverse=True, return_counts=True)
         twice = counts[at] > 1
-        _, once = np.unique(own ^ mixed(self.context.copy()), return_index=True)
+        _, once = np.unique(own ^ mixed(self.context ^ mixed(self.context2.copy())), return_index=True)
         once.sort()
-        columns = self.prefix.view(np.int64), self.context.view(np.int64), twice
+        columns = self.prefix.view(np.int64), self.context.view(np.int64), self.context2.view(np.int64), twice
         return self.place_doc[once], *[c[once] for c in columns]
 
     def second_level(
-        self, doc: np.ndarray, prefix: np.ndarray, context: np.ndarray, copied: np.ndarray
+        self, doc: np.ndarray, prefix: np.ndarray, context: np.ndarray, context2: np.ndarray, copied: np.ndarray
     ) -> tuple[np.ndarray, ...]:
         """For marked places: text, two digests and start of each run to look up; text and start of the known repeats.
 
@@ -103,19 +104,19 @@ class Suffixes:
         join = lambda p, c, d: self._in_text(p ^ mixed(c.copy()), d)
         marked = join(prefix.view(np.uint64), context.view(np.uint64), doc)
         order = np.argsort(marked)
-        marked, copied = marked[order], copied[order]
+        marked, copied, second = marked[order], copied[order], context2.view(np.uint64)[order]
         mine = join(self.prefix, self.context, self.place_doc)
         at = np.minimum(np.searchsorted(marked, mine), max(0, len(marked) - 1))
         alive = marked[at] == mine if len(marked) else np.zeros(len(mine), bool)
-        known = alive & copied[at] if len(marked) else alive
+        known = alive & copied[at] & (second[at] == self.context2) if len(marked) else alive
         live = np.flatnonzero(alive[self.entry])
         starts, copy = self.starts[live], known[self.entry][live]
         docs = self.doc[starts]
-        a, b = (runs(self.hashes, self.window, base)[starts] for base in (0, 1))
+        a, b = (runs(half, self.window)[starts] for half in self.hashes)
         own = self._in_text(a, docs)
         order = np.argsort(own, kind="stable")
         later = np.zeros(len(own), bool)
-        later[order[1:]] = own[order[1:]] == own[order[:-1]]
+        later[order[1:]] = (own[order[1:]] == own[order[:-1]]) & (b[order[1:]] == b[order[:-1]])
         ask, sure = ~later & ~copy, later | copy
         places = starts - self.first[docs]
         return docs[ask], a[ask].view(np.int64), b[ask].view(np.int64), places[ask], docs[sure], places[sure]
@@ -139,15 +140,17 @@ def _first_level(docs: DataFrame, window: int, short: int) -> DataFrame:
         for part in parts(batches):
             found = Suffixes(part.column("text").to_pylist(), window, short)
             docs_of, *columns = found.first_level()
-            kinds = (pa.int64(), pa.int64(), pa.bool_())
+            kinds = (pa.int64(), pa.int64(), pa.int64(), pa.bool_())
             lists = [list_column(c, found.counts(docs_of), kind) for c, kind in zip(columns, kinds)]
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), part.column("k"), *lists], ["doc_id", "k", "prefix", "context", "twice"]
+                [part.column("doc_id"), part.column("k"), *lists],
+                ["doc_id", "k", "prefix", "context", "context2", "twice"],
             )
 
     return docs.select("doc_id", "k", "text").mapInArrow(
         listed,
-        f"doc_id {_id_type(docs)}, k long, prefix array<long>, context array<long>, twice array<boolean>",
+        f"doc_id {_id_type(docs)}, k long, prefix array<long>, context array<long>, "
+        "context2 array<long>, twice array<boolean>",
     )
 
 
@@ -157,10 +160,10 @@ def _second_level(docs: DataFrame, window: int, short: int) -> DataFrame:
             marks = part.column("marks")
             fields = marks.flatten()
             doc = np.repeat(np.arange(len(part)), np.diff(marks.offsets.to_numpy()))
-            prefix, context = (fields.field(c).to_numpy() for c in ("prefix", "context"))
+            found_at = [fields.field(c).to_numpy() for c in ("prefix", "context", "context2")]
             copied = fields.field("copied").to_numpy(zero_copy_only=False)
             found = Suffixes(part.column("text").to_pylist(), window, short)
-            ask, a, b, start, sure, known = found.second_level(doc, prefix, context, copied)
+            ask, a, b, start, sure, known = found.second_level(doc, *found_at, copied)
             sure, first, last = stretches(sure, known)
             lists = [list_column(c, found.counts(ask), pa.int64()) for c in (a, b, start)]
             lists += [list_column(c, found.counts(sure), pa.int64()) for c in (first, last)]
@@ -208,8 +211,8 @@ def repeats(docs: DataFrame, window: int = WINDOW, short: int = SHORT) -> DataFr
     stages = Stages(docs.sparkSession, "substring-dedup")
     entered = stages(_first_level(docs, window, short), "entered")
     suffixes = entered.select(
-        "doc_id", "k", F.explode(F.arrays_zip("prefix", "context", "twice")).alias("s")
-    ).select("doc_id", "k", "s.prefix", "s.context", "s.twice")
+        "doc_id", "k", F.explode(F.arrays_zip("prefix", "context", "context2", "twice")).alias("s")
+    ).select("doc_id", "k", "s.prefix", "s.context", "s.context2", "s.twice")
     inner = (
         suffixes.groupBy("prefix")
         .agg(F.min("k").alias("lo"), F.max("k").alias("hi"), F.bool_or("twice").alias("twice"))
@@ -219,9 +222,9 @@ def repeats(docs: DataFrame, window: int = WINDOW, short: int = SHORT) -> DataFr
     alive = stages(suffixes.drop("twice").join(inner, "prefix"), "alive")
     stages.drop("entered")
     marks = stages(
-        _later_copies(alive, ["prefix", "context"])
+        _later_copies(alive, ["prefix", "context", "context2"])
         .groupBy("doc_id", "k")
-        .agg(F.collect_set(F.struct("prefix", "context", "copied")).alias("marks")),
+        .agg(F.collect_set(F.struct("prefix", "context", "context2", "copied")).alias("marks")),
         "marks",
     )
     stages.drop("alive")
@@ -253,7 +256,8 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, short: int = SHORT)
     lose nothing to each other. Null texts and texts of fewer than ``window`` words lose nothing.
 
     Returns one row per row of ``docs``: doc_id, n_words, n_removed, kept (the words left, joined
-    by one space), kept_sha256. An empty table gives an empty one. Digests of 128 bits stand for runs.
+    by one space), kept_sha256. An empty table gives an empty one. 128 bits stand for a word and
+    for a run.
     """
     docs = docs.select("doc_id", "text", F.xxhash64("doc_id", "text").alias("k"))
 
