@@ -43,6 +43,24 @@ def text_key(text: Column) -> Column:
     )
 
 
+def row_name(columns: list[str]) -> str:
+    """A name that none of the columns has."""
+    name = "row"
+    while name in columns:
+        name += "_"
+    return name
+
+
+def nested(docs: DataFrame, *more: Column) -> DataFrame:
+    """Rows as one struct, so that no column of theirs meets a helper's name, and ``more`` beside it."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(row_name(docs.columns)), *more)
+
+
+def of_row(columns: list[str], every: list[str]) -> list[Column]:
+    """Some columns of a nested row that has ``every`` column."""
+    return [F.col(row_name(every)).getField(c).alias(c) for c in columns]
+
+
 @contextmanager
 def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
     before = spark.conf.get(name, None)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from riskfeat.llm.common import Stages, text_key
+from riskfeat.llm.common import Stages, nested, of_row, row_name, text_key
 
 WINDOW = 3
 
@@ -62,17 +62,18 @@ def dedup_lines(docs: DataFrame, width: int = WINDOW) -> DataFrame:
             F.flatten(F.transform("starts", lambda s: F.sequence(s, s + width - 1)))
         ).alias("gone"),
     )
-    lines = F.split(F.col("text"), "\n")
+    text = F.col(row_name(docs.columns)).getField("text")
+    lines = F.split(text, "\n")
     places = F.sequence(F.lit(0), F.size(lines) - 1)
     kept = F.array_join(F.transform(F.array_except(places, "gone"), lambda i: F.get(lines, i)), "\n")
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_removed")]
     return (
-        docs.withColumn("me", me)
+        nested(docs, me.alias("me"))
         # Both sides grow with the documents, so neither is ever broadcast.
         .join(covered.hint("merge"), "me", "left")
         .select(
-            *others,
-            F.when(F.col("gone").isNull(), F.col("text")).otherwise(kept).alias("text"),
+            *of_row(others, docs.columns),
+            F.when(F.col("gone").isNull(), text).otherwise(kept).alias("text"),
             F.coalesce(F.size(lines), F.lit(0)).cast("long").alias("n_lines"),
             F.coalesce(F.size("gone"), F.lit(0)).cast("long").alias("n_removed"),
         )

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from riskfeat.llm.common import BLANK_RUN, BLANKS, Stages, n_words, ordinals, slices
+from riskfeat.llm.common import BLANKS, BLANK_RUN, n_words, nested, of_row, ordinals, row_name, slices, Stages
 
 #: Weights and schedules of the sources in order, repeating. A schedule lists (time, weight) knots.
 WEIGHTS = (1, 2, 3)
@@ -22,6 +22,8 @@ SCHEDULES = (
     ((0.0, 0.5), (1.0, 1.5)),
 )
 MOST_REPEATS = 3
+#: Copies of a row that are made at a time.
+COPIES = 10_000
 
 Schedule = Sequence[tuple[float, float]]
 
@@ -88,12 +90,12 @@ def source_targets(stages: Stages, sizes: DataFrame, weights: Sequence[float], m
 
 
 def _key(docs: DataFrame) -> DataFrame:
-    """Adds ``_h``, which orders documents, and ``_k``, which rows share if they agree in all columns."""
-    every = [F.col(c) for c in docs.columns]
+    """doc_id, source and text with the whole ``row``, ``_h``, which orders documents, and ``_k``, which rows share if they
+    agree in all columns."""
+    every = [F.col(f"`{c}`") for c in docs.columns]
     order = F.md5(F.concat_ws("\n", F.col("doc_id").cast("string"), "text"))
-    return docs.withColumn("_h", order).withColumn(
-        "_k", F.struct("_h", F.xxhash64(*every).alias("a"), F.xxhash64(F.lit(7), *every).alias("b"))
-    )
+    same = F.struct(order.alias("_h"), F.xxhash64(*every).alias("a"), F.xxhash64(F.lit(7), *every).alias("b"))
+    return nested(docs, "doc_id", "source", "text", order.alias("_h"), same.alias("_k"))
 
 
 def _places(
@@ -139,7 +141,11 @@ def _places(
         .join(before, F.col("source").eqNullSafe(F.col("s_source")) & (F.col("cut") == F.col("s_cut")))
         .withColumn("start", F.col("before") + F.col("upto") - held)
         .withColumn("wanted", F.floor("target").cast("long"))
-        .withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.col("copies") - 1)))
+        # Copies in two steps, so that no list is longer than COPIES, however often a row is repeated.
+        .withColumn("_block", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(copies - 1) div {COPIES}"))))
+        .withColumn("_first", F.col("_block") * COPIES)
+        .withColumn("copy", F.explode(F.sequence("_first", F.least(F.col("_first") + COPIES, F.col("copies")) - 1)))
+        .drop("_block", "_first")
         .withColumn("start", F.col("start") + F.col("copy") * F.col("size"))
     )
 
@@ -217,19 +223,21 @@ def mix(
         "taken",
     )
     stages.drop("placed")
-    trimmed = F.btrim("text", F.lit(BLANKS))
+    row = row_name(docs.columns)
+    text, doc_id = F.col(row).getField("text"), F.col(row).getField("doc_id")
+    trimmed = F.btrim(text, F.lit(BLANKS))
     # The piece after the last word that still fits; what stands before it stays.
     rest = F.element_at(F.split(trimmed, BLANK_RUN, F.col("pass_words").cast("int") + 1), -1)
     head = F.rtrim(F.substring(trimmed, F.lit(1), F.length(trimmed) - F.length(rest)), F.lit(BLANKS))
     return (
         _key(docs)
-        .drop("_h")
+        .select(row, "_k")
         .dropDuplicates(["_k"])
         .join(taken, F.col("_k") == F.col("_of"))
         .withColumn("position", F.col("_pass.position"))
         .withColumn("pass_words", F.col("_pass.words"))
-        .withColumn("text", F.when(F.col("_cut"), head).otherwise(F.col("text")))
-        .repartitionByRange("position", "doc_id")
-        .sortWithinPartitions("position", "doc_id")
-        .select(*docs.columns, "position", "pass_words")
+        .withColumn("_text", F.when(F.col("_cut"), head).otherwise(text))
+        .repartitionByRange(F.col("position"), doc_id)
+        .sortWithinPartitions(F.col("position"), doc_id)
+        .select(*[F.col("_text").alias(c.name) if c.name == "text" else of_row([c.name], docs.columns)[0] for c in docs.schema], "position", "pass_words")
     )

@@ -173,13 +173,17 @@ WITH texts AS (
     UNION ALL
     SELECT 'i', item_id, regexp_extract_all(lower(coalesce(text, '')), '{WORD}') FROM benchmark
 ),
+widths AS (SELECT DISTINCT least(5, len(w)) AS k FROM texts WHERE kind = 'i' AND len(w) > 0),
 shingles AS (
-    SELECT DISTINCT kind, id, array_to_string(w[i : i + 4], ' ') AS s
-    FROM (SELECT kind, id, w, unnest(range(1, greatest(len(w) - 3, 1))) AS i FROM texts)
+    SELECT DISTINCT kind, id, k, array_to_string(w[i : i + k - 1], ' ') AS s
+    FROM (
+        SELECT kind, id, w, k, unnest(range(1, greatest(len(w) - k + 2, 1))) AS i
+        FROM texts, widths WHERE kind = 'd' OR k = least(5, len(w))
+    )
 ),
-items AS (SELECT id, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 'i')
+items AS (SELECT id, k, s, count(*) OVER (PARTITION BY id) AS n FROM shingles WHERE kind = 'i')
 SELECT d.id AS doc_id, i.id AS item_id, any_value(n) AS n_item, count(*) AS n_shared, count(*) / any_value(n) AS containment
-FROM shingles d JOIN items i ON d.kind = 'd' AND d.s = i.s
+FROM shingles d JOIN items i ON d.kind = 'd' AND d.k = i.k AND d.s = i.s
 GROUP BY d.id, i.id HAVING 100 * count(*) >= 80 * any_value(n)
 """
 

@@ -92,17 +92,16 @@ def similar_groups(docs, similar=80):
 
 
 def leaks(docs, items, contained=80):
-    def runs(text):
-        w = (text or "").lower().encode().split()
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)}
-
+    split = lambda text: (text or "").lower().encode().split()
+    runs = lambda w, k: {tuple(w[i : i + k]) for i in range(len(w) - k + 1)}
     out = []
-    wanted = [(i["item_id"], runs(i["text"])) for i in items]
+    wanted = [(i["item_id"], split(i["text"])) for i in items]
+    wanted = [(item, min(5, len(w)), runs(w, min(5, len(w)))) for item, w in wanted if w]
     for d in docs:
-        has = runs(d["text"])
-        for item, all_of in wanted:
-            n = len(all_of & has)
-            if all_of and 100 * n >= contained * len(all_of):
+        has = {k: runs(split(d["text"]), k) for k in {k for _, k, _ in wanted}}
+        for item, k, all_of in wanted:
+            n = len(all_of & has[k])
+            if 100 * n >= contained * len(all_of):
                 out.append((d["doc_id"], item, len(all_of), n))
     return out
 

@@ -115,7 +115,7 @@ def test_leaks_against_every_item(spark, make_docs, odd_rows, documents):
     assert sorted(r["doc_id"] for r in left.collect()) == sorted(r["doc_id"] for r in documents.collect() if r["doc_id"] not in leaky)
 
 
-@pytest.mark.parametrize("words", [4, 5, 6, 9, 10, 14, 15, 30, 64])
+@pytest.mark.parametrize("words", [1, 2, 4, 5, 6, 9, 10, 14, 15, 30, 64])
 def test_the_share_that_makes_a_leak(spark, make_docs, words):
     item = [f"i{k}" for k in range(words)]
     docs = []
@@ -131,6 +131,55 @@ def test_the_share_that_makes_a_leak(spark, make_docs, words):
     assert decontaminate.decontaminate(made, items.limit(0)).count() == len(docs)
 
 
+def test_short_items_and_a_shingle_of_all_items(spark, make_docs):
+    head = "answer the following question now please "
+    items = [(i, head + f"q{i} w{i} x{i}") for i in range(12)] + [(100, "Three word item"), (101, "three word item"), (102, "solo")]
+    docs = [(1, "a three WORD item b"), (2, "three word other item"), (3, head * 3), (4, head + "q7 w7 x7"), (5, "solo"), (6, None)]
+    frame = spark.createDataFrame(items, "item_id long, text string")
+    got = decontaminate.find_leaks(make_docs(docs), frame).select("doc_id", "item_id", "n_item", "n_shared").collect()
+    want = brute.leaks([dict(doc_id=d, text=t) for d, t in docs], [dict(item_id=i, text=t) for i, t in items])
+    assert Counter(map(tuple, got)) == Counter(want)
+    assert {(1, 100), (1, 101), (4, 7), (5, 102)} <= {(r["doc_id"], r["item_id"]) for r in got}
+
+
+#: Names that operators use inside, and that rows may bring.
+HELPERS = (
+    "row me gone covered a b t key item suspect dirty h s w all dropped dropped_text id _h _k _cut _of _pass _block _first _text "
+    "copy copies start begin upto wanted before cut place size of position_ n_docs"
+).split()
+
+
+@pytest.mark.parametrize("operator", ["lines", "leaks", "mix", "similar"])
+def test_columns_with_names_of_helpers_come_through(spark, operator):
+    import corpus_pipeline
+    from riskfeat.llm import line_dedup
+
+    lines = "\n".join(f"line {i} of some words" for i in range(6))
+    rows = [(1, lines, "s"), (2, lines + "\nlast", "s"), (3, "other words " * 30, None), (4, "three word item", "t")]
+    docs = spark.createDataFrame(
+        [(*r, *[f"{name}{r[0]}" for name in HELPERS]) for r in rows],
+        "doc_id long, text string, source string, " + ", ".join(f"`{name}` string" for name in HELPERS),
+    )
+    items = spark.createDataFrame([(1, "three word item")], "item_id long, text string")
+    made = {
+        "lines": lambda: line_dedup.dedup_lines(docs),
+        "leaks": lambda: decontaminate.decontaminate(docs, items),
+        "mix": lambda: mixing.mix(docs),
+        "similar": lambda: corpus_pipeline.one_of_similar(spark, docs, SF),
+    }[operator]()
+    assert set(docs.columns) <= set(made.columns)
+    got = made.collect()
+    assert got and all(r[name] == f"{name}{r['doc_id']}" for r in got for name in HELPERS)
+
+
+def test_a_row_repeated_very_often_is_mixed_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(mixing, "COPIES", 7)
+    docs = spark.createDataFrame([(1, "one two three", "s")] * 50 + [(2, "four", "s")], "doc_id long, text string, source string")
+    got = mixing.assign(docs).collect()
+    assert Counter(r["doc_id"] for r in got) == {1: 50, 2: 1} and sum(r["taken"] for r in got) == 151
+    assert len({r["passes"][0]["position"] for r in got}) == 51
+
+
 # Quality rules
 
 
