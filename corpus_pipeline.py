@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from riskfeat.llm import decontaminate, language_id, line_dedup, mixing, ngram_join
-from riskfeat.llm.common import Stages, small, text_key
+from riskfeat.llm.common import Stages, nested, of_row, small, text_key
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -41,8 +41,9 @@ def one_of_similar(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
         groups.where(~F.col("first")).select(F.col("doc_id").alias("dropped"), F.col("text_key").alias("dropped_text")).distinct(),
         "dropped",
     )
-    mine = F.col("doc_id").eqNullSafe(F.col("dropped")) & text_key(F.col("text")).eqNullSafe(F.col("dropped_text"))
-    return docs.join(small(dropped), mine, "left_anti")
+    mine = F.col("id").eqNullSafe(F.col("dropped")) & F.col("key").eqNullSafe(F.col("dropped_text"))
+    rows = nested(docs, F.col("doc_id").alias("id"), text_key(F.col("text")).alias("key"))
+    return rows.join(small(dropped), mine, "left_anti").select(of_row(docs.columns, docs.columns))
 
 
 def remove_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
