@@ -255,7 +255,7 @@ def _extended(stages: Stages, relation: DataFrame, frequent: DataFrame, k: int,
     def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk, places, ids in _relation(batch):
-                a, b = distinct_pairs(*adjacent(places, ids)[1:])
+                a, b, _ = distinct_pairs(*adjacent(places, ids)[1:], return_counts=True)
                 columns = np.full(len(a), chunk), np.arange(len(a)), a, b
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(c, pa.int64()) for c in columns], ["chunk", "local", "a", "b"]
