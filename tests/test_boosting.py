@@ -135,3 +135,30 @@ def test_the_audit_finds_no_decrease_in_constrained_trees(spark):
     model = M.train(frame, names, params={"trees": 10, "depth": 4, "least_rows": 10})
     audit = M.monotone_audit(model, matrix.assemble(frame.where("split = 'TEST'"), names, []), names, [1.0, 5.0])
     assert sorted(tuple(r) for r in audit.collect()) == [("amount_paid", 240, 0), ("amount_to_avg_ratio", 240, 0)]
+
+
+def test_leaves_by_what_borders_rule_out(rows):
+    """Against a walk through every tree; deeper trees than 64 leaves go by the walk."""
+    model = B.fit(rows, NAMES, "label", "weight", ["x"], B.Settings(trees=9, depth=6, least_rows=5, bins=40))
+    x = np.random.default_rng(1).uniform(-2, 45, (3, 700))
+    x[:, :300] = np.round(x[:, :300])  # on the borders
+    x[0, 300], x[1, 301] = np.nan, np.inf
+    walked = model.start + sum(np.asarray(t.value)[t.nodes(x, t.threshold)] for t in model.trees)
+    assert model.leaves and np.allclose(model.margins(x), walked, rtol=0, atol=1e-12)
+    steps = [0.0, 0.5, 3.0, 100.0]
+    raised = np.stack([np.stack([model.margins(B._raised(x, f, s)) for s in steps]) for f in (1, 2)])
+    want = (np.diff(1 / (1 + np.exp(-raised)), axis=1) < -1e-12).sum(axis=1)
+    assert want.sum() > 100 and np.array_equal(model.decreases(x, [1, 2], steps), want)
+    deep = B.fit(rows, NAMES, "label", "weight", (), B.Settings(trees=2, depth=9, least_rows=1, bins=60))
+    assert not deep.leaves and not np.array_equal(deep.margins(x), np.full(700, deep.start))
+    assert deep.decreases(x, [1], steps).shape == (1, 700)
+
+
+def test_the_audit_of_trees_is_one_python_step(rows):
+    """It scored every raised copy in a step of its own, each with its own workers."""
+    model = B.fit(rows, NAMES, "label", "weight", (), B.Settings(trees=2, depth=2))
+    model.names = ["amount_paid", "amount_to_avg_ratio", "flag"]
+    frame = rows.select(F.col("x").alias("amount_paid"), F.col("y").alias("amount_to_avg_ratio"), "flag")
+    audit = M.monotone_audit(model, frame, model.names, [0.5, 1.0, 10.0, 1000.0])
+    assert audit._jdf.queryExecution().optimizedPlan().toString().count("ArrowEvalPython") == 1
+    assert {r["feature"]: r["n_rows"] for r in audit.collect()} == {"amount_paid": 2000, "amount_to_avg_ratio": 2000}
