@@ -40,6 +40,17 @@ def parse_patterns(spark: SparkSession, path: str) -> DataFrame:
         .withColumn("ends", F.col("line").startswith(S.PATTERN_END))
         .withColumn("opened", kind)
     )
+    f = F.split("line", ",")
+    payment = F.when(
+        ~F.col("begins") & ~F.col("ends") & (F.size(f) >= S.PATTERN_MIN_FIELDS),
+        F.struct(
+            f[0].alias("event_ts"),
+            C.account_id(f[1], f[2]).alias("from_account_id"),
+            C.account_id(f[3], f[4]).alias("to_account_id"),
+            f[7].alias("amount_paid"),
+            f[8].alias("payment_currency"),
+        ),
+    )
     number = F.sum(F.col("begins").cast("long"))
     per_split = lines.groupBy(*FILE_ORDER).agg(
         number.alias("begins"),
@@ -55,54 +66,49 @@ def parse_patterns(spark: SparkSession, path: str) -> DataFrame:
         F.last("opened", ignorenulls=True).over(earlier).alias("open_before"),
     )
     in_split = Window.partitionBy("path", "start").orderBy("row")
+    # Lines are read as payments before they move: only what the result needs is shuffled, and no line that is neither.
     numbered = (
-        lines.withColumn("number_here", number.over(in_split))
+        lines.select("path", "start", "row", "begins", "opened", payment.alias("payment"))
+        .where(F.col("opened").isNotNull() | F.col("payment").isNotNull())
+        .withColumn("number_here", number.over(in_split))
         .withColumn("open_here", F.last("opened", ignorenulls=True).over(in_split))
         .join(carried, ["path", "start"])
     )
-    fields = F.split("line", ",")
     return (
         numbered.withColumn("pattern_type", F.coalesce("open_here", "open_before"))
-        .withColumn("f", fields)
-        .where(
-            ~F.col("begins")
-            & ~F.col("ends")
-            & (F.col("pattern_type") != "")
-            & (F.size("f") >= S.PATTERN_MIN_FIELDS)
-        )
-        .select(
-            (F.col("number_before") + F.col("number_here")).alias("pattern_id"),
-            "pattern_type",
-            F.col("f")[0].alias("event_ts"),
-            C.account_id(F.col("f")[1], F.col("f")[2]).alias("from_account_id"),
-            C.account_id(F.col("f")[3], F.col("f")[4]).alias("to_account_id"),
-            F.col("f")[7].cast("double").alias("amount_paid"),
-            F.col("f")[8].alias("payment_currency"),
-        )
+        .where(F.col("payment").isNotNull() & (F.col("pattern_type") != ""))
+        .select((F.col("number_before") + F.col("number_here")).alias("pattern_id"), "pattern_type", "payment.*")
+        .withColumn("amount_paid", F.col("amount_paid").cast("double"))
     )
 
 
-def write_patterns(payments: DataFrame, path: str, block: str, order: str, kind: str) -> None:
-    """Render landing-shaped payments as pattern text, one pattern per ``block`` value.
+def write_patterns(payments: DataFrame, path: str, block: str, order: str, kind: str, least: int = 1) -> None:
+    """Render landing-shaped payments as pattern text, one pattern per ``block`` value of at least ``least`` payments.
 
-    ``kind`` names the column with the pattern type, ``order`` ranks lines within a block.
+    ``kind`` names the column with the pattern type, ``order`` ranks lines within a block. With ``least`` above 1 payments
+    without a block are left out. Payments move as they are and become text where they are written; the files are compressed.
     """
     fields = [F.col(c).cast("string") for c in S.TXN_SCHEMA.names]
-    body = payments.select(block, F.lit(1).alias("part"), order, F.concat_ws(",", *fields).alias("value"))
-    heads = payments.groupBy(block).agg(F.max(kind).alias("kind"), F.min(order).alias(order))
-    begin = heads.select(
-        block, F.lit(0).alias("part"), order, F.format_string(f"{S.PATTERN_BEGIN} - %s:", "kind").alias("value")
-    )
-    end = heads.select(
-        block, F.lit(2).alias("part"), order, F.format_string(f"{S.PATTERN_END} - %s", "kind").alias("value")
+    heads = payments.groupBy(block).agg(
+        F.max(kind).alias("_kind"), F.min(order).alias(order), F.count(F.lit(1)).alias("_rows")
     )
+    body = payments.select(*dict.fromkeys((block, order, *S.TXN_SCHEMA.names)))
+    if least > 1:
+        heads = heads.where((F.col("_rows") >= least) & F.col(block).isNotNull())
+        body = body.join(heads.select(block), block, "left_semi")
+    heads = heads.drop("_rows")
+    marks = heads.withColumn("part", F.explode(F.array(F.lit(0), F.lit(2))))
     keys = [block, "part", order]
+    begin = F.format_string(f"{S.PATTERN_BEGIN} - %s:", "_kind")
+    end = F.format_string(f"{S.PATTERN_END} - %s", "_kind")
+    value = F.when(F.col("part") == 0, begin).when(F.col("part") == 2, end).otherwise(F.concat_ws(",", *fields))
     (
-        begin.unionByName(body)
-        .unionByName(end)
+        body.withColumn("part", F.lit(1))
+        .unionByName(marks, allowMissingColumns=True)
         .repartitionByRange(*keys)
         .sortWithinPartitions(*keys)
-        .select("value")
+        .select(value.alias("value"))
         .write.mode("overwrite")
+        .option("compression", "gzip")
         .text(path)
     )

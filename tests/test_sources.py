@@ -6,7 +6,7 @@ import pytest
 
 from riskfeat import schemas as S
 from riskfeat.session import scratch_dir
-from riskfeat.sources import commits, files, patterns
+from riskfeat.sources import commits, files, fixture, patterns
 
 HEADER = "Timestamp,From Bank,Account,To Bank,Account,Amount Received,Receiving Currency,Amount Paid,Payment Currency,Payment Format,Is Laundering"
 LINES = [
@@ -217,3 +217,48 @@ def test_written_patterns_read_back(spark, tmp_path, rows):
     patterns.write_patterns(spark.createDataFrame(data, schema), str(tmp_path / "x"), "block", "line", "kind")
     got = rows(patterns.parse_patterns(spark, str(tmp_path / "x")), "pattern_id", "pattern_type", "amount_paid")
     assert got == sorted((b + 1, k, float(n)) for b, n, k, *_ in data)
+
+
+def test_blocks_of_too_few_payments_are_left_out(spark, tmp_path, rows):
+    line = ("2022/09/01 00:01", "1", "A", "2", "B", 5.0, "USD", 6.5, "EUR", "Wire", 1)
+    data = [(b, str(k), "CYCLE", *line) for b, k in ((1, 1), (2, 2), (2, 3), (None, 4), (None, 5), (3, 6), (3, 7), (3, 8))]
+    schema = "block long, line string, kind string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in S.TXN_SCHEMA)
+    path = str(tmp_path / "x")
+    patterns.write_patterns(spark.createDataFrame(data, schema), path, "block", "line", "kind", least=2)
+    assert rows(patterns.parse_patterns(spark, path).groupBy("pattern_id").count()) == [(1, 2), (2, 3)]
+
+
+def test_patterns_move_as_parsed_payments(spark, tmp_path):
+    """Whole lines were shuffled, and split into fields after that."""
+    (tmp_path / "p.txt").write_text("BEGIN LAUNDERING ATTEMPT - CYCLE:\nx\n")
+    plan = patterns.parse_patterns(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    window = plan[plan.index("Window") :]
+    assert "split" not in plan[: plan.index("Window")] and "split" in window
+
+
+def test_lines_are_shuffled_by_their_order_only(spark):
+    """Customers met the lines, and cost them a shuffle of their own."""
+    names = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled")
+    before = {n: spark.conf.get(n) for n in names}
+    try:
+        for n, value in zip(names, ("-1", "false")):
+            spark.conf.set(n, value)
+        df = fixture.transactions(spark, "/root/testdata/sf0.001", ["l_orderkey"])
+        plan = df._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for n, value in before.items():
+            spark.conf.set(n, value)
+    joins = [x for x in plan.splitlines() if "SortMergeJoin" in x]
+    assert len(joins) == 2 and "l_orderkey" in joins[0] and "o_custkey" in joins[1]
+
+
+def test_a_scorecard_is_scored_once(spark, monkeypatch):
+    """Two runs of one scorecard computed the same table twice."""
+    from riskfeat.plans import queries
+
+    t, made = queries.Tables(spark, "unused"), []
+    frame = spark.createDataFrame([("e", 1, 0.5, 2)], "event_key string, label int, fraud_score double, x int")
+    monkeypatch.setattr(queries.Tables, "scored", lambda self, card=None: made.append(card) or frame)
+    for card in (queries.SCORECARD_V1, queries.SCORECARD_V1, queries.SCORECARD_V2):
+        assert t.scored_table(card).columns == ["event_key", "label", "fraud_score"]
+    assert len(made) == 2
