@@ -156,3 +156,28 @@ def test_query_on_held_out_documents(spark, documents):
     used = sum(-got[r["doc_id"]]["score"] for r, o in zip(rows, out) if o) / math.log10(2)
     single = sum(int(code.length[b]) for r, o in zip(rows, out) if o for b in (r["text"] or "").encode())
     assert used < 0.75 * single
+
+
+def test_weights_move_after_every_decision():
+    """They moved after blocks that grew with the text, by the mean of a block."""
+    rng = np.random.default_rng(3)
+    texts = [bytes(rng.integers(97, 105, n, dtype=np.uint8)) for n in (700, 3, 0, 90, 700, 1)]
+    counts = np.zeros(lm_scoring.SYMBOLS, np.int64)
+    counts[97:105], counts[lm_scoring.END] = 200, 6
+    code, bits = lm_scoring.Code.of(counts), 12
+    odds = [rng.integers(-60, 60, 1 << bits, dtype=np.int8) for _ in range(lm_scoring.PREDICTORS)]
+    keys, want = lm_scoring.node_keys(), []
+    for text in texts:
+        piece, total = lm_scoring.Piece([(b"", text, True)]), 0.0
+        weights = defaultdict(lambda: np.array(lm_scoring.START))
+        for i, s in enumerate(piece.symbols):
+            for depth in range(code.length[s]):
+                step = code.start[s] + depth
+                cells = [lm_scoring.slots(c[i : i + 1], keys[code.node[step]], bits)[0] for c in piece.contexts]
+                x = np.array([t[c] for t, c in zip(odds, cells)]) / lm_scoring.ODDS_STEP * (1 if code.way[step] else -1)
+                p = 1 / (1 + math.exp(-max(-60.0, float(weights[depth] @ x))))
+                total += math.log(p)
+                weights[depth] = weights[depth] + lm_scoring.RATE * (1 - p) * x
+        want.append(total)
+    got = lm_scoring.code_lengths(lm_scoring.Piece([(b"", t, True) for t in texts]), code, odds, bits)
+    assert got == pytest.approx(want, rel=1e-4)
