@@ -6,6 +6,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 from riskfeat.llm import lm_scoring
@@ -181,3 +182,11 @@ def test_weights_move_after_every_decision():
         want.append(total)
     got = lm_scoring.code_lengths(lm_scoring.Piece([(b"", t, True) for t in texts]), code, odds, bits)
     assert got == pytest.approx(want, rel=1e-4)
+
+
+def test_no_text_is_left_to_be_scored_alone(monkeypatch):
+    monkeypatch.setattr(lm_scoring, "TOGETHER", 1000)
+    texts = pa.array([b"x" * n for n in range(40, 100)], pa.binary())
+    pieces = [piece for *_, piece in lm_scoring._pieces(iter([pa.RecordBatch.from_arrays([texts], ["text"])]))]
+    assert sum(len(p.ends) for p in pieces) == len(texts)
+    assert min(len(p.ends) for p in pieces) > 1
