@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from riskfeat.operators import ordering
+from riskfeat.operators import ordering, sampling
 
 
 @pytest.mark.parametrize("size", [1, 2, 7, 500])
@@ -71,3 +71,15 @@ def test_running_totals_order_no_rows_together(spark):
     # The only one-task step is over the bucket totals, which sit below an aggregate.
     assert len(row_window) == 1
     assert "HashAggregate" in text.splitlines()[row_window[0] + 1]
+
+
+def test_sample_of_candidates_is_that_of_all_rows(spark):
+    """Keys repeat and are null, and the rows that share one differ in columns that only the base table has."""
+    rows = [(f"k{i % 4000}" if i % 50 else None, int(i % 97 == 0), i) for i in range(6000)]
+    events = spark.createDataFrame(rows, "event_key string, is_laundering int, id long")
+    for n in (1, 37, 500, 10_000):
+        near = sampling.sample_candidates(events, n)
+        built = lambda df: df.withColumn("later", F.col("id") * 7 % 13)
+        want = sorted(r["id"] for r in sampling.train_sample(built(events), n).collect())
+        assert sorted(r["id"] for r in sampling.train_sample(built(near), n).collect()) == want
+        assert near.count() <= len(want) + 200
