@@ -141,3 +141,9 @@ def test_checks_from_what_the_writing_passes_saw(spark):
             quality.require(quality.written_checks(events, {**seen, **bad}, "2024-02-01", 5))
     with pytest.raises(quality.QualityError, match="rows_expected"):
         quality.require(quality.written_checks(events, seen, "2024-02-01", 6))
+
+
+def test_scores_are_counted_once_and_written(spark):
+    scored = spark.createDataFrame([(1, 0.5), (0, 0.5), (1, 0.9), (0, None)], "label int, fraud_score double")
+    found = metrics.score_steps(scored)
+    assert found.count() == 2 and found.inputFiles() and all("score-steps" in f for f in found.inputFiles())
