@@ -190,3 +190,29 @@ def test_no_text_is_left_to_be_scored_alone(monkeypatch):
     pieces = [piece for *_, piece in lm_scoring._pieces(iter([pa.RecordBatch.from_arrays([texts], ["text"])]))]
     assert sum(len(p.ends) for p in pieces) == len(texts)
     assert min(len(p.ends) for p in pieces) > 1
+
+
+def test_a_task_takes_few_texts_and_one_chunk_at_a_time(spark, monkeypatch):
+    seen, write = {}, lm_scoring.Stages.__call__
+
+    def watched(stages, df, name):
+        seen[name] = int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch"))
+        return write(stages, df, name)
+
+    monkeypatch.setattr(lm_scoring.Stages, "__call__", watched)
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(20)], "doc_id long, text string")
+    assert lm_scoring.score_texts(docs, F.col("doc_id") % 2 == 0, bits=12, chunk=20).count() == 20
+    assert seen["base"] == 1 and max(seen["chunks"], seen["model"]) <= 1000
+
+
+def test_counts_do_not_depend_on_the_batches_that_texts_come_in():
+    texts = [b"some words " * (i % 7 * 50) + bytes([i]) for i in range(60)]
+    code = lm_scoring.Code.of(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=lm_scoring.SYMBOLS))
+    found = []
+    for rows in (7, 60):
+        tables = np.zeros((lm_scoring.PREDICTORS, 2 << 12), np.uint32)
+        batches = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+        for *_, piece in lm_scoring._pieces(batches.slice(at, rows) for at in range(0, 60, rows)):
+            lm_scoring.count_slots(piece, code, tables, 12)
+        found.append(tables)
+    assert found[0].any() and (found[0] == found[1]).all()
