@@ -126,3 +126,9 @@ def test_safe_div_and_json(spark):
     df = spark.createDataFrame([(1, 0, '{"a": "7"}'), (1, 4, "broken"), (1, None, None)], "x int, y int, j string")
     got = df.select(C.safe_div(F.col("x"), F.col("y")), C.json_number(F.col("j"), "$.a")).collect()
     assert [tuple(r) for r in got] == [(None, 7.0), (0.25, None), (None, None)]
+
+
+def test_a_time_is_parsed_once(spark, banks):
+    rows = [txn("2022/09/01 00:10", "012", "A1", "007", "A2", 10.0)]
+    events = curate.txn_events(spark.createDataFrame(rows, S.TXN_SCHEMA), banks, "2022-09-11")
+    assert events._jdf.queryExecution().optimizedPlan().toString().count("gettimestamp(") == 1

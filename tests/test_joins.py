@@ -116,3 +116,30 @@ def test_asof_join_keeps_null_feature_values_of_the_latest_row(spark, rows):
     spine = spark.createDataFrame([("a", DAY + dt.timedelta(3))], "k string, ts timestamp_ntz")
     facts = spark.createDataFrame([("a", DAY, 1), ("a", DAY + dt.timedelta(1), None)], "k string, ts timestamp_ntz, v int")
     assert rows(joins.asof_join(spine, facts, "k", "ts"), "v") == [(None,)]
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_asof_join_spreads_a_large_tile_and_keeps_every_row(spark, rows, strict):
+    hours = lambda n: DAY + dt.timedelta(hours=n)
+    spine = [("hot", hours(i % 30), i % 70) for i in range(200)] + [(None, DAY, 1)] * 30 + [("hot", None, 2)] * 30
+    facts = [("hot", hours(n), v) for n, v in ((-40, 1), (3, 2), (3, 7), (20, 4), (26, None))] + [(None, DAY, 5), ("hot", None, 6)]
+    left = spark.createDataFrame(spine, "k string, ts timestamp_ntz, _fact int")
+    right = spark.createDataFrame(facts, "k string, ts timestamp_ntz, v int")
+    got = rows(joins.asof_join(left, right, "k", "ts", strict, rows_per_salt=10))
+
+    def value(k, ts):
+        before = [(t, v) for key, t, v in facts if k and ts and key and t and (t < ts or t == ts and not strict)]
+        newest = max((t for t, _ in before), default=None)
+        return max((v for t, v in before if t == newest), key=lambda v: (v is not None, v), default=None)
+
+    assert got == sorted(((k, t, i, value(k, t)) for k, t, i in spine), key=lambda r: tuple((v is not None, v) for v in r))
+
+
+@pytest.mark.parametrize("strict", [False, True])
+def test_asof_join_moves_the_spine_once(spark, strict):
+    spine = spark.createDataFrame([("a", DAY, "row")], "k string, ts timestamp_ntz, label string")
+    facts = spark.createDataFrame([("a", DAY, 1)], "k string, ts timestamp_ntz, v int")
+    plan = joins.asof_join(spine, facts, "k", "ts", strict)._jdf.queryExecution()
+    plan.executedPlan()
+    text = plan.toString().split("== Physical Plan ==")[1]
+    assert "SortMergeJoin" not in text and text.count("Window") >= 2
