@@ -1,12 +1,16 @@
 """Account history kept up to date by loads, without reading earlier events again.
 
 Two tables hold what statistics of different loads need to be merged exactly: per account counts, mean, sum of squared deviations,
-maximum and sums of flags; and per account the different values whose number is asked for. Each has as many rows as
-accounts, or accounts and values, whatever the number of events.
+maximum and sums of flags; and per account the different values whose number is asked for. The first has as many rows as
+accounts. The second lies in parts: each load adds one that has its own values once, and ``FAN`` parts of a level merge into one of the
+next. So a value moves once per level, not with every load, and there are as many parts as the logarithm of the loads.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+from itertools import takewhile
+
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from riskfeat.sources import files
@@ -19,6 +23,9 @@ DISTINCT = {
 }
 FLAGS = {"is_cross_currency": "hist_foreign_ccy_share", "is_high_risk_format": "hist_high_risk_share"}
 STATE, VALUES = "history_state", "history_values"
+#: Parts of a level that merge into one of the next.
+FAN = 8
+LEVEL = "level_"
 
 
 def stats_of(events: DataFrame) -> DataFrame:
@@ -62,8 +69,42 @@ def merged_stats(old: DataFrame, new: DataFrame) -> DataFrame:
     ).select(new.columns)
 
 
-def merged_values(old: DataFrame, new: DataFrame) -> DataFrame:
-    return old.unionByName(new).distinct()
+def merged_values(*some: DataFrame) -> DataFrame:
+    return reduce(DataFrame.unionByName, some).distinct()
+
+
+def _newest(parts: list[tuple[int, int]], level: int) -> list[tuple[int, int]]:
+    """The last parts, as far as they are of a level."""
+    return list(takewhile(lambda part: part[1] == level, reversed(parts)))
+
+
+def parts_of(spark: SparkSession, root: str) -> list[tuple[int, int]]:
+    """(version, level) of the parts that hold the values. A version without a level is the whole table."""
+    live: list[tuple[int, int]] = []
+    for entry in files.versions(spark, root, VALUES):
+        levels = [int(name.removeprefix(LEVEL)) for name in entry["seen"] if name.startswith(LEVEL)]
+        merged = len(_newest(live, levels[0] - 1)) if levels else len(live)
+        live = [*live[: len(live) - merged], (entry["number"], *(levels or [0]))]
+    return live
+
+
+def read_values(spark: SparkSession, root: str) -> DataFrame:
+    """(account_id, kind, value): each value of an account once, over all loads."""
+    return merged_values(*[files.read_version(spark, root, VALUES, number) for number, _ in parts_of(spark, root)])
+
+
+def add_values(spark: SparkSession, root: str, fresh: DataFrame) -> None:
+    """Add a part; a level that is full then merges into one part of the next."""
+
+    def write(df: DataFrame, level: int) -> None:
+        # The name of the statistic tells the level, also of a part without rows.
+        files.write_version(df, root, VALUES, (), {f"{LEVEL}{level}": F.count(F.lit(1))})
+
+    write(fresh, 0)
+    level = 0
+    while len(full := _newest(parts_of(spark, root), level)) >= FAN:
+        level += 1
+        write(merged_values(*[files.read_version(spark, root, VALUES, number) for number, _ in full]), level)
 
 
 def history_of(stats: DataFrame, values: DataFrame, accounts: DataFrame) -> DataFrame:
@@ -95,11 +136,10 @@ def add_load(spark: SparkSession, root: str, events: DataFrame) -> None:
     Values go first: to add the same ones again changes nothing. So a load that died before its statistics were
     committed can be added again. One writer at a time.
     """
-    for name, make, merge in ((VALUES, values_of, merged_values), (STATE, stats_of, merged_stats)):
-        fresh = make(events)
-        have = files.current_version(spark, root, name)
-        files.write_version(merge(files.read_version(spark, root, name, have), fresh) if have else fresh, root, name)
+    add_values(spark, root, values_of(events))
+    fresh, have = stats_of(events), files.current_version(spark, root, STATE)
+    files.write_version(merged_stats(files.read_version(spark, root, STATE, have), fresh) if have else fresh, root, STATE)
 
 
 def current(spark: SparkSession, root: str, accounts: DataFrame) -> DataFrame:
-    return history_of(*[files.read_version(spark, root, name) for name in (STATE, VALUES)], accounts)
+    return history_of(files.read_version(spark, root, STATE), read_values(spark, root), accounts)

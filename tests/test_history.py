@@ -71,3 +71,34 @@ def test_a_load_reads_its_own_events_only(spark, events, tmp_path):
     plan = history.merged_stats(old, history.stats_of(events.limit(3)))._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Relation") == 1  # the state
     assert old.count() == 4 and files.version_stats(spark, str(tmp_path), history.STATE) == {"rows": 4}
+
+
+def test_a_load_writes_its_own_values_and_full_levels_merge(spark, events, accounts, tmp_path, monkeypatch):
+    root, day = str(tmp_path), F.col("i") % 7
+    sizes = []
+    for load in range(7):
+        history.add_load(spark, root, events.where(day == load) if load != 3 else events.limit(0))
+        sizes.append(files.version_stats(spark, root, history.VALUES)["rows"])
+    missing = events.where(day == 3)
+    for load in range(7):
+        assert sizes[load] == (history.values_of(events.where(day == load)).count() if load != 3 else 0)
+    assert [level for _, level in history.parts_of(spark, root)] == [0] * 7
+    history.add_load(spark, root, missing)
+    assert [level for _, level in history.parts_of(spark, root)] == [1]
+    assert files.version_stats(spark, root, history.VALUES)["rows"] == history.values_of(events).count()
+    same(history.current(spark, root, accounts), curate.account_history(events, accounts))
+    monkeypatch.setattr(history, "FAN", 2)
+    for _ in range(4):
+        history.add_load(spark, root, events.limit(0))
+    assert [level for _, level in history.parts_of(spark, root)] == [2, 1]
+    same(history.current(spark, root, accounts), curate.account_history(events, accounts))
+
+
+def test_a_table_of_values_without_levels_is_read_on(spark, events, accounts, tmp_path):
+    root, early = str(tmp_path), F.col("i") % 2 == 0
+    for name, make in ((history.VALUES, history.values_of), (history.STATE, history.stats_of)):
+        files.write_version(make(events.where("false")), root, name)
+        files.write_version(make(events.where(early)), root, name)
+    history.add_load(spark, root, events.where(~early))
+    assert len(history.parts_of(spark, root)) == 2
+    same(history.current(spark, root, accounts), curate.account_history(events, accounts))
