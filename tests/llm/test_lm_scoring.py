@@ -216,3 +216,65 @@ def test_counts_do_not_depend_on_the_batches_that_texts_come_in():
             lm_scoring.count_slots(piece, code, tables, 12)
         found.append(tables)
     assert found[0].any() and (found[0] == found[1]).all()
+
+
+def test_steps_are_weighed_in_few_blocks():
+    """Every step at which a chain ended began a block of its own."""
+    lasting = np.arange(2000, 0, -1)
+    blocks = lm_scoring._blocks(lasting)
+    assert [b for b, *_ in blocks] == [0, *[e for _, e, _ in blocks[:-1]]] and blocks[-1][1] == 2000
+    assert len(blocks) < 200
+    for begin, end, n in blocks:
+        assert n == np.count_nonzero(lasting > begin)
+        assert np.count_nonzero(lasting > end - 1) >= n - n / lm_scoring.SPARE
+    assert lm_scoring._blocks(np.empty(0, np.int64)) == []
+
+
+def test_a_text_costs_the_same_alone_and_among_others(monkeypatch):
+    """Chains that have ended stay in their block, and texts cross the parts that are looked up; neither may cost anything."""
+    rng = np.random.default_rng(5)
+    texts = [bytes(rng.integers(97, 117, n, dtype=np.uint8)) for n in (0, 1, 5, 64, 300, 301, 310, 900)]
+    code = lm_scoring.Code.of(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=lm_scoring.SYMBOLS))
+    odds = [rng.integers(-60, 60, 1 << 12, dtype=np.int8) for _ in range(lm_scoring.PREDICTORS)]
+    score = lambda some: lm_scoring.code_lengths(lm_scoring.Piece([(b"", t, True) for t in some]), code, odds, 12)
+    alone = np.concatenate([score([t]) for t in texts])
+    assert score(texts) == pytest.approx(alone, rel=1e-12)
+    monkeypatch.setattr(lm_scoring, "LOOKED", 100)
+    monkeypatch.setattr(lm_scoring, "WEIGHED", 500)
+    assert score(texts) == pytest.approx(alone, rel=1e-12)
+
+
+@pytest.mark.parametrize("size", [8, 1 << 20])
+def test_words_of_a_chunk(monkeypatch, size):
+    """Words of a part of texts are split and numbered together, those of long texts by slices."""
+    monkeypatch.setattr(lm_scoring, "SLICE", size)
+    texts = [b" A b\x1cC\xff ", None, b"", b" \t ", b"a\x00B  c\x0b\x0c\rd\x1f\xe3\x80\x80e\xc3\x89", b"one Two one two " * 9, b"x" * 50]
+    learn = [True, True, False, True, False, True, False]
+    n = len(texts)
+    columns = [pa.array(range(n)), pa.array([0] * n), pa.array([0] * n), pa.array(learn), pa.array(texts, pa.binary())]
+    rows = pa.RecordBatch.from_arrays(columns, [*lm_scoring.KEY, "text"])
+    chunk = lm_scoring.Chunk()
+    for part in (rows.slice(0, 3), rows.slice(3)):
+        chunk.add(part)
+    got = chunk.table(7).to_pylist()[0]
+    words = [(t or b"").lower().split() for t in texts]
+    vocabulary = [w["word"] for w in got["vocabulary"]]
+    assert (got["chunk"], got["size"], got["doc_id"], got["learn"]) == (7, len(set(sum(words, []))), list(range(n)), learn)
+    assert got["words"] == [len(w) for w in words] and [vocabulary[i] for i in got["ids"]] == sum(words, [])
+    counts = Counter(w for some, use in zip(words, learn) if use for w in some)
+    assert {w["word"]: w["n"] for w in got["vocabulary"]} == {w: counts[w] for w in set(sum(words, []))}
+    read = b"".join(t or b"" for t, use in zip(texts, learn) if use)
+    assert got["bytes"] == [*np.bincount(np.frombuffer(read, np.uint8), minlength=256).tolist(), sum(learn)]
+
+
+def test_words_meet_their_counts_without_a_sort(spark, monkeypatch):
+    plans, write = {}, lm_scoring.Stages.__call__
+
+    def watched(stages, df, name):
+        plans[name] = df._jdf.queryExecution().executedPlan().toString()
+        return write(stages, df, name)
+
+    monkeypatch.setattr(lm_scoring.Stages, "__call__", watched)
+    docs = spark.createDataFrame([(i, f"some text {i}") for i in range(20)], "doc_id long, text string")
+    assert lm_scoring.score_texts(docs, F.col("doc_id") % 2 == 0, bits=12, chunk=20).count() == 20
+    assert "ShuffledHashJoin [word" in plans["base"]
