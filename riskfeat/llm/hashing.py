@@ -105,14 +105,22 @@ def list_column(flat: np.ndarray, counts: Sequence[int], kind: pa.DataType) -> p
     return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat, kind))
 
 
-def parts(batches: Iterator[pa.RecordBatch], text: str = "text", piece: int = PIECE) -> Iterator[pa.RecordBatch]:
-    """Slices of batches with about ``piece`` bytes of text; a longer text is a slice of its own."""
+def byte_sizes(texts: pa.Array) -> np.ndarray:
+    """Bytes of every text; no text has none."""
     import pyarrow.compute as pc
 
+    return np.asarray(pc.fill_null(pc.binary_length(texts), 0))
+
+
+def cuts(sizes: np.ndarray, piece: int) -> Iterator[tuple[int, int]]:
+    """Start and end of runs of texts with about ``piece`` bytes; a longer text is a run of its own."""
+    group = np.cumsum(sizes, dtype=np.int64) // piece
+    at = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(sizes)]
+    yield from ((start, end) for start, end in zip(at, at[1:]) if end > start)
+
+
+def parts(batches: Iterator[pa.RecordBatch], text: str = "text", piece: int = PIECE) -> Iterator[pa.RecordBatch]:
+    """Slices of batches with about ``piece`` bytes of text; a longer text is a slice of its own."""
     for batch in batches:
-        sizes = np.asarray(pc.fill_null(pc.binary_length(batch.column(text)), 0))
-        group = np.cumsum(sizes, dtype=np.int64) // piece
-        cuts = [0, *(np.flatnonzero(np.diff(group)) + 1).tolist(), len(batch)]
-        for start, end in zip(cuts, cuts[1:]):
-            if end > start:
-                yield batch.slice(start, end - start)
+        for start, end in cuts(byte_sizes(batch.column(text)), piece):
+            yield batch.slice(start, end - start)

@@ -2,6 +2,7 @@
 
 import math
 import re
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -278,3 +279,57 @@ def test_words_meet_their_counts_without_a_sort(spark, monkeypatch):
     docs = spark.createDataFrame([(i, f"some text {i}") for i in range(20)], "doc_id long, text string")
     assert lm_scoring.score_texts(docs, F.col("doc_id") % 2 == 0, bits=12, chunk=20).count() == 20
     assert "ShuffledHashJoin [word" in plans["base"]
+
+
+@pytest.mark.parametrize("size", [1, 3, 64, 1000])
+def test_contexts_do_not_depend_on_slices(monkeypatch, size):
+    """A word may begin slices before, and a stretch may see only the end of what was before it."""
+    monkeypatch.setattr(lm_scoring, "STRETCH", 150)
+    texts = [b"", b"a few words \x00 of\ttext", b"x" * 400, bytes(range(256)) * 2, b" ", b"y" * 70 + b" " + b"z" * 90]
+    piece = lm_scoring.Piece([c for t in texts for c in lm_scoring.stretches(t)])
+    found, at = [[] for _ in range(lm_scoring.PREDICTORS)], 0
+    for first, contexts in piece.slices(size):
+        assert first == at and len({len(c) for c in contexts}) == 1
+        at += len(contexts[0])
+        for some, c in zip(found, contexts):
+            some.append(c)
+    assert at == len(piece.symbols)
+    # A word's hash is a polynomial of its bytes so far, in plain numbers here.
+    words, so_far, own = [], [], iter(piece.own)
+    for byte, mine in zip(piece.raw.tolist(), own):
+        if mine:
+            words.append(sum(int(lm_scoring.LETTERS[b]) * lm_scoring.BASE**i for i, b in enumerate(so_far)) % 2**32)
+        so_far = [*so_far, byte] if byte > 32 else []
+    words = np.array(words, np.uint32)
+    words = (words ^ (words >> np.uint32(15))) * lm_scoring.FACTORS[0]
+    assert np.array_equal(np.concatenate(found[-1]), words)
+    for some, whole in zip(found, piece.contexts):
+        assert np.array_equal(np.concatenate(some), whole)
+
+
+def test_working_memory_is_a_few_times_the_text():
+    """Contexts of a whole piece, and what they were made from, took some 50 bytes for every byte of it."""
+    rng = np.random.default_rng(7)
+    texts = [bytes(rng.choice(np.frombuffer(b"eeetaoin shrdlu", np.uint8), 4000)) for _ in range(500)]
+    size = sum(map(len, texts))
+    code = lm_scoring.Code.of(np.bincount(np.frombuffer(b"".join(texts), np.uint8), minlength=lm_scoring.SYMBOLS))
+    odds = [rng.integers(-60, 60, 1 << 12, dtype=np.int8) for _ in range(lm_scoring.PREDICTORS)]
+    tables = np.zeros((lm_scoring.PREDICTORS, 2 << 12), np.uint32)
+    tracemalloc.start()
+    try:
+        piece = lm_scoring.Piece([(b"", t, True) for t in texts])
+        lm_scoring.count_slots(piece, code, tables, 12)
+        lm_scoring.code_lengths(piece, code, odds, 12)
+        assert tracemalloc.get_traced_memory()[1] < 35 * size
+    finally:
+        tracemalloc.stop()
+
+
+def test_a_batch_is_sorted_part_by_part():
+    """Parts of one length stand together, hold every text once and are no copy of the batch."""
+    texts = [b"x" * (i * 37 % 5000) for i in range(2000)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(2000)), pa.array(texts, pa.binary())], ["row", "text"])
+    found = list(lm_scoring._by_size(iter([batch])))
+    lengths = [len(t) for p in found for t in p.column("text").to_pylist()]
+    assert lengths == sorted(map(len, texts)) and sorted(r for p in found for r in p.column("row").to_pylist()) == list(range(2000))
+    assert len(found) > 1 and all(p.column("text").nbytes <= lm_scoring.TOGETHER + 40_000 for p in found)
