@@ -3,12 +3,10 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
-from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from riskfeat.session import scratch_dir
+from riskfeat.session import SHUFFLE_CLEANUP, scratch_dir, setting
 
 #: White space that separates words: space and the control characters tab to carriage return.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -16,7 +14,6 @@ BLANK_RUN = r"[\x20\x09-\x0D]+"
 WORD = r"[^\x20\x09-\x0D]+"
 
 NOT_LETTERS = re.compile(r"[\W\d_]+")
-SHUFFLE_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def words(text: Column) -> Column:
@@ -61,16 +58,6 @@ def of_row(columns: list[str], every: list[str]) -> list[Column]:
     return [F.col(row_name(every)).getField(c).alias(c) for c in columns]
 
 
-@contextmanager
-def setting(spark: SparkSession, name: str, value: str) -> Iterator[None]:
-    before = spark.conf.get(name, None)
-    spark.conf.set(name, value)
-    try:
-        yield
-    finally:
-        spark.conf.unset(name) if before is None else spark.conf.set(name, before)
-
-
 class Stages:
     """Tables written between the steps of one operator, in the shared scratch folder.
 

@@ -12,6 +12,8 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from riskfeat import schemas as S
 from riskfeat.functions import columns as C
+from riskfeat.session import shuffles_dropped
+from riskfeat.sources.files import held
 
 # Names that end in a running number sort in that order when shorter ones come first.
 FILE_ORDER = ["path_length", "path", "start"]
@@ -87,6 +89,8 @@ def write_patterns(payments: DataFrame, path: str, block: str, order: str, kind:
 
     ``kind`` names the column with the pattern type, ``order`` ranks lines within a block. With ``least`` above 1 payments
     without a block are left out. Payments move as they are and become text where they are written; the files are compressed.
+    All lines are written before they are put in order: what moved to find the blocks is gone by then, and is not made again for
+    a sample of the order.
     """
     fields = [F.col(c).cast("string") for c in S.TXN_SCHEMA.names]
     heads = payments.groupBy(block).agg(
@@ -102,13 +106,7 @@ def write_patterns(payments: DataFrame, path: str, block: str, order: str, kind:
     begin = F.format_string(f"{S.PATTERN_BEGIN} - %s:", "_kind")
     end = F.format_string(f"{S.PATTERN_END} - %s", "_kind")
     value = F.when(F.col("part") == 0, begin).when(F.col("part") == 2, end).otherwise(F.concat_ws(",", *fields))
-    (
-        body.withColumn("part", F.lit(1))
-        .unionByName(marks, allowMissingColumns=True)
-        .repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
-        .select(value.alias("value"))
-        .write.mode("overwrite")
-        .option("compression", "gzip")
-        .text(path)
-    )
+    lines = body.withColumn("part", F.lit(1)).unionByName(marks, allowMissingColumns=True)
+    with held(lines, "pattern-lines") as kept, shuffles_dropped(payments.sparkSession):
+        text = kept.repartitionByRange(*keys).sortWithinPartitions(*keys).select(value.alias("value"))
+        text.write.mode("overwrite").option("compression", "gzip").text(path)

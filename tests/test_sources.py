@@ -1,10 +1,15 @@
 import gzip
+import time
+import uuid
 from concurrent.futures import ThreadPoolExecutor
 from pathlib import Path
+from threading import Barrier
 
 import pytest
 
 from riskfeat import schemas as S
+from riskfeat import session
+from riskfeat.plans import queries
 from riskfeat.session import scratch_dir
 from riskfeat.sources import commits, files, fixture, patterns
 
@@ -262,3 +267,69 @@ def test_a_scorecard_is_scored_once(spark, monkeypatch):
     for card in (queries.SCORECARD_V1, queries.SCORECARD_V1, queries.SCORECARD_V2):
         assert t.scored_table(card).columns == ["event_key", "label", "fraud_score"]
     assert len(made) == 2
+
+
+def _shuffle_files(spark):
+    manager = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    found = manager.getAllFiles()
+    names = [found.apply(i).getName() for i in range(found.size())]
+    return {n for n in names if n.startswith("shuffle_") and n.endswith(".data")}
+
+
+@pytest.mark.parametrize("write", ["staged", "write_version", "write_patterns"])
+def test_shuffle_files_go_when_a_table_is_written(spark, tmp_path, write):
+    """They stayed until the driver happened to collect its garbage."""
+    payments = spark.createDataFrame([(i // 3, f"{i}", "CYCLE", *["1"] * 11) for i in range(60)], ["block", "key", "kind", *S.TXN_SCHEMA.names])
+    moved = payments.repartition(3, "key")
+    before = _shuffle_files(spark)
+    if write == "staged":
+        files.staged(moved, "moved")
+    elif write == "write_version":
+        files.write_version(moved, str(tmp_path), "moved")
+    else:
+        patterns.write_patterns(moved, str(tmp_path), "block", "key", "kind", least=2)
+    for _ in range(50):
+        if not _shuffle_files(spark) - before:
+            break
+        time.sleep(0.2)
+    assert not _shuffle_files(spark) - before
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) != "true"
+
+
+def test_writers_of_several_threads_leave_the_setting_as_it_was(spark):
+    both, before = Barrier(2), spark.conf.get(session.SHUFFLE_CLEANUP, None)
+
+    def enter(late):
+        with session.shuffles_dropped(spark):
+            both.wait(30)
+            time.sleep(0.3 * late)
+            return spark.conf.get(session.SHUFFLE_CLEANUP)
+
+    with ThreadPoolExecutor() as pool:
+        assert list(pool.map(enter, (0, 1))) == ["true", "true"]
+    assert spark.conf.get(session.SHUFFLE_CLEANUP, None) == before
+
+
+def test_a_held_table_goes_with_its_block(spark):
+    with files.held(spark.range(5), "held") as kept:
+        path = kept.inputFiles()[0].removeprefix("file:")
+        assert kept.count() == 5 and Path(path).exists()
+    with pytest.raises(ZeroDivisionError), files.held(spark.range(5), "held") as kept:
+        other = kept.inputFiles()[0].removeprefix("file:")
+        1 / 0
+    assert not Path(path).exists() and not Path(other).exists()
+
+
+@pytest.fixture
+def scratch(spark, tmp_path, monkeypatch):
+    """Where tables of a query go, in a folder of the test."""
+    monkeypatch.setattr(session, "scratch_dir", lambda spark, purpose: f"{tmp_path}/{purpose}-{uuid.uuid4().hex}")
+    for module in (files, queries):
+        monkeypatch.setattr(module, "scratch_dir", session.scratch_dir)
+    return lambda: {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
+
+
+def test_only_the_table_of_patterns_is_left_on_disk(spark, scratch, tmp_path):
+    """Their text stayed beside it."""
+    found = queries.callables()["patterns_table"](spark, "/root/testdata/sf0.001")
+    assert found.count() > 1000 and {p.name for d in tmp_path.iterdir() for p in d.iterdir()} == {"laundering_patterns"}
