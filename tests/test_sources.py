@@ -329,6 +329,15 @@ def scratch(spark, tmp_path, monkeypatch):
     return lambda: {p.name.rsplit("-", 1)[0] for p in tmp_path.iterdir()}
 
 
+def test_only_the_environments_are_left_on_disk(spark, scratch, tmp_path):
+    """Events and history were written twice; frames, scores and their counts stayed, beside all shuffle files."""
+    dev, prod = queries.Tables(spark, "/root/testdata/sf0.001").environments
+    assert scratch() == {"bank-dim", "environments"}
+    for root, name in ((prod, "txn_events"), (prod, "account_history"), (dev, "abt"), (prod, "abt"), (dev, "abt_sample")):
+        assert files.read_version(spark, root, name).count()
+    assert {f.name.split(".")[-2] for f in Path(prod, "abt").rglob("part-*.parquet")} == {"zstd"}
+
+
 def test_only_the_table_of_patterns_is_left_on_disk(spark, scratch, tmp_path):
     """Their text stayed beside it."""
     found = queries.callables()["patterns_table"](spark, "/root/testdata/sf0.001")
